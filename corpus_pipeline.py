@@ -4,21 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hockeylake.llm.common import enter_scope, stash
+from hockeylake.llm.common import fresh_scope, stash
 from hockeylake.llm.exact_dedup import drop_exact_duplicates
 from hockeylake.llm.ngram_join import drop_near_duplicates
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id stays."""
-    enter_scope("pipeline")
-    return drop_exact_duplicates(docs)
+    with fresh_scope("pipeline"):  # the stage before is written: its intermediate tables can go
+        return drop_exact_duplicates(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of documents with similar sets of word 5-grams one stays."""
-    enter_scope("pipeline")
-    return drop_near_duplicates(docs)
+    with fresh_scope("pipeline"):
+        return drop_near_duplicates(docs)
 
 
 STAGES = [("exact dedup", exact_dedup), ("near-duplicate join", near_dedup)]

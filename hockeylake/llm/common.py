@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -54,13 +55,19 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def enter_scope(name: str) -> None:
-    """Delete what was stashed under this scope before and stash under it from now on."""
+@contextlib.contextmanager
+def fresh_scope(name: str) -> Iterator[None]:
+    """Delete what was stashed under this scope before; what the block stashes belongs to it."""
     release(name)
-    _scope[0] = name
+    outer, _scope[0] = _scope[0], name
+    try:
+        yield
+    finally:
+        _scope[0] = outer
 
 
 def release(name: str) -> None:
+    """Delete what was stashed under a scope."""
     for spark, path in _written.pop(name, []):
         try:
             jvm = spark.sparkContext._jvm
