@@ -52,6 +52,7 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()  # Spark deletes shuffle files whose plans the driver has let go
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

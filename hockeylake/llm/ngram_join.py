@@ -75,10 +75,34 @@ def shingle_levels(rows: DataFrame, n: int) -> np.ndarray:
     return np.ceil(np.log2(np.maximum(counts, 1) / typical)).clip(0, 60).astype(np.uint8)
 
 
+def _parity(own: np.ndarray, bits: int) -> np.ndarray:
+    """Whether an odd number of shingles falls into each of ``bits`` places (a power of two, 8 at least), packed.
+
+    Two such bitmaps differ in no more places than their sets differ in shingles, and halves of a
+    bitmap xor to the bitmap of half the length.
+    """
+    bits = max(bits, 8)
+    return np.packbits((np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8))
+
+
+def _close(batches: Iterator[pa.RecordBatch], part: int, whole: int) -> Iterator[pa.RecordBatch]:
+    """Of (a, b, size, size, bitmap, bitmap) the (a, b) whose bitmaps allow a link."""
+    for batch in batches:
+        keep = []
+        for i, (n, m, x, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(2, 6)), strict=True)):
+            x, y = np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)
+            while len(x) != len(y):
+                x, y = (x, y) if len(x) > len(y) else (y, x)
+                x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+            if np.bitwise_count(x ^ y).sum() <= n + m - 2 * ((part * (n + m) + part + whole - 1) // (part + whole)):
+                keep.append(i)
+        yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
+
+
 def _described(batches: Iterator[pa.RecordBatch], n: int, levels, part: int, whole: int) -> Iterator[pa.RecordBatch]:
     memo, level = _WordHash(), levels.value
     for batch in batches:
-        sizes, prints, groups, prefixes, maps = [], [], [], [], []
+        sizes, prints, groups, prefixes, maps, wides = [], [], [], [], [], []
         for text in texts(batch, 1):
             own = np.unique(shingle_hashes(text, memo, n))
             size = len(own)
@@ -86,19 +110,19 @@ def _described(batches: Iterator[pa.RecordBatch], n: int, levels, part: int, who
             raw = own.tobytes()
             prints.append(xxhash.xxh3_128_digest(raw) if size else None)
             if not size:
-                groups.append(None), prefixes.append(None), maps.append((0, 0))
+                groups.append(None), prefixes.append(None), maps.append((0, 0)), wides.append(None)
                 continue
             lv = level[_bucket(own)]
             keep = size - -(-part * size // whole) + 1
             prefix = own[np.argsort(lv, kind="stable")[:keep]]  # own is sorted: the order is (level, hash)
-            bits = np.bincount((own & np.uint64(127)).astype(np.int64), minlength=128) & 1
-            packed = np.packbits(bits.astype(np.uint8)).view(">i8")
+            packed = _parity(own, 128).view(">i8")
             maps.append((int(packed[0]), int(packed[1])))
+            wides.append(_parity(own, 1 << (2 * size - 1).bit_length()).tobytes())
             groups.append(xxhash.xxh3_128_digest(prefix.tobytes() + size.to_bytes(8, "big")))
             prefixes.append(prefix.astype(np.int64).tolist())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(groups, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array([m[0] for m in maps], pa.int64()), pa.array([m[1] for m in maps], pa.int64())],
-            names=["doc_id", "n_shingles", "print", "grp", "prefix", "b0", "b1"],
+            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(groups, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array([m[0] for m in maps], pa.int64()), pa.array([m[1] for m in maps], pa.int64()), pa.array(wides, pa.binary())],
+            names=["doc_id", "n_shingles", "print", "grp", "prefix", "b0", "b1", "wide"],
         )
 
 
@@ -151,14 +175,14 @@ def similar_documents(
     levels = spark.sparkContext.broadcast(shingle_levels(rows, n))
     told = stash(
         rows.mapInArrow(
-            lambda it: _described(it, n, levels, part, whole), "doc_id long, n_shingles long, print binary, grp binary, prefix array<long>, b0 long, b1 long"
+            lambda it: _described(it, n, levels, part, whole), "doc_id long, n_shingles long, print binary, grp binary, prefix array<long>, b0 long, b1 long, wide binary"
         ),
         "described",
     )
     classes = stash(
         told.filter("n_shingles > 0")
         .groupBy("print")
-        .agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("n_shingles", "grp", "b0", "b1")), F.first("prefix").alias("prefix")),
+        .agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("n_shingles", "grp", "b0", "b1", "prefix", "wide"))),
         "classes",
     )
     members = told.join(classes.select("print", "rep"), "print", "left").select("doc_id", "n_shingles", "rep")
@@ -203,10 +227,19 @@ def similar_documents(
         .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")),
         "candidates",
     )
+    # Bitmaps of two to four bits a shingle leave little but links to be verified.
+    wide = named.select("rep", F.struct("n_shingles", "wide").alias("w"))
+    candidates = stash(
+        candidates.join(wide.select(F.col("rep").alias("a"), F.col("w").alias("x")), "a")
+        .join(wide.select(F.col("rep").alias("b"), F.col("w").alias("y")), "b")
+        .select("a", "b", "x.n_shingles", F.col("y.n_shingles").alias("m"), "x.wide", F.col("y.wide").alias("z"))
+        .mapInArrow(lambda it: _close(it, part, whole), "a long, b long"),
+        "candidates",
+    )
     if candidates.isEmpty():
         return members, candidates
-    # Sets of the candidates alone: a bitmap of at most bitmap_bits keeps nearly all other texts out
-    # of the shuffle, and the join drops its few false hits.
+    # Sets of the candidates alone: a bitmap of at most bitmap_bits keeps nearly all other texts out,
+    # and the joins drop its few false hits.
     wanted = stash(candidates.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "wanted")
     size = 1 << max(16, min(bitmap_bits.bit_length() - 1, (16 * wanted.count()).bit_length()))
     bit = lambda c: F.pmod(F.xxhash64(c), F.lit(size))
@@ -215,14 +248,14 @@ def similar_documents(
     bitmap[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.int64).view(np.uint64)
     hits = spark.sparkContext.broadcast(bitmap)
     named_rows = rows.filter("doc_id is not null").select("doc_id", "text", bit("doc_id").alias("bit"))
-    sets = stash(named_rows.mapInArrow(lambda it: _sets(it, n, hits), "rep long, shingles binary").join(wanted, "rep", "left_semi").dropDuplicates(["rep"]), "sets")
+    sets = stash(named_rows.mapInArrow(lambda it: _sets(it, n, hits), "rep long, shingles binary"), "sets")
     links = (
         candidates.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
         .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
         .select("a", "b", "sa", "sb")
         .mapInArrow(lambda it: _verified(it, part, whole), "a long, b long")
     )
-    return members, stash(links, "links")
+    return members, stash(links.distinct(), "links")  # rows that repeat an id give their links again
 
 
 def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
