@@ -34,15 +34,9 @@ def _template(tokens: Column) -> Column:
 
 
 def _described(rows: DataFrame, key: str) -> DataFrame:
-    """Adds the template, and the values behind its placeholders in order of their kind."""
+    """``(key, text, tokens, template)``."""
     rows = rows.withColumn("tokens", _tokens(F.coalesce("text", F.lit(""))))
-    return rows.withColumn("template", _template(F.col("tokens"))).select(
-        key,
-        "template",
-        "tokens",
-        F.regexp_extract_all("text", F.lit(_NAME), F.lit(2)).alias("names"),
-        F.regexp_extract_all(_without_names(F.col("text")), F.lit(_NUMBER), F.lit(0)).alias("numbers"),
-    )
+    return rows.select(key, "text", "tokens", _template(F.col("tokens")).alias("template"))
 
 
 def _windows(template: Column, lengths: list[int]) -> Column:
@@ -56,15 +50,21 @@ def _windows(template: Column, lengths: list[int]) -> Column:
 
 
 def _slots(at: Column, n: Column) -> Column:
-    """``kind + value`` of the placeholders in the window, in order."""
-    template, tokens = F.col("template"), F.col("tokens")
+    """``kind + value`` of the placeholders in the window, in order. The values are those that the text has behind its placeholders of a kind, in order."""
+    template, tokens, text = F.col("template"), F.col("tokens"), F.col("text")
+    behind = F.struct(
+        F.regexp_extract_all(text, F.lit(_NAME), F.lit(2)).alias("names"), F.regexp_extract_all(_without_names(text), F.lit(_NUMBER), F.lit(0)).alias("numbers")
+    )
     rank = lambda kind, i: F.size(F.filter(F.slice(template, F.lit(1), i), lambda t: t == kind))
-    value = lambda i: (
-        F.when(F.element_at(template, i) == NAME, F.concat(F.lit(NAME), F.coalesce(F.try_element_at(F.col("names"), rank(NAME, i)), F.lit(""))))
-        .when(F.element_at(template, i) == NUMBER, F.concat(F.lit(NUMBER), F.coalesce(F.try_element_at(F.col("numbers"), rank(NUMBER, i)), F.lit(""))))
+    value = lambda v, i: (
+        F.when(F.element_at(template, i) == NAME, F.concat(F.lit(NAME), F.coalesce(F.try_element_at(v["names"], rank(NAME, i)), F.lit(""))))
+        .when(F.element_at(template, i) == NUMBER, F.concat(F.lit(NUMBER), F.coalesce(F.try_element_at(v["numbers"], rank(NUMBER, i)), F.lit(""))))
         .when(F.element_at(template, i) == UNIT, F.concat(F.lit(UNIT), F.element_at(tokens, i)))
     )
-    return F.filter(F.transform(F.sequence(at, at + n - 1), value), lambda v: v.isNotNull())
+    window = F.sequence(at, at + n - 1)
+    found = F.flatten(F.transform(F.array(behind), lambda v: F.filter(F.transform(window, lambda i: value(v, i)), lambda x: x.isNotNull())))
+    # Most windows have no placeholder, and then the text is not searched.
+    return F.when(F.exists(F.slice(template, at, n), lambda t: t.isin(NAME, NUMBER, UNIT)), found).otherwise(F.array().cast("array<string>"))
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = 8) -> DataFrame:
