@@ -16,7 +16,10 @@ from hockeylake.llm.components import connected_components
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 #: Buckets of the frequency sketch; its 1 byte a bucket is what every executor gets, whatever the corpus holds.
 SKETCH = 1 << 20
-_MEMO = 400_000
+_MEMO = 150_000
+#: Longs of the narrow parity bitmap of every set; groups have half as many.
+NARROW = 8
+NARROWS = [f"b{i}" for i in range(NARROW)]
 
 
 class _WordHash(dict):
@@ -100,6 +103,7 @@ def _close(batches: Iterator[pa.RecordBatch], part: int, whole: int) -> Iterator
 
 
 def _described(batches: Iterator[pa.RecordBatch], n: int, levels, part: int, whole: int) -> Iterator[pa.RecordBatch]:
+    """Set sizes, fingerprints, prefixes and parity bitmaps."""
     memo, level = _WordHash(), levels.value
     for batch in batches:
         sizes, prints, groups, prefixes, maps, wides = [], [], [], [], [], []
@@ -107,22 +111,27 @@ def _described(batches: Iterator[pa.RecordBatch], n: int, levels, part: int, who
             own = np.unique(shingle_hashes(text, memo, n))
             size = len(own)
             sizes.append(size)
-            raw = own.tobytes()
-            prints.append(xxhash.xxh3_128_digest(raw) if size else None)
-            if not size:
-                groups.append(None), prefixes.append(None), maps.append((0, 0)), wides.append(None)
-                continue
             lv = level[_bucket(own)]
-            keep = size - -(-part * size // whole) + 1
-            prefix = own[np.argsort(lv, kind="stable")[:keep]]  # own is sorted: the order is (level, hash)
-            packed = _parity(own, 128).view(">i8")
-            maps.append((int(packed[0]), int(packed[1])))
-            wides.append(_parity(own, 1 << (2 * size - 1).bit_length()).tobytes())
-            groups.append(xxhash.xxh3_128_digest(prefix.tobytes() + size.to_bytes(8, "big")))
-            prefixes.append(prefix.astype(np.int64).tolist())
+            # own is sorted: the order is (level, hash). At most this many shingles come before the first shared one.
+            prefix = own[np.argsort(lv, kind="stable")[: size - -(-part * size // whole) + 1]] if size else own
+            prefixes.append(prefix.view(np.int64))
+            maps.append(_parity(own, 64 * NARROW).view(">i8"))
+            wides.append(_parity(own, 1 << (2 * size - 1).bit_length()).tobytes() if size else None)
+            prints.append(xxhash.xxh3_128_digest(own.tobytes()) if size else None)
+            groups.append(xxhash.xxh3_128_digest(prefix.tobytes() + size.to_bytes(8, "big")) if size else None)
+        ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
+        narrow = np.stack(maps) if maps else np.empty((0, NARROW), dtype=">i8")
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(groups, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array([m[0] for m in maps], pa.int64()), pa.array([m[1] for m in maps], pa.int64()), pa.array(wides, pa.binary())],
-            names=["doc_id", "n_shingles", "print", "grp", "prefix", "b0", "b1", "wide"],
+            [
+                batch.column(0),
+                pa.array(sizes, pa.int64()),
+                pa.array(prints, pa.binary()),
+                pa.array(groups, pa.binary()),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, dtype=np.int64), *prefixes]))),
+                *(pa.array(np.ascontiguousarray(narrow[:, k]).astype(np.int64)) for k in range(NARROW)),
+                pa.array(wides, pa.binary()),
+            ],
+            names=["doc_id", "n_shingles", "print", "grp", "prefix", *NARROWS, "wide"],
         )
 
 
@@ -175,34 +184,36 @@ def similar_documents(
     levels = spark.sparkContext.broadcast(shingle_levels(rows, n))
     told = stash(
         rows.mapInArrow(
-            lambda it: _described(it, n, levels, part, whole), "doc_id long, n_shingles long, print binary, grp binary, prefix array<long>, b0 long, b1 long, wide binary"
+            lambda it: _described(it, n, levels, part, whole), "doc_id long, n_shingles long, print binary, grp binary, prefix array<long>, " + ", ".join(f"{b} long" for b in NARROWS) + ", wide binary"
         ),
         "described",
     )
     classes = stash(
         told.filter("n_shingles > 0")
         .groupBy("print")
-        .agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("n_shingles", "grp", "b0", "b1", "prefix", "wide"))),
+        .agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("n_shingles", "grp", *NARROWS, "prefix", "wide"))),
         "classes",
     )
     members = told.join(classes.select("print", "rep"), "print", "left").select("doc_id", "n_shingles", "rep")
     named = classes.filter("rep is not null")
+    half = lambda i: F.col(f"b{i}").bitwiseXOR(F.col(f"b{i + NARROW // 2}"))
     groups = stash(
         named.groupBy("grp").agg(
             F.min("rep").alias("gid"),
             F.first("n_shingles").alias("n"),
             F.first("prefix").alias("prefix"),
             F.count("*").alias("size"),
-            # Parity bits: as the first member has them, and those that differ within the group.
-            *(F.bit_or(c).alias(f"s{c[1]}") for c in ("b0", "b1")),
-            *(F.bit_or(c).bitwiseXOR(F.bit_and(c)).alias(f"v{c[1]}") for c in ("b0", "b1")),
+            # Parity bits, those that any member has and those that differ within the group.
+            *(F.bit_or(half(i)).alias(f"s{i}") for i in range(NARROW // 2)),
+            *(F.bit_or(half(i)).bitwiseXOR(F.bit_and(half(i))).alias(f"v{i}") for i in range(NARROW // 2)),
         ),
         "groups",
     )
-    postings = groups.select("gid", "n", "s0", "s1", "v0", "v1", F.posexplode("prefix").alias("at", "token"))
+    bits = [f"{c}{i}" for c in "sv" for i in range(NARROW // 2)]
+    postings = groups.select("gid", "n", *bits, F.posexplode("prefix").alias("at", "token"))
     # Least intersection of two sets that link.
     need = F.expr(f"((x.n + y.n) * {part} + {part + whole - 1}) div {part + whole}")
-    apart = sum(F.bit_count(F.expr(f"(x.s{i} ^ y.s{i}) & ~(x.v{i} | y.v{i})")) for i in (0, 1))
+    apart = sum(F.bit_count(F.expr(f"(x.s{i} ^ y.s{i}) & ~(x.v{i} | y.v{i})")) for i in range(NARROW // 2))
     x, y = postings.alias("x"), postings.alias("y")
     pairs = stash(
         x.join(
@@ -218,12 +229,14 @@ def similar_documents(
         .union(groups.filter("size > 1").select(F.col("gid").alias("g"), F.col("gid").alias("h"))),
         "grouppairs",
     )
-    member = stash(named.join(groups.select("grp", "gid"), "grp").select("gid", "rep", F.col("n_shingles").alias("n"), "b0", "b1"), "member")
-    near = F.expr("bit_count(x.b0 ^ y.b0) + bit_count(x.b1 ^ y.b1)") <= F.col("x.n") + F.col("y.n") - 2 * need
+    member = stash(named.join(groups.select("grp", "gid"), "grp").select("gid", F.struct("rep", F.col("n_shingles").alias("n"), *NARROWS).alias("m")), "member")
+    apart = sum(F.bit_count(F.expr(f"x.{b} ^ y.{b}")) for b in NARROWS)
     candidates = stash(
-        pairs.join(member.select(F.col("gid").alias("g"), F.struct("rep", "n", "b0", "b1").alias("x")), "g")
-        .join(member.select(F.col("gid").alias("h"), F.struct("rep", "n", "b0", "b1").alias("y")), "h")
-        .filter(near & ((F.col("g") != F.col("h")) | (F.col("x.rep") < F.col("y.rep"))))
+        pairs.join(member.select(F.col("gid").alias("g"), F.col("m").alias("x")), "g")
+        .join(
+            member.select(F.col("gid").alias("k"), F.col("m").alias("y")),
+            (F.col("h") == F.col("k")) & (apart <= F.col("x.n") + F.col("y.n") - 2 * need) & ((F.col("g") != F.col("h")) | (F.col("x.rep") < F.col("y.rep"))),
+        )
         .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")),
         "candidates",
     )
