@@ -148,3 +148,23 @@ def identify_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
 def fold(id_col: str, folds: int) -> Column:
     """CRC-32 of the id as text, modulo ``folds``; null for a null id."""
     return F.crc32(F.col(id_col).cast("string")) % folds
+
+
+def _identified(batches: Iterator[pa.RecordBatch], model, column: str, least: float) -> Iterator[pa.RecordBatch]:
+    m = LanguageModel(**model.value)
+    for batch in batches:
+        keep = []
+        for i, x in enumerate(batch.column(batch.schema.get_field_index(column))):
+            at, counts = gram_counts(x.as_py() or "")
+            if len(at) and m.langs and softmax((_vector(at, counts, m.idf) @ m.weights[at] + m.bias) / m.temperature).max() >= least:
+                keep.append(i)
+        yield batch.take(pa.array(keep, pa.int64()))
+
+
+def drop_unidentified(docs: DataFrame, model: LanguageModel, text_col: str = "text", least: float = 0.4) -> DataFrame:
+    """``docs`` without the rows whose text has no letter or whose best calibrated probability is below ``least``; columns unchanged.
+
+    A model that has learned no language identifies nothing. One pass, no shuffle; rows are not matched by id, so null and repeated ids are no matter.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    return docs.mapInArrow(lambda it: _identified(it, shared, text_col, least), docs.schema)

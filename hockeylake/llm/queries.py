@@ -5,9 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from hockeylake.llm import license_scan as licenses
+from hockeylake.llm.decontaminate import UNITS, contamination_report
 from hockeylake.llm.exact_dedup import exact_duplicates
+from hockeylake.llm.language_id import fold, identify_language, train_language_model
+from hockeylake.llm.mixing import mixing_plan
 from hockeylake.llm.ngram_join import near_duplicate_components
+from hockeylake.llm.pii import pseudonymise
+from hockeylake.llm.token_counts import token_counts
+from hockeylake.llm.toxicity import score_toxicity, train_toxicity_model
+from hockeylake.llm.warc import warc_round_trip
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,38 +27,131 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_components(_read(spark, sf_dir, "documents"), n=3, part=90, whole=100)
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts(_read(spark, sf_dir, "documents"), str(public_tokenizers.path("word_bpe_49k.json")), limit=2048)
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(_read(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_round_trip(_read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(_read(spark, sf_dir, "documents"), key="corpus key of this release")
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    model = train_toxicity_model(docs, labels.filter(fold("doc_id", 5) != 0))
+    scores = score_toxicity(docs, model)
+    return scores.select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = train_language_model(docs.filter(fold("doc_id", 4) != 2).select("text", "lang"))
+    found = identify_language(docs, model)
+    return found.select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing_plan(_read(spark, sf_dir, "documents"), weights=(5, 2, 1), total_share=1.5, most=2.0)
+    return plan.select("doc_id", "source", "size", "source_size", "target", "taken", "n_copies", F.array_join("shards", ",").alias("shards"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
-    "op10_exact_dedup": op10_exact_dedup,
+    f.__name__: f
+    for f in (op1_ngram_jaccard_join, op2_token_counts, op3_license_scan, op4_warc, op5_pii, op6_toxicity, op7_language_id, op8_mixing, op9_decontamination, op10_exact_dedup)
 }
 
-_WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '')"""
+_WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
+
+
+
+def _canonical_sql(text: str) -> str:
+    x = rf"regexp_replace(lower({text}), '(?m)^[^\p{{L}}\p{{N}}\n]*(?:copyright[ \t]*(?:\(c\)|©|\d)|\(c\)[ \t]*\d|©)[^\n]*$', ' ', 'g')"
+    x = rf"' ' || trim(regexp_replace({x}, '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' '"
+    for said, meant in licenses.EQUIVALENT:
+        x = f"replace({x}, ' {said} ', ' {meant} ')"
+    return f"trim({x})"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _template_sql(table: str, key: str) -> str:
+    units = ", ".join(map(_quoted, UNITS))
+    return rf"""
+  SELECT {key}, list_transform(range(1, len(t) + 1), lambda i: CASE WHEN i > 1 AND t[i - 1] = chr(2) AND list_contains([{units}], t[i]) THEN chr(3) ELSE t[i] END) AS t FROM (
+  SELECT {key}, list_filter(regexp_split_to_array(lower(regexp_replace(regexp_replace(coalesce(text, ''),
+    '([\p{{Ll}}\p{{N}},;:] )(\p{{Lu}}[\p{{L}}\p{{M}}]*(?: \p{{Lu}}[\p{{L}}\p{{M}}]*)*)', '\1 ' || chr(1) || ' ', 'g'),
+    '\p{{N}}+(?:[.,:/]\p{{N}}+)*', ' ' || chr(2) || ' ', 'g')), '[^\p{{L}}\p{{M}}\x01-\x03]+'), lambda x: x <> '') AS t FROM {table})"""
 
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_jaccard_join": f"""
 WITH RECURSIVE words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 sets AS MATERIALIZED (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
   FROM words),
 items AS MATERIALIZED (SELECT doc_id, unnest(s) AS x FROM sets),
 shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
 links AS MATERIALIZED (
   SELECT a, b FROM shared JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
   WHERE 100 * k >= 90 * (len(x.s) + len(y.s) - k)),
-both AS MATERIALIZED (SELECT a, b FROM links UNION SELECT b, a FROM links),
-reach AS (SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT r.a, l.b FROM reach r JOIN both l ON r.b = l.a),
+two_way AS MATERIALIZED (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT r.a, l.b FROM reach r JOIN two_way l ON r.b = l.a),
 least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a),
 reps AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY list_sort(s)) AS rep FROM sets WHERE len(s) > 0),
-partners AS (SELECT r.rep, count(DISTINCT q.rep) AS n FROM reps r JOIN both l ON l.a = r.doc_id JOIN reps q ON q.doc_id = l.b WHERE q.rep <> r.rep GROUP BY r.rep)
+partners AS (SELECT r.rep, count(DISTINCT q.rep) AS n FROM reps r JOIN two_way l ON l.a = r.doc_id JOIN reps q ON q.doc_id = l.b WHERE q.rep <> r.rep GROUP BY r.rep)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, component_id, CAST(coalesce(p.n, 0) AS BIGINT) AS n_links
 FROM sets s JOIN least USING (doc_id) LEFT JOIN reps USING (doc_id) LEFT JOIN partners p USING (rep)""",
     "op10_exact_dedup": """
 WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents)
 SELECT doc_id, max(doc_id) OVER p AS keep_id, count(*) OVER p AS group_size, doc_id = max(doc_id) OVER p AS kept, sha256(x) AS text_sha256
 FROM t WINDOW p AS (PARTITION BY x)""",
+    "op3_license_scan": f"""
+WITH known AS (SELECT {_canonical_sql("text")} AS x, min(license_id) AS license_id FROM (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in licenses.NOTICES)}) v(license_id, text) GROUP BY 1),
+units AS (
+  SELECT doc_id, TRUE AS whole, coalesce(text, '') AS u FROM documents
+  UNION ALL SELECT doc_id, FALSE, unnest(list_distinct(string_split(coalesce(text, ''), chr(10)))) FROM documents
+  UNION ALL SELECT * FROM (SELECT doc_id, FALSE, unnest(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n\\s*')) AS u FROM documents WHERE contains(text, chr(10) || chr(10))) WHERE contains(u, chr(10))),
+found AS (SELECT doc_id, whole, license_id FROM (SELECT doc_id, whole, {_canonical_sql("u")} AS x FROM units) JOIN known USING (x))
+SELECT doc_id, min(CASE WHEN whole THEN license_id END) AS text_license, array_to_string(list_sort(list(DISTINCT license_id)), ',') AS licenses, count(*) FILTER (NOT whole) AS n_units
+FROM found GROUP BY doc_id
+UNION ALL SELECT doc_id, NULL, NULL, 0 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM found)""",
+    "op4_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS least FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest,
+  CASE WHEN n >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN n >= 100 AND page_id <> least THEN least END AS refers_to
+FROM f""",
+    # No item of the benchmark table has a number or a name within a sentence: slots never differ there, so that the SQL leaves out their check.
+    "op9_decontamination": f"""
+WITH docs AS MATERIALIZED ({_template_sql("documents", "doc_id")}),
+items AS MATERIALIZED ({_template_sql("benchmark", "item_id")}),
+win AS MATERIALIZED (
+  SELECT item_id, k, list_slice(t, k, k + 7) AS w FROM (SELECT item_id, t, unnest(range(1, len(t) - 6)) AS k FROM items)
+  WHERE len(list_filter(list_slice(t, k, k + 7), lambda x: x NOT IN (chr(1), chr(2), chr(3)))) >= 4),
+total AS (SELECT item_id, count(*) AS n_windows FROM win GROUP BY item_id),
+hits AS (
+  SELECT DISTINCT doc_id, item_id, win.k FROM (SELECT doc_id, list_slice(t, p, p + 7) AS w FROM (SELECT doc_id, t, unnest(range(1, len(t) - 6)) AS p FROM docs)) JOIN win USING (w)),
+pairs AS (SELECT doc_id, item_id, count(*) AS covered, n_windows FROM hits JOIN total USING (item_id) GROUP BY doc_id, item_id, n_windows HAVING count(*) * 100 >= 50 * n_windows),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY covered / n_windows DESC, item_id) AS r, count(*) OVER (PARTITION BY doc_id) AS n_items FROM pairs)
+SELECT d.doc_id, b.doc_id IS NOT NULL AS contaminated, item_id, covered, n_windows, coalesce(n_items, 0) AS n_items
+FROM documents d LEFT JOIN best b ON b.doc_id = d.doc_id AND r = 1""",
 }
