@@ -210,7 +210,8 @@ def similar_documents(
         "groups",
     )
     bits = [f"{c}{i}" for c in "sv" for i in range(NARROW // 2)]
-    postings = groups.select("gid", "n", *bits, F.posexplode("prefix").alias("at", "token"))
+    postings = groups.select("gid", "n", *bits, "prefix", F.posexplode("prefix").alias("at", "token"))
+    postings = postings.withColumn("prior", F.get("prefix", F.col("at") - 1)).drop("prefix")
     # Least intersection of two sets that link.
     need = F.expr(f"((x.n + y.n) * {part} + {part + whole - 1}) div {part + whole}")
     apart = sum(F.bit_count(F.expr(f"(x.s{i} ^ y.s{i}) & ~(x.v{i} | y.v{i})")) for i in range(NARROW // 2))
@@ -220,6 +221,8 @@ def similar_documents(
             y,
             (F.col("x.token") == F.col("y.token"))
             & F.expr(f"(x.n < y.n or (x.n = y.n and x.gid < y.gid)) and {whole} * x.n >= {part} * y.n")
+            # Where the shingles before are the same too, the pair meets at those: one row a run, not one a shingle.
+            & F.coalesce(F.col("x.prior") != F.col("y.prior"), F.lit(True))
             & (F.col("x.at") <= F.col("x.n") - need)
             & (F.col("y.at") <= F.col("y.n") - need)
             & (apart <= F.col("x.n") + F.col("y.n") - 2 * need),
@@ -253,7 +256,7 @@ def similar_documents(
         return members, candidates
     # Sets of the candidates alone: a bitmap of at most bitmap_bits keeps nearly all other texts out,
     # and the joins drop its few false hits.
-    wanted = stash(candidates.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "wanted")
+    wanted = stash(candidates.select(F.col("a").alias("rep")).distinct().union(candidates.select("b").distinct()).distinct(), "wanted")
     size = 1 << max(16, min(bitmap_bits.bit_length() - 1, (16 * wanted.count()).bit_length()))
     bit = lambda c: F.pmod(F.xxhash64(c), F.lit(size))
     found = wanted.select(bit("rep").alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(bit & 63))")).alias("bits")).toPandas()
