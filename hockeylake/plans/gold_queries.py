@@ -170,7 +170,7 @@ def player_season_timeline(spark, d):
 
 
 _GST_I = "player_id, game_id, game_date, season, team_abbr, saves_cum, shots_against_cum, goals_against_cum, toi_seconds_cum, gp_cum, season_sv_pct_rank"
-_GST_D = "save_pct_cum, sv_pct_avg_5g, sv_pct_avg_10g, gaa_cum"
+_GST_D = "save_pct_cum, gaa_cum"
 
 
 @query(
