@@ -51,7 +51,7 @@ def goals_against_average(goals: Column, seconds: Column, digits: int = 4) -> Co
 
 def clean_text(x: Column) -> Column:
     """Tabs and no-break spaces as blanks, runs of blanks as one, none at the ends."""
-    return F.trim(F.regexp_replace(F.translate(x, " \t", "  "), " {2,}", " "))
+    return F.trim(F.regexp_replace(F.translate(x, "\u00a0\t", "  "), " {2,}", " "))
 
 
 def season_year(x: Column) -> Column:
