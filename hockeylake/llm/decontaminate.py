@@ -30,7 +30,8 @@ def _tokens(text: Column) -> Column:
 
 def _template(tokens: Column) -> Column:
     """Tokens with units after a number as placeholders."""
-    return F.transform(tokens, lambda t, i: F.when(t.isin(*UNITS) & (i > 0) & (F.get(tokens, i - 1) == NUMBER), UNIT).otherwise(t))
+    turned = F.transform(tokens, lambda t, i: F.when(t.isin(*UNITS) & (i > 0) & (F.get(tokens, i - 1) == NUMBER), UNIT).otherwise(t))
+    return F.when(F.array_contains(tokens, NUMBER), turned).otherwise(tokens)
 
 
 def _described(rows: DataFrame, key: str) -> DataFrame:
@@ -39,16 +40,6 @@ def _described(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(key, "text", "tokens", _template(F.col("tokens")).alias("template"))
 
 
-def _windows(template: Column, lengths: list[int]) -> Column:
-    """``(at, hash)`` of every window of the given lengths."""
-
-    def of(n: int) -> Column:
-        starts = F.when(F.size(template) >= n, F.sequence(F.lit(1), F.size(template) - n + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(template, i, n)).alias("hash")))
-
-    return F.concat(*(of(n) for n in lengths))
-
-
 def _slots(at: Column, n: Column) -> Column:
     """``kind + value`` of the placeholders in the window, in order. The values are those that the text has behind its placeholders of a kind, in order."""
     template, tokens, text = F.col("template"), F.col("tokens"), F.col("text")
@@ -68,16 +59,21 @@ def _slots(at: Column, n: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = 8) -> DataFrame:
-    """``(item_id, k, hash, n, slots, n_windows)``: the windows of every item that are words by half at least.
+    """``(item_id, k, hash, n, anchor, ahead, item_slots, n_windows)``: the windows of every item that are words by half at least.
 
-    An item with fewer tokens than a window is one window.
+    An item with fewer tokens than a window is one window; one with fewer than three tokens has none.
+    The anchor of a window is the hash of the longest three tokens in a row, ``ahead`` tokens after its start.
     """
     items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")).filter("item_id is not null").dropDuplicates(["item_id"])
-    rows = _described(items, "item_id").filter(F.size("template") > 0)
+    rows = _described(items, "item_id").filter(F.size("template") >= 3)
     n = F.least(F.size("template"), F.lit(window))
     rows = rows.withColumn("n", n).select("*", F.explode(F.sequence(F.lit(1), F.size("template") - n + 1)).alias("k"))
     words = F.size(F.filter(F.slice("template", F.col("k"), F.col("n")), lambda t: ~t.isin(NAME, NUMBER, UNIT)))
-    rows = rows.filter(2 * words >= F.col("n")).select("item_id", "k", F.xxhash64(F.slice("template", F.col("k"), F.col("n"))).alias("hash"), "n", _slots(F.col("k"), F.col("n")).alias("item_slots"))
+    token = lambda i: F.element_at("template", F.col("k") + i)
+    length = lambda i: F.when(token(i).isin(NAME, NUMBER, UNIT), 0).otherwise(F.length(token(i)))
+    longest = F.array_max(F.transform(F.sequence(F.lit(0), F.col("n") - 3), lambda i: F.struct((length(i) + length(i + 1) + length(i + 2)).alias("l"), F.xxhash64(token(i), token(i + 1), token(i + 2)).alias("t"), i.alias("i"))))
+    rows = rows.filter(2 * words >= F.col("n")).withColumn("a", longest)
+    rows = rows.select("item_id", "k", F.col("a.t").alias("anchor"), F.col("a.i").alias("ahead"), F.xxhash64(F.slice("template", F.col("k"), F.col("n"))).alias("hash"), "n", _slots(F.col("k"), F.col("n")).alias("item_slots"))
     counts = rows.groupBy("item_id").agg(F.count("*").alias("n_windows"))
     return rows.join(counts, "item_id")
 
@@ -89,7 +85,8 @@ def contaminated_documents(
 
     Names, numbers and units become typed placeholders, so that a question asked again with other
     values has the same template. All windows of ``window`` template tokens of all texts are
-    hash-joined with those of the benchmark. Hits on one alignment of document and item count only if
+    hash-joined with those of the benchmark, by the longest three tokens of a window and then by the
+    window's hash, so that windows are built only where such three tokens stand. Hits on one alignment of document and item count only if
     their slots are consistent there: wherever the item has one value, the document has one value. A
     pair is reported if its consistent hits cover ``share`` percent of the item's windows at least.
 
@@ -102,16 +99,27 @@ def contaminated_documents(
     """
     items = benchmark_windows(benchmark, window=window).cache()
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id is not null")
-    lengths = sorted(r["n"] for r in items.select("n").distinct().collect()) or [window]
-    side = F.broadcast(items) if items.count() <= broadcast_rows else items
-    hits = (
-        _described(rows, "doc_id")
-        .select("*", F.explode(_windows(F.col("template"), lengths)).alias("w"))
-        .select("*", F.col("w.hash").alias("hash"))
-        .join(side, "hash")
-        .filter(F.size("template") >= F.col("n"))
-        .select("doc_id", "item_id", "k", "n_windows", (F.col("w.at") - F.col("k")).alias("shift"), F.zip_with("item_slots", _slots(F.col("w.at"), F.col("n")), lambda a, b: F.struct(a.alias("item"), b.alias("doc"))).alias("slots"))
-    )
+    small = items.count() <= broadcast_rows
+    at = F.col("p") + 1 - F.col("ahead")
+    three = lambda t, i: F.struct(i.alias("p"), F.xxhash64(t, F.get("template", i + 1), F.get("template", i + 2)).alias("anchor"))
+
+    def found(side: DataFrame, slots: Column) -> DataFrame:
+        return (
+            _described(rows, "doc_id")
+            .select("*", F.explode(F.transform("template", three)).alias("w"))
+            .select("*", F.col("w.p").alias("p"), F.col("w.anchor").alias("anchor"))
+            .join(F.broadcast(side) if small else side, "anchor")
+            .filter((at >= 1) & (at + F.col("n") - 1 <= F.size("template")))
+            .filter(F.xxhash64(F.slice("template", at, F.col("n"))) == F.col("hash"))
+            .select("doc_id", "item_id", "k", "n_windows", (at - F.col("k")).alias("shift"), slots.alias("slots"))
+        )
+
+    pairs = F.zip_with("item_slots", _slots(at, F.col("n")), lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
+    # Windows without placeholders keep a plan that is small enough to be compiled; those with some, if the benchmark has any, take a pass of their own.
+    hits = found(items.filter(F.size("item_slots") == 0).drop("item_slots"), F.array().cast("array<struct<item:string,doc:string>>"))
+    slotted = items.filter(F.size("item_slots") > 0)
+    if not slotted.isEmpty():
+        hits = hits.unionByName(found(slotted, pairs))
     # On one alignment there are at most the item's windows, so that what is collected is bounded by the item.
     aligned = hits.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("k").alias("ks"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"), F.first("n_windows").alias("n_windows"))
     consistent = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["item"])))
