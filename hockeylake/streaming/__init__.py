@@ -1 +1,80 @@
-"""streaming."""
+"""Structured Streaming jobs: the incremental loads and keyed upserts as streams."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hockeylake.operators.writes import conform, replace_table, upsert_insert_only
+
+
+def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
+    """New Parquet files below a path, each taken once by the checkpoint of the query that reads it."""
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
+
+
+def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> None:
+    """Run what is available now, micro-batch by micro-batch."""
+    stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(each).start().awaitTermination()
+
+
+def append_to(path: str) -> Callable[[DataFrame, int], None]:
+    """A sink that writes each batch into a folder of its own, so that a batch that is run again replaces itself."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/batch={number}")
+
+    return write
+
+
+def upsert_to(path: str, keys: list[str], schema: str) -> Callable[[DataFrame, int], None]:
+    """A sink that inserts the keys it doesn't have; the first row of a key in a batch counts. A repeated batch changes nothing."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch = conform(batch, schema).dropDuplicates(keys)
+        jvm = spark.sparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+            batch = upsert_insert_only(spark.read.schema(schema).parquet(path), batch, keys)
+        replace_table(spark, batch, path)
+
+    return write
+
+
+def deduplicated(stream: DataFrame, keys: list[str], ts: str, late: str) -> DataFrame:
+    """Rows without repeats of a key that come within the lateness; the state is bounded by it."""
+    return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
+
+
+def window_counts(stream: DataFrame, ts: str, late: str, width: str, by: list[str]) -> DataFrame:
+    """Counts in tumbling windows; rows later than ``late`` are dropped in append mode."""
+    w = F.window(ts, width)
+    return stream.withWatermark(ts, late).groupBy(w.alias("w"), *by).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), *by, "n")
+
+
+def rolling_form_to(path: str, base: str, entity: str, features: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """A sink that keeps rolling form current: the windows of the entities in a batch are computed again from all their rows.
+
+    ``base`` collects the rows by batch; late games are no matter, since whole histories of the touched entities are read.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        append_to(base)(batch, number)
+        rows = spark.read.option("basePath", base).parquet(base).drop("batch")
+        touched = batch.select(entity).distinct()
+        fresh = features(rows.join(touched, entity, "left_semi"))
+        jvm = spark.sparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+            old = spark.read.schema(fresh.schema).parquet(path)
+            fresh = old.join(touched, entity, "left_anti").unionByName(fresh)
+        replace_table(spark, fresh, path)
+
+    return write
