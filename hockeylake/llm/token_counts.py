@@ -95,7 +95,8 @@ def load_tokenizer(path: str) -> tuple[Callable[[list[str]], list[int]], Encode]
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
 
         def pieces(text: str) -> list[tuple[int, int, int]]:
-            return [(p.id, p.begin, p.end) for p in sp.encode_as_immutable_proto(text).pieces]
+            found = sp.encode(text, return_type="offset_mapping")
+            return [(i, a, b) for i, (a, b) in zip(found["ids"], found["offsets"], strict=True)]
 
         return lambda xs: [len(x) for x in sp.encode(xs, num_threads=1)], pieces
     raise ValueError(f"neither .json nor .model: {path}")
