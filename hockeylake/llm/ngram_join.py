@@ -158,7 +158,7 @@ def _verified(batches: Iterator[pa.RecordBatch], part: int, whole: int) -> Itera
 
 
 def similar_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, part: int = 80, whole: int = 100, bitmap_bits: int = 1 << 26
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, part: int = 80, whole: int = 100, bitmap_bits: int = 1 << 26, connected: bool = False, hot: int = 32
 ) -> tuple[DataFrame, DataFrame]:
     """Exact Jaccard join of the word n-gram sets of all texts; a pair links if intersection / union >= part / whole.
 
@@ -172,6 +172,11 @@ def similar_documents(
     size, by the positions of the shared shingle, or by parity bitmaps whose difference proves too
     large a set difference. What is left is expanded to classes and verified against the whole sets.
 
+    With ``connected`` the links are as many as the components need: in prefix lists of over ``hot``
+    groups each member meets one chosen at random first, and then no pair is made whose members are
+    known to be connected. Every pair of sets that might join two components is still verified, so
+    that components are the same, and a large group of near copies costs about its size.
+
     Common passages go to the end of the order by a sketch of fixed size over all texts. Pairs are
     made between classes, never between copies. Sets are 64-bit hashes.
 
@@ -214,64 +219,82 @@ def similar_documents(
     postings = postings.withColumn("prior", F.get("prefix", F.col("at") - 1)).drop("prefix")
     # Least intersection of two sets that link.
     need = F.expr(f"((x.n + y.n) * {part} + {part + whole - 1}) div {part + whole}")
-    apart = sum(F.bit_count(F.expr(f"(x.s{i} ^ y.s{i}) & ~(x.v{i} | y.v{i})")) for i in range(NARROW // 2))
-    x, y = postings.alias("x"), postings.alias("y")
-    pairs = stash(
-        x.join(
-            y,
-            (F.col("x.token") == F.col("y.token"))
-            & F.expr(f"(x.n < y.n or (x.n = y.n and x.gid < y.gid)) and {whole} * x.n >= {part} * y.n")
-            # Where the shingles before are the same too, the pair meets at those: one row a run, not one a shingle.
-            & F.coalesce(F.col("x.prior") != F.col("y.prior"), F.lit(True))
-            & (F.col("x.at") <= F.col("x.n") - need)
-            & (F.col("y.at") <= F.col("y.n") - need)
-            & (apart <= F.col("x.n") + F.col("y.n") - 2 * need),
-        )
-        .select(F.col("x.gid").alias("g"), F.col("y.gid").alias("h"))
-        .distinct()
-        .union(groups.filter("size > 1").select(F.col("gid").alias("g"), F.col("gid").alias("h"))),
-        "grouppairs",
+    differ = sum(F.bit_count(F.expr(f"(x.s{i} ^ y.s{i}) & ~(x.v{i} | y.v{i})")) for i in range(NARROW // 2))
+    may_link = (
+        (F.col("x.token") == F.col("y.token"))
+        & F.expr(f"{whole} * least(x.n, y.n) >= {part} * greatest(x.n, y.n)")
+        & (F.col("x.at") <= F.col("x.n") - need)
+        & (F.col("y.at") <= F.col("y.n") - need)
+        & (differ <= F.col("x.n") + F.col("y.n") - 2 * need)
     )
+    # Where the shingles before are the same too, the pair meets at those: one row a run, not one a shingle.
+    begins = F.coalesce(F.col("x.prior") != F.col("y.prior"), F.lit(True))
+    once = F.expr("x.n < y.n or (x.n = y.n and x.gid < y.gid)")
+    as_pair = (F.least("x.gid", "y.gid").alias("g"), F.greatest("x.gid", "y.gid").alias("h"))
+
     member = stash(named.join(groups.select("grp", "gid"), "grp").select("gid", F.struct("rep", F.col("n_shingles").alias("n"), *NARROWS).alias("m")), "member")
     apart = sum(F.bit_count(F.expr(f"x.{b} ^ y.{b}")) for b in NARROWS)
-    candidates = stash(
-        pairs.join(member.select(F.col("gid").alias("g"), F.col("m").alias("x")), "g")
-        .join(
-            member.select(F.col("gid").alias("k"), F.col("m").alias("y")),
-            (F.col("h") == F.col("k")) & (apart <= F.col("x.n") + F.col("y.n") - 2 * need) & ((F.col("g") != F.col("h")) | (F.col("x.rep") < F.col("y.rep"))),
-        )
-        .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")),
-        "candidates",
-    )
-    # Bitmaps of two to four bits a shingle leave little but links to be verified.
     wide = named.select("rep", F.struct("n_shingles", "wide").alias("w"))
-    candidates = stash(
-        candidates.join(wide.select(F.col("rep").alias("a"), F.col("w").alias("x")), "a")
-        .join(wide.select(F.col("rep").alias("b"), F.col("w").alias("y")), "b")
-        .select("a", "b", "x.n_shingles", F.col("y.n_shingles").alias("m"), "x.wide", F.col("y.wide").alias("z"))
-        .mapInArrow(lambda it: _close(it, part, whole), "a long, b long"),
-        "candidates",
-    )
-    if candidates.isEmpty():
-        return members, candidates
-    # Sets of the candidates alone: a bitmap of at most bitmap_bits keeps nearly all other texts out,
-    # and the joins drop its few false hits.
-    wanted = stash(candidates.select(F.col("a").alias("rep")).distinct().union(candidates.select("b").distinct()).distinct(), "wanted")
-    size = 1 << max(16, min(bitmap_bits.bit_length() - 1, (16 * wanted.count()).bit_length()))
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(size))
-    found = wanted.select(bit("rep").alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(bit & 63))")).alias("bits")).toPandas()
-    bitmap = np.zeros(size // 64, dtype=np.uint64)
-    bitmap[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.int64).view(np.uint64)
-    hits = spark.sparkContext.broadcast(bitmap)
-    named_rows = rows.filter("doc_id is not null").select("doc_id", "text", bit("doc_id").alias("bit"))
-    sets = stash(named_rows.mapInArrow(lambda it: _sets(it, n, hits), "rep long, shingles binary"), "sets")
-    links = (
-        candidates.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
-        .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
-        .select("a", "b", "sa", "sb")
-        .mapInArrow(lambda it: _verified(it, part, whole), "a long, b long")
-    )
-    return members, stash(links.distinct(), "links")  # rows that repeat an id give their links again
+    named_rows = rows.filter("doc_id is not null")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The links between classes of the given pairs of groups."""
+        candidates = stash(
+            pairs.join(member.select(F.col("gid").alias("g"), F.col("m").alias("x")), "g")
+            .join(
+                member.select(F.col("gid").alias("k"), F.col("m").alias("y")),
+                (F.col("h") == F.col("k")) & (apart <= F.col("x.n") + F.col("y.n") - 2 * need) & ((F.col("g") != F.col("h")) | (F.col("x.rep") < F.col("y.rep"))),
+            )
+            .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")),
+            "candidates",
+        )
+        # Bitmaps of two to four bits a shingle leave little but links to be verified.
+        candidates = stash(
+            candidates.join(wide.select(F.col("rep").alias("a"), F.col("w").alias("x")), "a")
+            .join(wide.select(F.col("rep").alias("b"), F.col("w").alias("y")), "b")
+            .select("a", "b", "x.n_shingles", F.col("y.n_shingles").alias("m"), "x.wide", F.col("y.wide").alias("z"))
+            .mapInArrow(lambda it: _close(it, part, whole), "a long, b long"),
+            "candidates",
+        )
+        if candidates.isEmpty():
+            return candidates
+        # Sets of the candidates alone: a bitmap of at most bitmap_bits keeps nearly all other texts out,
+        # and the joins drop its few false hits.
+        wanted = stash(candidates.select(F.col("a").alias("rep")).distinct().union(candidates.select("b").distinct()).distinct(), "wanted")
+        size = 1 << max(16, min(bitmap_bits.bit_length() - 1, (16 * wanted.count()).bit_length()))
+        bit = lambda c: F.pmod(F.xxhash64(c), F.lit(size))
+        found = wanted.select(bit("rep").alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(bit & 63))")).alias("bits")).toPandas()
+        bitmap = np.zeros(size // 64, dtype=np.uint64)
+        bitmap[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.int64).view(np.uint64)
+        hits = spark.sparkContext.broadcast(bitmap)
+        sets = stash(named_rows.select("doc_id", "text", bit("doc_id").alias("bit")).mapInArrow(lambda it: _sets(it, n, hits), "rep long, shingles binary"), "sets")
+        links = (
+            candidates.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
+            .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
+            .select("a", "b", "sa", "sb")
+            .mapInArrow(lambda it: _verified(it, part, whole), "a long, b long")
+        )
+        return stash(links.distinct(), "links")  # rows that repeat an id give their links again
+
+    links = None
+    if connected:
+        pivot = F.min_by(F.struct("gid", "n", "at", *bits), F.xxhash64("gid", "token"))
+        pivots = stash(postings.groupBy("token").agg(pivot.alias("p"), F.count("*").alias("c")).filter(F.col("c") > hot).select("token", "p.*"), "pivots")
+        met = stash(postings.alias("x").join(pivots.alias("y"), may_link & (F.col("x.gid") != F.col("y.gid"))).select(*as_pair).distinct(), "met")
+        links = verified(met)
+        label = member.select("gid", F.col("m.rep").alias("node")).join(connected_components(links), "node", "left").groupBy("gid")
+        label = label.agg(F.when((F.min("component") == F.max("component")) & (F.count("component") == F.count("*")), F.min("component")).alias("label")).filter("label is not null")
+        groups = stash(groups.join(label, "gid", "left"), "labelled")
+        postings = groups.select("gid", "n", "label", *bits, "prefix", F.posexplode("prefix").alias("at", "token"))
+        postings = postings.withColumn("prior", F.get("prefix", F.col("at") - 1)).drop("prefix")
+        # A pair that is kept apart here meets at no run: begins looks at tokens, not at labels, and is the same for all of a pair's runs.
+        once = once & F.coalesce(F.col("x.label") != F.col("y.label"), F.lit(True))
+    x, y = postings.alias("x"), postings.alias("y")
+    within = groups.filter("size > 1").select(F.col("gid").alias("g"), F.col("gid").alias("h"))
+    pairs = stash(x.join(y, may_link & begins & once).select(*as_pair).distinct().union(within), "pairs")
+    rest = verified(pairs)
+    return members, rest if links is None else stash(links.union(rest).distinct(), "links")
+
 
 
 def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
@@ -290,10 +313,17 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     )
 
 
+def component_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
+    """``(doc_id, component_id)`` as ``near_duplicate_components`` gives them, without counting all links of a large group."""
+    members, links = similar_documents(docs, id_col, text_col, n, part, whole, connected=True)
+    labels = connected_components(links).select(F.col("node").alias("rep"), "component")
+    return members.join(labels, "rep", "left").select("doc_id", F.coalesce("component", "rep", "doc_id").alias("component_id"))
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
     """``docs`` with one document of each component, that with the smallest id; columns unchanged.
 
     Empty texts and rows with null id stay.
     """
-    gone = near_duplicate_components(docs, id_col, text_col, n, part, whole).filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = component_members(docs, id_col, text_col, n, part, whole).filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

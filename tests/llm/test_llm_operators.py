@@ -16,7 +16,7 @@ from hockeylake.llm.exact_dedup import chunk_ends, drop_exact_duplicates, exact_
 from hockeylake.llm.language_id import drop_unidentified, identify_language, train_language_model
 from hockeylake.llm.license_scan import license_scan
 from hockeylake.llm.mixing import draw_mix, mixing_plan, split_quotas, targets
-from hockeylake.llm.ngram_join import drop_near_duplicates, near_duplicate_components
+from hockeylake.llm.ngram_join import component_members, drop_near_duplicates, near_duplicate_components
 from hockeylake.llm.pii import pseudonymise
 from hockeylake.llm.token_counts import count_by_resync, load_tokenizer, token_counts
 from hockeylake.llm.toxicity import score_toxicity, train_toxicity_model
@@ -95,6 +95,21 @@ def test_ngram_join_edges(docs, none):
     assert kept.filter("doc_id >= 2000 and doc_id < 5000").count() == 0  # copies in upper case
 
 
+def test_components_without_all_links_are_the_same(spark):
+    rng = random.Random(1)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(60)] = f"m{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    full = near_duplicate_components(docs).collect()
+    assert {(r.doc_id, r.component_id) for r in full} == {tuple(r) for r in component_members(docs).collect()}
+    assert len({r.component_id for r in full}) < 150
+
+
 def test_components_of_chain_and_star(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(None, 3), (7, 7)]
     found = dict(connected_components(spark.createDataFrame(chain, "a long, b long")).collect())
