@@ -101,21 +101,24 @@ def train_language_model(
     share = F.coalesce(*(F.when(F.col("lang") == k, F.lit(min(1.0, most / len(langs) / n))) for k, n in sizes.items()))
     chosen = rows.filter(F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1_000_003)) < share * 1_000_003).select("lang", "text")
     found = chosen.mapInArrow(_examples, "lang string, at binary, counts binary").toPandas().sort_values(["lang", "at", "counts"], ignore_index=True)
-    data = []
-    for lang, at, counts in zip(found["lang"], found["at"], found["counts"], strict=True):
-        at = np.frombuffer(at, dtype="<i4").astype(np.int64)
-        if len(at):
-            data.append((at, _vector(at, np.frombuffer(counts, dtype="<f4"), idf), langs.index(lang)))
+    # The features stay packed, as they came; a row is unpacked when its turn comes.
+    data = [(at, counts, langs.index(lang)) for lang, at, counts in zip(found["lang"], found["at"], found["counts"], strict=True) if at]
+    del found
     order = np.random.default_rng(seed).permutation(len(data))
     held, taught = [data[i] for i in order[: len(data) // 5]], [data[i] for i in order[len(data) // 5 :]]
+
+    def unpacked(row: tuple) -> tuple[np.ndarray, np.ndarray, int]:
+        at = np.frombuffer(row[0], dtype="<i4")
+        return at, _vector(at, np.frombuffer(row[1], dtype="<f4"), idf), row[2]
+
     model = Ftrl(FEATURES, len(langs), alpha=1.0, beta=1.0, l1=l1, l2=l2)
     for i in shuffled(len(taught), epochs, seed):
-        at, x, y = taught[i]
+        at, x, y = unpacked(taught[i])
         p = softmax(x @ model.weights(at) + model.bias)
         p[y] -= 1
         model.add(at, x[:, None] * p, p)
     weights = model.weights()
-    logits = np.array([x @ weights[at] + model.bias for at, x, _ in held]).reshape(len(held), len(langs))
+    logits = np.array([x @ weights[at] + model.bias for at, x, _ in map(unpacked, held)]).reshape(len(held), len(langs))
     return LanguageModel(langs, idf, weights.astype(np.float32), model.bias, temperature(logits, np.array([y for *_, y in held], dtype=int)))
 
 
