@@ -245,15 +245,17 @@ def similar_documents(
                 member.select(F.col("gid").alias("k"), F.col("m").alias("y")),
                 (F.col("h") == F.col("k")) & (apart <= F.col("x.n") + F.col("y.n") - 2 * need) & ((F.col("g") != F.col("h")) | (F.col("x.rep") < F.col("y.rep"))),
             )
-            .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")),
+            .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"), (F.greatest("x.n", "y.n") > 32 * NARROW).alias("big")),
             "candidates",
         )
-        # Bitmaps of two to four bits a shingle leave little but links to be verified.
+        # Bitmaps of two to four bits a shingle leave little but links to be verified. Small sets have had that by now.
         candidates = stash(
-            candidates.join(wide.select(F.col("rep").alias("a"), F.col("w").alias("x")), "a")
+            candidates.filter("big")
+            .join(wide.select(F.col("rep").alias("a"), F.col("w").alias("x")), "a")
             .join(wide.select(F.col("rep").alias("b"), F.col("w").alias("y")), "b")
             .select("a", "b", "x.n_shingles", F.col("y.n_shingles").alias("m"), "x.wide", F.col("y.wide").alias("z"))
-            .mapInArrow(lambda it: _close(it, part, whole), "a long, b long"),
+            .mapInArrow(lambda it: _close(it, part, whole), "a long, b long")
+            .union(candidates.filter("not big").select("a", "b")),
             "candidates",
         )
         if candidates.isEmpty():
