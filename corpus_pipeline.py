@@ -35,9 +35,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item, word for word or with other values, go."""
+    """Documents that hold a benchmark item, word for word in any letter case or with other values, go."""
     with fresh_scope(_SCOPE):
-        return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+        return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), any_case=True)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
 #: A capitalised word, or several in a row, not at the start of a sentence.
 _NAME = r"([\p{Ll}\p{N},;:] )(\p{Lu}[\p{L}\p{M}]*(?: \p{Lu}[\p{L}\p{M}]*)*)"
 _NUMBER = r"\p{N}+(?:[.,:/]\p{N}+)*"
+_WORD = rf"[\p{{L}}\p{{M}}]+|{_NUMBER}"
 _GAP = r"[^\p{L}\p{M}\x01-\x03]+"
 #: Words that are units after a number.
 UNITS = tuple(
@@ -34,14 +35,24 @@ def _template(tokens: Column) -> Column:
     return F.when(F.array_contains(tokens, NUMBER), turned).otherwise(tokens)
 
 
+def _folded(text: Column) -> Column:
+    """Lower case, in which sharp s is equal to SS, and final sigma to sigma."""
+    return F.replace(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
+
+
+def _plain(text: Column) -> Column:
+    """Case-folded words and numbers as they stand."""
+    return F.regexp_extract_all(_folded(text), F.lit(_WORD), F.lit(0))
+
+
 def _described(rows: DataFrame, key: str) -> DataFrame:
     """``(key, text, tokens, template)``."""
     rows = rows.withColumn("tokens", _tokens(F.coalesce("text", F.lit(""))))
     return rows.select(key, "text", "tokens", _template(F.col("tokens")).alias("template"))
 
 
-def _slots(at: Column, n: Column) -> Column:
-    """``kind + value`` of the placeholders in the window, in order. The values are those that the text has behind its placeholders of a kind, in order."""
+def _valued(at: Column, n: Column, use) -> Column:
+    """``use(value, i)`` for the places i of the window. A value is ``kind + value`` of a placeholder, else null; it is what the text has behind its placeholders of a kind, in order."""
     template, tokens, text = F.col("template"), F.col("tokens"), F.col("text")
     behind = F.struct(
         F.regexp_extract_all(text, F.lit(_NAME), F.lit(2)).alias("names"), F.regexp_extract_all(_without_names(text), F.lit(_NUMBER), F.lit(0)).alias("numbers")
@@ -53,33 +64,53 @@ def _slots(at: Column, n: Column) -> Column:
         .when(F.element_at(template, i) == UNIT, F.concat(F.lit(UNIT), F.element_at(tokens, i)))
     )
     window = F.sequence(at, at + n - 1)
-    found = F.flatten(F.transform(F.array(behind), lambda v: F.filter(F.transform(window, lambda i: value(v, i)), lambda x: x.isNotNull())))
+    return F.flatten(F.transform(F.array(behind), lambda v: F.transform(window, lambda i: use(value(v, i), i))))
+
+
+def _slots(at: Column, n: Column) -> Column:
+    """``kind + value`` of the placeholders in the window, in order."""
+    template = F.col("template")
+    found = F.filter(_valued(at, n, lambda value, i: value), lambda x: x.isNotNull())
     # Most windows have no placeholder, and then the text is not searched.
     return F.when(F.exists(F.slice(template, at, n), lambda t: t.isin(NAME, NUMBER, UNIT)), found).otherwise(F.array().cast("array<string>"))
 
 
+def _plain_window(at: Column, n: Column) -> Column:
+    """The window's case-folded words and numbers, without placeholders."""
+    one = lambda value, i: _plain(F.coalesce(F.substr(value, F.lit(2), F.length(value)), F.element_at("tokens", i)))
+    return F.flatten(_valued(at, n, one))
+
+
+def _anchored(tokens: Column, n: Column) -> Column:
+    """``(l, t, i)``: hash t of the longest three tokens in a row, i tokens after the start."""
+    length = lambda i: F.when(F.get(tokens, i).isin(NAME, NUMBER, UNIT), 0).otherwise(F.length(F.get(tokens, i)))
+    return F.array_max(F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.struct((length(i) + length(i + 1) + length(i + 2)).alias("l"), F.xxhash64(F.get(tokens, i), F.get(tokens, i + 1), F.get(tokens, i + 2)).alias("t"), i.alias("i"))))
+
+
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = 8) -> DataFrame:
-    """``(item_id, k, hash, n, anchor, ahead, item_slots, n_windows)``: the windows of every item that are words by half at least.
+    """``(item_id, k, hash, n, anchor, ahead, plain_hash, plain_n, plain_anchor, plain_ahead, item_slots, n_windows)``: the windows of every item that are words by half at least.
 
     An item with fewer tokens than a window is one window; one with fewer than three tokens has none.
     The anchor of a window is the hash of the longest three tokens in a row, ``ahead`` tokens after its start.
+    What is plain is of the window's case-folded words and numbers in place of its template.
     """
     items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")).filter("item_id is not null").dropDuplicates(["item_id"])
     rows = _described(items, "item_id").filter(F.size("template") >= 3)
     n = F.least(F.size("template"), F.lit(window))
     rows = rows.withColumn("n", n).select("*", F.explode(F.sequence(F.lit(1), F.size("template") - n + 1)).alias("k"))
     words = F.size(F.filter(F.slice("template", F.col("k"), F.col("n")), lambda t: ~t.isin(NAME, NUMBER, UNIT)))
-    token = lambda i: F.element_at("template", F.col("k") + i)
-    length = lambda i: F.when(token(i).isin(NAME, NUMBER, UNIT), 0).otherwise(F.length(token(i)))
-    longest = F.array_max(F.transform(F.sequence(F.lit(0), F.col("n") - 3), lambda i: F.struct((length(i) + length(i + 1) + length(i + 2)).alias("l"), F.xxhash64(token(i), token(i + 1), token(i + 2)).alias("t"), i.alias("i"))))
-    rows = rows.filter(2 * words >= F.col("n")).withColumn("a", longest)
-    rows = rows.select("item_id", "k", F.col("a.t").alias("anchor"), F.col("a.i").alias("ahead"), F.xxhash64(F.slice("template", F.col("k"), F.col("n"))).alias("hash"), "n", _slots(F.col("k"), F.col("n")).alias("item_slots"))
+    rows = rows.filter(2 * words >= F.col("n")).withColumn("w", F.slice("template", F.col("k"), F.col("n"))).withColumn("v", _plain_window(F.col("k"), F.col("n")))
+    rows = rows.withColumn("a", _anchored(F.col("w"), F.col("n"))).withColumn("b", _anchored(F.col("v"), F.size("v")))
+    rows = rows.select(
+        "item_id", "k", F.col("a.t").alias("anchor"), F.col("a.i").alias("ahead"), F.xxhash64("w").alias("hash"), "n",
+        F.col("b.t").alias("plain_anchor"), F.col("b.i").alias("plain_ahead"), F.xxhash64("v").alias("plain_hash"), F.size("v").alias("plain_n"), _slots(F.col("k"), F.col("n")).alias("item_slots"),
+    )
     counts = rows.groupBy("item_id").agg(F.count("*").alias("n_windows"))
     return rows.join(counts, "item_id")
 
 
 def contaminated_documents(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 8, share: int = 50, broadcast_rows: int = 500_000
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 8, share: int = 50, broadcast_rows: int = 500_000, any_case: bool = False
 ) -> DataFrame:
     """``(doc_id, item_id, covered, n_windows)`` of the documents that hold a benchmark item, one row for each such pair.
 
@@ -90,6 +121,10 @@ def contaminated_documents(
     their slots are consistent there: wherever the item has one value, the document has one value. A
     pair is reported if its consistent hits cover ``share`` percent of the item's windows at least.
 
+    With ``any_case`` a window also counts where its own words, names and numbers stand in any letter
+    case; without it a copy in another case, in which other words look like names, may be missed.
+    ``covered`` counts templates alone for a pair that is reported by them, else both.
+
     The benchmark's windows are broadcast if they are at most ``broadcast_rows``, which is counted, else
     shuffled. Only hits are shuffled otherwise.
 
@@ -114,6 +149,20 @@ def contaminated_documents(
             .select("doc_id", "item_id", "k", "n_windows", (at - F.col("k")).alias("shift"), slots.alias("slots"))
         )
 
+    def verbatim(side: DataFrame, among: Column) -> DataFrame:
+        side = side.select("item_id", "k", "n_windows", "plain_anchor", "plain_ahead", "plain_hash", "plain_n")
+        at, t = F.col("p") + 1 - F.col("plain_ahead"), F.col("plain")
+        return (
+            rows.filter(among)
+            .select("doc_id", _plain(F.col("text")).alias("plain"))
+            .select("*", F.explode(F.transform(t, lambda x, i: F.struct(i.alias("p"), F.xxhash64(x, F.get(t, i + 1), F.get(t, i + 2)).alias("anchor")))).alias("w"))
+            .select("doc_id", "plain", F.col("w.p").alias("p"), F.col("w.anchor").alias("plain_anchor"))
+            .join(F.broadcast(side) if small else side, "plain_anchor")
+            .filter((at >= 1) & (at + F.col("plain_n") - 1 <= F.size(t)))
+            .filter(F.xxhash64(F.slice(t, at, F.col("plain_n"))) == F.col("plain_hash"))
+            .select("doc_id", "item_id", "n_windows", "k", F.lit("words").alias("by"))
+        )
+
     pairs = F.zip_with("item_slots", _slots(at, F.col("n")), lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
     # Windows without placeholders keep a plan that is small enough to be compiled; those with some, if the benchmark has any, take a pass of their own.
     hits = found(items.filter(F.size("item_slots") == 0).drop("item_slots"), F.array().cast("array<struct<item:string,doc:string>>"))
@@ -123,8 +172,16 @@ def contaminated_documents(
     # On one alignment there are at most the item's windows, so that what is collected is bounded by the item.
     aligned = hits.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("k").alias("ks"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"), F.first("n_windows").alias("n_windows"))
     consistent = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["item"])))
-    covered = aligned.filter(consistent).select("doc_id", "item_id", "n_windows", F.explode("ks").alias("k")).groupBy("doc_id", "item_id").agg(F.countDistinct("k").alias("covered"), F.first("n_windows").alias("n_windows"))
-    return covered.filter(F.col("covered") * 100 >= share * F.col("n_windows"))
+    counted = aligned.filter(consistent).select("doc_id", "item_id", "n_windows", F.explode("ks").alias("k")).withColumn("by", F.lit("template"))
+    if any_case:
+        # A text without a name, and without these letters, has the words of its template: there only windows with placeholders can be new.
+        counted = counted.unionByName(verbatim(items.filter(F.size("item_slots") == 0), F.col("text").rlike(f"{_NAME}|ß|ẞ|SS|Σ")))
+        if not slotted.isEmpty():
+            counted = counted.unionByName(verbatim(slotted, F.lit(True)))
+    ks = lambda among: F.countDistinct(F.when(among, F.col("k")))
+    covered = counted.groupBy("doc_id", "item_id").agg(ks(F.col("by") == "template").alias("templates"), ks(F.lit(True)).alias("either"), F.first("n_windows").alias("n_windows"))
+    enough = lambda n: F.col(n) * 100 >= share * F.col("n_windows")
+    return covered.filter(enough("either")).select("doc_id", "item_id", F.when(enough("templates"), F.col("templates")).otherwise(F.col("either")).alias("covered"), "n_windows")
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:

@@ -65,7 +65,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination_report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return contamination_report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), any_case=True)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

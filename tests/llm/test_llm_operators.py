@@ -349,6 +349,18 @@ def test_decontamination_templates_and_slots(spark, none):
     assert contamination_report(docs, bench.limit(0)).filter("contaminated").count() == 0
 
 
+def test_decontamination_in_any_case(spark):
+    from hockeylake.llm.decontaminate import contaminated_documents
+
+    german = "die lange Straße führt, an Weiß und Schwarz vorbei, bis an das große Haus am Fluss"
+    bench = spark.createDataFrame([(1, ITEM), (2, german)], "item_id long, text string")
+    rows = [(1, ITEM.upper()), (2, "say, " + ITEM.title() + " Done."), (3, german.upper()), (4, ITEM.lower()), (5, "WHEN BOB WALKS " + ITEM[30:].upper().replace("ALICE", "BOB").replace("PER HOUR", "A DAY")), (6, None), (7, ITEM)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in contaminated_documents(docs, bench, any_case=True).collect()}
+    assert got == {(1, 1), (2, 1), (3, 2), (4, 1), (7, 1)}
+    assert sorted(r.doc_id for r in drop_contaminated(docs, bench, any_case=True).collect()) == [5, 6]
+
+
 def test_decontamination_against_brute_force(spark):
     rng = random.Random(8)
     word = lambda: rng.choice(WORDS) + "abcdefgh"[rng.randrange(8)]
