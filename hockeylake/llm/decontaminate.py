@@ -117,9 +117,10 @@ def contaminated_documents(
     Names, numbers and units become typed placeholders, so that a question asked again with other
     values has the same template. All windows of ``window`` template tokens of all texts are
     hash-joined with those of the benchmark, by the longest three tokens of a window and then by the
-    window's hash, so that windows are built only where such three tokens stand. Hits on one alignment of document and item count only if
-    their slots are consistent there: wherever the item has one value, the document has one value. A
-    pair is reported if its consistent hits cover ``share`` percent of the item's windows at least.
+    window's hash, so that windows are built only where such three tokens stand. Where the item has one
+    value and the document has several on one alignment of the two, windows that hold this value count
+    only if all their values are the item's own; other windows count whatever the slots are elsewhere. A
+    pair is reported if the hits that count cover ``share`` percent of the item's windows at least.
 
     With ``any_case`` a window also counts where its own words, names and numbers stand in any letter
     case; without it a copy in another case, in which other words look like names, may be missed.
@@ -170,9 +171,14 @@ def contaminated_documents(
     if not slotted.isEmpty():
         hits = hits.unionByName(found(slotted, pairs))
     # On one alignment there are at most the item's windows, so that what is collected is bounded by the item.
-    aligned = hits.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("k").alias("ks"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"), F.first("n_windows").alias("n_windows"))
-    consistent = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["item"])))
-    counted = aligned.filter(consistent).select("doc_id", "item_id", "n_windows", F.explode("ks").alias("k")).withColumn("by", F.lit("template"))
+    aligned = hits.groupBy("doc_id", "item_id", "shift").agg(F.collect_set(F.struct("k", "slots")).alias("found"), F.first("n_windows").alias("n_windows"))
+    # Item values that meet several document values spoil the windows that hold them, but not those whose values are all the item's own.
+    met = F.array_distinct(F.flatten(F.col("found.slots")))
+    values = F.transform("met", lambda s: s["item"])
+    torn = F.filter(F.array_distinct(values), lambda v: F.size(F.filter("met", lambda s: s["item"] == v)) > 1)
+    aligned = aligned.withColumn("met", met).withColumn("torn", F.when(F.size("met") > F.size(F.array_distinct(values)), torn).otherwise(F.array().cast("array<string>")))
+    good = F.filter("found", lambda f: ~F.exists(f["slots"], lambda s: F.array_contains("torn", s["item"])) | F.forall(f["slots"], lambda s: s["item"] == s["doc"]))
+    counted = aligned.select("doc_id", "item_id", "n_windows", F.explode(F.array_distinct(F.transform(good, lambda f: f["k"]))).alias("k")).withColumn("by", F.lit("template"))
     if any_case:
         # A text without a name, and without these letters, has the words of its template: there only windows with placeholders can be new.
         counted = counted.unionByName(verbatim(items.filter(F.size("item_slots") == 0), F.col("text").rlike(f"{_NAME}|ß|ẞ|SS|Σ")))

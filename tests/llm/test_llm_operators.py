@@ -361,6 +361,18 @@ def test_decontamination_in_any_case(spark):
     assert sorted(r.doc_id for r in drop_contaminated(docs, bench, any_case=True).collect()) == [5, 6]
 
 
+def test_decontamination_spoilt_slots_spoil_their_windows_only(spark):
+    from hockeylake.llm.decontaminate import contaminated_documents
+
+    long = "the farmer has 2 apples and puts all of them into the old basket " + " ".join(WORDS) + " before he sells 2 pears to the man at the gate"
+    bench = spark.createDataFrame([(1, long), (2, ITEM)], "item_id long, text string")
+    rows = [(1, long), (2, long.replace("2 pears", "7 pears")), (3, long.replace("2 apples", "3 apples").replace("2 pears", "5 pears")), (4, ITEM.replace("Alice", "Bob", 1).replace("Alice rests", "Susan rests"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.n_windows - r.covered for r in contaminated_documents(docs, bench).collect()}
+    assert set(got) == {(1, 1), (2, 1), (3, 1)}
+    assert got[1, 1] == 0 and got[2, 1] == 8 and got[3, 1] == 12
+
+
 def test_decontamination_against_brute_force(spark):
     rng = random.Random(8)
     word = lambda: rng.choice(WORDS) + "abcdefgh"[rng.randrange(8)]
