@@ -88,7 +88,7 @@ def _anchored(tokens: Column, n: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = 8) -> DataFrame:
-    """``(item_id, k, hash, n, anchor, ahead, plain_hash, plain_n, plain_anchor, plain_ahead, item_slots, n_windows)``: the windows of every item that are words by half at least.
+    """``(item_id, k, hash, n, anchor, ahead, plain_hash, plain_n, plain_anchor, plain_ahead, item_slots, worded, n_windows, n_worded)``: the windows of every item; worded are those that are words by half at least.
 
     An item with fewer tokens than a window is one window; one with fewer than three tokens has none.
     The anchor of a window is the hash of the longest three tokens in a row, ``ahead`` tokens after its start.
@@ -99,13 +99,13 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
     n = F.least(F.size("template"), F.lit(window))
     rows = rows.withColumn("n", n).select("*", F.explode(F.sequence(F.lit(1), F.size("template") - n + 1)).alias("k"))
     words = F.size(F.filter(F.slice("template", F.col("k"), F.col("n")), lambda t: ~t.isin(NAME, NUMBER, UNIT)))
-    rows = rows.filter(2 * words >= F.col("n")).withColumn("w", F.slice("template", F.col("k"), F.col("n"))).withColumn("v", _plain_window(F.col("k"), F.col("n")))
+    rows = rows.withColumn("worded", 2 * words >= F.col("n")).withColumn("w", F.slice("template", F.col("k"), F.col("n"))).withColumn("v", _plain_window(F.col("k"), F.col("n")))
     rows = rows.withColumn("a", _anchored(F.col("w"), F.col("n"))).withColumn("b", _anchored(F.col("v"), F.size("v")))
     rows = rows.select(
         "item_id", "k", F.col("a.t").alias("anchor"), F.col("a.i").alias("ahead"), F.xxhash64("w").alias("hash"), "n",
-        F.col("b.t").alias("plain_anchor"), F.col("b.i").alias("plain_ahead"), F.xxhash64("v").alias("plain_hash"), F.size("v").alias("plain_n"), _slots(F.col("k"), F.col("n")).alias("item_slots"),
+        F.col("b.t").alias("plain_anchor"), F.col("b.i").alias("plain_ahead"), F.xxhash64("v").alias("plain_hash"), F.size("v").alias("plain_n"), _slots(F.col("k"), F.col("n")).alias("item_slots"), "worded",
     )
-    counts = rows.groupBy("item_id").agg(F.count("*").alias("n_windows"))
+    counts = rows.groupBy("item_id").agg(F.count("*").alias("n_windows"), F.count_if("worded").alias("n_worded"))
     return rows.join(counts, "item_id")
 
 
@@ -120,7 +120,9 @@ def contaminated_documents(
     window's hash, so that windows are built only where such three tokens stand. Where the item has one
     value and the document has several on one alignment of the two, windows that hold this value count
     only if all their values are the item's own; other windows count whatever the slots are elsewhere. A
-    pair is reported if the hits that count cover ``share`` percent of the item's windows at least.
+    pair is reported if the hits that count cover ``share`` percent of the item's windows at least, or
+    of those that are words by half. Other windows, which are mostly names, numbers and units, are
+    found by their own values in place of templates.
 
     With ``any_case`` a window also counts where its own words, names and numbers stand in any letter
     case; without it a copy in another case, in which other words look like names, may be missed.
@@ -147,11 +149,11 @@ def contaminated_documents(
             .join(F.broadcast(side) if small else side, "anchor")
             .filter((at >= 1) & (at + F.col("n") - 1 <= F.size("template")))
             .filter(F.xxhash64(F.slice("template", at, F.col("n"))) == F.col("hash"))
-            .select("doc_id", "item_id", "k", "n_windows", (at - F.col("k")).alias("shift"), slots.alias("slots"))
+            .select("doc_id", "item_id", "k", "n_windows", "n_worded", (at - F.col("k")).alias("shift"), slots.alias("slots"))
         )
 
     def verbatim(side: DataFrame, among: Column) -> DataFrame:
-        side = side.select("item_id", "k", "n_windows", "plain_anchor", "plain_ahead", "plain_hash", "plain_n")
+        side = side.select("item_id", "k", "n_windows", "n_worded", "worded", "plain_anchor", "plain_ahead", "plain_hash", "plain_n")
         at, t = F.col("p") + 1 - F.col("plain_ahead"), F.col("plain")
         return (
             rows.filter(among)
@@ -161,33 +163,38 @@ def contaminated_documents(
             .join(F.broadcast(side) if small else side, "plain_anchor")
             .filter((at >= 1) & (at + F.col("plain_n") - 1 <= F.size(t)))
             .filter(F.xxhash64(F.slice(t, at, F.col("plain_n"))) == F.col("plain_hash"))
-            .select("doc_id", "item_id", "n_windows", "k", F.lit("words").alias("by"))
+            .select("doc_id", "item_id", "n_windows", "n_worded", "k", "worded", F.when(F.col("worded"), "words").otherwise("values").alias("by"))
         )
 
     pairs = F.zip_with("item_slots", _slots(at, F.col("n")), lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
     # Windows without placeholders keep a plan that is small enough to be compiled; those with some, if the benchmark has any, take a pass of their own.
-    hits = found(items.filter(F.size("item_slots") == 0).drop("item_slots"), F.array().cast("array<struct<item:string,doc:string>>"))
+    hits = found(items.filter("worded").filter(F.size("item_slots") == 0).drop("item_slots"), F.array().cast("array<struct<item:string,doc:string>>"))
     slotted = items.filter(F.size("item_slots") > 0)
-    if not slotted.isEmpty():
-        hits = hits.unionByName(found(slotted, pairs))
+    if not slotted.filter("worded").isEmpty():
+        hits = hits.unionByName(found(slotted.filter("worded"), pairs))
     # On one alignment there are at most the item's windows, so that what is collected is bounded by the item.
-    aligned = hits.groupBy("doc_id", "item_id", "shift").agg(F.collect_set(F.struct("k", "slots")).alias("found"), F.first("n_windows").alias("n_windows"))
+    aligned = hits.groupBy("doc_id", "item_id", "shift").agg(F.collect_set(F.struct("k", "slots")).alias("found"), F.first("n_windows").alias("n_windows"), F.first("n_worded").alias("n_worded"))
     # Item values that meet several document values spoil the windows that hold them, but not those whose values are all the item's own.
     met = F.array_distinct(F.flatten(F.col("found.slots")))
     values = F.transform("met", lambda s: s["item"])
     torn = F.filter(F.array_distinct(values), lambda v: F.size(F.filter("met", lambda s: s["item"] == v)) > 1)
     aligned = aligned.withColumn("met", met).withColumn("torn", F.when(F.size("met") > F.size(F.array_distinct(values)), torn).otherwise(F.array().cast("array<string>")))
     good = F.filter("found", lambda f: ~F.exists(f["slots"], lambda s: F.array_contains("torn", s["item"])) | F.forall(f["slots"], lambda s: s["item"] == s["doc"]))
-    counted = aligned.select("doc_id", "item_id", "n_windows", F.explode(F.array_distinct(F.transform(good, lambda f: f["k"]))).alias("k")).withColumn("by", F.lit("template"))
+    counted = aligned.select("doc_id", "item_id", "n_windows", "n_worded", F.explode(F.array_distinct(F.transform(good, lambda f: f["k"]))).alias("k")).withColumn("worded", F.lit(True)).withColumn("by", F.lit("template"))
     if any_case:
         # A text without a name, and without these letters, has the words of its template: there only windows with placeholders can be new.
         counted = counted.unionByName(verbatim(items.filter(F.size("item_slots") == 0), F.col("text").rlike(f"{_NAME}|ß|ẞ|SS|Σ")))
-        if not slotted.isEmpty():
-            counted = counted.unionByName(verbatim(slotted, F.lit(True)))
-    ks = lambda among: F.countDistinct(F.when(among, F.col("k")))
-    covered = counted.groupBy("doc_id", "item_id").agg(ks(F.col("by") == "template").alias("templates"), ks(F.lit(True)).alias("either"), F.first("n_windows").alias("n_windows"))
-    enough = lambda n: F.col(n) * 100 >= share * F.col("n_windows")
-    return covered.filter(enough("either")).select("doc_id", "item_id", F.when(enough("templates"), F.col("templates")).otherwise(F.col("either")).alias("covered"), "n_windows")
+    literal = slotted if any_case else slotted.filter(~F.col("worded"))
+    if not literal.isEmpty():
+        counted = counted.unionByName(verbatim(literal, F.lit(True)))
+    n = lambda among, name: F.countDistinct(F.when(among, F.col("k"))).alias(name)
+    covered = counted.groupBy("doc_id", "item_id").agg(
+        n(F.col("by") != "words", "own"), n((F.col("by") != "words") & F.col("worded"), "own_worded"), n(F.lit(True), "either"), n(F.col("worded"), "either_worded"),
+        F.first("n_windows").alias("n_windows"), F.first("n_worded").alias("n_worded"),
+    )
+    # A question asked again with other values can't meet the windows that are mostly values: the others' share is enough.
+    enough = lambda c: (F.col(c) * 100 >= share * F.col("n_windows")) | ((F.col("n_worded") > 0) & (F.col(f"{c}_worded") * 100 >= share * F.col("n_worded")))
+    return covered.filter(enough("either")).select("doc_id", "item_id", F.when(enough("own"), F.col("own")).otherwise(F.col("either")).alias("covered"), "n_windows")
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:

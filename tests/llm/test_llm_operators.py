@@ -373,6 +373,18 @@ def test_decontamination_spoilt_slots_spoil_their_windows_only(spark):
     assert got[1, 1] == 0 and got[2, 1] == 8 and got[3, 1] == 12
 
 
+def test_decontamination_of_items_that_are_mostly_values(spark):
+    from hockeylake.llm.decontaminate import contaminated_documents
+
+    items = ["Compute 3 + 4 + 5 + 6", "What is 12 + 34 * 56?", "1 2 3 5 8 13 21 34 55 89 144 233", "Take 4 kg, 7 m, 9 km, 3 h and 12 lb. How many units are there in the list you were given here?", "1 2"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [(i, f"so: {x} That is all 7 8 9") for i, x in enumerate(items)] + [(10, "Compute 3 + 4 + 5 + 7"), (11, "what is 12 + 34 * 57?"), (12, "1 2 3 5 8 14 21 34 55 89 145 233"), (13, items[3].replace("4", "5").replace("7", "8")), (14, "COMPUTE 3+4+5+6")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for any_case in (False, True):
+        got = {(r.doc_id, r.item_id) for r in contaminated_documents(docs, bench, any_case=any_case).collect()}
+        assert got == {(0, 0), (1, 1), (2, 2), (3, 3), (13, 3), (14, 0)}
+
+
 def test_decontamination_against_brute_force(spark):
     rng = random.Random(8)
     word = lambda: rng.choice(WORDS) + "abcdefgh"[rng.randrange(8)]
