@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import contextvars
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -17,71 +19,108 @@ from pyspark.sql import functions as F
 ASCII_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-_written: dict[str, list[tuple[SparkSession, str]]] = {}
-_scope = [""]
+#: The blocks of ``intermediates`` that are open, innermost last; the first holds what lives as long as the process.
+_process: list[tuple[SparkSession, str]] = []
+_blocks: contextvars.ContextVar[tuple[list[tuple[SparkSession, str]], ...]] = contextvars.ContextVar("blocks", default=(_process,))
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (tests on one machine) a temporary folder is made and set.
+    Where that is unset, a temporary folder is made and set on a local master (tests); on a cluster,
+    whose executors would not see it, this raises.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         checkpoint = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = checkpoint.get() if checkpoint.isDefined() else None
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="shared-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nobody has used; deleted when the process or its scope ends."""
+def new_path(spark: SparkSession, name: str, up: int = 0) -> str:
+    """A path in the shared folder that nobody has used. It belongs to the innermost open block, or with ``up`` to one further out."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _written.setdefault(_scope[0], []).append((spark, path))
+    blocks = _blocks.get()
+    blocks[max(0, len(blocks) - 1 - up)].append((spark, path))
     return path
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
+def stash(df: DataFrame, name: str, up: int = 0) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it again.
 
     This cuts the lineage: a later stage that loses an executor rereads files instead of
     repeating the work, and both sides of a later join are plain scans, so that adaptive
-    execution may split hot keys.
+    execution may split hot keys. The files go with the block that they belong to.
     """
-    path = new_path(df.sparkSession, name)
+    path = new_path(df.sparkSession, name, up)
     df.write.parquet(path)
-    df.sparkSession.sparkContext._jvm.System.gc()  # Spark deletes shuffle files whose plans the driver has let go
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """``stash`` a result of the innermost block so that it outlives that block: it belongs to the next one out."""
+    return stash(df, name, 1)
+
+
 @contextlib.contextmanager
-def fresh_scope(name: str) -> Iterator[None]:
-    """Delete what was stashed under this scope before; what the block stashes belongs to it."""
-    release(name)
-    outer, _scope[0] = _scope[0], name
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """A block that owns what is stashed in it: at its end the files are deleted, and what only they needed is let go.
+
+    What ``keep`` has written belongs to the block around, at last to the process.
+    """
+    own: list[tuple[SparkSession, str]] = []
+    token = _blocks.set((*_blocks.get(), own))
     try:
         yield
     finally:
-        _scope[0] = outer
+        _blocks.reset(token)
+        _delete(own)
+        with contextlib.suppress(Exception):  # the session may be gone
+            spark.sparkContext._jvm.System.gc()  # Spark deletes shuffle files once the driver has let go of their plans
 
 
-def release(name: str) -> None:
-    """Delete what was stashed under a scope."""
-    for spark, path in _written.pop(name, []):
+def _delete(paths: list[tuple[SparkSession, str]]) -> None:
+    while paths:
+        spark, path = paths.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
         except Exception:  # noqa: BLE001  the session is gone, and its cluster cleans the folder
             return
 
 
 @atexit.register
-def _release_all() -> None:
-    for name in list(_written):
-        release(name)
+def _delete_all() -> None:
+    _delete(_process)
+
+
+#: Bits of a bitmap that is broadcast, at most: 8 MiB, whatever the corpus holds.
+BITMAP_BITS = 1 << 26
+
+
+def bitmap(values: DataFrame, column: str, count: int, per_value: int = 32) -> np.ndarray:
+    """A bitmap of the long column's low bits, ``per_value`` places a value but ``BITMAP_BITS`` at most.
+
+    Whatever is in ``values`` has its bit set; other values rarely do, or at very large counts often:
+    it spares rows a shuffle and decides nothing.
+    """
+    size = 1 << max(16, min(BITMAP_BITS.bit_length() - 1, (per_value * count).bit_length()))
+    bit = values.select(F.col(column).bitwiseAND(F.lit(size - 1)).alias("bit"))
+    found = bit.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(bit & 63))")).alias("bits")).toPandas()
+    out = np.zeros(size // 64, dtype=np.uint64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.int64).view(np.uint64)
+    return out
+
+
+def in_bitmap(words: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """For int64 ``values``, whether their bit is set."""
+    bit = values.view(np.uint64) & np.uint64(64 * len(words) - 1)
+    return ((words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
 def sum_arrays(parts: DataFrame, size: int) -> np.ndarray:

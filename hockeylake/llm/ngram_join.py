@@ -10,14 +10,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hockeylake.llm.common import ASCII_LOWER, CHUNKS, array_parts, stash, sum_arrays, texts
+from hockeylake.llm.common import ASCII_LOWER, CHUNKS, array_parts, bitmap, in_bitmap, intermediates, keep, stash, sum_arrays, texts
 from hockeylake.llm.components import connected_components
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 #: Buckets of the frequency sketch; its 1 byte a bucket is what every executor gets, whatever the corpus holds.
 SKETCH = 1 << 20
 _MEMO = 150_000
-#: Longs of the narrow parity bitmap of every set; groups have half as many.
+#: Longs of the narrow parity bitmap of every set.
 NARROW = 8
 NARROWS = [f"b{i}" for i in range(NARROW)]
 
@@ -135,12 +135,24 @@ def _described(batches: Iterator[pa.RecordBatch], n: int, levels, part: int, who
         )
 
 
+def _postings(batches: Iterator[pa.RecordBatch], words) -> Iterator[pa.RecordBatch]:
+    """Of (gid, n, prefix) a row for each prefix token that another group may have, with its place and the token before it."""
+    for batch in batches:
+        lengths = np.diff(batch.column(2).offsets.to_numpy())
+        tokens = batch.column(2).flatten().to_numpy()
+        first = np.repeat(np.cumsum(lengths) - lengths, lengths)
+        at = np.arange(len(tokens)) - first
+        hit = np.flatnonzero(in_bitmap(words.value, tokens))
+        row = np.repeat(np.arange(batch.num_rows), lengths)[hit]
+        prior = pa.array(tokens[hit - 1] if len(hit) else tokens[:0], pa.int64(), mask=at[hit] == 0)
+        taken = batch.select([0, 1]).take(pa.array(row))
+        yield pa.RecordBatch.from_arrays([pa.array(tokens[hit]), taken.column(0), taken.column(1), pa.array(at[hit].astype(np.int32)), prior], names=["token", "gid", "n", "at", "prior"])
+
+
 def _sets(batches: Iterator[pa.RecordBatch], n: int, wanted) -> Iterator[pa.RecordBatch]:
-    memo, words = _WordHash(), wanted.value
+    memo = _WordHash()
     for batch in batches:
-        bit = batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint64)
-        hit = (words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)
-        part = batch.take(pa.array(np.flatnonzero(hit)))
+        part = batch.take(pa.array(np.flatnonzero(in_bitmap(wanted.value, batch.column(2).to_numpy()))))
         yield pa.RecordBatch.from_arrays(
             [part.column(0), pa.array([np.unique(shingle_hashes(t, memo, n)).tobytes() for t in texts(part, 1)], pa.binary())], names=["rep", "shingles"]
         )
@@ -158,7 +170,7 @@ def _verified(batches: Iterator[pa.RecordBatch], part: int, whole: int) -> Itera
 
 
 def similar_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, part: int = 80, whole: int = 100, bitmap_bits: int = 1 << 26, connected: bool = False, hot: int = 32
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, part: int = 80, whole: int = 100, connected: bool = False, hot: int = 32
 ) -> tuple[DataFrame, DataFrame]:
     """Exact Jaccard join of the word n-gram sets of all texts; a pair links if intersection / union >= part / whole.
 
@@ -168,14 +180,18 @@ def similar_documents(
 
     Method (grouped prefix join): shingles are ordered rare first; two sets that link share a shingle
     among the first ``size - need + 1`` of each. Documents with identical prefixes and size are
-    collapsed into one group; groups meet on prefix shingles and a pair of groups is dropped by
-    size, by the positions of the shared shingle, or by parity bitmaps whose difference proves too
-    large a set difference. What is left is expanded to classes and verified against the whole sets.
-
-    With ``connected`` the links are as many as the components need: in prefix lists of over ``hot``
-    groups each member meets one chosen at random first, and then no pair is made whose members are
-    known to be connected. Every pair of sets that might join two components is still verified, so
-    that components are the same, and a large group of near copies costs about its size.
+    collapsed into one group; groups meet on prefix shingles and a pair of groups is dropped by size or
+    by the positions of the shared shingle. What is left is expanded to classes, of which parity
+    bitmaps drop those pairs whose difference proves too large a set difference, and verified
+    against the whole sets. Most prefix shingles are in one group alone: shingles are counted by
+    themselves first, and only those of two groups or more take group and place through a shuffle.
+
+    With ``connected`` the links are as many as the components need. The classes of a group, and in
+    lists of over ``hot`` groups the groups, first meet one of theirs; then no pair is made whose
+    members are known to be connected, and a hot list is not paired with itself but those of its groups
+    that are not of its largest component with all. Every pair of sets that might join two
+    components is still verified, so that components are the same, and a large group of near
+    copies costs about its size.
 
     Common passages go to the end of the order by a sketch of fixed size over all texts. Pairs are
     made between classes, never between copies. Sets are 64-bit hashes.
@@ -186,140 +202,120 @@ def similar_documents(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    levels = spark.sparkContext.broadcast(shingle_levels(rows, n))
-    told = stash(
-        rows.mapInArrow(
-            lambda it: _described(it, n, levels, part, whole), "doc_id long, n_shingles long, print binary, grp binary, prefix array<long>, " + ", ".join(f"{b} long" for b in NARROWS) + ", wide binary"
-        ),
-        "described",
-    )
-    classes = stash(
-        told.filter("n_shingles > 0")
-        .groupBy("print")
-        .agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("n_shingles", "grp", *NARROWS, "prefix", "wide"))),
-        "classes",
-    )
-    members = told.join(classes.select("print", "rep"), "print", "left").select("doc_id", "n_shingles", "rep")
-    named = classes.filter("rep is not null")
-    half = lambda i: F.col(f"b{i}").bitwiseXOR(F.col(f"b{i + NARROW // 2}"))
-    groups = stash(
-        named.groupBy("grp").agg(
-            F.min("rep").alias("gid"),
-            F.first("n_shingles").alias("n"),
-            F.first("prefix").alias("prefix"),
-            F.count("*").alias("size"),
-            # Parity bits, those that any member has and those that differ within the group.
-            *(F.bit_or(half(i)).alias(f"s{i}") for i in range(NARROW // 2)),
-            *(F.bit_or(half(i)).bitwiseXOR(F.bit_and(half(i))).alias(f"v{i}") for i in range(NARROW // 2)),
-        ),
-        "groups",
-    )
-    bits = [f"{c}{i}" for c in "sv" for i in range(NARROW // 2)]
-    postings = groups.select("gid", "n", *bits, "prefix", F.posexplode("prefix").alias("at", "token"))
-    postings = postings.withColumn("prior", F.get("prefix", F.col("at") - 1)).drop("prefix")
-    # Least intersection of two sets that link.
-    need = F.expr(f"((x.n + y.n) * {part} + {part + whole - 1}) div {part + whole}")
-    differ = sum(F.bit_count(F.expr(f"(x.s{i} ^ y.s{i}) & ~(x.v{i} | y.v{i})")) for i in range(NARROW // 2))
-    may_link = (
-        (F.col("x.token") == F.col("y.token"))
-        & F.expr(f"{whole} * least(x.n, y.n) >= {part} * greatest(x.n, y.n)")
-        & (F.col("x.at") <= F.col("x.n") - need)
-        & (F.col("y.at") <= F.col("y.n") - need)
-        & (differ <= F.col("x.n") + F.col("y.n") - 2 * need)
-    )
-    # Where the shingles before are the same too, the pair meets at those: one row a run, not one a shingle.
-    begins = F.coalesce(F.col("x.prior") != F.col("y.prior"), F.lit(True))
-    once = F.expr("x.n < y.n or (x.n = y.n and x.gid < y.gid)")
-    as_pair = (F.least("x.gid", "y.gid").alias("g"), F.greatest("x.gid", "y.gid").alias("h"))
-
-    member = stash(named.join(groups.select("grp", "gid"), "grp").select("gid", F.struct("rep", F.col("n_shingles").alias("n"), *NARROWS).alias("m")), "member")
-    apart = sum(F.bit_count(F.expr(f"x.{b} ^ y.{b}")) for b in NARROWS)
-    wide = named.select("rep", F.struct("n_shingles", "wide").alias("w"))
-    named_rows = rows.filter("doc_id is not null")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The links between classes of the given pairs of groups."""
-        candidates = stash(
-            pairs.join(member.select(F.col("gid").alias("g"), F.col("m").alias("x")), "g")
-            .join(
-                member.select(F.col("gid").alias("k"), F.col("m").alias("y")),
-                (F.col("h") == F.col("k")) & (apart <= F.col("x.n") + F.col("y.n") - 2 * need) & ((F.col("g") != F.col("h")) | (F.col("x.rep") < F.col("y.rep"))),
+    with intermediates(spark):
+        with intermediates(spark):
+            levels = spark.sparkContext.broadcast(shingle_levels(rows, n))
+            told = stash(
+                rows.mapInArrow(
+                    lambda it: _described(it, n, levels, part, whole), "doc_id long, n_shingles long, print binary, grp binary, prefix array<long>, " + ", ".join(f"{b} long" for b in NARROWS) + ", wide binary"
+                ),
+                "described",
             )
-            .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"), (F.greatest("x.n", "y.n") > 32 * NARROW).alias("big")),
-            "candidates",
-        )
-        # Bitmaps of two to four bits a shingle leave little but links to be verified. Small sets have had that by now.
-        candidates = stash(
-            candidates.filter("big")
-            .join(wide.select(F.col("rep").alias("a"), F.col("w").alias("x")), "a")
-            .join(wide.select(F.col("rep").alias("b"), F.col("w").alias("y")), "b")
-            .select("a", "b", "x.n_shingles", F.col("y.n_shingles").alias("m"), "x.wide", F.col("y.wide").alias("z"))
-            .mapInArrow(lambda it: _close(it, part, whole), "a long, b long")
-            .union(candidates.filter("not big").select("a", "b")),
-            "candidates",
-        )
-        if candidates.isEmpty():
-            return candidates
-        # Sets of the candidates alone: a bitmap of at most bitmap_bits keeps nearly all other texts out,
-        # and the joins drop its few false hits.
-        wanted = stash(candidates.select(F.col("a").alias("rep")).distinct().union(candidates.select("b").distinct()).distinct(), "wanted")
-        size = 1 << max(16, min(bitmap_bits.bit_length() - 1, (16 * wanted.count()).bit_length()))
-        bit = lambda c: F.pmod(F.xxhash64(c), F.lit(size))
-        found = wanted.select(bit("rep").alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(bit & 63))")).alias("bits")).toPandas()
-        bitmap = np.zeros(size // 64, dtype=np.uint64)
-        bitmap[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.int64).view(np.uint64)
-        hits = spark.sparkContext.broadcast(bitmap)
-        sets = stash(named_rows.select("doc_id", "text", bit("doc_id").alias("bit")).mapInArrow(lambda it: _sets(it, n, hits), "rep long, shingles binary"), "sets")
-        links = (
-            candidates.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
-            .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
-            .select("a", "b", "sa", "sb")
-            .mapInArrow(lambda it: _verified(it, part, whole), "a long, b long")
-        )
-        return stash(links.distinct(), "links")  # rows that repeat an id give their links again
-
-    links = None
-    if connected:
-        pivot = F.min_by(F.struct("gid", "n", "at", *bits), F.xxhash64("gid", "token"))
-        pivots = stash(postings.groupBy("token").agg(pivot.alias("p"), F.count("*").alias("c")).filter(F.col("c") > hot).select("token", "p.*"), "pivots")
-        met = stash(postings.alias("x").join(pivots.alias("y"), may_link & (F.col("x.gid") != F.col("y.gid"))).select(*as_pair).distinct(), "met")
-        links = verified(met)
-        label = member.select("gid", F.col("m.rep").alias("node")).join(connected_components(links), "node", "left").groupBy("gid")
-        label = label.agg(F.when((F.min("component") == F.max("component")) & (F.count("component") == F.count("*")), F.min("component")).alias("label")).filter("label is not null")
-        groups = stash(groups.join(label, "gid", "left"), "labelled")
-        postings = groups.select("gid", "n", "label", *bits, "prefix", F.posexplode("prefix").alias("at", "token"))
-        postings = postings.withColumn("prior", F.get("prefix", F.col("at") - 1)).drop("prefix")
-        # A pair that is kept apart here meets at no run: begins looks at tokens, not at labels, and is the same for all of a pair's runs.
-        once = once & F.coalesce(F.col("x.label") != F.col("y.label"), F.lit(True))
-    x, y = postings.alias("x"), postings.alias("y")
-    within = groups.filter("size > 1").select(F.col("gid").alias("g"), F.col("gid").alias("h"))
-    pairs = stash(x.join(y, may_link & begins & once).select(*as_pair).distinct().union(within), "pairs")
-    rest = verified(pairs)
-    return members, rest if links is None else stash(links.union(rest).distinct(), "links")
-
-
-
-def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, n_links)`` for every row of ``docs``.
-
-    component_id is the smallest id reachable by links and equal sets, the row's own included; n_links
-    counts the linked classes with other sets. Rows with an empty set stand alone.
+            named = told.filter("n_shingles > 0 and doc_id is not null")
+            groups = keep(named.groupBy("grp").agg(F.min("doc_id").alias("gid"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), (F.min("print") != F.max("print")).alias("several")), "groups")
+            reps = stash(named.groupBy("print").agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("n_shingles", "grp", *NARROWS, "wide"))), "representatives")
+            classes = keep(reps.join(groups.select("grp", "gid", "several"), "grp").select("rep", "gid", "several", F.col("n_shingles").alias("n"), *NARROWS, "wide"), "classes")
+            members = stash(told.join(reps.select("print", "rep"), "print", "left").select("doc_id", "n_shingles", "rep"), "members", up=2)
+
+        # Least intersection of two sets that link.
+        need = F.expr(f"((x.n + y.n) * {part} + {part + whole - 1}) div {part + whole}")
+        may_link = F.expr(f"{whole} * least(x.n, y.n) >= {part} * greatest(x.n, y.n)") & (F.col("x.at") <= F.col("x.n") - need) & (F.col("y.at") <= F.col("y.n") - need)
+        # Where the shingles before are the same too, the pair meets at those: one row a run, not one a shingle.
+        begins = F.coalesce(F.col("x.prior") != F.col("y.prior"), F.lit(True))
+        once = F.expr("x.n < y.n or (x.n = y.n and x.gid < y.gid)")
+        as_pair = (F.least("x.gid", "y.gid").alias("g"), F.greatest("x.gid", "y.gid").alias("h"))
+        attributes = F.struct("rep", "n", *NARROWS)
+        apart = sum(F.bit_count(F.expr(f"x.{b} ^ y.{b}")) for b in NARROWS) <= F.col("x.n") + F.col("y.n") - 2 * need
+
+        def expanded(pairs: DataFrame) -> DataFrame:
+            """The class pairs of pairs of groups that bitmaps allow."""
+            side = lambda c: classes.select(F.col("gid").alias(f"_{c}"), attributes.alias(c))
+            return pairs.join(side("x"), F.col("g") == F.col("_x")).join(side("y"), (F.col("h") == F.col("_y")) & apart).select("x", "y")
+
+        def verified(candidates: DataFrame) -> DataFrame:
+            """Those of the class pairs ``(x, y)`` that link."""
+            with intermediates(spark):
+                few = stash(candidates.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"), (F.greatest("x.n", "y.n") > 32 * NARROW).alias("big")).distinct(), "candidates")
+                # Bitmaps of two to four bits a shingle leave little but links to be verified. Small sets have had that by now.
+                wide = classes.select("rep", F.struct("n", "wide").alias("w"))
+                few = stash(
+                    few.filter("big")
+                    .join(wide.select(F.col("rep").alias("a"), F.col("w").alias("x")), "a")
+                    .join(wide.select(F.col("rep").alias("b"), F.col("w").alias("y")), "b")
+                    .select("a", "b", "x.n", F.col("y.n").alias("m"), "x.wide", F.col("y.wide").alias("z"))
+                    .mapInArrow(lambda it: _close(it, part, whole), "a long, b long")
+                    .union(few.filter("not big").select("a", "b")),
+                    "close",
+                )
+                if few.isEmpty():
+                    return keep(few, "links")
+                # Sets of the candidates alone: a bitmap keeps nearly all other texts out, and the joins drop its few false hits.
+                wanted = stash(few.select(F.col("a").alias("rep")).union(few.select("b")).distinct().withColumn("mixed", F.xxhash64("rep")), "wanted")
+                hits = spark.sparkContext.broadcast(bitmap(wanted, "mixed", wanted.count()))
+                sets = stash(rows.filter("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id")).mapInArrow(lambda it: _sets(it, n, hits), "rep long, shingles binary"), "sets")
+                links = (
+                    few.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
+                    .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
+                    .select("a", "b", "sa", "sb")
+                    .mapInArrow(lambda it: _verified(it, part, whole), "a long, b long")
+                )
+                return keep(links.distinct(), "links")  # rows that repeat an id give their links again
+
+        shared = stash(groups.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("c")).filter("c > 1"), "shared")
+        some = spark.sparkContext.broadcast(bitmap(shared, "token", shared.count()))
+        postings = stash(groups.select("gid", "n", "prefix").mapInArrow(lambda it: _postings(it, some), "token long, gid long, n long, at int, prior long"), "postings")
+        x, y = postings.alias("x"), postings.alias("y")
+        same = F.col("x.token") == F.col("y.token")
+        several = classes.filter("several")
+        if not connected:
+            within = several.select("gid", attributes.alias("x")).join(several.select("gid", attributes.alias("y")), "gid").filter(F.expr("x.rep < y.rep")).filter(apart)
+            pairs = stash(x.join(y, same & may_link & begins & once).select(*as_pair).distinct(), "pairs")
+            return members, stash(verified(within.select("x", "y").union(expanded(pairs))), "links", up=1)
+
+        # Stars: each class meets the first of its group, each group of a hot list one of two that are chosen at random.
+        heat = shared.filter(F.col("c") > hot).select("token")
+        heated = stash(postings.join(heat, "token"), "hot")
+        pivots = heated.groupBy("token").agg(F.min_by(F.struct("gid", "n", "at"), F.xxhash64("gid", F.col("token").bitwiseAND(F.lit(1)))).alias("p")).select("token", "p.*")
+        stars = stash(heated.alias("x").join(pivots.alias("y"), same & may_link & (F.col("x.gid") != F.col("y.gid"))).select(*as_pair).distinct(), "stars")
+        first = several.filter("rep = gid").select("gid", attributes.alias("y"))
+        within = several.filter("rep != gid").select("gid", attributes.alias("x")).join(first, "gid").filter(apart)
+        links = verified(within.select("x", "y").union(expanded(stars)))
+        found = connected_components(links)
+        labelled = several.select("rep", "gid", attributes.alias("m")).join(found, F.col("rep") == F.col("node"), "left").select("gid", "m", F.coalesce("component", "rep").alias("label"))
+        # A group's label is null where its classes are not all known to be connected.
+        label = classes.select("gid", "rep").join(found, F.col("rep") == F.col("node"), "left").groupBy("gid")
+        label = stash(label.agg(F.min(F.coalesce("component", "rep")).alias("label"), F.max(F.coalesce("component", "rep")).alias("last")).select("gid", F.when(F.col("label") == F.col("last"), F.col("label")).alias("label")), "label")
+        mixed = labelled.join(label.filter("label is null").select("gid"), "gid", "left_semi")
+        within = mixed.select("gid", F.col("m").alias("x"), "label").join(mixed.select("gid", F.col("m").alias("y"), F.col("label").alias("_label")), "gid").filter(F.expr("label != _label and x.rep < y.rep")).filter(apart)
+        postings = stash(postings.join(label, "gid"), "labelled")
+        cold = postings.join(heat, "token", "left_anti")
+        heated = stash(postings.join(heat, "token", "left_semi"), "hot")
+        differ = F.coalesce(F.col("x.label") != F.col("y.label"), F.lit(True))
+        pairs = cold.alias("x").join(cold.alias("y"), same & may_link & begins & once & differ).select(*as_pair)
+        # Of a hot list those that are not of its largest component meet all of it.
+        largest = heated.groupBy("token", "label").count().filter("label is not null").groupBy("token").agg(F.max_by("label", F.struct("count", "label")).alias("largest"))
+        others = heated.join(largest, "token", "left").filter("label is null or label != largest").drop("largest")
+        met = others.alias("x").join(heated.alias("y"), same & may_link & begins & differ & (F.col("x.gid") != F.col("y.gid"))).select(*as_pair)
+        pairs = stash(pairs.union(met).distinct(), "pairs")
+        return members, stash(links.union(verified(within.select("x", "y").union(expanded(pairs)))).distinct(), "links", up=1)
+
+
+def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, part: int = 80, whole: int = 100, count_links: bool = False) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` for every row of ``docs``, and ``n_links`` with ``count_links``.
+
+    component_id is the smallest id reachable by links and equal sets, the row's own included. n_links
+    counts the linked classes with other sets; that takes all links of a large group of near copies,
+    of which components alone need about as many as it has classes. Rows with an empty set stand alone.
     Edge cases are those of ``similar_documents``; a row with null id and no named copy has a null component.
     """
-    members, links = similar_documents(docs, id_col, text_col, n, part, whole)
-    both = links.union(links.select("b", "a"))
-    labels = connected_components(links).select(F.col("node").alias("rep"), "component")
-    of = stash(labels.join(both.groupBy(F.col("a").alias("rep")).agg(F.count("*").alias("n_links")), "rep"), "labels")
-    return members.join(of, "rep", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
-    )
-
-
-def component_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
-    """``(doc_id, component_id)`` as ``near_duplicate_components`` gives them, without counting all links of a large group."""
-    members, links = similar_documents(docs, id_col, text_col, n, part, whole, connected=True)
-    labels = connected_components(links).select(F.col("node").alias("rep"), "component")
-    return members.join(labels, "rep", "left").select("doc_id", F.coalesce("component", "rep", "doc_id").alias("component_id"))
+    with intermediates(docs.sparkSession):
+        members, links = similar_documents(docs, id_col, text_col, n, part, whole, connected=not count_links)
+        of = connected_components(links).select(F.col("node").alias("rep"), "component")
+        counted = []
+        if count_links:
+            both = links.union(links.select("b", "a")).groupBy(F.col("a").alias("rep")).agg(F.count("*").alias("n_links"))
+            of, counted = stash(of.join(both, "rep"), "labels"), [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")]
+        return keep(members.join(of, "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"), *counted), "components")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
@@ -327,5 +323,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Empty texts and rows with null id stay.
     """
-    gone = component_members(docs, id_col, text_col, n, part, whole).filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = near_duplicate_components(docs, id_col, text_col, n, part, whole).filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

@@ -115,11 +115,8 @@ links AS MATERIALIZED (
   WHERE 100 * k >= 90 * (len(x.s) + len(y.s) - k)),
 two_way AS MATERIALIZED (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT r.a, l.b FROM reach r JOIN two_way l ON r.b = l.a),
-least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a),
-reps AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY list_sort(s)) AS rep FROM sets WHERE len(s) > 0),
-partners AS (SELECT r.rep, count(DISTINCT q.rep) AS n FROM reps r JOIN two_way l ON l.a = r.doc_id JOIN reps q ON q.doc_id = l.b WHERE q.rep <> r.rep GROUP BY r.rep)
-SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, component_id, CAST(coalesce(p.n, 0) AS BIGINT) AS n_links
-FROM sets s JOIN least USING (doc_id) LEFT JOIN reps USING (doc_id) LEFT JOIN partners p USING (rep)""",
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, component_id FROM sets s JOIN least USING (doc_id)""",
     "op10_exact_dedup": """
 WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents)
 SELECT doc_id, max(doc_id) OVER p AS keep_id, count(*) OVER p AS group_size, doc_id = max(doc_id) OVER p AS kept, sha256(x) AS text_sha256

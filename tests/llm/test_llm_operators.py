@@ -16,7 +16,7 @@ from hockeylake.llm.exact_dedup import chunk_ends, drop_exact_duplicates, exact_
 from hockeylake.llm.language_id import drop_unidentified, identify_language, train_language_model
 from hockeylake.llm.license_scan import license_scan
 from hockeylake.llm.mixing import draw_mix, mixing_plan, split_quotas, targets
-from hockeylake.llm.ngram_join import component_members, drop_near_duplicates, near_duplicate_components
+from hockeylake.llm.ngram_join import drop_near_duplicates, near_duplicate_components, similar_documents
 from hockeylake.llm.pii import pseudonymise
 from hockeylake.llm.token_counts import count_by_resync, load_tokenizer, token_counts
 from hockeylake.llm.toxicity import score_toxicity, train_toxicity_model
@@ -83,7 +83,9 @@ def test_ngram_join_against_brute_force(docs, n, part):
                 x, y = sorted((root(a), root(b)))
                 reach[y] = x
     want = sorted((str(i), len(s), str(root(classes[s]) if s else i), links[classes[s]] if s else 0) for i, text, *_ in rows for s in [shingles(text, n)])
-    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.n_links) for r in near_duplicate_components(docs, n=n, part=part).collect())
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.n_links) for r in near_duplicate_components(docs, n=n, part=part, count_links=True).collect())
+    assert got == want
+    want, got = [w[:3] for w in want], sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in near_duplicate_components(docs, n=n, part=part).collect())
     assert got == want
     assert sum(links.values()) > 0
 
@@ -95,19 +97,46 @@ def test_ngram_join_edges(docs, none):
     assert kept.filter("doc_id >= 2000 and doc_id < 5000").count() == 0  # copies in upper case
 
 
+def near_copies(rng, n, changes, size=60):
+    base = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+    for _ in range(n):
+        words = list(base)
+        for _ in range(rng.randrange(changes)):
+            words[rng.randrange(size)] = f"m{rng.randrange(10**6)}"
+        yield " ".join(words)
+
+
 def test_components_without_all_links_are_the_same(spark):
     rng = random.Random(1)
-    base = [f"w{rng.randrange(10**6)}" for _ in range(60)]
-    rows = []
-    for i in range(150):
-        words = list(base)
-        for _ in range(rng.randrange(4)):
-            words[rng.randrange(60)] = f"m{rng.randrange(10**6)}"
-        rows.append((i, " ".join(words)))
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    full = near_duplicate_components(docs).collect()
-    assert {(r.doc_id, r.component_id) for r in full} == {tuple(r) for r in component_members(docs).collect()}
-    assert len({r.component_id for r in full}) < 150
+    common = " ".join(f"c{i}" for i in range(12))
+    texts = [*near_copies(rng, 150, 4), *(f"{t} {common}" for t in near_copies(rng, 60, 9, 40)), *(common + " " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(6)) for _ in range(60))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    full = near_duplicate_components(docs, count_links=True).collect()
+    assert {(r.doc_id, r.component_id) for r in full} == {(r.doc_id, r.component_id) for r in near_duplicate_components(docs).collect()}
+    assert 3 < len({r.component_id for r in full}) < 200 and max(r.n_links for r in full) > 32
+
+
+def test_links_of_a_large_group_of_near_copies_stay_few(spark):
+    rng = random.Random(2)
+    docs = spark.createDataFrame(list(enumerate(near_copies(rng, 5000, 3, 200))), "doc_id long, text string")
+    members, links = similar_documents(docs, connected=True)
+    classes = members.select("rep").distinct().count()
+    assert classes > 2500
+    assert links.count() < 10 * classes
+    assert connected_components(links).select("component").distinct().count() == 1
+
+
+def test_intermediate_files_go_with_their_block(spark, docs):
+    import os
+
+    from hockeylake.llm.common import intermediates, shared_dir
+
+    before = set(os.listdir(shared_dir(spark)))
+    with intermediates(spark):
+        once, again = near_duplicate_components(docs), near_duplicate_components(docs)
+        assert len(set(os.listdir(shared_dir(spark))) - before) == 2  # the two results
+        assert sorted(once.collect(), key=str) == sorted(again.collect(), key=str)
+    assert set(os.listdir(shared_dir(spark))) == before
 
 
 def test_components_of_chain_and_star(spark):
