@@ -5,45 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hockeylake.llm.common import fresh_scope, stash
+from hockeylake.llm.common import intermediates, keep, stash
 from hockeylake.llm.decontaminate import drop_contaminated
 from hockeylake.llm.exact_dedup import drop_exact_duplicates
 from hockeylake.llm.language_id import drop_unidentified, train_language_model
 from hockeylake.llm.mixing import mixing_plan
 from hockeylake.llm.ngram_join import drop_near_duplicates
 
-# A stage reads what the stage before has written, so that the intermediate tables of that stage can go.
-_SCOPE = "pipeline"
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or whose language is not recognised, go; the model is fitted on all other rows' own languages."""
-    with fresh_scope(_SCOPE):
-        return drop_unidentified(docs, train_language_model(docs))
+    return drop_unidentified(docs, train_language_model(docs))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id stays."""
-    with fresh_scope(_SCOPE):
-        return drop_exact_duplicates(docs)
+    return drop_exact_duplicates(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of documents with similar sets of word 5-grams the smallest id stays."""
-    with fresh_scope(_SCOPE):
-        return drop_near_duplicates(docs)
+    return drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, word for word in any letter case or with other values, go."""
-    with fresh_scope(_SCOPE):
-        return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), any_case=True)
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), any_case=True)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes of each document, and the output shards of its copies."""
-    with fresh_scope(_SCOPE):
-        return mixing_plan(docs).withColumn("shards", F.array_join("shards", ","))
+    return mixing_plan(docs).withColumn("shards", F.array_join("shards", ","))
 
 
 STAGES = [
@@ -59,8 +51,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table, each written and read again."""
+    """All stages over the documents table, each written and read again; what is between goes at the end."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stash(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return docs
+    with intermediates(spark):
+        for name, stage in STAGES[:-1]:
+            docs = stash(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        return keep(STAGES[-1][1](spark, docs, sf_dir), "mix")
