@@ -99,11 +99,11 @@ def _delete_all() -> None:
     _delete(_process)
 
 
-#: Bits of a bitmap that is broadcast, at most: 8 MiB, whatever the corpus holds.
-BITMAP_BITS = 1 << 26
+#: Bits of a bitmap that is broadcast, at most: 2 MiB, whatever the corpus holds.
+BITMAP_BITS = 1 << 24
 
 
-def bitmap(values: DataFrame, column: str, count: int, per_value: int = 32) -> np.ndarray:
+def bitmap(values: DataFrame, column: str, count: int, per_value: int = 16) -> np.ndarray:
     """A bitmap of the long column's low bits, ``per_value`` places a value but ``BITMAP_BITS`` at most.
 
     Whatever is in ``values`` has its bit set; other values rarely do, or at very large counts often:
