@@ -1,16 +1,29 @@
-"""Benchmark decontamination by typed templates, in Spark expressions alone."""
+"""Benchmark decontamination by typed templates, in Spark expressions alone.
+
+No pattern here repeats a group: Java matches such loops by recursion, and a text with thousands of
+numbers or names in a row would end the JVM's stack. Joiners are marked first by looking at their
+neighbours; runs are then plain character classes.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hockeylake.llm.common import intermediates, keep, stash
+
 NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
+#: Stands for the blank before a capital within and before names.
+_JOIN = "\u0004"
 #: A capitalised word, or several in a row, not at the start of a sentence.
-_NAME = r"([\p{Ll}\p{N},;:] )(\p{Lu}[\p{L}\p{M}]*(?: \p{Lu}[\p{L}\p{M}]*)*)"
-_NUMBER = r"\p{N}+(?:[.,:/]\p{N}+)*"
+_NAME = rf"(\p{{Ll}}{_JOIN}|[\p{{N}},;:] )(\p{{Lu}}[\p{{L}}\p{{M}}{_JOIN}]*)"
+#: Stand for separators between digits.
+_BETWEEN = {"\\.": "\u0005", ",": "\u0006", ":": "\u0007", "/": "\u0008"}
+_NUMBER = r"[\p{N}\x05-\x08]+"
 _WORD = rf"[\p{{L}}\p{{M}}]+|{_NUMBER}"
-_GAP = r"[^\p{L}\p{M}\x01-\x03]+"
+_TOKEN = rf"{NAME}[\p{{L}}\p{{M}}{_JOIN}]*|{NUMBER}{_NUMBER}|[\p{{L}}\p{{M}}]+"
+#: Tokens of a text that are taken at once: what is exploded carries so many and no whole text.
+SEGMENT = 256
 #: Words that are units after a number.
 UNITS = tuple(
     "mm cm m km in ft yd mi mile miles meter meters metre metres kilometer kilometers inch inches foot feet yard yards g kg mg t lb lbs oz gram grams "
@@ -19,20 +32,34 @@ UNITS = tuple(
 )
 
 
-def _without_names(text: Column) -> Column:
-    return F.regexp_replace(text, _NAME, f"$1 {NAME} ")
+
+
+def _numbers_marked(text: Column) -> Column:
+    marked = text
+    for mark, stand_in in _BETWEEN.items():
+        marked = F.regexp_replace(marked, rf"(?<=\p{{N}}){mark}(?=\p{{N}})", stand_in)
+    return F.when(text.rlike(r"\p{N}[.,:/]\p{N}"), marked).otherwise(text)
 
 
 def _tokens(text: Column) -> Column:
-    """Lower-case words with names and numbers as placeholders."""
-    x = F.regexp_replace(_without_names(text), _NUMBER, f" {NUMBER} ")
-    return F.array_remove(F.split(F.lower(x), _GAP), "")
+    """Lower-case words; names and numbers with their sign before them."""
+    x = F.regexp_replace(text, r"(?<=[\p{L}\p{M}]) (?=\p{Lu})", _JOIN)
+    x = F.regexp_replace(x, _NAME, f"$1 {NAME}$2 ")
+    x = F.regexp_replace(_numbers_marked(x), f"({_NUMBER})", f" {NUMBER}$1 ")
+    return F.regexp_extract_all(F.lower(x), F.lit(_TOKEN), F.lit(0))
+
+
+def _sign(token: Column) -> Column:
+    return F.substring(token, 1, 1)
 
 
 def _template(tokens: Column) -> Column:
-    """Tokens with units after a number as placeholders."""
-    turned = F.transform(tokens, lambda t, i: F.when(t.isin(*UNITS) & (i > 0) & (F.get(tokens, i - 1) == NUMBER), UNIT).otherwise(t))
-    return F.when(F.array_contains(tokens, NUMBER), turned).otherwise(tokens)
+    """Names, numbers, and units after a number as placeholders."""
+    turned = F.transform(
+        tokens,
+        lambda t, i: F.when(_sign(t).isin(NAME, NUMBER), _sign(t)).when(t.isin(*UNITS) & (i > 0) & (_sign(F.get(tokens, i - 1)) == NUMBER), UNIT).otherwise(t),
+    )
+    return F.when(F.exists(tokens, lambda t: _sign(t).isin(NAME, NUMBER)), turned).otherwise(tokens)
 
 
 def _folded(text: Column) -> Column:
@@ -42,43 +69,31 @@ def _folded(text: Column) -> Column:
 
 def _plain(text: Column) -> Column:
     """Case-folded words and numbers as they stand."""
-    return F.regexp_extract_all(_folded(text), F.lit(_WORD), F.lit(0))
+    return F.regexp_extract_all(_folded(_numbers_marked(text)), F.lit(_WORD), F.lit(0))
 
 
 def _described(rows: DataFrame, key: str) -> DataFrame:
-    """``(key, text, tokens, template)``."""
-    rows = rows.withColumn("tokens", _tokens(F.coalesce("text", F.lit(""))))
-    return rows.select(key, "text", "tokens", _template(F.col("tokens")).alias("template"))
+    """``(key, tokens, template)``."""
+    rows = rows.select(key, _tokens(F.coalesce("text", F.lit(""))).alias("tokens"))
+    return rows.withColumn("template", _template(F.col("tokens")))
 
 
-def _valued(at: Column, n: Column, use) -> Column:
-    """``use(value, i)`` for the places i of the window. A value is ``kind + value`` of a placeholder, else null; it is what the text has behind its placeholders of a kind, in order."""
-    template, tokens, text = F.col("template"), F.col("tokens"), F.col("text")
-    behind = F.struct(
-        F.regexp_extract_all(text, F.lit(_NAME), F.lit(2)).alias("names"), F.regexp_extract_all(_without_names(text), F.lit(_NUMBER), F.lit(0)).alias("numbers")
-    )
-    rank = lambda kind, i: F.size(F.filter(F.slice(template, F.lit(1), i), lambda t: t == kind))
-    value = lambda v, i: (
-        F.when(F.element_at(template, i) == NAME, F.concat(F.lit(NAME), F.coalesce(F.try_element_at(v["names"], rank(NAME, i)), F.lit(""))))
-        .when(F.element_at(template, i) == NUMBER, F.concat(F.lit(NUMBER), F.coalesce(F.try_element_at(v["numbers"], rank(NUMBER, i)), F.lit(""))))
-        .when(F.element_at(template, i) == UNIT, F.concat(F.lit(UNIT), F.element_at(tokens, i)))
-    )
-    window = F.sequence(at, at + n - 1)
-    return F.flatten(F.transform(F.array(behind), lambda v: F.transform(window, lambda i: use(value(v, i), i))))
+def _segments(rows: DataFrame, arrays: tuple[str, ...], overlap: int, *others: str) -> DataFrame:
+    """A row for each ``SEGMENT`` elements of the arrays, with ``overlap`` more of what follows; ``off`` elements come before."""
+    some = lambda s: F.struct((s * SEGMENT).alias("off"), *(F.slice(a, s * SEGMENT + 1, F.lit(SEGMENT + overlap)).alias(a) for a in arrays))
+    rows = rows.filter(F.size(arrays[0]) > 0).select(*others, F.explode(F.transform(F.sequence(F.lit(0), F.floor((F.size(arrays[0]) - 1) / SEGMENT).cast("int")), some)).alias("segment"))
+    return rows.select(*others, "segment.*")
 
 
-def _slots(at: Column, n: Column) -> Column:
-    """``kind + value`` of the placeholders in the window, in order."""
-    template = F.col("template")
-    found = F.filter(_valued(at, n, lambda value, i: value), lambda x: x.isNotNull())
-    # Most windows have no placeholder, and then the text is not searched.
-    return F.when(F.exists(F.slice(template, at, n), lambda t: t.isin(NAME, NUMBER, UNIT)), found).otherwise(F.array().cast("array<string>"))
+def _plain_window(tokens: Column) -> Column:
+    """Case-folded words and numbers of tokens, without placeholders."""
+    value = lambda t: F.substr(t, F.lit(2), F.length(t))
+    return F.flatten(F.transform(tokens, lambda t: F.when(_sign(t) == NAME, F.split(_folded(value(t)), _JOIN)).when(_sign(t) == NUMBER, F.array(value(t))).otherwise(F.array(_folded(t)))))
 
 
-def _plain_window(at: Column, n: Column) -> Column:
-    """The window's case-folded words and numbers, without placeholders."""
-    one = lambda value, i: _plain(F.coalesce(F.substr(value, F.lit(2), F.length(value)), F.element_at("tokens", i)))
-    return F.flatten(_valued(at, n, one))
+def _slots(template: Column, tokens: Column) -> Column:
+    """``sign + value`` of the placeholders in a window, in order."""
+    return F.filter(F.zip_with(template, tokens, lambda t, x: F.when(t == UNIT, F.concat(t, x)).when(t.isin(NAME, NUMBER), x)), lambda x: x.isNotNull())
 
 
 def _anchored(tokens: Column, n: Column) -> Column:
@@ -87,23 +102,31 @@ def _anchored(tokens: Column, n: Column) -> Column:
     return F.array_max(F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.struct((length(i) + length(i + 1) + length(i + 2)).alias("l"), F.xxhash64(F.get(tokens, i), F.get(tokens, i + 1), F.get(tokens, i + 2)).alias("t"), i.alias("i"))))
 
 
+def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(item_id, tokens, template)``; of items that share an id the least text counts."""
+    items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")).filter("item_id is not null")
+    return _described(items.groupBy("item_id").agg(F.min("text").alias("text")), "item_id")
+
+
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = 8) -> DataFrame:
     """``(item_id, k, hash, n, anchor, ahead, plain_hash, plain_n, plain_anchor, plain_ahead, item_slots, worded, n_windows, n_worded)``: the windows of every item; worded are those that are words by half at least.
 
     An item with fewer tokens than a window is one window; one with fewer than three tokens has none.
     The anchor of a window is the hash of the longest three tokens in a row, ``ahead`` tokens after its start.
     What is plain is of the window's case-folded words and numbers in place of its template.
+    Null texts have no tokens; items with null id are skipped; of items that share an id the least text counts.
     """
-    items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")).filter("item_id is not null").dropDuplicates(["item_id"])
-    rows = _described(items, "item_id").filter(F.size("template") >= 3)
-    n = F.least(F.size("template"), F.lit(window))
-    rows = rows.withColumn("n", n).select("*", F.explode(F.sequence(F.lit(1), F.size("template") - n + 1)).alias("k"))
-    words = F.size(F.filter(F.slice("template", F.col("k"), F.col("n")), lambda t: ~t.isin(NAME, NUMBER, UNIT)))
-    rows = rows.withColumn("worded", 2 * words >= F.col("n")).withColumn("w", F.slice("template", F.col("k"), F.col("n"))).withColumn("v", _plain_window(F.col("k"), F.col("n")))
+    rows = _items(benchmark, id_col, text_col).filter(F.size("template") >= 3).withColumn("n", F.least(F.size("template"), F.lit(window)))
+    rows = _segments(rows, ("template", "tokens"), window - 1, "item_id", "n")
+    starts = F.least(F.lit(SEGMENT), F.size("template") - F.col("n") + 1)
+    rows = rows.filter(starts >= 1).select("*", F.explode(F.sequence(F.lit(1), starts)).alias("at"))
+    rows = rows.select("item_id", "n", (F.col("off") + F.col("at")).alias("k"), F.slice("template", F.col("at"), F.col("n")).alias("w"), F.slice("tokens", F.col("at"), F.col("n")).alias("x"))
+    words = F.size(F.filter("w", lambda t: ~t.isin(NAME, NUMBER, UNIT)))
+    rows = rows.withColumn("worded", 2 * words >= F.col("n")).withColumn("v", _plain_window(F.col("x")))
     rows = rows.withColumn("a", _anchored(F.col("w"), F.col("n"))).withColumn("b", _anchored(F.col("v"), F.size("v")))
     rows = rows.select(
         "item_id", "k", F.col("a.t").alias("anchor"), F.col("a.i").alias("ahead"), F.xxhash64("w").alias("hash"), "n",
-        F.col("b.t").alias("plain_anchor"), F.col("b.i").alias("plain_ahead"), F.xxhash64("v").alias("plain_hash"), F.size("v").alias("plain_n"), _slots(F.col("k"), F.col("n")).alias("item_slots"), "worded",
+        F.col("b.t").alias("plain_anchor"), F.col("b.i").alias("plain_ahead"), F.xxhash64("v").alias("plain_hash"), F.size("v").alias("plain_n"), _slots(F.col("w"), F.col("x")).alias("item_slots"), "worded",
     )
     counts = rows.groupBy("item_id").agg(F.count("*").alias("n_windows"), F.count_if("worded").alias("n_worded"))
     return rows.join(counts, "item_id")
@@ -117,84 +140,94 @@ def contaminated_documents(
     Names, numbers and units become typed placeholders, so that a question asked again with other
     values has the same template. All windows of ``window`` template tokens of all texts are
     hash-joined with those of the benchmark, by the longest three tokens of a window and then by the
-    window's hash, so that windows are built only where such three tokens stand. Where the item has one
+    window's 64-bit hash, so that windows are built only where such three tokens stand. Where the item has one
     value and the document has several on one alignment of the two, windows that hold this value count
     only if all their values are the item's own; other windows count whatever the slots are elsewhere. A
     pair is reported if the hits that count cover ``share`` percent of the item's windows at least, or
     of those that are words by half. Other windows, which are mostly names, numbers and units, are
-    found by their own values in place of templates.
+    found by their own values in place of templates. An item of one or two tokens has no window: it is
+    found where it is the whole document, in any case.
 
     With ``any_case`` a window also counts where its own words, names and numbers stand in any letter
     case; without it a copy in another case, in which other words look like names, may be missed.
     ``covered`` counts templates alone for a pair that is reported by them, else both.
 
     The benchmark's windows are broadcast if they are at most ``broadcast_rows``, which is counted, else
-    shuffled. Only hits are shuffled otherwise.
+    shuffled. Only hits are shuffled otherwise. Texts are taken in overlapping segments of tokens, so that cost
+    grows with their length.
 
     Null and empty texts have no window; rows with null id are not reported; rows that share an id
-    share a verdict; items with null id are skipped, of items that share an id one is used; an empty
+    share a verdict; items with null id are skipped, of items that share an id the least text is used; an empty
     table gives an empty result. Other columns are not read.
     """
-    items = benchmark_windows(benchmark, window=window).cache()
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id is not null")
-    small = items.count() <= broadcast_rows
-    at = F.col("p") + 1 - F.col("ahead")
-    three = lambda t, i: F.struct(i.alias("p"), F.xxhash64(t, F.get("template", i + 1), F.get("template", i + 2)).alias("anchor"))
-
-    def found(side: DataFrame, slots: Column) -> DataFrame:
-        return (
-            _described(rows, "doc_id")
-            .select("*", F.explode(F.transform("template", three)).alias("w"))
-            .select("*", F.col("w.p").alias("p"), F.col("w.anchor").alias("anchor"))
-            .join(F.broadcast(side) if small else side, "anchor")
-            .filter((at >= 1) & (at + F.col("n") - 1 <= F.size("template")))
-            .filter(F.xxhash64(F.slice("template", at, F.col("n"))) == F.col("hash"))
-            .select("doc_id", "item_id", "k", "n_windows", "n_worded", (at - F.col("k")).alias("shift"), slots.alias("slots"))
-        )
-
-    def verbatim(side: DataFrame, among: Column) -> DataFrame:
-        side = side.select("item_id", "k", "n_windows", "n_worded", "worded", "plain_anchor", "plain_ahead", "plain_hash", "plain_n")
-        at, t = F.col("p") + 1 - F.col("plain_ahead"), F.col("plain")
-        return (
-            rows.filter(among)
-            .select("doc_id", _plain(F.col("text")).alias("plain"))
-            .select("*", F.explode(F.transform(t, lambda x, i: F.struct(i.alias("p"), F.xxhash64(x, F.get(t, i + 1), F.get(t, i + 2)).alias("anchor")))).alias("w"))
-            .select("doc_id", "plain", F.col("w.p").alias("p"), F.col("w.anchor").alias("plain_anchor"))
-            .join(F.broadcast(side) if small else side, "plain_anchor")
-            .filter((at >= 1) & (at + F.col("plain_n") - 1 <= F.size(t)))
-            .filter(F.xxhash64(F.slice(t, at, F.col("plain_n"))) == F.col("plain_hash"))
-            .select("doc_id", "item_id", "n_windows", "n_worded", "k", "worded", F.when(F.col("worded"), "words").otherwise("values").alias("by"))
-        )
-
-    pairs = F.zip_with("item_slots", _slots(at, F.col("n")), lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
-    # Windows without placeholders keep a plan that is small enough to be compiled; those with some, if the benchmark has any, take a pass of their own.
-    hits = found(items.filter("worded").filter(F.size("item_slots") == 0).drop("item_slots"), F.array().cast("array<struct<item:string,doc:string>>"))
-    slotted = items.filter(F.size("item_slots") > 0)
-    if not slotted.filter("worded").isEmpty():
-        hits = hits.unionByName(found(slotted.filter("worded"), pairs))
-    # On one alignment there are at most the item's windows, so that what is collected is bounded by the item.
-    aligned = hits.groupBy("doc_id", "item_id", "shift").agg(F.collect_set(F.struct("k", "slots")).alias("found"), F.first("n_windows").alias("n_windows"), F.first("n_worded").alias("n_worded"))
-    # Item values that meet several document values spoil the windows that hold them, but not those whose values are all the item's own.
-    met = F.array_distinct(F.flatten(F.col("found.slots")))
-    values = F.transform("met", lambda s: s["item"])
-    torn = F.filter(F.array_distinct(values), lambda v: F.size(F.filter("met", lambda s: s["item"] == v)) > 1)
-    aligned = aligned.withColumn("met", met).withColumn("torn", F.when(F.size("met") > F.size(F.array_distinct(values)), torn).otherwise(F.array().cast("array<string>")))
-    good = F.filter("found", lambda f: ~F.exists(f["slots"], lambda s: F.array_contains("torn", s["item"])) | F.forall(f["slots"], lambda s: s["item"] == s["doc"]))
-    counted = aligned.select("doc_id", "item_id", "n_windows", "n_worded", F.explode(F.array_distinct(F.transform(good, lambda f: f["k"]))).alias("k")).withColumn("worded", F.lit(True)).withColumn("by", F.lit("template"))
-    if any_case:
-        # A text without a name, and without these letters, has the words of its template: there only windows with placeholders can be new.
-        counted = counted.unionByName(verbatim(items.filter(F.size("item_slots") == 0), F.col("text").rlike(f"{_NAME}|ß|ẞ|SS|Σ")))
-    literal = slotted if any_case else slotted.filter(~F.col("worded"))
-    if not literal.isEmpty():
-        counted = counted.unionByName(verbatim(literal, F.lit(True)))
-    n = lambda among, name: F.countDistinct(F.when(among, F.col("k"))).alias(name)
-    covered = counted.groupBy("doc_id", "item_id").agg(
-        n(F.col("by") != "words", "own"), n((F.col("by") != "words") & F.col("worded"), "own_worded"), n(F.lit(True), "either"), n(F.col("worded"), "either_worded"),
-        F.first("n_windows").alias("n_windows"), F.first("n_worded").alias("n_worded"),
-    )
-    # A question asked again with other values can't meet the windows that are mostly values: the others' share is enough.
-    enough = lambda c: (F.col(c) * 100 >= share * F.col("n_windows")) | ((F.col("n_worded") > 0) & (F.col(f"{c}_worded") * 100 >= share * F.col("n_worded")))
-    return covered.filter(enough("either")).select("doc_id", "item_id", F.when(enough("own"), F.col("own")).otherwise(F.col("either")).alias("covered"), "n_windows")
+    spark = docs.sparkSession
+    with intermediates(spark):
+        items = stash(benchmark_windows(benchmark, window=window), "windows")
+        rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id is not null")
+        told = items.agg(F.count("*").alias("n"), F.max("plain_n").alias("longest")).first()
+        small = told["n"] <= broadcast_rows
+        three = lambda t: F.transform(t, lambda x, i: F.struct(i.alias("p"), F.xxhash64(x, F.get(t, i + 1), F.get(t, i + 2)).alias("anchor")))
+
+        def found(side: DataFrame, slots: Column, *arrays: str) -> DataFrame:
+            at, n = F.col("p") + 1 - F.col("ahead"), F.col("n")
+            return (
+                _segments(_described(rows, "doc_id"), ("template", *arrays), window - 1, "doc_id")
+                .select("*", F.explode(three(F.col("template"))).alias("w"))
+                .select("*", F.col("w.p").alias("p"), F.col("w.anchor").alias("anchor"))
+                .join(F.broadcast(side) if small else side, "anchor")
+                .filter((at >= 1) & (at <= SEGMENT) & (at + n - 1 <= F.size("template")))
+                .filter(F.xxhash64(F.slice("template", at, n)) == F.col("hash"))
+                .select("doc_id", "item_id", "k", "n_windows", "n_worded", (F.col("off") + at - F.col("k")).alias("shift"), slots.alias("slots"))
+            )
+
+        def verbatim(side: DataFrame, among: Column) -> DataFrame:
+            side = side.select("item_id", "k", "n_windows", "n_worded", "worded", "plain_anchor", "plain_ahead", "plain_hash", "plain_n")
+            at, n = F.col("p") + 1 - F.col("plain_ahead"), F.col("plain_n")
+            return (
+                _segments(rows.filter(among).select("doc_id", _plain(F.col("text")).alias("plain")), ("plain",), told["longest"] - 1, "doc_id")
+                .select("*", F.explode(three(F.col("plain"))).alias("w"))
+                .select("doc_id", "plain", F.col("w.p").alias("p"), F.col("w.anchor").alias("plain_anchor"))
+                .join(F.broadcast(side) if small else side, "plain_anchor")
+                .filter((at >= 1) & (at <= SEGMENT) & (at + n - 1 <= F.size("plain")))
+                .filter(F.xxhash64(F.slice("plain", at, n)) == F.col("plain_hash"))
+                .select("doc_id", "item_id", "n_windows", "n_worded", "k", "worded", F.when(F.col("worded"), "words").otherwise("values").alias("by"))
+            )
+
+        at, n = F.col("p") + 1 - F.col("ahead"), F.col("n")
+        pairs = F.zip_with("item_slots", _slots(F.slice("template", at, n), F.slice("tokens", at, n)), lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
+        # Windows without placeholders keep a plan that is small enough to be compiled; those with some, if the benchmark has any, take a pass of their own.
+        hits = found(items.filter("worded").filter(F.size("item_slots") == 0).drop("item_slots"), F.array().cast("array<struct<item:string,doc:string>>"))
+        slotted = items.filter(F.size("item_slots") > 0)
+        if not slotted.filter("worded").isEmpty():
+            hits = hits.unionByName(found(slotted.filter("worded"), pairs, "tokens"))
+        # On one alignment there are at most the item's windows, so that what is collected is bounded by the item.
+        aligned = hits.groupBy("doc_id", "item_id", "shift").agg(F.collect_set(F.struct("k", "slots")).alias("found"), F.first("n_windows").alias("n_windows"), F.first("n_worded").alias("n_worded"))
+        # Item values that meet several document values spoil the windows that hold them, but not those whose values are all the item's own.
+        met = F.array_distinct(F.flatten(F.col("found.slots")))
+        values = F.transform("met", lambda s: s["item"])
+        torn = F.filter(F.array_distinct(values), lambda v: F.size(F.filter("met", lambda s: s["item"] == v)) > 1)
+        aligned = aligned.withColumn("met", met).withColumn("torn", F.when(F.size("met") > F.size(F.array_distinct(values)), torn).otherwise(F.array().cast("array<string>")))
+        good = F.filter("found", lambda f: ~F.exists(f["slots"], lambda s: F.array_contains("torn", s["item"])) | F.forall(f["slots"], lambda s: s["item"] == s["doc"]))
+        counted = aligned.select("doc_id", "item_id", "n_windows", "n_worded", F.explode(F.array_distinct(F.transform(good, lambda f: f["k"]))).alias("k")).withColumn("worded", F.lit(True)).withColumn("by", F.lit("template"))
+        if any_case and told["n"]:
+            # A text without a name, and without these letters, has the words of its template: there only windows with placeholders can be new.
+            counted = counted.unionByName(verbatim(items.filter(F.size("item_slots") == 0), F.col("text").rlike(r"[\p{Ll}\p{N},;:] \p{Lu}|ß|ẞ|SS|Σ")))
+        literal = slotted if any_case else slotted.filter(~F.col("worded"))
+        if not literal.isEmpty():
+            counted = counted.unionByName(verbatim(literal, F.lit(True)))
+        n = lambda among, name: F.countDistinct(F.when(among, F.col("k"))).alias(name)
+        covered = counted.groupBy("doc_id", "item_id").agg(
+            n(F.col("by") != "words", "own"), n((F.col("by") != "words") & F.col("worded"), "own_worded"), n(F.lit(True), "either"), n(F.col("worded"), "either_worded"),
+            F.first("n_windows").alias("n_windows"), F.first("n_worded").alias("n_worded"),
+        )
+        # A question asked again with other values can't meet the windows that are mostly values: the others' share is enough.
+        enough = lambda c: (F.col(c) * 100 >= share * F.col("n_windows")) | ((F.col("n_worded") > 0) & (F.col(f"{c}_worded") * 100 >= share * F.col("n_worded")))
+        held = covered.filter(enough("either")).select("doc_id", "item_id", F.when(enough("own"), F.col("own")).otherwise(F.col("either")).alias("covered"), "n_windows")
+        short = _items(benchmark, "item_id", "text").filter(F.size("template").between(1, 2)).select("item_id", F.array_join(_plain_window(F.col("tokens")), " ").alias("whole"))
+        if not short.isEmpty():
+            whole = rows.select("doc_id", F.array_join(_plain(F.col("text")), " ").alias("whole"))
+            held = held.unionByName(whole.join(short, "whole").select("doc_id", "item_id", F.lit(1).cast("long").alias("covered"), F.lit(1).cast("long").alias("n_windows")).distinct())
+        return keep(held, "contaminated")
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
