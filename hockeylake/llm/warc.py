@@ -122,79 +122,162 @@ def _headers(raw: bytes) -> dict[str, str]:
     return out
 
 
-def parse_record(data: bytes, at: int, end: int) -> tuple[dict | None, int, str]:
-    """``(record, where it ends, "")`` of the record at ``at``, or ``(None, at, what failed)``."""
-    if not data.startswith(_VERSION, at):
-        return None, at, "no version line"
-    stop = data.find(b"\r\n\r\n", at, end)
+#: A record's headers end within so many bytes, else the record is damaged. Bytes that are read, or scanned, at once.
+HEADER_BYTES, _SLICE = 1 << 20, 1 << 16
+
+
+class _Plain:
+    """Bytes of a file from an offset on."""
+
+    def __init__(self, file, at: int, size: int):
+        self.file, self.at, self.size = file, at, size
+
+    def get(self, off: int, n: int) -> bytes:
+        n = min(n, self.size - self.at - off)
+        return self.file.read_at(n, self.at + off) if n > 0 else b""
+
+
+class _Member:
+    """What a gzip member at an offset unpacks to, slice by slice; ``end`` is where it ends well, ``fault`` why it does not."""
+
+    def __init__(self, file, at: int, size: int):
+        self.file, self.pos, self.size = file, at, size
+        self.d, self.buffer, self.tail, self.end, self.fault = zlib.decompressobj(31), bytearray(), b"", None, ""
+
+    def get(self, off: int, n: int) -> bytes:
+        while len(self.buffer) < off + n and self.end is None and not self.fault:
+            data = self.tail or self.file.read_at(min(_SLICE, self.size - self.pos), self.pos)
+            if not data:
+                self.fault = "member does not end"
+                break
+            if not self.tail:
+                self.pos += len(data)
+            try:
+                self.buffer += self.d.decompress(data, 16 * _SLICE)
+            except zlib.error as e:
+                self.fault = str(e)[:60]
+            self.tail = self.d.unconsumed_tail
+            if self.d.eof:
+                self.end = self.pos - len(self.d.unused_data)
+        return bytes(self.buffer[off : off + n])
+
+    def drop(self, n: int) -> None:
+        del self.buffer[:n]
+
+
+def parse_record(source) -> tuple[dict | None, int, str]:
+    """``(record, its length, "")`` of the record that ``source`` begins with, or ``(None, 0, what failed)``."""
+    if source.get(0, len(_VERSION)) != _VERSION:
+        return None, 0, "no version line"
+    head, want = b"", 2048
+    while (stop := head.find(b"\r\n\r\n")) < 0 and want <= HEADER_BYTES and (len(head) == want // 2 or not head):
+        head, want = source.get(0, want), 2 * want
     if stop < 0:
-        return None, at, "headers do not end"
-    head = _headers(data[at:stop])
+        return None, 0, "headers do not end"
+    head, start = _headers(head[:stop]), stop + 4
     try:
         n = int(head["content-length"])
     except (KeyError, ValueError):
-        return None, at, "no content length"
-    start = stop + 4
-    if n < 0 or data[start + n : min(end, start + n + 4)] != b"\r\n\r\n":
-        return None, at, "content length is wrong"
-    block = data[start : start + n]
+        return None, 0, "no content length"
+    if n < 0 or source.get(start + n, 4) != b"\r\n\r\n":
+        return None, 0, "content length is wrong"
+    block = source.get(start, n)
     kind, _, want = head.get("warc-block-digest", "").partition(":")
     if kind == "sha1" and base64.b32encode(hashlib.sha1(block).digest()).decode() != want:
-        return None, at, "block digest differs"
+        return None, 0, "block digest differs"
     http, _, payload = block.partition(b"\r\n\r\n")
     kind, _, digest = head.get("warc-payload-digest", "").partition(":")
     whole = head.get("warc-type") != "revisit"
     if whole and kind == "sha256" and hashlib.sha256(payload).hexdigest() != digest:
-        return None, at, "payload digest differs"
+        return None, 0, "payload digest differs"
     size = len(payload) if whole else int(_headers(b"\r\n" + http).get("content-length", "0"))
     page = lambda k: next((int(x) for x in [head.get(k, "").removeprefix("<urn:page:").removesuffix(">")] if x.lstrip("-").isdigit()), None)
     return {"record_type": head.get("warc-type"), "uri": head.get("warc-target-uri"), "page_id": page("warc-record-id"), "refers_to": page("warc-refers-to"), "payload_digest": hashlib.sha256(payload).hexdigest() if whole else digest, "payload_bytes": size, "payload": payload if whole else None}, start + n + 4, ""
 
 
-def _next_of(data: bytes, at: int) -> int:
-    """Where the next gzip member or version line may start, at or after ``at``."""
-    found = [x for x in (data.find(_GZIP, at), data.find(_VERSION, at)) if x >= 0]
-    return min(found, default=len(data))
+def _next_of(source, at: int, marks: tuple[bytes, ...]) -> int:
+    """The offset of the first of ``marks`` at or after ``at``, or -1."""
+    while data := source.get(at, _SLICE + 16):
+        found = [x for x in (data.find(m) for m in marks) if x >= 0]
+        if found:
+            return at + min(found)
+        if len(data) <= _SLICE:
+            return -1
+        at += _SLICE
+    return -1
 
 
-def salvage(data: bytes, member_bytes: int = 1 << 30) -> Iterator[tuple[int, int, dict | None, str]]:
+def _unpacked(member: _Member) -> Iterator[dict | str]:
+    """Records of a member, and what failed where a version line had to be searched for."""
+    while True:
+        record, n, fault = parse_record(member)
+        if record:
+            yield record
+            member.drop(n)
+        elif not member.get(0, 1):
+            return
+        else:
+            yield fault
+            member.drop(1)
+            while (at := _next_of(member, 0, (_VERSION,))) != 0:
+                if at < 0:
+                    return
+                member.drop(at)
+
+
+def salvage(data) -> Iterator[tuple[int, int, dict | None, str]]:
     """``(offset, length, record, "")`` for every record of an archive and ``(offset, length, None, reason)`` for every byte gap.
 
-    Plain records and gzip members may mix. After a check fails (member CRC, lengths, digests) the
-    reader looks for the next member or version line that yields a record that passes, and reports
-    the bytes between as one gap. Every byte belongs to a record or to a gap. A member that unpacks to
-    more than ``member_bytes`` is a gap.
+    ``data`` is bytes or a file with ``read_at`` and ``size``. Plain records and gzip members may mix, and a member may hold many records. After a check fails
+    (member CRC, lengths, digests) the reader looks for the next member or version line that yields a record that passes, and reports
+    the bytes between as one gap. Every byte belongs to a record or to a gap. Of several records in a
+    member all have its offset, and the last its length. Those that a damaged member holds and that
+    pass are given with length 0, and its bytes are a gap. One record is held at a time.
     """
+    file = pa.BufferReader(data) if isinstance(data, bytes) else data
+    size = file.size()
     at, gap, why = 0, -1, ""
-    while at < len(data):
-        record, end, fault = None, at, "no member or version line"
-        if data.startswith(_GZIP, at):
-            d = zlib.decompressobj(31)
-            try:
-                raw = d.decompress(memoryview(data)[at:], member_bytes)
-                if d.eof:
-                    record, used, fault = parse_record(raw, 0, len(raw))
-                    end = len(data) - len(d.unused_data)
-                    if record and used != len(raw):
-                        record, fault = None, "bytes after the record in its member"
-                else:
-                    fault = "member does not end"
-            except zlib.error as e:
-                fault = str(e)[:60]
-        elif data.startswith(_VERSION, at):
-            record, end, fault = parse_record(data, at, len(data))
-        if record:
-            if gap >= 0:
-                yield gap, at - gap, None, why
+    while at < size:
+        begins, end, fault, held = file.read_at(min(8, size - at), at), at, "no member or version line", []
+
+        def flushed(length: int, at: int = at, held: list = held) -> Iterator[tuple[int, int, dict | None, str]]:
+            nonlocal gap
+            if held and gap >= 0:
+                if at > gap:
+                    yield gap, at - gap, None, why
                 gap = -1
-            yield at, end - at, record, ""
+            while held:
+                yield at, length, held.pop(), ""
+
+        if begins.startswith(_GZIP):
+            member, fault = _Member(file, at, size), ""
+            for x in _unpacked(member):
+                if isinstance(x, str):
+                    fault = fault or x
+                else:
+                    yield from flushed(0)
+                    held.append(x)
+            fault = fault or member.fault or ("" if held else "no record in the member")
+            if not fault:
+                end = member.end
+                yield from flushed(end - at)
+            else:
+                yield from flushed(0)
+        elif begins.startswith(_VERSION):
+            record, n, fault = parse_record(_Plain(file, at, size))
+            if record:
+                held.append(record)
+                end = at + n
+                yield from flushed(n)
+        if end > at:
             at = end
         else:
             if gap < 0:
                 gap, why = at, fault
-            at = _next_of(data, at + 1)
+            step = _next_of(_Plain(file, at + 1, size), 0, (_GZIP, _VERSION))
+            at = size if step < 0 else at + 1 + step
     if gap >= 0:
-        yield gap, len(data) - gap, None, why
+        yield gap, size - gap, None, why
 
 
 def _read(batches: Iterator[pa.RecordBatch], keep_payload: bool) -> Iterator[pa.RecordBatch]:
@@ -205,18 +288,17 @@ def _read(batches: Iterator[pa.RecordBatch], keep_payload: bool) -> Iterator[pa.
     for batch in batches:
         for path in batch.column(0).to_pylist():
             system, at = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
-            with system.open_input_stream(at, compression=None) as f:
-                data = f.read()
             rows, size = [], 0
-            for offset, length, record, why in salvage(data):
-                row = {"path": path, "offset": offset, "length": length, "gap": why or None} | (record or {})
-                if not keep_payload:
-                    row["payload"] = None
-                rows.append(row)
-                size += len(row.get("payload") or b"") + 200
-                if size > 8_000_000:
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                    rows, size = [], 0
+            with system.open_input_file(at) as file:
+                for offset, length, record, why in salvage(file):
+                    row = {"path": path, "offset": offset, "length": length, "gap": why or None} | (record or {})
+                    if not keep_payload:
+                        row["payload"] = None
+                    rows.append(row)
+                    size += len(row.get("payload") or b"") + 200
+                    if size > 8_000_000:
+                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                        rows, size = [], 0
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
@@ -226,15 +308,18 @@ def read_warc(spark: SparkSession, archives: DataFrame, keep_payload: bool = Tru
 
     Columns: path, offset, length, record_type, uri, page_id, refers_to, payload_digest, payload_bytes,
     payload (null for revisits) and gap: null for records, and for a quarantined byte range the
-    reason. A task holds one archive file. Null paths are skipped; an empty list gives an empty result.
+    reason. A task reads its archives in slices and holds one record, and rows of about 8 MB. Null
+    paths are skipped; a path that is listed twice is read twice; an empty list gives an empty result.
     """
     paths = archives.select("path").filter("path is not null")
-    n = max(1, min(paths.count(), 4 * spark.sparkContext.defaultParallelism if paths.count() < 10_000 else 10_000))
-    return paths.repartition(n).mapInArrow(lambda it: _read(it, keep_payload), f"{RECORDS}, gap string")
+    return paths.repartition(max(1, min(paths.count(), 10_000))).mapInArrow(lambda it: _read(it, keep_payload), f"{RECORDS}, gap string")
 
 
 def warc_round_trip(pages: DataFrame, **how) -> DataFrame:
-    """Write ``pages`` to archives in the shared folder and return what reading them back gives, a row for each page."""
+    """Write ``pages`` to archives in the shared folder and return what reading them back gives, a row for each page.
+
+    Nulls, ties, repeated rows and empty tables are treated as by ``write_warc`` and ``read_warc``.
+    """
     spark = pages.sparkSession
     archives = write_warc(pages, new_path(spark, "warc"), **how)
     return read_warc(spark, archives, keep_payload=False).filter("gap is null").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "path", "offset")
