@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,7 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return token_counts(_read(spark, sf_dir, "documents"), str(public_tokenizers.path("word_bpe_49k.json")), limit=2048)
+    return token_counts(_read(spark, sf_dir, "documents"), str(public_tokenizers.path("word_bpe_49k.json")), limit=2048, chunk=8192)
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +43,9 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonymise(_read(spark, sf_dir, "documents"), key="corpus key of this release")
+    """The key is the session's ``spark.pseudonym.key``; where that is unset, one that nobody knows, so that pseudonyms can't be turned back and link within this run alone."""
+    key = spark.conf.get("spark.pseudonym.key", None) or secrets.token_hex(32)
+    return pseudonymise(_read(spark, sf_dir, "documents"), key=key)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

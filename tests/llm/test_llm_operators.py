@@ -11,14 +11,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from hockeylake.llm.components import connected_components
-from hockeylake.llm.decontaminate import contamination_report, drop_contaminated
+from hockeylake.llm.decontaminate import contaminated_documents, contamination_report, drop_contaminated
 from hockeylake.llm.exact_dedup import chunk_ends, drop_exact_duplicates, exact_duplicates
 from hockeylake.llm.language_id import drop_unidentified, identify_language, train_language_model
 from hockeylake.llm.license_scan import license_scan
 from hockeylake.llm.mixing import draw_mix, mixing_plan, split_quotas, targets
 from hockeylake.llm.ngram_join import drop_near_duplicates, near_duplicate_components, similar_documents
 from hockeylake.llm.pii import pseudonymise
-from hockeylake.llm.token_counts import count_by_resync, load_tokenizer, token_counts
+from hockeylake.llm.token_counts import count_by_resync, drops_space, load_tokenizer, token_counts
 from hockeylake.llm.toxicity import score_toxicity, train_toxicity_model
 from hockeylake.llm.warc import read_warc, record_bytes, salvage, warc_round_trip, write_warc
 
@@ -182,10 +182,24 @@ def test_resynchronised_counts_equal_whole_counts(name):
     for gap in (" ", "\n", "  \t"):
         text = gap.join("".join(rng.choice("abcdeéß漢.,'1 ") for _ in range(rng.randrange(1, 30))).strip() or "x" for _ in range(700))
         assert count_by_resync(text, encode, chunk=600, overlap=40) == count([text])[0]
+    assert drops_space(encode) == name.endswith(".json")
     endless = "".join(rng.choice("abcdef") for _ in range(5000))  # no boundary anywhere
     assert count_by_resync(endless, encode, chunk=600, overlap=40) == count([endless])[0]
 
 
+def test_resynchronisation_grows_with_the_text():
+    encoded = []
+
+    def encode(text):
+        encoded.append(len(text))
+        return [(ord(c), i, i + 1) for i, c in enumerate(text)]
+
+    for text in ("x" * 300_000, "x" * 150_000 + " " + "y" * 150_000, "word " * 60_000):
+        encoded.clear()
+        assert count_by_resync(text, encode, chunk=4096, overlap=256) == len(text)
+        assert sum(encoded) < 4 * len(text)
+
+
 def test_token_counts(spark, none):
     path = tokenizer_path("word_bpe_49k.json")
     count, _ = load_tokenizer(path)
@@ -257,6 +271,27 @@ def test_salvage_recovers_what_follows_damage(packed):
     assert list(salvage(b"")) == []
 
 
+def test_salvage_of_members_with_many_records():
+    made = []
+    for i in range(5):
+        payload = f"payload number {i} ".encode() * 9
+        made.append(record_bytes(i, f"http://x/{i}", payload, hashlib.sha256(payload).hexdigest(), len(payload), None))
+    whole = gzip.compress(b"".join(made))
+    pages = lambda data: [r["page_id"] for *_, r, _ in salvage(data) if r]
+    rows = list(salvage(made[0] + whole + made[1]))
+    assert [r["page_id"] for *_, r, _ in rows if r] == [0, 0, 1, 2, 3, 4, 1]
+    assert sum(n for _, n, *_ in rows) == len(made[0] + whole + made[1])
+    bad = bytearray(b"".join(made))
+    bad[len(made[0] + made[1]) - 30] ^= 0xFF
+    rows = list(salvage(gzip.compress(bytes(bad)) + made[0]))
+    assert [r["page_id"] for *_, r, _ in rows if r] == [0, 2, 3, 4, 0]
+    assert [why for *_, r, why in rows if not r] == ["block digest differs"]
+    assert pages(whole[:-9]) == [0, 1, 2, 3, 4] and 0 < len(pages(whole[: len(whole) // 2])) < 5
+    wrong = made[1].replace(b"Content-Length: 2", b"Content-Length: 99992")
+    assert pages(made[0] + wrong + made[2]) == [0, 2]
+    assert pages(b"WARC/1.1" * 40_000 + made[0]) == [0]
+
+
 def luhn(digits):
     total = sum(d if i % 2 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(map(int, digits)))
     return total % 10 == 0
@@ -282,11 +317,79 @@ def test_pii_round_trip_links_and_formats(spark, none):
     assert pseudonymise(none, "key").count() == 0
 
 
-def test_pii_is_a_permutation(spark):
-    days = spark.sql("SELECT id AS doc_id, date_format(date_add(DATE'1990-01-01', int(id)), 'yyyy-MM-dd') AS text FROM range(3000)")
-    out = pseudonymise(days, "k")
-    assert out.select("text").distinct().count() == 3000
-    assert out.filter("try_to_date(text) is null").count() == 0
+def test_pii_days_are_permuted_within_their_format(spark):
+    """All days of 400 years in four formats: images are different days of the format, and turn back."""
+    days = spark.range(146097).selectExpr("date_add(DATE'1800-01-01', int(id)) AS day")
+    forms = {"iso": "yyyy-MM-dd", "dmy": "dd/MM/yyyy", "mdy": "MM/dd/yyyy", "dots": "dd.MM.yyyy"}
+    texts = None
+    for name, form in forms.items():
+        part = days.filter("dayofmonth(day) > 12") if name == "mdy" else days
+        part = part.select(F.monotonically_increasing_id().alias("doc_id"), F.lit(name).alias("form"), F.date_format("day", form).alias("text"))
+        texts = part if texts is None else texts.union(part)
+    texts = texts.withColumn("doc_id", F.monotonically_increasing_id())
+    out = pseudonymise(texts, "k").select("doc_id", F.col("text").alias("image"), "n_date").cache()
+    back = pseudonymise(out.withColumnRenamed("image", "text"), "k", inverse=True).select("doc_id", F.col("text").alias("back"))
+    told = texts.join(out, "doc_id").join(back, "doc_id").selectExpr("*", "try_to_timestamp(image, CASE form WHEN 'iso' THEN 'yyyy-MM-dd' WHEN 'dots' THEN 'dd.MM.yyyy' WHEN 'dmy' THEN 'dd/MM/yyyy' ELSE 'MM/dd/yyyy' END) AS day")
+    for r in told.groupBy("form").agg(F.count("*").alias("n"), F.countDistinct("image").alias("images"), F.count_if(F.expr("text = back")).alias("back"), F.count_if(F.expr("day is null")).alias("bad"), F.count_if(F.expr("text = image")).alias("same")).collect():
+        assert r.images == r.n == r.back and r.bad == 0 and r.same < 10, r
+        assert r.n == (146097 if r.form != "mdy" else days.filter("dayofmonth(day) > 12").count())
+
+
+CARDS = ["4111 1111 1111 1111", "4111111111111111", "4111-1111-1111-1111", "3782 822463 10005", "30569309025904", "4242 4242 4242 4242", "6011 1111 1111 1117"]
+
+
+def test_pii_finds_numbers_beside_others(spark):
+    rng = random.Random(4)
+    tails = [" 12/27", " 123", "", ",", " 555-123-4567", " 4111 1111 1111 1111", " 7", " exp 12", " 5th", "."] + [f" {rng.randrange(10**k):0{k}}" for k in (1, 2, 3, 3, 4, 5, 6) for _ in range(8)]
+    heads = ["", "7 ", "x ", "12 345 ", "9999 ", "2024-02-29 "]
+    rows = [(i, h + c + t, c) for i, (h, c, t) in enumerate((h, c, t) for h in heads for c in CARDS for t in tails)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, card string")
+    out = pseudonymise(df, "key")
+    left = {r.doc_id: r.text for r in out.collect()}
+    assert not [(text, left[i]) for i, text, c in rows if c in left[i]]
+    back = {r.doc_id: r.text for r in pseudonymise(out.select("doc_id", "text"), "key", inverse=True).collect()}
+    assert [(text, left[i], back[i]) for i, text, c in rows if back[i] != text] == []
+    some = ["IBAN GB82 WEST 1234 5698 7654 32 PAID", "DE89 3704 0044 0532 0130 00", "BE68 5390 0754 7034 NEXT 4111 1111 1111 1111", "+44 20 7946 0958", "tel +49 (30) 901820 or +81-3-1234-5678", "a.b@c.example.org, x@y..com z@-q.com"]
+    df = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string")
+    out = {r.doc_id: r for r in pseudonymise(df, "key").collect()}
+    assert [(out[i].n_iban, out[i].n_card, out[i].n_phone, out[i].n_email) for i in range(6)] == [(1, 0, 0, 0), (1, 0, 0, 0), (1, 1, 0, 0), (0, 0, 1, 0), (0, 0, 2, 0), (0, 0, 0, 1)]
+    assert out[0].text.endswith(" PAID") and re.fullmatch(r"IBAN GB\d\d [A-Z]{4} \d{4} \d{4} \d{4} \d\d PAID", out[0].text)
+    assert out[3].text.startswith("+44 ") and "7946 0958" not in out[3].text
+    back = pseudonymise(spark.createDataFrame([(i, r.text) for i, r in out.items()], "doc_id long, text string"), "key", inverse=True).collect()
+    assert [r.text for r in sorted(back)] == some
+
+
+def long_texts(size=1_000_000):
+    fill = lambda unit: unit * (size // len(unit))
+    return [",".join(map(str, range(size // 6))), fill("Abc "), "a " + fill("Abc "), "a@" + fill("b."), fill("4111 1111 "), fill("1 2 3 4 "), fill("x"), fill("7"), fill("+1 (555) "), fill("A@"), fill("12/"), fill("GB82 WEST "), fill("word\n"), fill("\n\n"), fill("é"), "The " + fill("Aé B ")]
+
+
+def test_very_long_texts_end_no_task(spark):
+    """A megabyte of what patterns and splitters like least, through every operator that reads texts."""
+    from hockeylake.llm.language_id import LanguageModel
+    from hockeylake.llm.toxicity import ToxicityModel
+
+    texts = long_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8).withColumn("source", F.lit("s"))
+    bench = spark.createDataFrame([(1, ITEM), (2, "7 8"), (3, " ".join(map(str, range(40))))], "item_id long, text string")
+    n = len(texts)
+    assert {r.doc_id for r in contamination_report(docs, bench, any_case=True).filter("contaminated").collect()} == set()
+    assert pseudonymise(docs, "key").filter("text is not null").count() == n
+    assert license_scan(docs).count() == n
+    assert exact_duplicates(docs).filter("kept").count() == n
+    assert near_duplicate_components(docs).select("component_id").distinct().count() == n
+    from hockeylake.llm.language_id import FEATURES as LANGUAGE
+    from hockeylake.llm.toxicity import FEATURES as TOXIC
+
+    model = LanguageModel(["en"], np.ones(LANGUAGE), np.zeros((LANGUAGE, 1), dtype=np.float32), np.zeros(1), 1.0)
+    assert identify_language(docs, model).filter("score > 0").count() >= 9
+    assert score_toxicity(docs, ToxicityModel(np.zeros(TOXIC, dtype=np.float32), 0.0)).count() == n
+    assert mixing_plan(docs).count() == n
+    short = docs.filter("doc_id not in (1, 2)").withColumn("text", F.substring("text", 1, 100_000))
+    path = tokenizer_path("word_bpe_49k.json")
+    count, _ = load_tokenizer(path)
+    want = {r.doc_id: count([r.text])[0] for r in short.collect()}
+    assert {r.doc_id: r.n_tokens for r in token_counts(short, path).collect()} == want
 
 
 def test_toxicity_held_out_and_counterfactual(spark, none):
@@ -378,9 +481,25 @@ def test_decontamination_templates_and_slots(spark, none):
     assert contamination_report(docs, bench.limit(0)).filter("contaminated").count() == 0
 
 
-def test_decontamination_in_any_case(spark):
-    from hockeylake.llm.decontaminate import contaminated_documents
+def test_decontamination_of_short_items_ties_and_long_ones(spark):
+    long = " ".join(f"{w}{chr(97 + i // 24)}" for i in range(600) for w in [WORDS[i % 24]])
+    bench = spark.createDataFrame([(1, "Hello world"), (2, "42"), (3, "zz yy"), (3, ITEM), (4, long), (5, "")], "item_id long, text string")
+    rows = [(1, "hello, World!"), (2, "say hello world now"), (3, " 42\n"), (4, "42 43"), (5, ITEM), (6, "zz yy"), (7, long), (8, "x " + " ".join(long.split()[:320])), (9, " ".join(long.split()[:200])), (10, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for any_case in (False, True):
+        got = {(r.doc_id, r.item_id): (r.covered, r.n_windows) for r in contaminated_documents(docs, bench, any_case=any_case).collect()}
+        assert got == {(1, 1): (1, 1), (3, 2): (1, 1), (5, 3): (got[5, 3][1],) * 2, (7, 4): (593, 593), (8, 4): (313, 593)}
+
 
+def test_decontamination_shuffles_what_is_too_large_to_broadcast(spark):
+    bench = spark.createDataFrame([(1, ITEM), (2, "Mr Smith, Jane Doe, New York, Old Town and Alan B Turing met Lady Ada in Big Bend")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, ITEM), (2, "so Mr Smith, Jane Doe, New York, Old Town and Alan B Turing met Lady Ada in Big Bend."), (3, "Mr Jones, Tom Roe, Old York, New Town and Carl C Gauss met Lord Bob in Low Land")], "doc_id long, text string")
+    for rows in (0, 500_000):
+        found = contaminated_documents(docs, bench, broadcast_rows=rows, any_case=True)
+        assert {(r.doc_id, r.item_id) for r in found.collect()} == {(1, 1), (2, 2)}
+
+
+def test_decontamination_in_any_case(spark):
     german = "die lange Straße führt, an Weiß und Schwarz vorbei, bis an das große Haus am Fluss"
     bench = spark.createDataFrame([(1, ITEM), (2, german)], "item_id long, text string")
     rows = [(1, ITEM.upper()), (2, "say, " + ITEM.title() + " Done."), (3, german.upper()), (4, ITEM.lower()), (5, "WHEN BOB WALKS " + ITEM[30:].upper().replace("ALICE", "BOB").replace("PER HOUR", "A DAY")), (6, None), (7, ITEM)]
@@ -391,8 +510,6 @@ def test_decontamination_in_any_case(spark):
 
 
 def test_decontamination_spoilt_slots_spoil_their_windows_only(spark):
-    from hockeylake.llm.decontaminate import contaminated_documents
-
     long = "the farmer has 2 apples and puts all of them into the old basket " + " ".join(WORDS) + " before he sells 2 pears to the man at the gate"
     bench = spark.createDataFrame([(1, long), (2, ITEM)], "item_id long, text string")
     rows = [(1, long), (2, long.replace("2 pears", "7 pears")), (3, long.replace("2 apples", "3 apples").replace("2 pears", "5 pears")), (4, ITEM.replace("Alice", "Bob", 1).replace("Alice rests", "Susan rests"))]
@@ -403,8 +520,6 @@ def test_decontamination_spoilt_slots_spoil_their_windows_only(spark):
 
 
 def test_decontamination_of_items_that_are_mostly_values(spark):
-    from hockeylake.llm.decontaminate import contaminated_documents
-
     items = ["Compute 3 + 4 + 5 + 6", "What is 12 + 34 * 56?", "1 2 3 5 8 13 21 34 55 89 144 233", "Take 4 kg, 7 m, 9 km, 3 h and 12 lb. How many units are there in the list you were given here?", "1 2"]
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     rows = [(i, f"so: {x} That is all 7 8 9") for i, x in enumerate(items)] + [(10, "Compute 3 + 4 + 5 + 7"), (11, "what is 12 + 34 * 57?"), (12, "1 2 3 5 8 14 21 34 55 89 145 233"), (13, items[3].replace("4", "5").replace("7", "8")), (14, "COMPUTE 3+4+5+6")]
@@ -434,8 +549,6 @@ def test_decontamination_against_brute_force(spark):
                 want.add((i, j))
     docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
     bench = spark.createDataFrame([(j, " ".join(w)) for j, w in enumerate(items)], "item_id long, text string")
-    from hockeylake.llm.decontaminate import contaminated_documents
-
     assert {(r.doc_id, r.item_id) for r in contaminated_documents(docs, bench).collect()} == want
     assert want
 
