@@ -16,12 +16,12 @@ NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
 #: Stands for the blank before a capital within and before names.
 _JOIN = "\u0004"
 #: A capitalised word, or several in a row, not at the start of a sentence.
-_NAME = rf"(\p{{Ll}}{_JOIN}|[\p{{N}},;:] )(\p{{Lu}}[\p{{L}}\p{{M}}{_JOIN}]*)"
+_NAME = rf"([{_JOIN} ])(?<=\p{{Ll}}{_JOIN}|[\p{{N}},;:] )(\p{{Lu}}[\p{{L}}\p{{M}}{_JOIN}]*)"
 #: Stand for separators between digits.
 _BETWEEN = {"\\.": "\u0005", ",": "\u0006", ":": "\u0007", "/": "\u0008"}
 _NUMBER = r"[\p{N}\x05-\x08]+"
 _WORD = rf"[\p{{L}}\p{{M}}]+|{_NUMBER}"
-_TOKEN = rf"{NAME}[\p{{L}}\p{{M}}{_JOIN}]*|{NUMBER}{_NUMBER}|[\p{{L}}\p{{M}}]+"
+_TOKEN = rf"[\p{{L}}\p{{M}}]+|{NAME}[\p{{L}}\p{{M}}{_JOIN}]*|{NUMBER}{_NUMBER}"
 #: Tokens of a text that are taken at once: what is exploded carries so many and no whole text.
 SEGMENT = 256
 #: Words that are units after a number.
@@ -37,15 +37,15 @@ UNITS = tuple(
 def _numbers_marked(text: Column) -> Column:
     marked = text
     for mark, stand_in in _BETWEEN.items():
-        marked = F.regexp_replace(marked, rf"(?<=\p{{N}}){mark}(?=\p{{N}})", stand_in)
+        marked = F.regexp_replace(marked, rf"{mark}(?<=\p{{N}}{mark})(?=\p{{N}})", stand_in)
     return F.when(text.rlike(r"\p{N}[.,:/]\p{N}"), marked).otherwise(text)
 
 
 def _tokens(text: Column) -> Column:
     """Lower-case words; names and numbers with their sign before them."""
-    x = F.regexp_replace(text, r"(?<=[\p{L}\p{M}]) (?=\p{Lu})", _JOIN)
+    x = F.regexp_replace(text, r" (?<=[\p{L}\p{M}] )(?=\p{Lu})", _JOIN)
     x = F.regexp_replace(x, _NAME, f"$1 {NAME}$2 ")
-    x = F.regexp_replace(_numbers_marked(x), f"({_NUMBER})", f" {NUMBER}$1 ")
+    x = F.when(text.rlike(r"\p{N}"), F.regexp_replace(_numbers_marked(x), f"({_NUMBER})", f" {NUMBER}$1 ")).otherwise(x)
     return F.regexp_extract_all(F.lower(x), F.lit(_TOKEN), F.lit(0))
 
 
@@ -81,7 +81,9 @@ def _described(rows: DataFrame, key: str) -> DataFrame:
 def _segments(rows: DataFrame, arrays: tuple[str, ...], overlap: int, *others: str) -> DataFrame:
     """A row for each ``SEGMENT`` elements of the arrays, with ``overlap`` more of what follows; ``off`` elements come before."""
     some = lambda s: F.struct((s * SEGMENT).alias("off"), *(F.slice(a, s * SEGMENT + 1, F.lit(SEGMENT + overlap)).alias(a) for a in arrays))
-    rows = rows.filter(F.size(arrays[0]) > 0).select(*others, F.explode(F.transform(F.sequence(F.lit(0), F.floor((F.size(arrays[0]) - 1) / SEGMENT).cast("int")), some)).alias("segment"))
+    # No filter for empty arrays: it would go below what makes the arrays and have them made twice.
+    every = F.when(F.size(arrays[0]) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(arrays[0]) - 1) / SEGMENT).cast("int")), some))
+    rows = rows.select(*others, F.explode(every).alias("segment"))
     return rows.select(*others, "segment.*")
 
 
