@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hockeylake.llm.common import array_parts, sum_arrays
@@ -83,23 +84,31 @@ def _vector(at: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def train_language_model(
-    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", most: int = 4000, epochs: int = 3, l1: float = 0.002, l2: float = 0.05, seed: int = 7
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", most: int = 4000, most_langs: int = 200, epochs: int = 3, l1: float = 0.002, l2: float = 0.05, seed: int = 7
 ) -> LanguageModel:
     """Fit on ``docs``: rows with null language or text without a letter teach nothing.
 
-    Document frequencies come from every row. The weights are fitted on a sample of about ``most``
-    rows, spread evenly over the languages and chosen by a hash of the text, whose whole texts are
-    used; a fifth of it is held back to set the temperature. The sample's features are what reaches the driver.
+    Document frequencies come from every row. The weights are fitted on a sample of different texts, chosen by
+    a hash of the text and used whole: about ``most`` and never more than twice as many, spread evenly over the languages, of which the
+    ``most_langs`` with most rows are learned (of equally many the first by name). A fifth of the sample is
+    held back to set the temperature. The sample's features are what reaches the driver. Copies of a text
+    in one language count once, ties in the order of hashes fall together, an empty table gives a model without languages.
     """
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("lang is not null and text is not null")
     df = sum_arrays(rows.select("text").mapInArrow(_document_counts, "chunk int, counts binary"), 2 * FEATURES)
     idf = np.log((1 + df[FEATURES]) / (1 + df[:FEATURES])) + 0.1
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    langs = sorted(sizes)
+    rows = rows.withColumn("hash", F.xxhash64("text", F.lit(seed)))
+    # Estimated numbers of different texts: they set the share that is sampled, and nothing else.
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"), F.approx_count_distinct("hash").alias("n")).orderBy(F.desc("rows"), "lang").limit(most_langs).collect()
+    langs = sorted(r["lang"] for r in sizes)
     if not langs:
         return LanguageModel([], idf, np.zeros((FEATURES, 0)), np.zeros(0), 1.0)
-    share = F.coalesce(*(F.when(F.col("lang") == k, F.lit(min(1.0, most / len(langs) / n))) for k, n in sizes.items()))
-    chosen = rows.filter(F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1_000_003)) < share * 1_000_003).select("lang", "text")
+    each = most / len(langs)
+    bounds = docs.sparkSession.createDataFrame([(r["lang"], int(min(1.0, each / max(r["n"], 1)) * (2**62 - 1))) for r in sizes], "lang string, bound long")
+    chosen = rows.join(F.broadcast(bounds), "lang").filter(F.pmod("hash", F.lit(2**62)) <= F.col("bound"))  # at most most_langs rows
+    chosen = chosen.groupBy("lang", "hash").agg(F.first("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy(F.pmod("hash", F.lit(2**62)), "hash")
+    chosen = chosen.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= math.ceil(2 * each)).select("lang", "text")
     found = chosen.mapInArrow(_examples, "lang string, at binary, counts binary").toPandas().sort_values(["lang", "at", "counts"], ignore_index=True)
     # The features stay packed, as they came; a row is unpacked when its turn comes.
     data = [(at, counts, langs.index(lang)) for lang, at, counts in zip(found["lang"], found["at"], found["counts"], strict=True) if at]
