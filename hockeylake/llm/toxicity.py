@@ -19,16 +19,39 @@ _WORD = re.compile(r"[^\W\d_]+")
 _MEMO = 300_000
 
 #: Words that name groups of people; within a row one is swapped for another. Parameter of ``train_toxicity_model``.
-IDENTITY_TERMS = (
-    ("woman", "man", "girl", "boy", "female", "male", "transgender"),
-    ("women", "men", "girls", "boys", "females", "males"),
-    ("muslim", "christian", "jew", "hindu", "buddhist", "atheist", "catholic", "protestant"),
-    ("muslims", "christians", "jews", "hindus", "buddhists", "atheists", "catholics", "protestants"),
-    ("black", "white", "asian", "latino", "african", "european", "american", "arab"),
-    ("gay", "straight", "lesbian", "bisexual", "queer", "heterosexual"),
-    ("immigrant", "refugee", "native", "foreigner"),
-    ("old", "young", "elderly", "teenage"),
-    ("blind", "deaf", "disabled", "autistic"),
+IDENTITY_TERMS = tuple(
+    tuple(row.split())
+    for row in """
+woman man girl boy female male transgender
+women men girls boys females males
+muslim christian jew hindu buddhist atheist catholic protestant
+muslims christians jews hindus buddhists atheists catholics protestants
+black white asian latino african european american arab
+gay straight lesbian bisexual queer heterosexual
+immigrant refugee native foreigner
+old young elderly teenage
+blind deaf disabled autistic
+femme homme fille garçon
+femmes hommes filles garçons
+musulman chrétien juif hindou bouddhiste athée
+musulmans chrétiens juifs hindous bouddhistes athées
+noir blanc asiatique africain européen américain arabe
+homosexuel hétérosexuel bisexuel
+immigré réfugié étranger
+frau mann mädchen junge
+frauen männer
+muslime christen juden hindus buddhisten atheisten
+schwarze weiße asiaten afrikaner europäer amerikaner araber
+schwul lesbisch bisexuell heterosexuell
+einwanderer flüchtling ausländer
+mujer hombre niña niño
+mujeres hombres niñas niños
+musulmán cristiano judío budista ateo católico
+musulmanes cristianos judíos budistas ateos católicos
+negro blanco asiático africano europeo americano árabe
+homosexual heterosexual bisexual lesbiana
+inmigrante refugiado extranjero
+""".strip().splitlines()
 )
 
 
@@ -47,8 +70,12 @@ def _features(words: set[str]) -> np.ndarray:
 
 
 def counterfactual(words: set[str], terms: tuple[tuple[str, ...], ...], turn: int) -> set[str]:
-    """The words with each identity term swapped for another of its row."""
-    swaps = {w: row[(row.index(w) + 1 + turn % (len(row) - 1)) % len(row)] for row in terms if len(row) > 1 for w in row if w in words}
+    """The words with each identity term swapped for another of its row, the first that has it."""
+    swaps: dict[str, str] = {}
+    for row in terms:
+        for at, w in enumerate(row if len(row) > 1 else ()):
+            if w in words:
+                swaps.setdefault(w, row[(at + 1 + turn % (len(row) - 1)) % len(row)])
     return {swaps.get(w, w) for w in words}
 
 
@@ -84,9 +111,9 @@ def train_toxicity_model(
     l2: float = 0.2,
     seed: int = 11,
 ) -> ToxicityModel:
-    """Fit on the texts of ``docs`` that ``labels`` has a 0 or 1 for; null texts or labels teach nothing, of repeated labels the largest counts.
+    """Fit on the texts of ``docs`` that ``labels`` has a 0 or 1 for; null texts or labels teach nothing, of repeated labels the largest counts, of texts that share an id the least.
 
-    About ``most`` labelled ids, chosen by a hash of the id, are used with their whole texts: their
+    About ``most`` labelled ids, never more than twice as many, chosen by a hash of the id, are used with their whole texts: their
     distinct words and five-letter beginnings. That sample's ids are broadcast and its features come to
     the driver; both are bounded by ``most``. Each row with identity terms also has a counterfactual in
     which they are swapped, and ``penalty * (logit - counterfactual logit)^2`` is added to the loss, so
@@ -94,9 +121,10 @@ def train_toxicity_model(
     """
     known = labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("label")).filter("_id is not null and label in (0, 1)").groupBy("_id").agg(F.max("label").alias("label"))
     n = known.count()
-    chosen = known.filter(F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(1_000_003)) < F.lit(int(most / max(n, 1) * 1_000_003)))
+    place = F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(2**62))
+    chosen = known.filter(place <= int(min(1.0, most / max(n, 1)) * (2**62 - 1))).orderBy(place, "_id").limit(2 * most)
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
-    rows = texts.join(F.broadcast(chosen), "_id").select("label", "text")
+    rows = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "label").agg(F.min("text").alias("text")).select("label", "text")  # at most 2 * most ids
     found = rows.mapInArrow(lambda it: _examples(it, terms), "label int, own binary, other binary").toPandas().sort_values(["own", "label"], ignore_index=True)
     data = []
     for label, own, other in zip(found["label"], found["own"], found["other"], strict=True):
