@@ -11,10 +11,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hockeylake.llm.common import ASCII_LOWER, stash, texts
+from hockeylake.llm.common import ASCII_LOWER, intermediates, keep, stash, texts
 
 _GEAR = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
+#: Bytes that are hashed at once.
+_BLOCK = 1 << 20
+
 
 def chunk_ends(data: bytes, mean: int = 2048, least: int = 256, most: int = 16384) -> list[int]:
     """Ends of the content-defined chunks of ``data``: a boundary depends on the 32 bytes before it alone.
@@ -24,16 +27,18 @@ def chunk_ends(data: bytes, mean: int = 2048, least: int = 256, most: int = 1638
     n = len(data)
     if n <= least:
         return [n] if n else []
-    g = _GEAR[np.frombuffer(data, dtype=np.uint8)]
-    h = g.copy()
-    span = 1
-    while span < 32:  # h[i] = sum of g[i - k] << k over the last 2 * span bytes
-        shifted = h[:-span] << np.uint64(span)
-        h[span:] += shifted
-        span *= 2
-    cuts = np.flatnonzero((h >> np.uint64(20)) % np.uint64(mean) == 0) + 1
+    cuts = []
+    for first in range(0, n, _BLOCK):
+        before = min(first, 31)
+        h = _GEAR[np.frombuffer(data, dtype=np.uint8, count=min(n - first, _BLOCK) + before, offset=first - before)]
+        span = 1
+        while span < 32:  # h[i] = sum of g[i - k] << k over the last 2 * span bytes
+            shifted = h[:-span] << np.uint64(span)
+            h[span:] += shifted
+            span *= 2
+        cuts += (np.flatnonzero((h[before:] >> np.uint64(20)) % np.uint64(mean) == 0) + first + 1).tolist()
     ends, start = [], 0
-    for cut in [*cuts.tolist(), n]:
+    for cut in [*cuts, n]:
         while cut - start > most:
             start += most
             ends.append(start)
@@ -89,37 +94,39 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     any other and stays only if no row of its group has an id. Repeated rows share their verdict.
     An empty table gives an empty result. Other columns of ``docs`` are not read.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    recipes = stash(
-        rows.mapInArrow(lambda it: _recipes(it, mean_chunk), "doc_id long, n_bytes long, text_sha256 string, recipe binary, checks binary"),
-        "recipes",
-    )
-    clashes = stash(
-        recipes.filter("n_bytes > 0")
-        .select("recipe", "checks")
-        .mapInArrow(_chunks, "chunk binary, check binary")
-        .groupBy("chunk")
-        .agg(F.min("check").alias("low"), F.max("check").alias("high"))
-        .filter("low != high")
-        .select("chunk"),
-        "clashes",
-    )
-    key = F.col("recipe")
-    if not clashes.isEmpty():  # about one run in a million at 10^13 chunks would see any
-        at = recipes.select("doc_id", "recipe", F.explode(F.sequence(F.lit(0), F.length("recipe") / 8 - 1)).alias("i")).filter(F.length("recipe") > 0)
-        hit = at.select("recipe", F.expr("substring(recipe, 8 * i + 1, 8)").alias("chunk")).join(clashes, "chunk", "left_semi").select("recipe").distinct()
-        recipes = stash(recipes.join(hit.withColumn("hit", F.lit(True)), "recipe", "left"), "recipes")
-        key = F.when(F.col("hit"), F.concat("recipe", "checks")).otherwise(F.col("recipe"))
-    keyed = recipes.select("doc_id", "n_bytes", "text_sha256", key.alias("recipe"))
-    groups = stash(keyed.groupBy("n_bytes", "recipe").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1"), "groups")
-    # Only rows with a partner join; a group of a third of all rows is split by adaptive execution.
-    return keyed.join(groups, ["n_bytes", "recipe"], "left").select(
-        "doc_id",
-        F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"),
-        "text_sha256",
-    )
+    with intermediates(docs.sparkSession):
+        rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+        recipes = stash(
+            rows.mapInArrow(lambda it: _recipes(it, mean_chunk), "doc_id long, n_bytes long, text_sha256 string, recipe binary, checks binary"),
+            "recipes",
+        )
+        clashes = stash(
+            recipes.filter("n_bytes > 0")
+            .select("recipe", "checks")
+            .mapInArrow(_chunks, "chunk binary, check binary")
+            .groupBy("chunk")
+            .agg(F.min("check").alias("low"), F.max("check").alias("high"))
+            .filter("low != high")
+            .select("chunk"),
+            "clashes",
+        )
+        key = F.col("recipe")
+        if not clashes.isEmpty():  # about one run in a million at 10^13 chunks would see any
+            at = recipes.select("doc_id", "recipe", F.explode(F.sequence(F.lit(0), F.length("recipe") / 8 - 1)).alias("i")).filter(F.length("recipe") > 0)
+            hit = at.select("recipe", F.expr("substring(recipe, 8 * i + 1, 8)").alias("chunk")).join(clashes, "chunk", "left_semi").select("recipe").distinct()
+            recipes = stash(recipes.join(hit.withColumn("hit", F.lit(True)), "recipe", "left"), "recipes")
+            key = F.when(F.col("hit"), F.concat("recipe", "checks")).otherwise(F.col("recipe"))
+        keyed = recipes.select("doc_id", "n_bytes", "text_sha256", key.alias("recipe"))
+        groups = stash(keyed.groupBy("n_bytes", "recipe").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1"), "groups")
+        # Only rows with a partner join; a group of a third of all rows is split by adaptive execution.
+        verdict = keyed.join(groups, ["n_bytes", "recipe"], "left").select(
+            "doc_id",
+            F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+            F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
+            F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"),
+            "text_sha256",
+        )
+        return keep(verdict, "verdict")
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
