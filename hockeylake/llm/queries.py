@@ -85,11 +85,11 @@ _WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'AB
 
 
 def _canonical_sql(text: str) -> str:
-    x = rf"regexp_replace(lower({text}), '(?m)^[^\p{{L}}\p{{N}}\n]*(?:copyright[ \t]*(?:\(c\)|©|\d)|\(c\)[ \t]*\d|©)[^\n]*$', ' ', 'g')"
-    x = rf"' ' || trim(regexp_replace({x}, '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' '"
+    x = f"lower(regexp_replace({text}, '{licenses.COPYRIGHT_LINE}', ' ', 'g'))"
+    x = rf"' ' || trim(regexp_replace({x}, '[^\p{{L}}\p{{N}}]+', '  ', 'g')) || ' '"
     for said, meant in licenses.EQUIVALENT:
-        x = f"replace({x}, ' {said} ', ' {meant} ')"
-    return f"trim({x})"
+        x = f"replace({x}, ' {said.replace(' ', '  ')} ', ' {meant.replace(' ', '  ')} ')"
+    return f"trim(replace({x}, '  ', ' '))"
 
 
 def _quoted(text: str) -> str:
@@ -125,12 +125,19 @@ WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVW
 SELECT doc_id, max(doc_id) OVER p AS keep_id, count(*) OVER p AS group_size, doc_id = max(doc_id) OVER p AS kept, sha256(x) AS text_sha256
 FROM t WINDOW p AS (PARTITION BY x)""",
     "op3_license_scan": f"""
-WITH known AS (SELECT {_canonical_sql("text")} AS x, min(license_id) AS license_id FROM (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in licenses.NOTICES)}) v(license_id, text) GROUP BY 1),
+WITH given AS (SELECT * FROM (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in licenses.default_rows())}) v(license_id, text)),
+known AS MATERIALIZED (SELECT {_canonical_sql("text")} AS x, min(license_id) AS license_id, min_by(text, license_id) AS text FROM given GROUP BY 1),
+known_run AS MATERIALIZED (SELECT license_id, known, unnest(ps) AS x, unnest(range(len(ps))) AS j, len(ps) AS k FROM (
+  SELECT license_id, x AS known, list_filter(list_transform(regexp_split_to_array(text, '{licenses.BLANK_LINES}'), lambda p: {_canonical_sql("p")}), lambda p: p <> '') AS ps FROM known) WHERE len(ps) > 1),
 units AS (
   SELECT doc_id, TRUE AS whole, coalesce(text, '') AS u FROM documents
   UNION ALL SELECT doc_id, FALSE, unnest(list_distinct(string_split(coalesce(text, ''), chr(10)))) FROM documents
-  UNION ALL SELECT * FROM (SELECT doc_id, FALSE, unnest(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n\\s*')) AS u FROM documents WHERE contains(text, chr(10) || chr(10))) WHERE contains(u, chr(10))),
-found AS (SELECT doc_id, whole, license_id FROM (SELECT doc_id, whole, {_canonical_sql("u")} AS x FROM units) JOIN known USING (x))
+  UNION ALL SELECT doc_id, FALSE, unnest(list_distinct(list_filter(regexp_split_to_array(text, '{licenses.BLANK_LINES}'), lambda p: contains(p, chr(10))))) FROM documents WHERE regexp_matches(text, '{licenses.BLANK_LINES}')),
+runs AS (SELECT doc_id, unnest(ps) AS x, unnest(range(len(ps))) AS i FROM (
+  SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '{licenses.BLANK_LINES}'), lambda p: {_canonical_sql("p")}), lambda p: p <> '') AS ps FROM documents WHERE regexp_matches(text, '{licenses.BLANK_LINES}'))),
+found AS (
+  SELECT doc_id, whole, license_id FROM (SELECT doc_id, whole, {_canonical_sql("u")} AS x FROM units) JOIN known USING (x)
+  UNION ALL SELECT doc_id, FALSE, license_id FROM (SELECT doc_id, license_id, known, i - j, k FROM runs JOIN known_run USING (x) GROUP BY ALL HAVING count(DISTINCT j) = k))
 SELECT doc_id, min(CASE WHEN whole THEN license_id END) AS text_license, array_to_string(list_sort(list(DISTINCT license_id)), ',') AS licenses, count(*) FILTER (NOT whole) AS n_units
 FROM found GROUP BY doc_id
 UNION ALL SELECT doc_id, NULL, NULL, 0 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM found)""",

@@ -15,7 +15,7 @@ from hockeylake.llm.decontaminate import contaminated_documents, contamination_r
 from hockeylake.llm.exact_dedup import chunk_ends, drop_exact_duplicates, exact_duplicates
 from hockeylake.llm.language_id import drop_unidentified, identify_language, train_language_model
 from hockeylake.llm.license_scan import license_scan
-from hockeylake.llm.mixing import draw_mix, mixing_plan, split_quotas, targets
+from hockeylake.llm.mixing import draw_mix, mixing_plan, source_targets, split_quotas
 from hockeylake.llm.ngram_join import drop_near_duplicates, near_duplicate_components, similar_documents
 from hockeylake.llm.pii import pseudonymise
 from hockeylake.llm.token_counts import count_by_resync, drops_space, load_tokenizer, token_counts
@@ -222,6 +222,31 @@ def test_license_scan(spark, none):
     assert got[5] == ("reserved", "reserved", 1)
     assert got[6] == (None, "Apache-2.0", 1)
     assert license_scan(none).count() == 0
+
+
+def test_license_scan_of_whole_texts(spark):
+    from hockeylake.llm.license_scan import default_rows
+
+    known = dict(default_rows())
+    assert {"MIT", "Apache-2.0", "GPL-3.0", "BSD-3-Clause", "BSD-2-Clause", "ISC", "MPL-2.0"} <= set(known)
+    mit = known["MIT"].replace("<year> <copyright holders>", "2021 Jane Doe")
+    texts = [mit.upper(), f"/* {mit.replace('(c) ', '')} */", "Intro.\n\n" + mit.replace("sublicense", "sub-licence").replace("\n\n", "\n \n\n") + "\n\nThe end of it.", mit.replace("substantial portions", "parts"), known["Apache-2.0"], "x\n\n" + known["GPL-3.0"] + "\n\n" + known["ISC"], "licence licence licence, sub licence"]
+    texts.append("\n\n".join(reversed(mit.split("\n\n"))))
+    rows = [*enumerate(texts), (0, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"license_id": F.lit("x"), "digest": F.lit("y"), "_row": F.lit(3)})
+    extra = spark.createDataFrame([("mine", "license license license sublicense"), ("other", "Licence, licence, license. Sublicence"), (None, "x"), ("blank", " ")], "license_id string, text string")
+    from hockeylake.llm.license_scan import default_texts
+
+    for most in (0, 100_000):
+        got = license_scan(docs, default_texts(spark).union(extra), broadcast_rows=most).collect()
+        assert len(got) == len(rows)
+        got = {r.doc_id: (r.text_license, r.licenses) for r in got}
+        assert got[0] == got[1] == ("MIT", "MIT") and got[2] == (None, "MIT") and got[3] == (None, None)
+        assert got[4] == ("Apache-2.0", "Apache-2.0") and got[5] == (None, "GPL-3.0,ISC") and got[6] == ("mine", "mine") and got[7] == (None, None)
+
+
+def test_license_scan_without_known_texts(spark):
+    rows = spark.createDataFrame([(1, "Released under the MIT Licence")], "doc_id long, text string")
     assert license_scan(rows, spark.createDataFrame([], "license_id string, text string")).filter("licenses is not null").count() == 0
 
 
@@ -432,36 +457,80 @@ def test_language_id_held_out(spark, none):
     assert {r.lang_pred for r in identify_language(odd, train_language_model(docs.limit(0))).collect()} == {"und"}
 
 
-def test_targets_and_quotas():
-    got = targets({"a": 10, "b": 1000, None: 1000, "c": 0})
-    assert got["a"] == 20 and got["c"] == 0
-    assert abs(sum(got.values()) - 1.5 * 2010) < 1e-6
-    assert all(got[k] <= 2 * v for k, v in {"a": 10, "b": 1000, None: 1000}.items())
+def targets(sizes, weights=(5, 2, 1), total_share=1.5, most=2.0):
+    """The rule as it is told, source by source."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    left, free, out = total_share * sum(sizes.values()), list(order), {}
+    while free:
+        unit = left / sum(weight[s] for s in free)
+        above = [s for s in free if weight[s] * unit > most * sizes[s]]
+        if not above:
+            return out | {s: weight[s] * unit for s in free}
+        for s in above:
+            out[s] = most * sizes[s]
+            left -= out[s]
+        free = [s for s in free if s not in out]
+    return out
+
+
+@pytest.mark.parametrize("sizes", [{"a": 10, "b": 1000, None: 1000, "c": 0}, {f"s{i:03}": (i * 7919) % 1000 for i in range(300)}, {"x": 5}, {"é": 50, "z": 70, "": 8, "Z": 900}, {"a": 0}])
+def test_targets_against_the_rule(spark, sizes):
+    table = spark.createDataFrame(list(sizes.items()), "source string, words long")
+    got = {r.source: r.target for r in source_targets(table).collect()}
+    want = targets(sizes)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
+def test_quotas_are_split_exactly():
     quotas = np.array([500, 0, 31, 7])
-    deal = split_quotas(quotas, 6, np.random.default_rng(1))
-    assert deal.shape == (6, 4) and (deal.sum(axis=0) == quotas).all()
-    assert deal.sum(axis=1).max() - deal.sum(axis=1).min() <= 1
+    leaves = list(split_quotas(quotas, 0, 6, 1))
+    deal = np.array([q for *_, q in leaves])
+    assert [(a, b) for a, b, _ in leaves] == [(i, i + 1) for i in range(6)]
+    assert deal.shape == (6, 4) and (deal.sum(axis=0) == quotas).all() and (deal >= 0).all()
+    assert deal.sum(axis=1).max() - deal.sum(axis=1).min() <= 2
+    # In two goes the tree is the same.
+    again = [leaf for low, high, q in split_quotas(quotas, 0, 6, 1, depth=1) for leaf in split_quotas(q, low, high, 1)]
+    assert all((x[2] == y[2]).all() for x, y in zip(leaves, again, strict=True))
+    mean = np.mean([next(split_quotas(np.array([80, 20]), 0, 10, k))[2] for k in range(400)], axis=0)
+    assert abs(mean[0] - 8) < 0.3 and abs(mean[1] - 2) < 0.3
 
 
 def test_mixing_against_targets(spark, docs, none):
-    rows = [(i, "w " * (i % 17), f"s{i % 3}" if i % 50 else None) for i in range(3000)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    rows = [(i if i % 40 else None, "w " * (i % 17) + "x" * (i % 3), f"s{i % 3}" if i % 50 else None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("shard", F.lit("other"))
+    size = [len(t.split()) for _, t, _ in rows]
     plan = mixing_plan(df, block_docs=16).toPandas()
-    assert len(plan) == 3000 and (plan["size"] == plan.doc_id % 17).all()
-    assert (plan.taken <= 2 * plan["size"]).all()
-    want = targets(plan.groupby("source", dropna=False)["size"].sum().rename(index=lambda s: s if isinstance(s, str) else None).to_dict())
+    assert len(plan) == 3000 and sorted(plan["size"]) == sorted(size)
+    assert (plan.taken <= 2 * plan["size"]).all() and (plan.taken == plan.n_copies * plan["size"]).all()
+    want = targets({s: sum(n for n, r in zip(size, rows, strict=True) if r[2] == s) for s in ("s0", "s1", "s2", None)})
     for source, g in plan.groupby(plan.source.fillna("")):
-        assert abs(g.taken.sum() - want[source or None]) <= 17
+        assert abs(g.taken.sum() - want[source or None]) <= 18
         assert abs(g.target.iloc[0] - want[source or None]) < 1e-6
     again = mixing_plan(df.orderBy(F.desc("doc_id")), block_docs=16).toPandas()
-    key = lambda p: sorted(zip(p.doc_id, p.taken, map(tuple, p.shards), strict=True))
+    key = lambda p: sorted(zip(p.doc_id.fillna(-1), p["size"], p.taken, map(tuple, p.shards), strict=True))
     assert key(plan) == key(again)
-    drawn = draw_mix(df, block_docs=16, shards=4)
-    assert drawn.count() == plan.n_copies.sum()
-    assert mixing_plan(none).count() == 0
+    drawn = draw_mix(df, block_docs=16, shards=5).toPandas()
+    assert len(drawn) == plan.n_copies.sum() and set(drawn.columns) == {"doc_id", "text", "source", "shard", "place"}
+    assert set(drawn.shard) == set(range(5))
+    blocks = drawn.groupby("shard").size()
+    assert blocks.max() < 1.5 * blocks.min()
+    copies = Counter(drawn.doc_id.dropna())
+    assert all(copies[r.doc_id] == r.n_copies for r in plan.dropna(subset="doc_id").itertuples())
+    # A block goes to a shard as a whole: the rows of one draw are together.
+    assert mixing_plan(none).count() == 0 and draw_mix(none).count() == 0
     assert mixing_plan(docs).count() == docs.count()
 
 
+def test_many_sources_and_shards(spark):
+    df = spark.range(4000).selectExpr("id AS doc_id", "repeat('w ', int(1 + id % 5)) AS text", "concat('s', id % 700) AS source")
+    plan = mixing_plan(df, block_docs=2, shards=150).toPandas()
+    want = targets(plan.groupby("source")["size"].sum().to_dict())
+    for source, g in plan.groupby("source"):
+        assert abs(g.taken.sum() - want[source]) <= 5
+    assert len({s for shards in plan.shards for s in shards}) > 140
+
+
 ITEM = "When Alice walks 12 km in 3 hours and then Alice rests for 2 days, how far does Alice walk per hour today?"
 
 
@@ -569,7 +638,7 @@ def test_pipeline_stages_keep_their_contract(spark, tmp_path):
         stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{k}")
         docs = spark.read.parquet(f"{tmp_path}/{k}")
         assert k == 4 or docs.columns == columns
-        assert docs.count() <= before
+        assert k == 4 or docs.count() <= before
         before = docs.count()
     kept = {r.doc_id for r in docs.collect()}
     assert 9001 not in kept and not kept & {5001, 5002, 5003}
