@@ -5,29 +5,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hockeylake.functions import blank_to_null, clean_text, clock_seconds, cross_save_pct, first_list, game_type, localised, measure, overtime_flags, points_210, position, season_year, zero_to_null
-
-_PLAYER = "playerId long, position string, sweaterNumber long, goals long, assists long, points long, plusMinus long, sog long, pim long, toi string, hits long, powerPlayGoals long, blockedShots long, giveaways long, takeaways long, saves long, shotsAgainst long, goalsAgainst long, savePctg double"
-_SIDE = "id long, abbrev string, score long, sog long"
-
+from hockeylake.functions import blank_to_null, clean_text, clock_seconds, cross_save_pct, first_list, game_type, goals_against_average, leading_date, localised, measure, overtime_flags, points_210, position, season_year, zero_to_null
+from hockeylake.operators.gold import keep_first
 
 def _struct(fields: str) -> str:
-    return "struct<" + ", ".join(f"{n}: {t}" for n, t in (f.split(" ", 1) for f in fields.split(", "))) + ">"
-
-
-_P, _S = _struct(_PLAYER), _struct(_SIDE)
+    return "struct<" + ", ".join(f"{n}: {t}" for n, t in (f.rsplit(" ", 1) for f in fields.split(", "))) + ">"
+
+
+def _typed(names: str, kind: str) -> str:
+    return ", ".join(f"{n} {kind}" for n in names.split())
+
+
+#: Columns of a player row and the keys that hold them, in the boxscore and in the live data's skater stats.
+_SKATER = {
+    "goals": ("goals", "goals"), "assists": ("assists", "assists"), "points": ("points", "points"), "plus_minus": ("plusMinus", "plusMinus"), "shots": ("sog", "shots"), "pim": ("pim", "penaltyMinutes"), "hits": ("hits", "hits"),
+    "power_play_goals": ("powerPlayGoals", "powerPlayGoals"), "short_handed_goals": ("shortHandedGoals", "shortHandedGoals"), "blocked_shots": ("blockedShots", "blocked"), "shifts": ("shifts", "shift"), "giveaways": ("giveaways", "giveaways"), "takeaways": ("takeaways", "takeaways"),
+}
+#: The same for goalies alone, in the boxscore and in the live data's goalie stats.
+_GOALIE = {
+    "saves": ("saves", "saves"), "shots_against": ("shotsAgainst", "shots"), "goals_against": ("goalsAgainst", "goalsAgainst"), "even_strength_goals_against": ("evenStrengthGoalsAgainst", "evenStrengthGoalsAgainst"), "power_play_goals_against": ("powerPlayGoalsAgainst", "powerPlayGoalsAgainst"),
+    "shorthanded_goals_against": ("shorthandedGoalsAgainst", "shortHandedGoalsAgainst"), "even_strength_shots_against": ("evenStrengthShotsAgainst", "evenStrengthShotsAgainst"), "power_play_shots_against": ("powerPlayShotsAgainst", "powerPlayShotsAgainst"), "shorthanded_shots_against": ("shorthandedShotsAgainst", "shorthandedShotsAgainst"),
+}
+#: Columns of a team and the keys that hold them, the first present first; a sum over players has the first name in the boxscore.
+_TEAM = {
+    "sog": ("sog", "shots", "shotsOnGoal"), "pp_goals": ("powerPlayGoals", "powerPlayGoalCount"), "pp_opportunities": ("powerPlayOpportunities",), "hits": ("hits",), "blocked": ("blocked", "blockedShots"), "pim": ("pim", "penaltyMinutes"),
+    "giveaways": ("giveaways",), "takeaways": ("takeaways",),
+}
+_SUMMED = {"sog": "sog", "pp_goals": "powerPlayGoals", "hits": "hits", "blocked": "blockedShots", "pim": "pim", "giveaways": "giveaways", "takeaways": "takeaways"}
+
+_P = _struct("playerId long, position string, sweaterNumber long, toi string, faceoffWinningPctg double, savePctg double, " + _typed(" ".join(dict.fromkeys(a for a, _ in (_SKATER | _GOALIE).values())), "long"))
+_TEAM_KEYS = _typed(" ".join(dict.fromkeys(k for keys in _TEAM.values() for k in keys)), "long")
+_S = _struct(f"id long, abbrev string, score long, {_TEAM_KEYS}")
 _STATS = f"struct<forwards: array<{_P}>, defense: array<{_P}>, goalies: array<{_P}>>"
 _PLAY = "struct<about: struct<eventId: long, period: string, periodTime: string>, result: struct<eventTypeId: string, description: string>, team: struct<triCode: string>, players: array<struct<player: struct<id: long>, playerId: long>>>"
-_LIVE_PLAYER = "struct<person: struct<id: long>, jerseyNumber: string, position: struct<abbreviation: string>, stats: struct<skaterStats: struct<goals: long, assists: long, shots: long, hits: long, blocked: long, penaltyMinutes: long, timeOnIce: string>, goalieStats: struct<saves: long, shots: long, timeOnIce: string>>>"
-_LIVE_SIDE = f"struct<team: struct<triCode: string>, players: map<string, {_LIVE_PLAYER}>>"
+_SKATER_STATS = _struct("timeOnIce string, faceOffWinPercentage double, " + _typed(" ".join(b for _, b in _SKATER.values()), "long"))
+_GOALIE_STATS = _struct("timeOnIce string, savePercentage double, " + _typed(" ".join(b for _, b in _GOALIE.values()), "long"))
+_LIVE_PLAYER = f"struct<person: struct<id: long>, jerseyNumber: string, position: struct<abbreviation: string>, stats: struct<skaterStats: {_SKATER_STATS}, goalieStats: {_GOALIE_STATS}>>"
+_LIVE_TEAM = f"struct<teamSkaterStats: {_struct('faceOffWinPercentage string, ' + _TEAM_KEYS)}, teamGoalieStats: {_struct(_TEAM_KEYS)}>"
+_LIVE_SIDE = f"struct<team: struct<triCode: string>, teamStats: {_LIVE_TEAM}, players: map<string, {_LIVE_PLAYER}>>"
+_GAME_TEAM = "struct<id: long, abbreviation: string, triCode: string>"
+_GAME_DATA = f"struct<game: struct<pk: long, season: long, type: string>, status: struct<detailedState: string>, venue: struct<name: string>, teams: struct<home: {_GAME_TEAM}, away: {_GAME_TEAM}>>"
 
 #: Both layouts of a game document: the boxscore and the live data.
 GAME = f"""gameId string, date string,
-boxscore struct<id: long, season: long, gameState: string, gameType: string, startTimeUTC: string, regPeriods: long, venue: struct<default: string>, gameOutcome: struct<otPeriods: long, lastPeriodType: string>,
+boxscore struct<id: long, season: long, gameDate: string, gameState: string, gameType: string, startTimeUTC: string, regPeriods: long, limitedScoring: boolean, venue: struct<default: string>, venueLocation: struct<default: string>,
+  gameOutcome: struct<otPeriods: long, lastPeriodType: string>, periodDescriptor: struct<number: long, periodType: string>, gameData: {_GAME_DATA},
   homeTeam: {_S}, awayTeam: {_S}, playerByGameStats: struct<homeTeam: {_STATS}, awayTeam: {_STATS}>>,
 playByPlay struct<plays: array<{_PLAY}>, allPlays: array<{_PLAY}>>,
 gameStory struct<headline: string, title: string, body: string, article: string>,
-gameData struct<game: struct<pk: long, season: long, type: string>, status: struct<detailedState: string>, venue: struct<name: string>, teams: struct<home: struct<id: long, abbreviation: string>, away: struct<id: long, abbreviation: string>>>,
+gameData {_GAME_DATA},
 liveData struct<linescore: struct<teams: struct<home: struct<goals: long>, away: struct<goals: long>>>, plays: struct<allPlays: array<{_PLAY}>>, boxscore: struct<teams: struct<home: {_LIVE_SIDE}, away: {_LIVE_SIDE}>>>"""
 
 
@@ -42,65 +68,105 @@ def _all_players(side: str) -> Column:
     return F.concat(*(F.coalesce(stats[g], none) for g in ("forwards", "defense", "goalies")))
 
 
-def _total(side: str, field: str) -> Column:
-    """A side's sum over its players; 0 is null."""
-    return zero_to_null(F.aggregate(_all_players(side), F.lit(0).cast("bigint"), lambda s, p: s + F.coalesce(p[field], F.lit(0))))
+def _sums(side: str) -> Column:
+    """A side's sums over its players, in one pass over them."""
+    zero = F.struct(*(F.lit(0).cast("bigint").alias(n) for n in _SUMMED))
+    return F.aggregate(_all_players(side), zero, lambda s, p: F.struct(*((s[n] + F.coalesce(p[k], F.lit(0))).alias(n) for n, k in _SUMMED.items())))
+
+
+def _team_stat(side: str, keys: tuple[str, ...]) -> Column:
+    """A team's number where players have none of their own: of each key the team's, else its skaters', where 0 counts as absent, else its goalies'."""
+    team, live = F.col(f"doc.boxscore.{side}Team"), F.col(f"doc.liveData.boxscore.teams.{side}.teamStats")
+    return F.coalesce(*(x for k in keys for x in (zero_to_null(team[k]), zero_to_null(live["teamSkaterStats"][k]), live["teamGoalieStats"][k])))
+
+
+def _game_id() -> Column:
+    return F.coalesce(F.col("doc.gameId").try_cast("bigint"), F.col("doc.boxscore.id"), F.col("doc.boxscore.gameData.game.pk"), F.col("doc.gameData.game.pk"))
+
+
+def _played(*more: str) -> Column:
+    return F.coalesce(F.col("game_date").try_cast("date"), *(leading_date(F.col(f"doc.{c}")) for c in ("date", *more)))
 
 
 def extract_games(parsed: DataFrame, strict: bool = True) -> DataFrame:
-    """One row a game from either layout; the boxscore counts where it has a home team."""
-    box = F.col("doc.boxscore.homeTeam").isNotNull()
-    live = "doc.liveData.linescore.teams"
-    pick = lambda a, b: F.when(box, F.col(f"doc.{a}")).otherwise(F.col(f"doc.{b}"))
+    """One row of 41 columns a game from either layout; the boxscore counts where it has a home team.
+
+    Team numbers are sums over the players where the document lists them, 0 being null, but for shots if the team
+    has its own; else they are the team's, in the boxscore or the live data. Power-play chances and the share of
+    face-offs are in the live data alone.
+    """
+    box, listed = F.col("doc.boxscore.homeTeam").isNotNull(), F.col("doc.boxscore.playerByGameStats").isNotNull()
+    data = lambda path: F.coalesce(F.col(f"doc.boxscore.gameData.{path}"), F.col(f"doc.gameData.{path}"))
+    pick = lambda a, b: F.when(box, F.col(f"doc.boxscore.{a}")).otherwise(b)
+    parsed = parsed.select("game_date", "doc", F.struct(_sums("home").alias("home"), _sums("away").alias("away")).alias("sums"))
+
+    def stat(side: str, name: str) -> Column:
+        own = F.lit(None).cast("bigint")
+        if name in _SUMMED:
+            own = zero_to_null(F.col(f"sums.{side}.{name}"))
+        if name == "sog":
+            own = F.coalesce(F.col(f"doc.boxscore.{side}Team.sog"), own)
+        return F.when(listed, own).otherwise(_team_stat(side, _TEAM[name]))
+
+    sides = ("home", "away")
     df = parsed.select(
-        F.coalesce(pick("boxscore.id", "gameData.game.pk"), F.col("doc.gameId").try_cast("bigint")).alias("game_id"),
-        F.col("game_date"),
-        pick("boxscore.season", "gameData.game.season").alias("season"),
-        pick("boxscore.gameType", "gameData.game.type").alias("game_type"),
-        pick("boxscore.gameState", "gameData.status.detailedState").alias("status"),
-        F.col("doc.boxscore.gameOutcome.lastPeriodType").alias("last_period_type"),
-        pick("boxscore.venue.default", "gameData.venue.name").alias("venue"),
-        pick("boxscore.homeTeam.id", "gameData.teams.home.id").alias("home_team_id"),
-        pick("boxscore.homeTeam.abbrev", "gameData.teams.home.abbreviation").alias("home_team_abbr"),
-        pick("boxscore.awayTeam.id", "gameData.teams.away.id").alias("away_team_id"),
-        pick("boxscore.awayTeam.abbrev", "gameData.teams.away.abbreviation").alias("away_team_abbr"),
-        F.when(box, F.col("doc.boxscore.homeTeam.score")).otherwise(F.col(f"{live}.home.goals")).alias("home_score"),
-        F.when(box, F.col("doc.boxscore.awayTeam.score")).otherwise(F.col(f"{live}.away.goals")).alias("away_score"),
-        # A side's own number, else the sum over its players.
-        *(F.coalesce(F.col(f"doc.boxscore.{s}Team.sog"), _total(s, "sog")).alias(f"{s}_sog") for s in ("home", "away")),
-        *(_total(s, f).alias(f"{s}_{n}") for s in ("home", "away") for f, n in (("hits", "hits"), ("pim", "pim"), ("powerPlayGoals", "pp_goals"), ("blockedShots", "blocked"))),
-    )
+        _game_id().alias("game_id"), _played("boxscore.gameDate").alias("game_date"), pick("season", data("game.season")).alias("season"),
+        *(pick(f"{s}Team.abbrev", F.coalesce(data(f"teams.{s}.abbreviation"), data(f"teams.{s}.triCode"))).alias(f"{s}_team_abbr") for s in sides),
+        *(pick(f"{s}Team.id", data(f"teams.{s}.id")).alias(f"{s}_team_id") for s in sides),
+        *(pick(f"{s}Team.score", F.col(f"doc.liveData.linescore.teams.{s}.goals")).alias(f"{s}_score") for s in sides),
+        F.coalesce(data("status.detailedState"), F.col("doc.boxscore.gameState")).alias("status"),
+        *(stat(s, n).alias(f"{s}_{n}") for n in _TEAM for s in sides),
+        *(F.when(~listed, F.col(f"doc.liveData.boxscore.teams.{s}.teamStats.teamSkaterStats.faceOffWinPercentage").try_cast("double")).alias(f"{s}_faceoff_pct") for s in sides),
+        F.coalesce(blank_to_null(F.col("doc.boxscore.venue.default")), data("venue.name")).alias("venue"), F.col("doc.boxscore.venueLocation.default").alias("venue_location"), F.col("doc.boxscore.startTimeUTC").alias("start_time_utc"),
+        F.col("doc.boxscore.regPeriods").alias("reg_periods"), F.coalesce(F.col("doc.boxscore.gameType"), data("game.type")).alias("game_type"), F.col("doc.boxscore.limitedScoring").alias("limited_scoring"), F.col("doc.boxscore.gameState").alias("game_state"),
+        F.col("doc.boxscore.gameOutcome.otPeriods").alias("ot_periods"), F.col("doc.boxscore.gameOutcome.lastPeriodType").alias("last_period_type"), F.col("doc.boxscore.periodDescriptor.number").alias("period_number"), F.col("doc.boxscore.periodDescriptor.periodType").alias("period_type"),
+    )
     extra = F.col("status").rlike("OT|SO|Shootout") if strict else F.col("last_period_type").isin("OT", "SO")
     return df.withColumn("home_points", points_210(F.col("home_score"), F.col("away_score"), extra)).withColumn("away_points", points_210(F.col("away_score"), F.col("home_score"), extra))
 
 
 def extract_players(parsed: DataFrame) -> DataFrame:
-    """One row a player and game, from the boxscore's groups or the live data's maps."""
-    game = F.coalesce(F.col("doc.boxscore.id"), F.col("doc.gameData.game.pk")).alias("game_id")
-    side = lambda s: F.transform(_all_players(s), lambda p: F.struct(F.lit(s == "home").alias("is_home"), F.col(f"doc.boxscore.{s}Team.abbrev").alias("team_abbr"), p.alias("p")))
-    a = parsed.select(game, "game_date", F.explode(F.concat(side("home"), side("away"))).alias("s"))
-    goalie = F.upper("s.p.position") == "G"
-    a = a.select(
-        "game_id", "game_date", F.col("s.p.playerId").alias("player_id"), F.col("s.is_home").alias("is_home"), F.col("s.team_abbr").alias("team_abbr"), position(F.col("s.p.position")).alias("position"),
-        F.col("s.p.goals").alias("goals"), F.col("s.p.assists").alias("assists"), F.coalesce("s.p.points", F.col("s.p.goals") + F.col("s.p.assists")).alias("points"), F.col("s.p.sog").alias("shots"), clock_seconds(F.col("s.p.toi")).alias("toi_seconds"),
-        F.when(goalie, F.col("s.p.saves")).alias("saves"), F.when(goalie, F.col("s.p.shotsAgainst")).alias("shots_against"),
+    """One row of 33 columns a player and game, from the boxscore's groups or else the live data's maps; numbers of goalies are null for others.
+
+    Both layouts make one array of equal entries for each document, which is exploded once. Points that a document leaves out are goals and assists.
+    """
+    def entry(s: str, team: Column, goalie: Column, values: dict[str, Column]) -> Column:
+        return F.struct(F.lit(s == "home").alias("is_home"), team.alias("team_abbr"), goalie.alias("is_goalie"), *(v.alias(n) for n, v in values.items()))
+
+    def boxscore(s: str) -> Column:
+        of = F.col(f"doc.boxscore.playerByGameStats.{s}Team")
+        team = F.col(f"doc.boxscore.{s}Team.abbrev")
+        one = lambda keeps: lambda p: entry(
+            s, team, F.lit(True) if keeps else F.coalesce(position(p["position"]) == "G", F.lit(False)),
+            {"player_id": p["playerId"], "position": p["position"], "sweater_number": p["sweaterNumber"], "toi": p["toi"], "goalie_toi": p["toi"], "faceoff_win_pct": p["faceoffWinningPctg"], "save_pct": p["savePctg"]} | {n: p[k] for n, (k, _) in (_SKATER | _GOALIE).items()},
+        )
+        empty = F.array().cast(f"array<{_P}>")
+        return F.concat(*(F.transform(F.coalesce(of[g], empty), one(g == "goalies")) for g in ("forwards", "defense", "goalies")))
+
+    def live(s: str) -> Column:
+        of = F.col(f"doc.liveData.boxscore.teams.{s}")
+
+        def one(p: Column) -> Column:
+            sk, go = p["stats"]["skaterStats"], p["stats"]["goalieStats"]
+            values = {"player_id": p["person"]["id"], "position": p["position"]["abbreviation"], "sweater_number": p["jerseyNumber"].try_cast("bigint"), "toi": sk["timeOnIce"], "goalie_toi": F.coalesce(go["timeOnIce"], sk["timeOnIce"]), "faceoff_win_pct": sk["faceOffWinPercentage"], "save_pct": go["savePercentage"]}
+            return entry(s, of["team"]["triCode"], F.coalesce(position(p["position"]["abbreviation"]) == "G", F.lit(False)), values | {n: sk[k] for n, (_, k) in _SKATER.items()} | {n: go[k] for n, (_, k) in _GOALIE.items()})
+
+        return F.transform(F.coalesce(F.map_values(of["players"]), F.array().cast(f"array<{_LIVE_PLAYER}>")), one)
+
+    both = F.when(F.col("doc.boxscore.playerByGameStats").isNotNull(), F.concat(boxscore("home"), boxscore("away"))).otherwise(F.concat(live("home"), live("away")))
+    x = parsed.select(_game_id().alias("game_id"), _played().alias("game_date"), F.explode(both).alias("p"))
+    kept = lambda n: F.when(F.col("p.is_goalie"), F.col(f"p.{n}")).alias(n)
+    own = {n: F.col(f"p.{n}") for n in _SKATER} | {"points": F.coalesce("p.points", F.col("p.goals") + F.col("p.assists"))}
+    return x.select(
+        "game_id", "game_date", "p.player_id", "p.team_abbr", "p.is_home", position(F.col("p.position")).alias("position"), "p.sweater_number", *(c.alias(n) for n, c in own.items()), clock_seconds(F.col("p.toi")).alias("toi_seconds"), "p.faceoff_win_pct",
+        *map(kept, _GOALIE), kept("save_pct"), F.when(F.col("p.is_goalie"), goals_against_average(F.col("p.goals_against"), clock_seconds(F.col("p.goalie_toi")))).alias("gaa"),
     )
-    teams = "doc.liveData.boxscore.teams"
-    live = lambda s: F.transform(F.map_values(F.col(f"{teams}.{s}.players")), lambda p: F.struct(F.lit(s == "home").alias("is_home"), F.col(f"{teams}.{s}.team.triCode").alias("team_abbr"), p.alias("p")))
-    b = parsed.filter(F.col("doc.boxscore.homeTeam").isNull()).select(game, "game_date", F.explode(F.concat(live("home"), live("away"))).alias("s"))
-    sk, go = "s.p.stats.skaterStats", "s.p.stats.goalieStats"
-    b = b.select(
-        "game_id", "game_date", F.col("s.p.person.id").alias("player_id"), F.col("s.is_home").alias("is_home"), F.col("s.team_abbr").alias("team_abbr"), position(F.col("s.p.position.abbreviation")).alias("position"),
-        F.col(f"{sk}.goals").alias("goals"), F.col(f"{sk}.assists").alias("assists"), (F.col(f"{sk}.goals") + F.col(f"{sk}.assists")).alias("points"), F.col(f"{sk}.shots").alias("shots"), clock_seconds(F.coalesce(f"{sk}.timeOnIce", f"{go}.timeOnIce")).alias("toi_seconds"),
-        F.col(f"{go}.saves").alias("saves"), F.col(f"{go}.shots").alias("shots_against"),
-    )
-    return a.unionByName(b)
 
 
 def extract_events(parsed: DataFrame) -> DataFrame:
     """One row a play; the event id is the play's own or its place, players are the first two ids of the first three entries."""
     plays = F.coalesce("doc.playByPlay.plays", "doc.playByPlay.allPlays", "doc.liveData.plays.allPlays")
-    df = parsed.select(F.coalesce(F.col("doc.boxscore.id"), F.col("doc.gameData.game.pk")).alias("game_id"), "game_date", F.posexplode(plays).alias("pos", "e"))
+    df = parsed.select(_game_id().alias("game_id"), "game_date", F.posexplode(plays).alias("pos", "e"))
     ids = F.filter(F.transform(F.slice("e.players", 1, 3), lambda p: F.coalesce(p["player"]["id"], p["playerId"])), lambda i: i > 0)
     return df.select(
         "game_id", "game_date", F.coalesce("e.about.eventId", F.col("pos").cast("bigint")).alias("event_id"), F.upper("e.result.eventTypeId").alias("event_type"), F.col("e.about.period").alias("period"), clock_seconds(F.col("e.about.periodTime")).alias("period_seconds"),
@@ -110,7 +176,7 @@ def extract_events(parsed: DataFrame) -> DataFrame:
 
 def extract_stories(parsed: DataFrame) -> DataFrame:
     s = "doc.gameStory"
-    df = parsed.select(F.coalesce(F.col("doc.boxscore.id"), F.col("doc.gameData.game.pk")).alias("game_id"), F.substring(F.coalesce(f"{s}.headline", f"{s}.title", F.lit("")), 1, 1000).alias("headline"), F.substring(F.coalesce(f"{s}.body", f"{s}.article", F.lit("")), 1, 50000).alias("body"))
+    df = parsed.select(_game_id().alias("game_id"), F.substring(F.coalesce(f"{s}.headline", f"{s}.title", F.lit("")), 1, 1000).alias("headline"), F.substring(F.coalesce(f"{s}.body", f"{s}.article", F.lit("")), 1, 50000).alias("body"))
     return df.filter("headline != '' OR body != ''")
 
 
@@ -156,14 +222,35 @@ def roster_with_teams(roster: DataFrame, teams: DataFrame) -> DataFrame:
     return roster.join(teams.select("team_id", F.col("abbr").alias("team_abbr")), "team_id", "left")
 
 
+def roster_from_players_by_team(docs: DataFrame, season: str) -> DataFrame:
+    """``(season, team_id, player_id, team_abbr)`` from players by team, for seasons without rosters: a map of team to a list of groups, or teams with groups below ``players.data.items``, ``teams.data.items``, ``teams``, ``data`` or ``items``."""
+    keyed = docs.select(F.explode(F.try_variant_get("doc", "$", "map<string,variant>")).alias("id", "v")).select(F.col("id").try_cast("bigint").alias("team_id"), F.try_variant_get("v", "$[0]", "variant").alias("t")).filter("team_id IS NOT NULL AND t IS NOT NULL")
+    keyed = keyed.withColumn("team_abbr", F.lit(None).cast("string"))
+    listed = F.coalesce(*(F.try_variant_get("doc", p, "array<variant>") for p in ("$.players.data.items", "$.teams.data.items", "$.teams", "$.data", "$.items", "$")))
+    teams = docs.select(F.explode(listed).alias("t")).select(F.coalesce(_long("t", "$.id"), _long("t", "$.franchiseId")).alias("team_id"), "t", F.coalesce(_text("t", "$.abbrev"), _text("t", "$.abbreviation"), _text("t", "$.triCode")).alias("team_abbr"))
+    none = F.array().cast("array<variant>")
+    groups = F.concat(*(F.coalesce(F.try_variant_get("t", f"$.{g}", "array<variant>"), none) for g in ("forwards", "defensemen", "goalies")))
+    people = keyed.unionByName(teams).select("team_id", "team_abbr", F.explode(groups).alias("p"))
+    return people.select(F.lit(season).alias("season"), "team_id", F.coalesce(_long("p", "$.id"), _long("p", "$.playerId"), _long("p", "$")).alias("player_id"), "team_abbr").filter("player_id IS NOT NULL").dropDuplicates(["team_id", "player_id"])
+
+
+def roster_or_fallback(roster: DataFrame, fallback: DataFrame) -> DataFrame:
+    """The rosters, or what players by team say if there is no roster at all."""
+    some = roster.agg((F.count("*") > 0).alias("_some"))  # one row
+    return roster.unionByName(fallback.join(F.broadcast(some), ~F.col("_some")).drop("_some"), allowMissingColumns=True)
+
+
 def extract_schedule(docs: DataFrame) -> DataFrame:
-    """Scheduled games from ``dates[].games[]``, ``gameWeek[].games[]`` or ``games[]``; the first of a day and game counts."""
+    """Scheduled games, twelve columns, from ``dates[].games[]``, ``gameWeek[].games[]`` or ``games[]``; of a day and game the first by key and place counts."""
     days = F.coalesce(F.try_variant_get("doc", "$.dates", "array<variant>"), F.try_variant_get("doc", "$.gameWeek", "array<variant>"), F.array("doc"))
-    g = docs.select("key", F.explode(days).alias("d")).select("key", F.coalesce(_text("d", "$.date"), F.lit(None).cast("string")).alias("day"), F.explode(F.try_variant_get("d", "$.games", "array<variant>")).alias("g"))
-    return g.select(
-        F.coalesce("day", F.substring(F.coalesce(_text("g", "$.gameDate"), _text("g", "$.startTimeUTC")), 1, 10)).alias("schedule_date"), F.coalesce(_long("g", "$.gamePk"), _long("g", "$.id")).alias("game_id"),
-        F.coalesce(_long("g", "$.teams.home.id"), _long("g", "$.homeTeam.id")).alias("home_team_id"), F.coalesce(_long("g", "$.teams.away.id"), _long("g", "$.awayTeam.id")).alias("away_team_id"),
-    ).dropDuplicates(["schedule_date", "game_id"])
+    g = docs.select("key", F.posexplode(days).alias("i", "d")).select("key", "i", _text("d", "$.date").alias("day"), F.posexplode(F.try_variant_get("d", "$.games", "array<variant>")).alias("j", "g"))
+    t, n = (lambda path: _text("g", path)), (lambda path: _long("g", path))
+    rows = g.select(
+        F.coalesce("day", F.substring(F.coalesce(t("$.gameDate"), t("$.startTimeUTC")), 1, 10)).alias("schedule_date"), F.col("key").alias("schedule_source_key"), F.coalesce(n("$.gamePk"), n("$.id")).alias("game_id"), t("$.gameDate").alias("game_date"), n("$.season").alias("season"),
+        F.coalesce(n("$.teams.home.id"), n("$.homeTeam.id")).alias("home_team_id"), F.coalesce(n("$.teams.away.id"), n("$.awayTeam.id")).alias("away_team_id"), t("$.gameType").alias("game_type"), F.coalesce(t("$.status.detailedState"), t("$.gameState"), t("$.status")).alias("status"),
+        t("$.startTimeUTC").alias("start_time_utc"), t("$.gameState").alias("game_state"), t("$.venue.default").alias("venue"), "i", "j",
+    )
+    return keep_first(rows, ["schedule_date", "game_id"], ["schedule_source_key", "i", "j"]).drop("i", "j")
 
 
 def extract_game_ids(docs: DataFrame) -> DataFrame:
@@ -178,37 +265,87 @@ def extract_terms(docs: DataFrame) -> DataFrame:
     return x.select(F.coalesce(_text("g", "$.term"), _text("g", "$")).alias("term"), _text("g", "$.definition").alias("definition"))
 
 
+def _read(x: str, fields: dict[str, tuple[str, str]]) -> list[Column]:
+    """Columns by name from paths of a variant, with their kinds."""
+    return [F.try_variant_get(x, path, kind).alias(name) for name, (path, kind) in fields.items()]
+
+
+_SERIES = {
+    "series_letter": ("$.seriesLetter", "string"), "series_title": ("$.seriesTitle", "string"), "series_abbrev": ("$.seriesAbbrev", "string"), "round": ("$.playoffRound", "bigint"),
+    "top_seed_rank": ("$.topSeedRank", "bigint"), "top_seed_rank_abbrev": ("$.topSeedRankAbbrev", "string"), "top_wins": ("$.topSeedWins", "bigint"), "top_seed_id": ("$.topSeedTeam.id", "bigint"), "top_seed": ("$.topSeedTeam.abbrev", "string"),
+    "bottom_seed_rank": ("$.bottomSeedRank", "bigint"), "bottom_seed_rank_abbrev": ("$.bottomSeedRankAbbrev", "string"), "bottom_wins": ("$.bottomSeedWins", "bigint"), "bottom_seed_id": ("$.bottomSeedTeam.id", "bigint"), "bottom_seed": ("$.bottomSeedTeam.abbrev", "string"),
+    "winning_team_id": ("$.winningTeamId", "bigint"), "losing_team_id": ("$.losingTeamId", "bigint"),
+}
+
+
 def extract_playoffs(docs: DataFrame) -> DataFrame:
-    """One row a series."""
+    """One row of 17 columns a series."""
     s = docs.select(_long("doc", "$.season").alias("season"), F.explode(F.try_variant_get("doc", "$.data.series", "array<variant>")).alias("s"))
-    return s.select("season", _text("s", "$.seriesLetter").alias("series_letter"), _long("s", "$.playoffRound").alias("round"), _text("s", "$.topSeedTeam.abbrev").alias("top_seed"), _text("s", "$.bottomSeedTeam.abbrev").alias("bottom_seed"), _long("s", "$.topSeedWins").alias("top_wins"), _long("s", "$.bottomSeedWins").alias("bottom_wins")).dropDuplicates(["season", "series_letter"])
+    return s.select("season", *_read("s", _SERIES)).dropDuplicates(["season", "series_letter"])
+
+
+#: Columns of season summaries by entity: name -> (path, kind).
+SEASON_STATS: dict[str, dict[str, tuple[str, str]]] = {
+    "skaters": {"player_id": ("$.playerId", "bigint"), "name": ("$.skaterFullName", "string"), "team_abbr": ("$.teamAbbrevs", "string"), "position": ("$.positionCode", "string")}
+    | {n: (f"$.{k}", "bigint") for n, k in (("games", "gamesPlayed"), ("goals", "goals"), ("assists", "assists"), ("points", "points"), ("plus_minus", "plusMinus"), ("pim", "penaltyMinutes"), ("pp_goals", "ppGoals"), ("pp_points", "ppPoints"), ("sh_goals", "shGoals"), ("shots", "shots"))}
+    | {n: (f"$.{k}", "double") for n, k in (("shooting_pct", "shootingPct"), ("faceoff_pct", "faceoffWinPct"), ("toi_per_game", "timeOnIcePerGame"), ("points_per_game", "pointsPerGame"))},
+    "goalies": {"player_id": ("$.playerId", "bigint"), "name": ("$.goalieFullName", "string"), "team_abbr": ("$.teamAbbrevs", "string")}
+    | {n: (f"$.{k}", "bigint") for n, k in (("games", "gamesPlayed"), ("starts", "gamesStarted"), ("wins", "wins"), ("losses", "losses"), ("ot_losses", "otLosses"), ("shots_against", "shotsAgainst"), ("saves", "saves"), ("goals_against", "goalsAgainst"), ("shutouts", "shutouts"))}
+    | {n: (f"$.{k}", "double") for n, k in (("save_pct", "savePct"), ("gaa", "goalsAgainstAverage"))},
+    "teams": {"team_id": ("$.teamId", "bigint"), "name": ("$.teamFullName", "string")}
+    | {n: (f"$.{k}", "bigint") for n, k in (("games", "gamesPlayed"), ("wins", "wins"), ("losses", "losses"), ("ot_losses", "otLosses"), ("points", "points"), ("goals_for", "goalsFor"), ("goals_against", "goalsAgainst"))}
+    | {n: (f"$.{k}", "double") for n, k in (("points_pct", "pointPct"), ("pp_pct", "powerPlayPct"), ("pk_pct", "penaltyKillPct"), ("shots_per_game", "shotsForPerGame"))},
+}
+
 
+def extract_season_stats(docs: DataFrame, entity: str = "skaters") -> DataFrame:
+    """Summary rows of a season's skaters, goalies or teams, once an id.
 
-def extract_season_stats(docs: DataFrame) -> DataFrame:
-    """Summary rows of a season, from the document itself or its data or skaters."""
-    x = docs.select("season", F.explode(first_list(F.col("doc"), "$.data", "$.skaters")).alias("p"))
-    return x.select("season", _long("p", "$.playerId").alias("player_id"), _text("p", "$.skaterFullName").alias("name"), _long("p", "$.goals").alias("goals"), _long("p", "$.points").alias("points")).dropDuplicates(["season", "player_id"])
+    Their list is the first that is there of ``data.<entity>.items``, ``<entity>``, ``data.items``, the document itself and its ``data``.
+    """
+    fields = SEASON_STATS[entity]
+    listed = F.coalesce(*(F.try_variant_get("doc", p, "array<variant>") for p in (f"$.data.{entity}.items", f"$.{entity}", "$.data.items", "$", "$.data")))
+    x = docs.select("season", F.explode(listed).alias("p"))
+    return x.select("season", *_read("p", fields)).dropDuplicates(["season", next(iter(fields))])
 
 
 def extract_standings(docs: DataFrame) -> DataFrame:
-    """Standings from ``records[].teamRecords[]``, with what the record says of its teams, or from ``standings[]``."""
-    nested = docs.select("season", F.explode(F.try_variant_get("doc", "$.records", "array<variant>")).alias("r")).select("season", _text("r", "$.division").alias("division"), F.explode(F.try_variant_get("r", "$.teamRecords", "array<variant>")).alias("t"))
-    flat = docs.select("season", F.explode(F.try_variant_get("doc", "$.standings", "array<variant>")).alias("t")).select("season", localised(F.col("t"), "divisionName").alias("division"), "t")
-    return nested.unionByName(flat).select("season", "division", F.coalesce(localised(F.col("t"), "teamAbbrev"), _text("t", "$.team.abbrev")).alias("team_abbr"), _long("t", "$.points").alias("points"), _long("t", "$.wins").alias("wins")).dropDuplicates(["season", "team_abbr"])
+    """Standings from ``records[].teamRecords[]``, with what the record says of its teams where they don't, or from a flat list, whose values may be localised.
+
+    One row a season and team: by team id, else by franchise id, else by abbreviation.
+    """
+    nested = docs.select("season", F.explode(F.try_variant_get("doc", "$.records", "array<variant>")).alias("r")).select("season", "r", F.explode(F.try_variant_get("r", "$.teamRecords", "array<variant>")).alias("t"))
+    flat = docs.filter(F.try_variant_get("doc", "$.records", "array<variant>").isNull()).select("season", F.lit(None).cast("string").alias("_r"), F.explode(first_list(F.col("doc"), "$.standings", "$.data", "$.items")).alias("t"))
+    rows = nested.unionByName(flat.select("season", F.try_parse_json("_r").alias("r"), "t"))
+    own = lambda path, kind="string": F.coalesce(F.try_variant_get("t", f"$.{path}", kind), F.try_variant_get("r", f"$.{path}", kind))
+    words = lambda *keys: F.coalesce(*(localised(F.col("t"), k) for k in keys))
+    n = lambda name, *keys: F.coalesce(*(_long("t", f"$.{k}") for k in keys)).alias(name)
+    rows = rows.select(
+        "season", F.coalesce(words("divisionName"), own("division.name"), own("division")).alias("division"), F.coalesce(words("conferenceName"), own("conference.name"), own("conference")).alias("conference"), own("standingsType").alias("standings_type"),
+        F.coalesce(words("teamAbbrev"), _text("t", "$.team.abbrev"), _text("t", "$.team.abbreviation")).alias("team_abbr"), F.coalesce(words("teamName"), _text("t", "$.team.name")).alias("team_name"), n("team_id", "teamId", "team.id"), n("franchise_id", "franchiseId"),
+        n("games", "gamesPlayed"), n("wins", "wins", "leagueRecord.wins"), n("losses", "losses", "leagueRecord.losses"), n("ot_losses", "otLosses", "leagueRecord.ot"), n("points", "points"), n("goals_for", "goalFor", "goalsScored"), n("goals_against", "goalAgainst", "goalsAgainst"),
+    )
+    key = F.coalesce(F.concat(F.lit("t"), "team_id"), F.concat(F.lit("f"), "franchise_id"), F.concat(F.lit("a"), "team_abbr"))
+    return rows.withColumn("_key", key).dropDuplicates(["season", "_key"]).drop("_key")
+
+
+#: Measures that leaders may have, beside those asked for.
+MEASURES = ("speed", "distance", "shotSpeed", "skatingSpeed", "zoneTime", "savePctg", "goals", "shots", "count", "value")
 
 
-def extract_edge_leaders(docs: DataFrame) -> DataFrame:
-    """One row a season and category: who leads, and the measure in both units."""
+def extract_edge_leaders(docs: DataFrame, measures: tuple[str, ...] = ("speed",)) -> DataFrame:
+    """One row a season and category: who leads, and the first of the measures that it has, in both units."""
     c = docs.select("season", F.explode(F.try_variant_get("doc", "$.leaders", "map<string,variant>")).alias("category", "v"))
-    metric, imperial = measure(F.col("v"), "speed")
+    found = [measure(F.col("v"), m) for m in (*measures, *(m for m in MEASURES if m not in measures))]
+    metric, imperial = (F.coalesce(*(pair[i] for pair in found)) for i in (0, 1))
     return c.select("season", "category", F.coalesce(_long("v", "$.player.id"), _long("v", "$.team.id")).alias("entity_id"), F.coalesce(_text("v", "$.player.team.abbrev"), _text("v", "$.team.abbrev")).alias("team_abbr"), metric.alias("metric"), imperial.alias("imperial"))
 
 
 _LINE = "struct<players: array<struct<number: long, name: string>>, left: struct<number: long, name: string>, center: struct<number: long, name: string>, right: struct<number: long, name: string>>"
 _LINEUP = f"struct<head_coach: string, goalies: array<struct<number: long, name: string>>, lines: array<{_LINE}>, extra_players: array<struct<number: long, name: string>>>"
 #: A Swedish game detail document.
-DETAIL = f"""game_id string, date string, home_team string, away_team string, home_score string, away_score string, result string, venue string, league string,
-period_scores array<struct<period: string, home: long, away: long>>, home_team_stats struct<shots: long, saves: long>, away_team_stats struct<shots: long, saves: long>,
+DETAIL = f"""game_id string, date string, time string, league_id string, metadata struct<scraped_at: string>, home_team string, away_team string, home_score string, away_score string, result string, venue string, league string,
+period_scores array<struct<period: string, home: long, away: long>>, home_team_stats struct<shots: long, saves: long, penalty_minutes: long>, away_team_stats struct<shots: long, saves: long, penalty_minutes: long>,
 events array<struct<time: string, period: string, team: string, event_type: string, player_name: string, player_number: long, assists: array<struct<number: long, name: string>>, positive_participants: array<long>, negative_participants: array<long>>>,
 goalkeepers array<struct<team: string, number: long, name: string, saves: long, shots_against: long>>, player_stats array<struct<name: string, goals: long, plusMinus: long, plus_minus: long>>,
 referees array<string>, linesmen array<string>, home_team_lineup {_LINEUP}, away_team_lineup {_LINEUP}"""
@@ -219,7 +356,7 @@ def parse_details(docs: DataFrame, column: str = "payload") -> DataFrame:
 
 
 def league_games(details: DataFrame) -> DataFrame:
-    """Game rows: clean text, scores or the result text, extra-time flags, points and save shares from the other side's shots."""
+    """Game rows of 28 columns: clean text, scores or the result text, extra-time flags, points and save shares from the other side's shots."""
     parts = F.split(F.replace("result", F.lit(" "), F.lit("")), "-")
     both = F.coalesce(F.col("home_score").try_cast("bigint"), F.col("away_score").try_cast("bigint")).isNull() & (F.size(parts) == 2)
     score = lambda c, i: F.when(both, F.get(parts, F.lit(i)).try_cast("bigint")).otherwise(F.col(c).try_cast("bigint"))
@@ -228,6 +365,8 @@ def league_games(details: DataFrame) -> DataFrame:
     more = F.coalesce(F.exists("period_scores", lambda p: ~p["period"].isin("1", "2", "3")), F.lit(False))
     df = details.select("game_id", F.col("date").alias("game_date"), season_year(F.col("date")).alias("season"), clean_text(F.col("league")).alias("league"), game_type(F.col("league")).alias("game_type"), clean_text(F.col("home_team")).alias("home_team"), clean_text(F.col("away_team")).alias("away_team"), clean_text(F.col("venue")).alias("venue"),
                         score("home_score", 0).alias("home_score"), score("away_score", 1).alias("away_score"), (ot & ~so).alias("went_to_ot"), so.alias("went_to_so"), more.alias("_more"),
+                        F.coalesce("league_id", F.lit("")).alias("league_id"), F.coalesce("time", F.lit("")).alias("time"), *(F.col(f"{s}_team_stats.{k}").alias(f"{s}_{n}") for k, n in (("shots", "shots"), ("saves", "saves"), ("penalty_minutes", "pim")) for s in ("home", "away")),
+                        F.coalesce(F.size("period_scores"), F.lit(0)).cast("bigint").alias("periods"), *(clean_text(F.coalesce(f"{s}_team_lineup.head_coach", F.lit(""))).alias(f"{s}_coach") for s in ("home", "away")), F.substring(F.coalesce("metadata.scraped_at", F.lit("")), 1, 26).alias("scraped_at"),
                         cross_save_pct(F.col("home_team_stats.saves"), F.col("away_team_stats.shots")).alias("home_save_pct"), cross_save_pct(F.col("away_team_stats.saves"), F.col("home_team_stats.shots")).alias("away_save_pct"))
     return df.withColumn("home_points", points_210(F.col("home_score"), F.col("away_score"), F.col("_more"))).withColumn("away_points", points_210(F.col("away_score"), F.col("home_score"), F.col("_more"))).drop("_more")
 
@@ -251,8 +390,8 @@ def league_player_stats(details: DataFrame) -> DataFrame:
 
 def league_referees(details: DataFrame) -> DataFrame:
     """Referees and linesmen, given as names or as objects with a name."""
-    role = lambda c, r: details.select("game_id", F.explode(c).alias("x")).select("game_id", F.lit(r).alias("role"), F.coalesce(F.get_json_object("x", "$.name"), F.col("x")).alias("name"))
-    return role("referees", "referee").unionByName(role("linesmen", "linesman"))
+    role = lambda c, r: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda x: F.struct(F.lit(r).alias("role"), F.coalesce(F.get_json_object(x, "$.name"), x).alias("name")))
+    return details.select("game_id", F.explode(F.concat(role("referees", "referee"), role("linesmen", "linesman"))).alias("x")).select("game_id", "x.*")
 
 
 def league_on_ice(details: DataFrame) -> DataFrame:
@@ -265,15 +404,15 @@ def league_on_ice(details: DataFrame) -> DataFrame:
 def league_lineups(details: DataFrame) -> DataFrame:
     """Goalies, lines (as lists of players or as named places) and extras of both sides."""
 
-    def one(side: str) -> DataFrame:
+    def one(side: str) -> Column:
         p = f"{side}_team_lineup"
         kind = "array<struct<number:bigint,name:string>>"
         entry = lambda xs, unit: F.transform(F.coalesce(xs, F.array().cast(kind)), lambda x: F.struct(unit.alias("unit"), x["number"].alias("number"), x["name"].alias("name")))
         lines = F.flatten(F.transform(F.coalesce(F.col(f"{p}.lines"), F.array().cast(f"array<{_LINE}>")), lambda x, i: entry(F.coalesce(x["players"], F.array_compact(F.array(x["left"], x["center"], x["right"]))), F.concat(F.lit("line "), (i + 1).cast("string")))))
         every = F.concat(entry(F.col(f"{p}.goalies"), F.lit("goalie")), lines, entry(F.col(f"{p}.extra_players"), F.lit("extra")))
-        return details.select("game_id", F.lit(side).alias("side"), F.explode(every).alias("x")).select("game_id", "side", "x.*")
+        return F.transform(every, lambda x: F.struct(F.lit(side).alias("side"), x["unit"].alias("unit"), x["number"].alias("number"), x["name"].alias("name")))
 
-    return one("home").unionByName(one("away"))
+    return details.select("game_id", F.explode(F.concat(one("home"), one("away"))).alias("x")).select("game_id", "x.*")
 
 
 def drop_totals(df: DataFrame) -> DataFrame:

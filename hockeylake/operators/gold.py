@@ -104,5 +104,7 @@ def dim_standings(facts: DataFrame) -> DataFrame:
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """One row a key: the first in the given order. Null keys are equal to each other."""
+    """One row a key: the first in the given order. Null keys are equal to each other; a table that lacks a key column stays as it is."""
+    if set(keys) - set(df.columns):
+        return df
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_r = 1").drop("_r")

@@ -70,8 +70,35 @@ def _side_of(z: str) -> Column:
     return F.when(F.col(z) > 0, "above").otherwise("below")
 
 
-def insights(players: DataFrame, goalies: DataFrame, teams: DataFrame) -> DataFrame:
-    """Candidates as insights with class, severity, id and a text for a writer."""
+def possession_insights(corsi: DataFrame, as_of: str) -> DataFrame:
+    """Teams of ``corsi_outliers`` as insights dated ``as_of``; their distance from an even share, in steps of 0.04, stands for the z-score."""
+    share, day = F.col("corsi_pct_avg"), F.lit(as_of)
+    z = (share - 0.5) / 0.04
+    edge = F.when(share > 0.5, "strong possession edge").otherwise("possession concerns")
+    # Fixed text.
+    text = F.format_string("%s has a 10-game Corsi%% of %.3f (%d games analyzed) \u2013 %s. Corsi%% below 0.42 or above 0.58 is a statistically significant outlier.", "team_abbr", F.round(share, 3), "n", edge)
+    kind = F.lit("possession_edge")
+    return corsi.select(
+        insight_id(F.lit("team"), F.col("team_abbr"), kind, day).alias("insight_id"), kind.alias("insight_type"), F.lit("team").alias("entity_type"), F.col("team_abbr").alias("entity_id"), F.col("team_abbr").alias("entity_name"), "team_abbr",
+        severity(z).alias("severity"), F.round(z, 3).alias("zscore"), F.substring(day, 1, 4).alias("season"), day.alias("game_date"), text.alias("prompt_context"),
+    )
+
+
+#: The columns of the table of insights.
+COLUMNS = ("insight_id", "generated_at", "insight_type", "entity_type", "entity_id", "entity_name", "team_abbr", "severity", "zscore", "season", "game_date", "headline", "body", "prompt_context")
+
+
+def insight_table(found: DataFrame, generated_at: str) -> DataFrame:
+    """Insights as rows of their table; headline and body are null until a writer has made them."""
+    none = F.lit(None).cast("string")
+    return found.withColumns({"generated_at": F.lit(generated_at).cast("timestamp"), "game_date": F.col("game_date").cast("date"), "headline": none, "body": none}).select(*COLUMNS)
+
+
+def insights(players: DataFrame, goalies: DataFrame, teams: DataFrame, corsi: DataFrame | None = None, as_of: str | None = None) -> DataFrame:
+    """Candidates as insights with class, severity, id and a text for a writer; with ``corsi`` the outliers of possession too, dated ``as_of``.
+
+    The texts are fixed values.
+    """
     full = F.concat_ws(" ", "player_first_name", "player_last_name")
     p, s, t = "pts_zscore_5v20", "sv_pct_zscore_5v20", "pts_zscore_5v20"
     player_text = F.format_string(
@@ -91,6 +118,10 @@ def insights(players: DataFrame, goalies: DataFrame, teams: DataFrame) -> DataFr
         _as_insights(goalies, "player", "player_id", full, s, goalie_class, goalie_text),
         _as_insights(teams, "team", "team_abbr", F.col("team_abbr"), t, team_class, team_text),
     ]
+    if corsi is not None:
+        if as_of is None:
+            raise ValueError("insights on possession need a date")
+        parts.append(possession_insights(corsi, as_of))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -105,10 +136,16 @@ def without_repeats(df: DataFrame, days: int) -> DataFrame:
     return df.withColumn("_next", following).filter(F.col("_next").isNull() | (F.datediff("_next", "game_date") > days)).drop("_next")
 
 
-def team_streak(team_games: DataFrame, n: int = 5, least: float = 1.6, min_games: int = 3) -> DataFrame:
-    """Teams whose mean points of the last n games exceed a bound."""
+def _since(games: DataFrame, days: int, as_of: str | None) -> DataFrame:
+    """Games of the days up to a date, that of the last game if none is given; the date is one row."""
+    last = games.agg(F.lit(as_of).cast("date").alias("_last") if as_of else F.max("game_date").cast("date").alias("_last"))
+    return games.join(F.broadcast(last), F.col("game_date").between(F.date_sub("_last", days), F.col("_last"))).drop("_last")
+
+
+def team_streak(team_games: DataFrame, n: int = 5, least: float = 1.6, min_games: int = 3, days: int = 90, as_of: str | None = None) -> DataFrame:
+    """Teams whose mean points of the last n games, of those of the last ``days``, exceed a bound."""
     w = last_n("team_abbr", n)
-    df = team_games.filter(F.col("game_type") == 2).select("team_abbr", "game_id", "game_date", F.avg(F.coalesce("team_points", F.lit(0))).over(w).alias("pts_avg_5g"), F.count("*").over(w).alias("n"), recency("team_abbr").alias("_r"))
+    df = _since(team_games, days, as_of).filter(F.col("game_type") == 2).select("team_abbr", "game_id", "game_date", F.avg(F.coalesce("team_points", F.lit(0))).over(w).alias("pts_avg_5g"), F.count("*").over(w).alias("n"), recency("team_abbr").alias("_r"))
     return df.filter((F.col("_r") == 1) & (F.col("n") >= min_games) & (F.col("pts_avg_5g") > least)).drop("_r")
 
 
@@ -121,9 +158,10 @@ def player_breakout(player_games: DataFrame, times: float = 2.0, min_games: int
     return df.filter((F.col("_r") == 1) & (F.col("n") >= min_games) & (F.col("season_avg") > 0) & (F.col("pts_avg_5g") >= times * F.col("season_avg"))).drop("_r")
 
 
-def goalie_trend(player_games: DataFrame, n: int = 3, least: float = 0.92) -> DataFrame:
+def goalie_trend(player_games: DataFrame, n: int = 3, least: float = 0.92, days: int = 30, as_of: str | None = None) -> DataFrame:
+    """Goalies whose mean save share of the last n games, of those of the last ``days``, exceeds a bound."""
     w = last_n("player_id", n)
-    df = player_games.filter((F.col("position") == "G") & (F.col("toi_seconds") > 600)).select("player_id", "game_id", "game_date", F.avg("save_pct").over(w).alias("sv_pct_avg_3g"), F.count("*").over(w).alias("_n"), recency("player_id").alias("_r"))
+    df = _since(player_games, days, as_of).filter((F.col("position") == "G") & (F.col("toi_seconds") > 600)).select("player_id", "game_id", "game_date", F.avg("save_pct").over(w).alias("sv_pct_avg_3g"), F.count("*").over(w).alias("_n"), recency("player_id").alias("_r"))
     return df.filter((F.col("_r") == 1) & (F.col("_n") >= n) & (F.col("sv_pct_avg_3g") > least)).drop("_r", "_n")
 
 

@@ -68,18 +68,80 @@ def anomalies(games: DataFrame) -> DataFrame:
     return games.select("game_id", kind.alias("anomaly")).filter("anomaly IS NOT NULL")
 
 
-def warnings(games: DataFrame, period_scores: DataFrame) -> DataFrame:
-    """``(game_id, warning)``: untidy text, missing ids, and period goals that don't sum to the score."""
+def warnings(games: DataFrame, period_scores: DataFrame, events: DataFrame | None = None) -> DataFrame:
+    """``(game_id, warning)``: untidy text, missing ids, period goals that don't sum to the score, and of ``events`` unknown events and goal types, once each a game."""
     sums = period_scores.groupBy("game_id").agg(F.sum("goals").alias("_sum"))
     g = games.join(sums, "game_id", "left")
-    found = F.array_compact(
-        F.array(
-            F.when(F.col("venue").rlike(r"\t|\x{00a0}| {2,}|^ | $"), "whitespace"),
-            F.when(F.col("league_id").isNull(), "no_league_id"),
-            F.when(F.col("_sum") != F.col("home_score") + F.col("away_score"), "period_sum"),
-        )
-    )
-    return g.select("game_id", F.explode(found).alias("warning"))
+    tests = {
+        "whitespace": F.col("venue").rlike(r"\t|\x{00a0}| {2,}|^ | $"),
+        "no_league_id": F.col("league_id").isNull(),
+        "period_sum": F.col("_sum") != F.col("home_score") + F.col("away_score"),
+    }
+    if events is not None:
+        told = events.groupBy("game_id").agg(F.bool_or(F.col("event_type") == "other").alias("_other"), F.bool_or(F.col("goal_type") == "unknown").alias("_unknown"))
+        g = g.join(told, "game_id", "left")
+        tests |= {"unknown_event": F.col("_other"), "unknown_goal_type": F.col("_unknown")}
+    return g.select("game_id", F.explode(F.array_compact(F.array(*(F.when(test, name) for name, test in tests.items())))).alias("warning"))
+
+
+def share_by(df: DataFrame, group: str, kind: str) -> DataFrame:
+    """``(group, kind, n, pct)``: how the kinds of a group's rows are distributed."""
+    n = df.groupBy(group, kind).agg(F.count("*").alias("n"))
+    total = df.groupBy(group).agg(F.count("*").alias("_total"))
+    return n.join(total, group).select(group, kind, "n", F.round(F.col("n") * 100.0 / F.col("_total"), 4).alias("pct"))
+
+
+def layer_coverage(files: DataFrame, rows: DataFrame, key: str, by: str) -> DataFrame:
+    """``(by, n_files, n_bytes, covered, pct)``: documents of the first layer, with ``(key, by, bytes)``, and how many have a row in the second."""
+    have = rows.select(key, F.lit(1).alias("_row")).distinct()
+    out = files.join(have, key, "left").groupBy(by).agg(F.count("*").alias("n_files"), F.sum("bytes").alias("n_bytes"), F.count("_row").alias("covered"))
+    return out.withColumn("pct", F.round(F.col("covered") * 100.0 / F.col("n_files"), 4))
+
+
+def file_volumes(spark: SparkSession, path: str, depth: int = 1, pattern: str = "*") -> DataFrame:
+    """``(prefix, n_files, n_bytes)`` of what lies below a path, by its first ``depth`` folders; contents are not read."""
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path).select("path", "length")
+    top = path.rstrip("/").rpartition("/")[2]
+    parts = F.split(F.regexp_extract("path", rf"/{top}/(.*)$", 1), "/")
+    prefix = F.array_join(F.slice(parts, 1, F.least(F.lit(depth), F.size(parts) - 1)), "/")
+    return raw.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
+
+
+def structure_report(volumes: DataFrame, pipelines: DataFrame, counts: DataFrame) -> DataFrame:
+    """Source prefixes beside the pipelines that read them and the rows of the tables that these write.
+
+    ``volumes`` has ``(prefix, n_files)``, ``pipelines`` ``(prefix, pipeline, table_name)`` and ``counts`` ``(table_name, n)``. status is ``ok``,
+    ``no pipeline`` for files that nobody reads, ``no files`` for a pipeline without any, or ``no rows`` for a table that is absent or empty.
+    """
+    all_ = volumes.join(pipelines, "prefix", "full").join(counts, "table_name", "left")
+    status = F.when(F.col("pipeline").isNull(), "no pipeline").when(F.coalesce("n_files", F.lit(0)) == 0, "no files").when(F.coalesce("n", F.lit(0)) == 0, "no rows").otherwise("ok")
+    return all_.select("prefix", F.coalesce("n_files", F.lit(0)).alias("n_files"), "pipeline", "table_name", F.col("n").alias("n_rows"), status.alias("status"))
+
+
+def table_presence(found: DataFrame, expected: DataFrame, name: str = "table_name") -> DataFrame:
+    """``(table_name, status)``: present, missing or unexpected."""
+    both = expected.select(name, F.lit(1).alias("_e")).join(found.select(name, F.lit(1).alias("_f")), name, "full")
+    return both.select(name, F.when(F.col("_e").isNull(), "unexpected").when(F.col("_f").isNull(), "missing").otherwise("present").alias("status"))
+
+
+def table_profile(df: DataFrame) -> DataFrame:
+    """``(column, kind, n_rows, n_nulls, n_distinct, least, greatest)`` for each column, from one aggregation; distinct values are counted exactly, least and greatest are texts."""
+    plain = [f for f in df.schema.fields if not hasattr(f.dataType, "elementType") and not hasattr(f.dataType, "fields") and not hasattr(f.dataType, "keyType")]
+    aggregates = [F.count("*").alias("_n")]
+    for i, f in enumerate(plain):
+        aggregates += [F.count(f.name).alias(f"c{i}"), F.countDistinct(f.name).alias(f"d{i}"), F.min(f.name).cast("string").alias(f"l{i}"), F.max(f.name).cast("string").alias(f"g{i}")]
+    rows = F.array(*(F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("kind"), F.col("_n").alias("n_rows"), (F.col("_n") - F.col(f"c{i}")).alias("n_nulls"), F.col(f"d{i}").alias("n_distinct"), F.col(f"l{i}").alias("least"), F.col(f"g{i}").alias("greatest")) for i, f in enumerate(plain)))
+    return df.agg(*aggregates).select(F.explode(rows).alias("r")).select("r.*")
+
+
+def dictionary_markdown(tables: dict[str, DataFrame], comments: dict[str, str] | None = None) -> str:
+    """A data dictionary as markdown, from the tables' schemas and the comments of their columns."""
+    out = []
+    for name, df in sorted(tables.items()):
+        out += [f"## {name}", "", (comments or {}).get(name, ""), "", "| column | type | description |", "|-|-|-|"]
+        out += [f"| {f.name} | {f.dataType.simpleString()} | {f.metadata.get('comment', '').replace('|', '/')} |" for f in df.schema.fields]
+        out.append("")
+    return "\n".join(out)
 
 
 def id_coverage(df: DataFrame, group, key: str) -> DataFrame:
@@ -104,6 +166,21 @@ def schema_difference_rows(spark: SparkSession, df: DataFrame, expected: DataFra
     return expected.join(have, "column", "left_anti").withColumn("side", F.lit("missing")).unionByName(have.join(expected, "column", "left_anti").withColumn("side", F.lit("unexpected")))
 
 
-def json_key_paths(docs: DataFrame, column: str = "payload") -> DataFrame:
-    """``(schema, n)``: the merged structure of all documents as Spark's DDL text."""
-    return docs.select(F.try_parse_json(column).alias("v")).filter("v IS NOT NULL").agg(F.schema_of_variant_agg("v").alias("schema"), F.count("*").alias("n"))
+def json_key_paths(docs: DataFrame, column: str = "payload", depth: int = 5) -> DataFrame:
+    """``(path, kind, n)``: each path of keys in the documents, ``[]`` for elements of lists, with its kind and in how many places it stands.
+
+    Paths go down ``depth`` levels; texts that are no JSON are left out. One row a path and kind leaves each task.
+    """
+    kind = lambda v: F.regexp_extract(F.schema_of_variant(v), r"^[A-Z]+", 0)
+    level = docs.select(F.lit("$").alias("path"), F.try_parse_json(column).alias("v")).filter("v IS NOT NULL")
+    levels = [level]
+    for _ in range(depth):
+        members = F.transform(F.map_entries(F.coalesce(F.try_variant_get("v", "$", "map<string,variant>"), F.create_map().cast("map<string,variant>"))), lambda e: F.struct(F.concat(F.lit("."), e["key"]).alias("k"), e["value"].alias("v")))
+        elements = F.transform(F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.array().cast("array<variant>")), lambda x: F.struct(F.lit("[]").alias("k"), x.alias("v")))
+        level = level.select("path", F.explode(F.concat(members, elements)).alias("x")).select(F.concat("path", "x.k").alias("path"), F.col("x.v").alias("v"))
+        levels.append(level)
+    out = None
+    for one in levels[1:]:
+        one = one.groupBy("path", kind(F.col("v")).alias("kind")).agg(F.count("*").alias("n"))
+        out = one if out is None else out.unionByName(one)
+    return out

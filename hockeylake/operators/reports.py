@@ -1,18 +1,34 @@
-"""Match reports as lines of text, and web pages: markers carried forward by windows, fields by patterns."""
+"""Match reports as lines of words, and web pages: markers are carried forward by windows, fields are read by their place in the line."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hockeylake.functions import blank_to_null, clock_seconds, comma_decimal, html_unescape, position
+from hockeylake.functions import blank_to_null, clock_seconds, comma_decimal, goals_against_average, html_unescape, position
 
-_NAME = r"[\p{Lu}][\p{Lu}' -]*, [\p{L}][\p{L}'. -]*?"
+#: What a word of a field looks like, and how it is read.
+KINDS: dict[str, tuple[str, Callable[[Column], Column]]] = {
+    "whole": (r"^-?\d+$", lambda w: w.try_cast("bigint")),
+    "count": (r"^(-?\d+|-)$", lambda w: w.try_cast("bigint")),
+    "clock": (r"^\d{1,3}:\d{2}$", clock_seconds),
+    "share": (r"^(\d+(,\d+)?|N/A|-)$", comma_decimal),
+    "text": (r"^\S+$", lambda w: w),
+}
+NUMBER = r"^\d{1,3}$"
 
 
 def report_lines(reports: DataFrame) -> DataFrame:
-    """``(game_id, report_type, pos, line)`` of reports ``(game_id, report_type, text)``; blank lines are left out."""
-    return reports.select("game_id", "report_type", F.posexplode(F.split("text", r"\r?\n")).alias("pos", "line")).withColumn("line", F.trim("line")).filter("line != ''")
+    """``(game_id, report_type, pos, line, words)`` of reports ``(game_id, report_type, text)``.
+
+    Runs of blanks are one, the dash of a goal's score stands without blanks (``2 \u2013 1`` is ``2-1``), blank lines are left out.
+    """
+    df = reports.select("game_id", "report_type", F.posexplode(F.split("text", r"\r?\n")).alias("pos", "line"))
+    line = F.trim(F.regexp_replace("line", r"[\s\u00a0]+", " "))
+    score = F.regexp_replace(line, r"(?<=\d)(?: [-\u2013] |[-\u2013])(?=\d)", "-")
+    return df.withColumn("line", F.when(line.startswith("Goal "), score).otherwise(line)).filter("line != ''").withColumn("words", F.split("line", " "))
 
 
 def _order():
@@ -28,139 +44,276 @@ def group(pattern: str, i: int) -> Column:
     return blank_to_null(F.regexp_extract("line", pattern, i))
 
 
-PERIOD = r"^(\d)(?:st|nd|rd|th) period$"
+def word(i: Column | int) -> Column:
+    """The word of that place from 0; null beyond the line."""
+    return F.get("words", F.lit(i) if isinstance(i, int) else i)
 
 
-def with_sections(lines: DataFrame) -> DataFrame:
-    """Lines with the period whose heading stands above them; ``OT`` and ``SO`` for overtime and shootout, null before the first."""
-    mark = F.coalesce(group(PERIOD, 1), F.when(F.col("line") == "Overtime", "OT"), F.when(F.col("line").rlike("^(Shootout|Game Winning Shots)$"), "SO"))
-    return lines.withColumn("period", carried(mark))
+def joined(start: Column | int, end: Column | int) -> Column:
+    """The words from ``start`` to before ``end``, in one text."""
+    start, end = (F.lit(x) if isinstance(x, int) else x for x in (start, end))
+    return blank_to_null(F.array_join(F.slice("words", start + 1, F.greatest(end - start, F.lit(0))), " "))
 
 
-_GOAL = r"^Goal (\d{1,3}:\d{2}) (\S+) (\d+) - (\d+) (\S+) (.+)$"
+def size() -> Column:
+    return F.size("words")
 
 
-def goals(lines: DataFrame) -> DataFrame:
-    """``(game_id, pos, period, seconds, team, home_score, away_score, goal_type, scorer_number, scorer, assist1, assist2)``."""
-    rest = F.regexp_replace(F.regexp_extract("line", _GOAL, 6), r"\s*Participation.*$", "")
-    people = F.split(rest, r"\s+(?=\d{1,3}\s+\p{Lu})")
-    name = lambda i: blank_to_null(F.regexp_extract(F.coalesce(F.get(people, F.lit(i)), F.lit("")), r"^\d{1,3}\s+(.+)$", 1))
-    return with_sections(lines).filter(F.col("line").rlike(_GOAL)).select(
-        "game_id", "pos", "period", clock_seconds(group(_GOAL, 1)).alias("seconds"), group(_GOAL, 2).alias("team"), group(_GOAL, 3).cast("bigint").alias("home_score"), group(_GOAL, 4).cast("bigint").alias("away_score"),
-        group(_GOAL, 5).alias("goal_type"), F.regexp_extract(F.get(people, F.lit(0)), r"^(\d{1,3})", 1).try_cast("bigint").alias("scorer_number"), name(0).alias("scorer"), name(1).alias("assist1"), name(2).alias("assist2"),
-    )
+def fits(start: Column | int, spec: dict[str, str]) -> Column:
+    """Whether the words from ``start`` on look like the fields of ``spec``, name -> kind."""
+    test = F.lit(True)
+    for i, kind in enumerate(spec.values()):
+        test = test & word(start + i).rlike(KINDS[kind][0])
+    return F.coalesce(test, F.lit(False))
 
 
-_ICE = r"^(\S+): ((?:\d{1,3} ?)+)$"
+def read(start: Column | int, spec: dict[str, str]) -> list[Column]:
+    return [KINDS[kind][1](word(start + i)).alias(name) for i, (name, kind) in enumerate(spec.items())]
 
 
-def on_ice(lines: DataFrame) -> DataFrame:
-    """Players on the ice in the lines that follow a goal directly; side is positive for the team that scored."""
-    other = carried(F.when(~F.col("line").rlike(_ICE), F.struct("line", "pos")))
-    df = lines.withColumn("_g", other).filter(F.col("line").rlike(_ICE) & F.col("_g.line").rlike(_GOAL))
-    team = group(_ICE, 1)
-    scored = F.regexp_extract("_g.line", _GOAL, 2)
-    return df.select("game_id", F.col("_g.pos").alias("goal_pos"), team.alias("team"), F.when(team == scored, "positive").otherwise("negative").alias("side"), F.explode(F.split(group(_ICE, 2), " ")).alias("n")).withColumn("number", F.col("n").cast("bigint")).drop("n")
+def places(test: Callable[[Column], Column], words: str = "words") -> Column:
+    """The places, from 0, of the words that pass."""
+    return F.filter(F.transform(words, lambda w, i: F.when(test(w), i)), lambda i: i.isNotNull())
 
 
-_PENALTY = rf"^Penalty (\d{{1,3}}:\d{{2}}) (\S+) (\d+) min\. (\d{{1,3}}) ({_NAME}) ((?:[A-Z][a-z]+)(?: .*)?)$"
+def pieces(starts: Column, make: Callable[[Column, Column], Column]) -> Column:
+    """``make(start, end)`` for each of the starts, the end being the next one or that of the line."""
+    told = F.array(F.struct(starts.alias("s"), F.size("words").alias("n")))
+    return F.flatten(F.transform(told, lambda t: F.transform(t["s"], lambda p, k: make(p, F.coalesce(F.get(t["s"], k + 1), t["n"])))))
 
 
-def penalties(lines: DataFrame) -> DataFrame:
-    return with_sections(lines).filter(F.col("line").rlike(_PENALTY)).select(
-        "game_id", "pos", "period", clock_seconds(group(_PENALTY, 1)).alias("seconds"), group(_PENALTY, 2).alias("team"), group(_PENALTY, 3).cast("bigint").alias("minutes"), group(_PENALTY, 4).cast("bigint").alias("number"),
-        group(_PENALTY, 5).alias("player"), group(_PENALTY, 6).alias("infraction"),
+def with_sections(lines: DataFrame) -> DataFrame:
+    """Lines with the period whose heading stands above them; ``OT`` and ``SO`` for overtime and shootout, null before the first.
+
+    Headings are ``1st period`` and the like, ``OT period``, ``Overtime``, ``SO period`` and ``Shootout``, in any case.
+    """
+    low = F.lower("line")
+    mark = F.when(low.rlike(r"^\d(st|nd|rd|th) period\b"), F.substring("line", 1, 1)).when(low.rlike(r"^(ot|overtime)( period\b|$)"), "OT").when(low.rlike(r"^(so|shootout)( period\b|$)|^game winning shots$"), "SO")
+    return lines.withColumn("period", carried(mark))
+
+
+#: What may stand for the type of a goal.
+GOAL_TYPES = ("EQ", "PP", "PP1", "PP2", "SH", "SH1", "SH2", "EN", "OT", "OT1", "PS", "GWS", "GWG", "N/A")
+_GOAL = {"what": "text", "seconds": "clock", "team": "text"}
+
+
+def _is_goal() -> Column:
+    return (word(0) == "Goal") & fits(0, _GOAL) & word(3).rlike(r"^\d+-\d+$")
+
+
+def goals(lines: DataFrame) -> DataFrame:
+    """``(game_id, pos, period, seconds, team, home_score, away_score, goal_type, scorer_number, scorer, assist1, assist2)``.
+
+    A line is ``Goal``, clock, team, score, type, then number and name of the scorer and up to two assistants; what follows ``Participation`` is left out.
+    """
+    typed = word(4).isin(*GOAL_TYPES)
+    start = F.when(typed, 5).otherwise(4)
+    end = F.coalesce(F.nullif(F.array_position("words", "Participation"), F.lit(0)) - 1, size()).cast("int")
+    score = F.split(word(3), "-")
+    df = with_sections(lines).filter(_is_goal()).select("game_id", "pos", "period", "words", start.alias("start"), end.alias("end"), typed.alias("typed"), score.alias("score"))
+    numbers = F.filter(places(lambda w: w.rlike(NUMBER)), lambda i: (i >= F.col("start")) & (i < F.col("end")))
+    person = lambda p, e: F.struct(word(p).cast("bigint").alias("number"), joined(p + 1, F.least(e, F.col("end"))).alias("name"))
+    df = df.withColumn("people", pieces(numbers, person))
+    who = lambda i: F.get("people", F.lit(i))
+    return df.select(
+        "game_id", "pos", "period", *read(1, {"seconds": "clock", "team": "text"}), F.get("score", F.lit(0)).cast("bigint").alias("home_score"), F.get("score", F.lit(1)).cast("bigint").alias("away_score"),
+        F.when(F.col("typed"), word(4)).alias("goal_type"), who(0)["number"].alias("scorer_number"), who(0)["name"].alias("scorer"), who(1)["name"].alias("assist1"), who(2)["name"].alias("assist2"),
     )
 
 
-_KEEPER = r"^Goalkeeper (In|Out) (\d{1,3}:\d{2}) (\S+) (\d{1,3}) (.+)$"
+def on_ice(lines: DataFrame) -> DataFrame:
+    """Players on the ice in the lines that follow a goal directly: a team with a colon, then numbers; side is positive for the team that scored."""
+    numbers = F.slice("words", 2, F.greatest(size() - 1, F.lit(0)))
+    ice = word(0).endswith(":") & (size() > 1) & F.forall(numbers, lambda w: w.rlike(NUMBER))
+    above = carried(F.when(~ice, F.struct("pos", F.when(_is_goal(), word(2)).alias("scored"))))
+    df = lines.withColumn("above", above).filter(ice & F.col("above.scored").isNotNull())
+    team = F.regexp_replace(word(0), ":$", "")
+    return df.select("game_id", F.col("above.pos").alias("goal_pos"), team.alias("team"), F.when(team == F.col("above.scored"), "positive").otherwise("negative").alias("side"), F.explode(numbers).alias("n")).withColumn("number", F.col("n").cast("bigint")).drop("n")
+
+
+def penalties(lines: DataFrame) -> DataFrame:
+    """``Penalty``, clock, team, minutes, ``min.``, number, name up to the word after its comma, and what for."""
+    spec = {"what": "text", "seconds": "clock", "team": "text", "minutes": "whole", "min": "text", "number": "whole"}
+    comma = F.get(places(lambda w: w.endswith(",")), F.lit(0))
+    end = F.coalesce(comma + 2, F.lit(8))
+    df = with_sections(lines).filter((word(0) == "Penalty") & fits(0, spec) & word(4).startswith("min"))
+    return df.select("game_id", "pos", "period", *(c for c, n in zip(read(0, spec), spec, strict=True) if n not in ("what", "min")), joined(6, end).alias("player"), joined(end, size()).alias("infraction"))
 
 
 def goalkeeper_changes(lines: DataFrame) -> DataFrame:
-    return lines.filter(F.col("line").rlike(_KEEPER)).select("game_id", F.lower(group(_KEEPER, 1)).alias("change"), clock_seconds(group(_KEEPER, 2)).alias("seconds"), group(_KEEPER, 3).alias("team"), group(_KEEPER, 4).cast("bigint").alias("number"), group(_KEEPER, 5).alias("player"))
+    """``Goalkeeper``, ``In`` or ``Out``, clock, team, number and name."""
+    spec = {"what": "text", "change": "text", "seconds": "clock", "team": "text", "number": "whole"}
+    return lines.filter((word(0) == "Goalkeeper") & word(1).isin("In", "Out") & fits(0, spec)).select("game_id", F.lower(word(1)).alias("change"), *read(0, spec)[2:], joined(5, size()).alias("player"))
 
 
 def spectators(lines: DataFrame) -> DataFrame:
     """The first number of spectators in each game's reports."""
-    n = F.replace(group(r"^Spectators: ([\d ]+)", 1), F.lit(" "), F.lit("")).try_cast("bigint")
+    n = F.replace(group(r"^Spectators: ?([\d ]+)", 1), F.lit(" "), F.lit("")).try_cast("bigint")
     return lines.select("game_id", "pos", n.alias("n")).filter("n IS NOT NULL").groupBy("game_id").agg(F.min_by("n", "pos").alias("spectators"))
 
 
-_STATS = r"^(.+?) (\d+) (\d+) (\d+) (\d+,\d+|N/A) (\d+) (\d{2}:\d{2}) (\d+) (\d+,\d+|N/A) (\d{2}:\d{2}) (\d+) (\d+,\d+|N/A)$"
+#: The fields of a statistics line after the team's name.
+PERIOD_FIELDS = {
+    "goals": "whole", "shots": "whole", "saves": "whole", "save_pct": "share", "pim": "whole", "pp_seconds": "clock", "advantages": "whole", "pp_pct": "share", "sh_seconds": "clock", "disadvantages": "whole", "sh_pct": "share",
+}
 
 
 def period_stats(lines: DataFrame) -> DataFrame:
     """The statistics table of each period, ``total`` above the first."""
-    df = with_sections(lines).filter(F.col("line").rlike(_STATS))
-    return df.select(
-        "game_id", F.coalesce("period", F.lit("total")).alias("period"), group(_STATS, 1).alias("team"), *(group(_STATS, i).cast("bigint").alias(n) for i, n in ((2, "goals"), (3, "shots"), (4, "saves"), (6, "pim"), (8, "advantages"), (11, "disadvantages"))),
-        *(comma_decimal(group(_STATS, i)).alias(n) for i, n in ((5, "save_pct"), (9, "pp_pct"), (12, "sh_pct"))), clock_seconds(group(_STATS, 7)).alias("pp_seconds"), clock_seconds(group(_STATS, 10)).alias("sh_seconds"),
-    )
+    start = size() - len(PERIOD_FIELDS)
+    df = with_sections(lines).filter((start > 0) & fits(start, PERIOD_FIELDS))
+    return df.select("game_id", F.coalesce("period", F.lit("total")).alias("period"), joined(0, start).alias("team"), *read(start, PERIOD_FIELDS))
 
 
 def referees(lines: DataFrame) -> DataFrame:
     """Names after the heading of referees or linesmen, on its line or the ones below, up to the next heading."""
     head = r"^(Referees?|Linesmen|Linesman)\b:?\s*"
-    mode = carried(F.when(F.col("line").rlike(head), F.when(F.col("line").startswith("Ref"), "referee").otherwise("linesman")).when(F.col("line").rlike(r"^[^,]+:|period$|^Team "), "none"))
+    mode = carried(F.when(F.col("line").rlike(head), F.when(F.col("line").startswith("Ref"), "referee").otherwise("linesman")).when(F.lower("line").rlike(r"^[^,]+:|period$|^team "), "none"))
     df = lines.withColumn("role", mode).filter("role IN ('referee', 'linesman')")
     return df.select("game_id", "role", F.explode(F.regexp_extract_all(F.regexp_replace("line", head, ""), F.lit(r"([\p{L}'-]+, [\p{L}'-]+)"), F.lit(1))).alias("name")).distinct()
 
 
 def team_names(lines: DataFrame) -> DataFrame:
-    """Home and away team from the first line of the form ``Home - Away``."""
-    both = r"^(\p{L}[^:\d]*?) - (\p{L}[^:\d]*)$"
-    df = lines.filter(F.col("line").rlike(both)).groupBy("game_id").agg(F.min_by("line", "pos").alias("line"))
-    return df.select("game_id", group(both, 1).alias("home_team"), group(both, 2).alias("away_team"))
+    """Home and away team from the first line ``Home - Away`` (any dash, or ``vs``) without numbers and colons, else the first two teams of the statistics tables."""
+    parts = F.split("line", r" (?:[-\u2013\u2014]|vs\.?) ")
+    named = lines.filter(~F.col("line").rlike(r"[\d:]") & (F.size(parts) == 2)).groupBy("game_id").agg(F.min_by(parts, "pos").alias("named"))
+    start = size() - len(PERIOD_FIELDS)
+    tables = lines.filter((start > 0) & fits(start, PERIOD_FIELDS)).groupBy("game_id", joined(0, start).alias("team")).agg(F.min("pos").alias("pos"))
+    tables = tables.groupBy("game_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "team"))), lambda t: t["team"]).alias("listed"))
+    both = F.coalesce("named", "listed")
+    return lines.select("game_id").distinct().join(named, "game_id", "left").join(tables, "game_id", "left").filter(both.isNotNull()).select("game_id", F.trim(F.get(both, F.lit(0))).alias("home_team"), F.trim(F.get(both, F.lit(1))).alias("away_team"))
+
+
+#: Positions on the ice.
+POSITIONS = ("GK", "LD", "RD", "LW", "CE", "RW", "G", "D", "F")
+_DAY = r"^\d{4}-\d{2}-\d{2}$"
+
+
+def _labelled(lines: DataFrame) -> DataFrame:
+    """Lines with the line or group, or ``officials``, whose label stands above them."""
+    low = F.lower("line")
+    return lines.withColumn("label", carried(F.when(low.rlike("team officials"), "officials").when(low.rlike(r"^(\d+(st|nd|rd|th) line|extra players|goalkeepers?)$"), F.col("line"))))
+
+
+def _side(i: Column) -> Column:
+    return F.when(i == 0, "home").otherwise("away")
 
 
 def roster(lines: DataFrame) -> DataFrame:
-    """Players of roster lines: up to two a line, the first of the home team; ``(C)`` marks a captain; the label above is the line."""
-    label = carried(group(r"^(\d(?:st|nd|rd|th) Line|Goalkeepers|Extra Players)$", 1))
-    one = r"(\d{1,3} [\p{Lu}][\p{Lu}'-]*, [\p{L}][\p{L}'.-]*(?: \([CA]\))?)"
-    df = lines.withColumn("label", label).filter("label IS NOT NULL").select("game_id", "label", F.posexplode(F.regexp_extract_all("line", F.lit(one), F.lit(1))).alias("i", "p"))
-    return df.select("game_id", "label", F.when(F.col("i") == 0, "home").otherwise("away").alias("side"), F.regexp_extract("p", r"^(\d+)", 1).cast("bigint").alias("number"), F.regexp_replace(F.regexp_replace("p", r"^\d+ ", ""), r" \([CA]\)$", "").alias("player"), F.endswith("p", F.lit("(C)")).alias("captain"))
+    """Players of roster lines: position, number, name, ``C`` or ``A``, birthdate; up to two a line, the first of the home team; the label above is the line."""
+    begins = F.filter(F.transform("words", lambda w, i: F.when(w.isin(*POSITIONS) & word(i + 1).rlike(NUMBER), i)), lambda i: i.isNotNull())
+
+    def player(p: Column, end: Column) -> Column:
+        days = F.filter(places(lambda w: w.rlike(_DAY)), lambda i: (i > p) & (i < end))
+        day = F.get(days, F.lit(0))
+        flagged = word(day - 1).isin("C", "A")
+        name = F.regexp_replace(joined(p + 2, day - F.when(flagged, 1).otherwise(0)), r",\s*", ", ")
+        return F.struct(position(word(p)).alias("position"), word(p + 1).cast("bigint").alias("number"), name.alias("player"), F.when(flagged, word(day - 1)).alias("flag"), word(day).try_cast("date").alias("birthdate"))
+
+    df = _labelled(lines).filter("label IS NOT NULL AND label != 'officials'").select("game_id", "label", F.posexplode(pieces(begins, player)).alias("i", "p"))
+    return df.filter("p.birthdate IS NOT NULL").select("game_id", "label", _side(F.col("i")).alias("side"), "p.position", "p.number", "p.player", (F.coalesce("p.flag", F.lit("")) == "C").alias("captain"), (F.coalesce("p.flag", F.lit("")) == "A").alias("alternate"), "p.birthdate")
+
+
+def officials(lines: DataFrame) -> DataFrame:
+    """Coaches and other officials below ``Team Officials``: surname in capitals and a comma, first name, role; up to two a line."""
+    begins = places(lambda w: w.rlike(r"^\p{Lu}[\p{Lu}'-]+,$"))
+    person = lambda p, end: F.struct(joined(p, p + 2).alias("name"), joined(p + 2, end).alias("role"))
+    df = _labelled(lines).filter("label = 'officials'").select("game_id", F.posexplode(pieces(begins, person)).alias("i", "p"))
+    return df.select("game_id", _side(F.col("i")).alias("side"), "p.name", "p.role")
 
 
 def lineup(lines: DataFrame) -> DataFrame:
     """Players of line-up lines ``12 NAME, First (LD)`` with the team and line carried from above."""
-    df = lines.withColumn("team", carried(group(r"^Team: (.+)$", 1))).withColumn("unit", carried(group(r"^(Line \d|Goalies)$", 1)))
-    one = r"(\d{1,3}) ([\p{Lu}][\p{Lu}'-]*, [\p{L}][\p{L}'.-]*)(?: \((\w+)\))?"
-    m = F.regexp_extract_all("line", F.lit(one), F.lit(0))
-    df = df.filter("unit IS NOT NULL").select("game_id", "team", "unit", F.explode(m).alias("line"))
-    return df.select("game_id", "team", "unit", group(one, 1).cast("bigint").alias("number"), group(one, 2).alias("player"), F.coalesce(position(group(one, 3)), F.when(F.col("unit") == "Goalies", "G")).alias("position"))
+    df = lines.withColumn("team", carried(group(r"^Team: (.+)$", 1))).withColumn("unit", carried(group(r"^(Line \d|Goalies)$", 1))).filter("unit IS NOT NULL")
+
+    def player(p: Column, end: Column) -> Column:
+        last = word(end - 1)
+        placed = last.rlike(r"^\(\w+\)$")
+        return F.struct(word(p).cast("bigint").alias("number"), joined(p + 1, end - F.when(placed, 1).otherwise(0)).alias("player"), F.when(placed, position(F.regexp_replace(last, "[()]", ""))).alias("position"))
+
+    df = df.select("game_id", "team", "unit", F.explode(pieces(places(lambda w: w.rlike(NUMBER)), player)).alias("p")).filter("contains(p.player, ',')")
+    return df.select("game_id", "team", "unit", "p.number", "p.player", F.coalesce("p.position", F.when(F.col("unit") == "Goalies", "G")).alias("position"))
+
+
+#: The fields of summary rows after the name, or after number and name.
+SUMMARY_SKATER = {"number": "whole", "position": "text", "goals": "whole", "assists": "whole", "points": "whole", "plus_minus": "whole", "pim": "whole", "shots": "whole", "faceoffs": "text", "faceoff_pct": "share"}
+SUMMARY_GOALIE = {"number": "whole", "position": "text", "shots_against": "whole", "goals_against": "whole", "saves": "whole", "save_pct": "share", "seconds": "clock", "gaa": "share"}
+MEDIA_SKATER = {"shots": "whole", "goals": "whole", "assists": "whole", "points": "whole", "plus_minus": "whole", "pim": "whole", "hits": "count", "blocks": "count", "faceoffs": "count", "faceoff_pct": "share"}
+MEDIA_GOALIE = {"saves": "whole", "goals_against": "whole", "shots_against": "whole", "save_pct": "share", "pp_saves": "count", "pp_shots_against": "count", "seconds": "clock"}
+
+
+def _tables(lines: DataFrame, skaters: str, goalies: str) -> DataFrame:
+    """Lines with the table that they are in, and its team: the first table of a kind is the home team's, the second the away team's."""
+    head = F.when(F.col("line").startswith(skaters), "skaters").when(F.col("line").startswith(goalies), "goalies")
+    lines = lines.withColumn("head", head).withColumn("table", carried(head))
+    nth = F.greatest(*(F.when(F.col("table") == t, F.sum(F.when(F.col("head") == t, 1).otherwise(0)).over(_order())) for t in ("skaters", "goalies")))
+    return lines.withColumn("side", _side(nth - 1)).filter("head IS NULL AND table IS NOT NULL")
+
+
+def _summary(lines: DataFrame, table: str, spec: dict[str, str]) -> DataFrame:
+    start = size() - len(spec)
+    df = _tables(lines, "Name No. Pos. G A TP", "Name No. Pos. SOG GA SVS").filter(F.col("table") == table)
+    return df.filter((start > 0) & fits(start, spec) & word(start + 1).isin(*POSITIONS)).select("game_id", "side", joined(0, start).alias("player"), *read(start, spec))
 
 
 def player_summary(lines: DataFrame) -> DataFrame:
-    """Skater rows ``No Name G A TP PIM``; the n-th table belongs to the n-th team."""
-    table = F.sum(F.when(F.col("line").rlike("^No Name G A TP PIM$"), 1).otherwise(0)).over(_order())
-    row = rf"^(\d{{1,3}}) ({_NAME}) (\d+) (\d+) (\d+) (\d+)$"
-    df = lines.withColumn("team_index", table).filter(F.col("line").rlike(row) & (F.col("team_index") > 0))
-    return df.select("game_id", F.when(F.col("team_index") == 1, "home").otherwise("away").alias("side"), group(row, 1).cast("bigint").alias("number"), group(row, 2).alias("player"), *(group(row, i).cast("bigint").alias(n) for i, n in ((3, "goals"), (4, "assists"), (5, "points"), (6, "pim"))))
+    """Skater rows of the player summary: name, number, position and eight numbers."""
+    return _summary(lines, "skaters", SUMMARY_SKATER)
+
+
+def player_summary_goalies(lines: DataFrame) -> DataFrame:
+    """Goalie rows of the player summary: name, number, position, shots, goals against, saves, share, clock and average."""
+    return _summary(lines, "goalies", SUMMARY_GOALIE)
+
+
+def _media(lines: DataFrame, table: str, spec: dict[str, str], *more: Column) -> DataFrame:
+    """Rows of number, name and fields: the name ends before the first number after it."""
+    df = _tables(lines, "Skaters SOG Goals", "Goalies Saves GA").filter(F.col("table") == table)
+    start = F.get(F.filter(places(lambda w: w.rlike(r"^-?\d")), lambda i: i > 1), F.lit(0))
+    df = df.withColumn("start", start).filter(word(0).rlike(NUMBER) & F.col("start").isNotNull())
+    return df.filter(fits(F.col("start"), spec)).select("game_id", "side", word(0).cast("bigint").alias("number"), joined(1, F.col("start")).alias("player"), *read(F.col("start"), spec), *more)
+
+
+def media_summary_skaters(lines: DataFrame) -> DataFrame:
+    """Skater rows of the media summary; shifts and time on ice where the row goes on with them."""
+    at = F.col("start") + len(MEDIA_SKATER)
+    return _media(lines, "skaters", MEDIA_SKATER, word(at).try_cast("bigint").alias("shifts"), clock_seconds(word(at + 1)).alias("toi_seconds"))
 
 
 def media_summary(lines: DataFrame) -> DataFrame:
-    """Goalie rows ``No Name MIP GA SVS SVS%`` with goals against by 60 minutes."""
-    row = rf"^(\d{{1,3}}) ({_NAME}) (\d{{1,3}}:\d{{2}}) (\d+) (\d+) (\d+,\d+|N/A)$"
-    df = lines.filter(F.col("line").rlike(row))
-    seconds, against = clock_seconds(group(row, 3)), group(row, 4).cast("bigint")
-    return df.select("game_id", group(row, 1).cast("bigint").alias("number"), group(row, 2).alias("player"), seconds.alias("seconds"), against.alias("goals_against"), group(row, 5).cast("bigint").alias("saves"), comma_decimal(group(row, 6)).alias("save_pct"), F.when(seconds > 0, F.round(against * 3600.0 / seconds, 2)).alias("gaa"))
+    """Goalie rows of the media summary, with goals against by 60 minutes."""
+    df = _media(lines, "goalies", MEDIA_GOALIE)
+    return df.withColumn("gaa", goals_against_average(F.col("goals_against"), F.col("seconds"), 2))
 
 
-READERS = {"official_game_report": goals, "team_roster": roster, "line_up": lineup, "game_summary": player_summary, "media_summary": media_summary}
+#: The tables of each kind of report.
+READERS: dict[str, dict[str, Callable[[DataFrame], DataFrame]]] = {
+    "official_game_report": {"goals": goals, "on_ice": on_ice, "penalties": penalties, "goalkeeper_changes": goalkeeper_changes, "period_stats": period_stats, "referees": referees, "spectators": spectators, "team_names": team_names},
+    "team_roster": {"roster": roster, "officials": officials},
+    "line_up": {"lineup": lineup},
+    "game_summary": {"skaters": player_summary, "goalies": player_summary_goalies},
+    "media_summary": {"skaters": media_summary_skaters, "goalies": media_summary},
+}
 
 
-def read_report(reports: DataFrame, kind: str) -> DataFrame:
-    """The rows of one kind of report; a text that fits no pattern gives none."""
-    return READERS[kind](report_lines(reports.filter(F.col("report_type") == kind)))
+def read_report(reports: DataFrame, kind: str) -> dict[str, DataFrame]:
+    """The tables of one kind of report by name; a text whose lines fit no form gives no rows, an unknown kind no tables."""
+    lines = report_lines(reports.filter(F.col("report_type") == kind))
+    return {name: reader(lines) for name, reader in READERS.get(kind, {}).items()}
 
 
 def page_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """``(key, pos, kind, href, text)``: headings, table rows, links and list items of pages in order, without tags."""
+    """``(key, pos, kind, href, text)``: headings, table rows, links and list items of pages in order, without tags; cells are parted by ``|``."""
     part = r"(?s)<(h[1-6]|tr|p|li|title)\b[^>]*>(.*?)</\1>"
     found = F.regexp_extract_all(html, F.lit(part), F.lit(0))
     df = pages.select(key, F.posexplode(found).alias("pos", "x"))
-    text = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace("x", r"(?s)</t[dh]>\s*<t[dh][^>]*>", "|"), r"(?s)<[^>]*>", ""), r"\s+", " "))
-    return df.select(key, "pos", F.lower(F.regexp_extract("x", r"^<(\w+)", 1)).alias("kind"), blank_to_null(F.regexp_extract("x", r'href="([^"]*)"', 1)).alias("href"), html_unescape(text).alias("text"))
+    return df.select(key, "pos", F.lower(F.regexp_extract("x", r"^<(\w+)", 1)).alias("kind"), blank_to_null(F.regexp_extract("x", r'href="([^"]*)"', 1)).alias("href"), _plain(F.col("x")).alias("text"))
+
+
+def _plain(x: Column) -> Column:
+    """Text without tags, cells parted by ``|``, runs of blanks as one."""
+    text = F.regexp_replace(F.regexp_replace(x, r"(?s)</t[dh]>\s*<t[dh][^>]*>", "|"), r"(?s)<[^>]*>", " ")
+    return html_unescape(F.trim(F.regexp_replace(F.regexp_replace(text, r"\s+", " "), r" ?\| ?", "|")))
 
 
 def page_games(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -179,11 +332,21 @@ def page_games(pages: DataFrame, key: str = "page_id", html: str = "html") -> Da
 
 
 def page_header(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Teams from the title or a heading ``A - B``, date, time, attendance and period scores of game pages."""
+    """Teams from the title or a heading ``A - B``, date, time, score, attendance, venue and league of game pages.
+
+    The score is the first block that is two numbers and a dash, a bold one first; the venue is a bold third-level heading; the league is such a
+    heading in a centred cell, else the first that is no date or time and says cup, liga, league, serie or hockey.
+    """
     title = html_unescape(F.coalesce(blank_to_null(F.regexp_extract(html, r"(?s)<title>([^<]* - [^<]*)</title>", 1)), blank_to_null(F.regexp_extract(html, r"(?s)<h\d>([^<]* - [^<]*)</h\d>", 1))))
+    found = lambda pattern, i=1: blank_to_null(F.regexp_extract(html, pattern, i))
+    bold, block = r"<div[^>]*bold[^>]*>\s*(\d+)\s*-\s*(\d+)\s*</div>", r"<div[^>]*>\s*(\d+)\s*-\s*(\d+)\s*</div>"
+    heads = F.regexp_extract_all(html, F.lit(r"<h3[^>]*>([^<]+)</h3>"), F.lit(1))
+    league = F.get(F.filter(heads, lambda h: ~h.rlike(r"^\s*(\d{4}-\d{2}-\d{2}|\d{2}:\d{2})") & F.lower(h).rlike("cup|liga|league|serie|hockey")), F.lit(0))
     return pages.select(
-        key, F.trim(F.split_part(title, F.lit(" - "), F.lit(1))).alias("home_team"), F.trim(F.split_part(title, F.lit(" - "), F.lit(2))).alias("away_team"), blank_to_null(F.regexp_extract(html, r"(\d{4}-\d{2}-\d{2})", 1)).alias("day"),
-        blank_to_null(F.regexp_extract(html, r"\d{4}-\d{2}-\d{2},? (\d{2}:\d{2})", 1)).alias("time"), F.replace(blank_to_null(F.regexp_extract(html, r"Spectators: ([\d ]+)", 1)), F.lit(" "), F.lit("")).try_cast("bigint").alias("attendance"),
+        key, F.trim(F.split_part(title, F.lit(" - "), F.lit(1))).alias("home_team"), F.trim(F.split_part(title, F.lit(" - "), F.lit(2))).alias("away_team"), found(r"(\d{4}-\d{2}-\d{2})").alias("day"), found(r"\b(\d{2}:\d{2})\b").alias("time"),
+        *(F.coalesce(found(bold, i), found(block, i)).try_cast("bigint").alias(n) for i, n in ((1, "home_score"), (2, "away_score"))),
+        F.replace(found(r"(?i)Spectators:\s*([\d ]+)"), F.lit(" "), F.lit("")).try_cast("bigint").alias("attendance"), F.trim(html_unescape(found(r"<h3[^>]*>\s*<b>([^<]+)</b>"))).alias("venue"),
+        F.trim(html_unescape(F.coalesce(found(r"<td[^>]*center[^>]*>\s*<h3[^>]*>([^<]+)</h3>"), league))).alias("league"),
     )
 
 
@@ -195,12 +358,22 @@ def page_period_scores(pages: DataFrame, key: str = "page_id", html: str = "html
 
 
 def page_boxscore(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Shots, saves and penalty minutes of both sides from rows ``Shots|31|27``."""
-    rows = page_rows(pages, key, html).filter("kind = 'tr'")
-    row = r"^(Shots|Saves|PIM)\|(\d+)\|(\d+)$"
-    rows = rows.filter(F.col("text").rlike(row)).select(key, F.lower(F.regexp_extract("text", row, 1)).alias("stat"), F.regexp_extract("text", row, 2).cast("bigint").alias("home"), F.regexp_extract("text", row, 3).cast("bigint").alias("away"))
-    pick = lambda s, side: F.max(F.when(F.col("stat") == s, F.col(side))).alias(f"{side}_{s}")
-    return rows.groupBy(key).agg(*(pick(s, side) for s in ("shots", "saves", "pim") for side in ("home", "away")))
+    """Shots, saves and penalty minutes with their periods, save share, power-play share and time of both sides.
+
+    A label's cell is followed by the number and ``(1st:2nd:3rd)``, or for ``PP`` by the share and the time; it stands first for the home team, then
+    for the away team. Save shares are the other cells that are a share.
+    """
+    cells = F.transform(F.regexp_extract_all(html, F.lit(r"(?s)<td[^>]*>(.*?)</td>"), F.lit(1)), _plain)
+    df = pages.select(key, cells.alias("words"))
+    at = lambda label, i: F.get(places(lambda c: c == label), F.lit(i))
+    share = lambda c: comma_decimal(F.regexp_replace(c, "%$", ""))
+    shares = F.filter(F.transform("words", lambda c, i: F.when(c.rlike(r"^\d+,\d+%$") & ~F.coalesce(word(i - 1) == "PP", F.lit(False)), c)), lambda c: c.isNotNull())
+    out = []
+    for i, side in enumerate(("home", "away")):
+        for label, name in (("Shots", "shots"), ("Saves", "saves"), ("PIM", "pim")):
+            out += [word(at(label, i) + 1).try_cast("bigint").alias(f"{side}_{name}"), F.replace(blank_to_null(F.regexp_extract(word(at(label, i) + 2), r"^\((\d+:\d+:\d+)\)$", 1)), F.lit(":"), F.lit(",")).alias(f"{side}_{name}_by_period")]
+        out += [share(F.get(shares, F.lit(i))).alias(f"{side}_save_pct"), share(word(at("PP", i) + 1)).alias(f"{side}_pp_pct"), clock_seconds(blank_to_null(F.regexp_extract(word(at("PP", i) + 2), r"^\((\d+:\d+)\)$", 1))).alias(f"{side}_pp_seconds")]
+    return df.select(key, *out)
 
 
 def page_goalkeepers(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -210,23 +383,62 @@ def page_goalkeepers(pages: DataFrame, key: str = "page_id", html: str = "html")
     return df.select(key, group(one, 1).cast("bigint").alias("number"), group(one, 2).alias("name"), comma_decimal(group(one, 3)).alias("save_pct"), group(one, 4).cast("bigint").alias("saves"), group(one, 5).cast("bigint").alias("shots"))
 
 
-#: Words of event rows and the class they mean; the first that occurs counts.
-EVENT_CLASSES = (("Penalty shot", "penalty_shot"), ("Game winning", "shootout"), ("Goalkeeper in", "goalkeeper_in"), ("Goalkeeper out", "goalkeeper_out"), ("Timeout", "timeout"), ("min", "penalty"))
+#: What an event row says, as a pattern on its lower-case text, and the class that it means; the first that fits counts.
+EVENT_CLASSES = (
+    (r"gk|goalkeeper", "goalkeeper_change"),
+    (r"goal|^\d+-\d+", "goal"),
+    (r"min|penalty", "penalty"),
+    (r"timeout|^to$", "timeout"),
+    (r"powerbreak", "powerbreak"),
+    (r"shootout|so", "shootout"),
+    (r"review|challenge", "video_review"),
+    (r"offside|icing", "stoppage"),
+    (r"faceoff", "faceoff"),
+    (r"hit", "hit"),
+    (r"block", "blocked_shot"),
+    (r"save", "save"),
+)
+#: Signs of a goal's type.
+GOAL_SIGNS = (("(EQ)", "even_strength"), ("PP", "power_play"), ("SH", "short_handed"), ("ENG", "empty_net"))
 
 
 def page_events(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Event rows ``12:34|what|team|player`` with their class and period: the heading above, else by the minute."""
+    """Event rows ``12:34|what|team|who`` with their class and period: that of the heading above, else by the minute.
+
+    Goals have a type, the score and the power play's number; penalties minutes, what for and the clock from and to; who is the first
+    number and surname, further ones are assists; participants are lists of numbers, joined by commas.
+    """
     rows = page_rows(pages, key, html)
     w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("head", F.last(F.when(F.col("kind").rlike("^h[1-6]$"), blank_to_null(F.regexp_extract("text", r"(\d)(?:st|nd|rd|th) period", 1))), ignorenulls=True).over(w))
+    head = F.lower("text")
+    mark = F.when(head.rlike(r"^\d(st|nd|rd|th) period"), F.substring("text", 1, 1).try_cast("bigint")).when(head.rlike("^overtime|^ot period"), 4).when(head.rlike("^shootout|^so period"), 5)
+    rows = rows.withColumn("head", F.last(F.when(F.col("kind").rlike("^h[1-6]$") | (F.col("kind") == "tr"), mark), ignorenulls=True).over(w))
     c = F.split("text", r"\|")
-    rows = rows.filter((F.col("kind") == "tr") & F.col("text").rlike(r"^\d{1,3}:\d{2}\|"))
-    seconds, what = clock_seconds(F.get(c, F.lit(0))), F.get(c, F.lit(1))
-    kind = F.when(what.rlike(r"^\d+-\d+"), "goal")
-    for word, name in EVENT_CLASSES:
-        kind = kind.when(what.contains(word), name)
-    goal_type = F.when(what.rlike(r"^\d+-\d+"), blank_to_null(F.regexp_extract(what, r"\((\w+)\)", 1)))
-    return rows.select(key, "pos", seconds.alias("seconds"), F.coalesce(F.col("head").try_cast("bigint"), inferred_period(seconds)).alias("period"), kind.otherwise("other").alias("event"), goal_type.alias("goal_type"), F.get(c, F.lit(2)).alias("team"), F.get(c, F.lit(3)).alias("player"))
+    rows = rows.filter((F.col("kind") == "tr") & F.col("text").rlike(r"^\d{1,3}:\d{2}\|")).select(key, "pos", "head", *(F.get(c, F.lit(i)).alias(n) for i, n in enumerate(("clock", "what", "team", "who"))))
+    seconds, what, who = clock_seconds(F.col("clock")), F.col("what"), F.coalesce("who", F.lit(""))
+    kind = None
+    for pattern, name in EVENT_CLASSES:
+        kind = (F if kind is None else kind).when(F.lower(what).rlike(pattern), name)
+    kind = kind.otherwise("other")
+    goal_type = None
+    for sign, name in GOAL_SIGNS:
+        goal_type = (F if goal_type is None else goal_type).when(what.contains(sign), name)
+    rows = rows.withColumn("event", kind)
+    of = lambda event, value: F.when(F.col("event") == event, value)
+    said = lambda text, pattern, i=1: blank_to_null(F.trim(F.regexp_extract(text, pattern, i)))
+    people = F.regexp_extract_all(who, F.lit(r"\d{1,3}\. ?[^,|]+"), F.lit(0))
+    surname = lambda p: F.trim(F.regexp_replace(p, r"^\d{1,3}\. ?", ""))
+    part = lambda sign: blank_to_null(F.array_join(F.regexp_extract_all(F.regexp_extract(who, rf"(?i){sign}\. ?Part\.: ?([\d ,]+)", 1), F.lit(r"\d+"), F.lit(0)), ","))
+    first = F.get(people, F.lit(0))
+    return rows.select(
+        key, "pos", seconds.alias("seconds"), F.coalesce("head", inferred_period(seconds)).alias("period"), "event", of("goal", goal_type.otherwise("unknown")).alias("goal_type"), of("goal", said(what, r"PP(\d+)").try_cast("bigint")).alias("power_play_number"),
+        *(F.when(F.col("event").isin("goal", "shootout"), said(what, r"(\d+)-(\d+)", i).try_cast("bigint")).alias(n) for i, n in ((1, "score_home"), (2, "score_away"))),
+        of("penalty", said(what, r"(\d+) ?min").try_cast("bigint")).alias("penalty_minutes"), of("penalty", said(who, r"([A-Za-z ]+) ?\(")).alias("penalty_type"),
+        *(of("penalty", clock_seconds(said(who, r"\((\d{2,3}:\d{2}) ?- ?(\d{2,3}:\d{2})\)", i))).alias(n) for i, n in ((1, "penalty_start"), (2, "penalty_end"))),
+        of("goalkeeper_change", F.when(F.lower(what).rlike(r"\bin\b"), "in").when(F.lower(what).rlike(r"\bout\b"), "out")).alias("goalkeeper_action"), "team",
+        F.regexp_extract(first, r"^(\d+)", 1).try_cast("bigint").alias("player_number"), surname(first).alias("player"), of("goal", blank_to_null(F.array_join(F.transform(F.slice(people, 2, 9), surname), ","))).alias("assists"),
+        part("Pos").alias("positive_participants"), part("Neg").alias("negative_participants"),
+    )
 
 
 def inferred_period(seconds: Column) -> Column:

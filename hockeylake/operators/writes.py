@@ -65,12 +65,37 @@ def upsert_insights(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.unionByName(new.select(*target.columns))
 
 
-def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Write beside a Parquet table and swap folders, for results that read the table they replace."""
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and how it names paths."""
     jvm = spark.sparkContext._jvm
-    new, old = f"{path}.new", f"{path}.old"
     at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def recover_table(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table at ``path``; one whose replacement was cut short is made whole first.
+
+    Between the two renames of ``replace_table`` the path is absent: then the new table, which was written in full, takes its place,
+    or else the old one is put back.
+    """
+    fs, at = _files(spark, path)
+    if not fs.exists(at(path)):
+        if fs.exists(at(f"{path}.new/_SUCCESS")):
+            fs.rename(at(f"{path}.new"), at(path))
+            fs.delete(at(f"{path}.old"), True)
+        elif fs.exists(at(f"{path}.old")):
+            fs.rename(at(f"{path}.old"), at(path))
+    return fs.exists(at(path))
+
+
+def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Write beside a Parquet table and swap folders, for results that read the table they replace.
+
+    A run that ends anywhere within leaves a table that ``recover_table`` finds, the old or the new one; call it before the table is read.
+    """
+    recover_table(spark, path)
+    new, old = f"{path}.new", f"{path}.old"
+    fs, at = _files(spark, path)
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(new)
     fs.delete(at(old), True)
     if fs.exists(at(path)):
@@ -79,6 +104,44 @@ def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
     fs.delete(at(old), True)
 
 
+def current_buckets(spark: SparkSession, path: str, before: int | None = None) -> dict[str, str]:
+    """The folder of each bucket's newest version, of those that were written in full (and before one)."""
+    fs, at = _files(spark, path)
+    found: dict[str, tuple[int, str]] = {}
+    for version in fs.listStatus(at(path)) if fs.exists(at(path)) else ():
+        folder, name = version.getPath().toString(), version.getPath().getName()
+        number = int(name.removeprefix("v="))
+        if fs.exists(at(f"{folder}/_SUCCESS")) and (before is None or number < before):
+            for bucket in fs.listStatus(version.getPath()):
+                key = bucket.getPath().getName()
+                if key.startswith("bucket=") and number >= found.get(key, (-1, ""))[0]:
+                    found[key] = (number, bucket.getPath().toString())
+    return {key: folder for key, (_, folder) in found.items()}
+
+
+def read_buckets(spark: SparkSession, path: str, schema: str | T.StructType, before: int | None = None, only: list[int] | None = None) -> DataFrame:
+    """The rows of a table that ``write_buckets`` keeps, of some buckets alone if asked; without versions an empty one."""
+    folders = [f for key, f in sorted(current_buckets(spark, path, before).items()) if only is None or int(key.removeprefix("bucket=")) in only]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def write_buckets(df: DataFrame, path: str, version: int) -> None:
+    """Write the buckets in ``df`` (column ``bucket``) as a version of the table; what is in no version yet, or in an older one, stays.
+
+    A version counts once it is written in full, and a repeated one replaces itself: a run that ends anywhere loses nothing. Folders that
+    neither this version nor a repeat of it needs are deleted.
+    """
+    spark = df.sparkSession
+    needed = set(current_buckets(spark, path, version).values())
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(f"{path}/v={version}")
+    fs, at = _files(spark, path)
+    for other in fs.listStatus(at(path)):
+        if int(other.getPath().getName().removeprefix("v=")) < version:
+            for bucket in fs.listStatus(other.getPath()):
+                if bucket.getPath().getName().startswith("bucket=") and bucket.getPath().toString() not in needed:
+                    fs.delete(bucket.getPath(), True)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     stringify_nested(df).write.mode("overwrite").option("header", True).csv(path)
 

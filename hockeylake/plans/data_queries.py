@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -16,10 +18,12 @@ _G = cte("games")
 
 
 def scratch(spark, name: str) -> str:
-    """A new path in the folder that all executors see (``spark.checkpoint.dir``; a temporary one only where that is unset)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="hockeylake-")
-    import uuid
-
+    """A new path in the folder that all executors see, ``spark.checkpoint.dir``; where that is unset a temporary one on a local master, on a cluster this raises."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="hockeylake-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -325,12 +329,65 @@ def dq_anomalies(spark, d):
 
 
 @query(
-    f"""WITH {_G}, p AS (SELECT l_orderkey AS game_id, CAST(sum(l_linenumber) AS BIGINT) AS s FROM lineitem GROUP BY 1)
-SELECT game_id, 'whitespace' AS warning FROM games WHERE game_id % 6 = 0 UNION ALL SELECT game_id, 'no_league_id' FROM games WHERE game_id % 4 = 0 UNION ALL SELECT game_id, 'period_sum' FROM games JOIN p USING (game_id) WHERE s <> home_score + away_score"""
+    f"""WITH {_G}, p AS (SELECT l_orderkey AS game_id, CAST(sum(l_linenumber) AS BIGINT) AS s, bool_or(l_linenumber = 5) AS o, bool_or(l_suppkey % 7 = 0) AS u FROM lineitem GROUP BY 1)
+SELECT game_id, 'whitespace' AS warning FROM games WHERE game_id % 6 = 0 UNION ALL SELECT game_id, 'no_league_id' FROM games WHERE game_id % 4 = 0 UNION ALL SELECT game_id, 'period_sum' FROM games JOIN p USING (game_id) WHERE s <> home_score + away_score
+UNION ALL SELECT game_id, 'unknown_event' FROM games JOIN p USING (game_id) WHERE o UNION ALL SELECT game_id, 'unknown_goal_type' FROM games JOIN p USING (game_id) WHERE u"""
 )
 def dq_warnings(spark, d):
     g = games(spark, d).withColumn("venue", F.when(F.col("game_id") % 6 == 0, F.lit("Arena  A\t")).otherwise(F.lit("Arena A"))).withColumn("league_id", F.when(F.col("game_id") % 4 > 0, F.lit("1")))
-    return quality.warnings(g, table(spark, d, "lineitem").select(F.col("l_orderkey").alias("game_id"), F.col("l_linenumber").alias("goals")))
+    li = table(spark, d, "lineitem").withColumn("game_id", F.col("l_orderkey"))
+    events = li.select("game_id", F.when(F.col("l_linenumber") == 5, "other").otherwise("goal").alias("event_type"), F.when(F.col("l_suppkey") % 7 == 0, "unknown").alias("goal_type"))
+    return quality.warnings(g, li.select("game_id", F.col("l_linenumber").alias("goals")), events)
+
+
+@query("SELECT l_returnflag AS league, l_linenumber AS event_type, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY l_returnflag), 4) AS pct FROM lineitem GROUP BY 1, 2")
+def dq_event_shares(spark, d):
+    return quality.share_by(table(spark, d, "lineitem").select(F.col("l_returnflag").alias("league"), F.col("l_linenumber").alias("event_type")), "league", "event_type")
+
+
+@query("""SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) AS n_files, CAST(sum(length(o_orderpriority)) AS BIGINT) AS n_bytes, count(l) AS covered, round(count(l) * 100.0 / count(*), 4) AS pct
+FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey AS l FROM lineitem WHERE l_returnflag = 'R') ON l = o_orderkey GROUP BY 1""")
+def dq_layer_coverage(spark, d):
+    files_ = table(spark, d, "orders").select(F.col("o_orderkey").alias("key"), F.year("o_orderdate").cast("bigint").alias("year"), F.length("o_orderpriority").alias("bytes"))
+    return quality.layer_coverage(files_, table(spark, d, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("key")), "key", "year")
+
+
+@query("""WITH v AS (SELECT 'p' || l_linenumber AS prefix, count(*) AS n_files FROM lineitem GROUP BY 1), p AS (SELECT 'p' || r_regionkey AS prefix, r_name AS pipeline, 't' || r_regionkey AS table_name FROM region),
+c AS (SELECT 't' || n_regionkey AS table_name, count(*) AS n FROM nation WHERE n_regionkey <> 2 GROUP BY 1)
+SELECT prefix, coalesce(n_files, 0) AS n_files, pipeline, table_name, n AS n_rows, CASE WHEN pipeline IS NULL THEN 'no pipeline' WHEN coalesce(n_files, 0) = 0 THEN 'no files' WHEN coalesce(n, 0) = 0 THEN 'no rows' ELSE 'ok' END AS status
+FROM v FULL JOIN p USING (prefix) LEFT JOIN c USING (table_name)""")
+def dq_structure_report(spark, d):
+    volumes = table(spark, d, "lineitem").groupBy(F.concat(F.lit("p"), "l_linenumber").alias("prefix")).agg(F.count("*").alias("n_files"))
+    pipelines = table(spark, d, "region").select(F.concat(F.lit("p"), "r_regionkey").alias("prefix"), F.col("r_name").alias("pipeline"), F.concat(F.lit("t"), "r_regionkey").alias("table_name"))
+    counts = table(spark, d, "nation").filter("n_regionkey != 2").groupBy(F.concat(F.lit("t"), "n_regionkey").alias("table_name")).agg(F.count("*").alias("n"))
+    return quality.structure_report(volumes, pipelines, counts)
+
+
+@query("""SELECT table_name, CASE WHEN e IS NULL THEN 'unexpected' WHEN f IS NULL THEN 'missing' ELSE 'present' END AS status
+FROM (SELECT DISTINCT 't' || c_nationkey AS table_name, 1 AS e FROM customer) FULL JOIN (SELECT DISTINCT 't' || s_nationkey * 2 AS table_name, 1 AS f FROM supplier) USING (table_name)""")
+def dq_table_presence(spark, d):
+    expected = table(spark, d, "customer").select(F.concat(F.lit("t"), "c_nationkey").alias("table_name")).distinct()
+    found = table(spark, d, "supplier").select(F.concat(F.lit("t"), F.col("s_nationkey") * 2).alias("table_name")).distinct()
+    return quality.table_presence(found, expected)
+
+
+_PROFILED = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_mktsegment": "string"}
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", '{k}' AS kind, count(*) AS n_rows, count(*) - count({c}) AS n_nulls, count(DISTINCT {c}) AS n_distinct, CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS greatest FROM customer"""
+        for c, k in _PROFILED.items()
+    )
+)
+def profile_table(spark, d):
+    return quality.table_profile(table(spark, d, "customer").select(*_PROFILED))
+
+
+@query("SELECT DISTINCT l_suppkey AS id, CAST(floor((dense_rank() OVER (ORDER BY l_suppkey) - 1) / 7) AS BIGINT) AS batch_no FROM (SELECT DISTINCT l_suppkey FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 5))")
+def inc_id_batches(spark, d):
+    done = table(spark, d, "supplier").filter("s_nationkey < 5").select(F.col("s_suppkey").alias("id"))
+    return incremental.id_batches(table(spark, d, "lineitem").select(F.col("l_suppkey").alias("id")), done, "id", 7)
 
 
 @query("SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) AS n, count(CASE WHEN o_orderkey % 5 > 0 THEN 1 END) AS with_id, round(count(CASE WHEN o_orderkey % 5 > 0 THEN 1 END) * 100.0 / count(*), 4) AS pct FROM orders GROUP BY 1")
@@ -346,8 +403,12 @@ def dq_schema_diff(spark, d):
     return quality.schema_difference_rows(spark, c, expected)
 
 
-@query()
+@query("""SELECT '$.id' AS path, 'BIGINT' AS kind, count(*) AS n FROM orders UNION ALL SELECT '$.who', 'OBJECT', count(*) FROM orders UNION ALL SELECT '$.who.name', 'STRING', count(*) FROM orders UNION ALL SELECT '$.list', 'ARRAY', count(*) FROM orders
+UNION ALL SELECT '$.list[]', 'BIGINT', count(*) FROM orders UNION ALL SELECT '$.list[]', 'OBJECT', count(*) FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT '$.list[].k', 'STRING', count(*) FROM orders WHERE o_orderkey % 3 = 0""")
 def json_key_paths(spark, d):
-    return quality.json_key_paths(table(spark, d, "events").select(F.col("props").alias("payload")))
+    text = """'{"id": ' || o_orderkey || ', "who": {"name": "' || o_orderstatus || '"}, "list": [' || o_custkey || if(o_orderkey % 3 = 0, ', {"k": "v"}', '') || ']}'"""
+    docs = table(spark, d, "orders").select(F.expr(text).alias("payload"))
+    return quality.json_key_paths(docs.unionByName(docs.limit(1).select(F.lit("{broken").alias("payload"))))
+
 
 

@@ -15,15 +15,16 @@ def _games(spark, d):
     """Game documents: every second one in the live-data layout."""
     g = view(spark, d, "games").withColumn("season_id", F.col("season"))
     side = lambda s: f"named_struct('id', {s}_team_id, 'abbrev', 'T' || {s}_team_id, 'score', {s}_score, 'sog', {s}_sog)"
-    player = lambda k, pos: f"named_struct('playerId', game_id * 10 + {k}, 'position', '{pos}', 'goals', home_score, 'assists', 1, 'sog', 2, 'toi', '12:' || lpad(game_id % 60, 2, '0'), 'hits', game_id % 3, 'pim', 0, 'saves', 20, 'shotsAgainst', 22)"
+    player = lambda k, pos: f"named_struct('playerId', game_id * 10 + {k}, 'position', '{pos}', 'goals', home_score, 'assists', 1, 'sog', 2, 'toi', '12:' || lpad(game_id % 60, 2, '0'), 'hits', game_id % 3, 'pim', 0, 'powerPlayGoals', home_pp_goals, 'blockedShots', {k}, 'giveaways', 1, 'plusMinus', {k} - 2, 'faceoffWinningPctg', 0.5, 'saves', 20, 'shotsAgainst', 22, 'goalsAgainst', 2, 'savePctg', 0.875)"
     stats = lambda k: f"named_struct('forwards', array({player(k, 'C')}), 'goalies', array({player(k + 1, 'MV')}))"
     play = "named_struct('about', named_struct('eventId', if(game_id % 4 < 2, 7, null), 'period', '1', 'periodTime', '03:20'), 'result', named_struct('eventTypeId', 'goal', 'description', status), 'team', named_struct('triCode', 'T' || home_team_id), 'players', array(named_struct('playerId', 0), named_struct('playerId', game_id), named_struct('playerId', game_id + 1)))"
-    a = f"""to_json(named_struct('gameId', cast(game_id as string), 'boxscore', named_struct('id', game_id, 'season', season, 'gameState', status, 'gameType', cast(game_type as string), 'venue', named_struct('default', 'Arena'), 'gameOutcome', named_struct('lastPeriodType', last_period_type),
+    a = f"""to_json(named_struct('gameId', cast(game_id as string), 'boxscore', named_struct('id', game_id, 'season', season, 'gameState', status, 'gameType', cast(game_type as string), 'startTimeUTC', game_date || 'T18:00:00Z', 'regPeriods', 3, 'limitedScoring', game_id % 4 = 0, 'venue', named_struct('default', 'Arena'), 'venueLocation', named_struct('default', 'Town'), 'gameOutcome', named_struct('otPeriods', if(last_period_type = 'OT', 1, null), 'lastPeriodType', last_period_type), 'periodDescriptor', named_struct('number', 3, 'periodType', last_period_type),
       'homeTeam', {side('home')}, 'awayTeam', {side('away')}, 'playerByGameStats', named_struct('homeTeam', {stats(1)}, 'awayTeam', {stats(3)})), 'playByPlay', named_struct('plays', array({play})), 'gameStory', named_struct('headline', if(game_id % 6 = 0, '', 'H' || game_id), 'body', '')))"""
     live = lambda k: f"named_struct('person', named_struct('id', game_id * 10 + {k}), 'position', named_struct('abbreviation', 'D'), 'stats', named_struct('skaterStats', named_struct('goals', 1, 'assists', 2, 'shots', 3, 'timeOnIce', '10:00')))"
+    team = lambda s: f"named_struct('teamSkaterStats', named_struct('shots', {s}_sog, 'powerPlayGoalCount', {s}_pp_goals, 'powerPlayOpportunities', {s}_pp_opps, 'hits', game_id % 5, 'blocked', 0, 'blockedShots', 8, 'penaltyMinutes', {s}_pim, 'giveaways', 2, 'faceOffWinPercentage', '51.5'), 'teamGoalieStats', named_struct('hits', 1, 'takeaways', 0, 'penaltyMinutes', 0))"
     b = f"""to_json(named_struct('gameData', named_struct('game', named_struct('pk', game_id, 'season', season, 'type', cast(game_type as string)), 'status', named_struct('detailedState', status), 'venue', named_struct('name', 'Arena'), 'teams', named_struct('home', named_struct('id', home_team_id, 'abbreviation', 'T' || home_team_id), 'away', named_struct('id', away_team_id, 'abbreviation', 'T' || away_team_id))),
       'liveData', named_struct('linescore', named_struct('teams', named_struct('home', named_struct('goals', home_score), 'away', named_struct('goals', away_score))), 'plays', named_struct('allPlays', array({play})),
-      'boxscore', named_struct('teams', named_struct('home', named_struct('team', named_struct('triCode', 'T' || home_team_id), 'players', map('ID1', {live(1)}, 'ID2', {live(2)})), 'away', named_struct('team', named_struct('triCode', 'T' || away_team_id), 'players', map('ID3', {live(3)})))))))"""
+      'boxscore', named_struct('teams', named_struct('home', named_struct('team', named_struct('triCode', 'T' || home_team_id), 'teamStats', {team('home')}, 'players', map('ID1', {live(1)}, 'ID2', {live(2)})), 'away', named_struct('team', named_struct('triCode', 'T' || away_team_id), 'teamStats', {team('away')}, 'players', map('ID3', {live(3)})))))))"""
     docs = g.select(F.concat(F.lit("k/"), "game_id").alias("key"), F.col("game_date"), F.expr(f"if(game_id % 2 = 0, {a}, {b})").alias("payload"))
     return doc.parse_games(docs)
 
@@ -32,35 +33,57 @@ _PTS = "CASE WHEN {o} > {t} THEN 2 WHEN {o} < {t} AND (contains(status, 'OT') OR
 _POINTS = f"CAST({_PTS.format(o='home_score', t='away_score')} AS BIGINT) AS home_points, CAST({_PTS.format(o='away_score', t='home_score')} AS BIGINT) AS away_points"
 
 
+_EVEN = "CASE WHEN game_id % 2 = 0 THEN {} ELSE {} END AS {}"
+_BOTH = ", ".join(
+    _EVEN.format(even.replace("@", s), odd.replace("@", s), f"{s}_{name}")
+    for name, even, odd in (
+        ("sog", "@_sog", "@_sog"), ("pp_goals", "nullif(2 * home_pp_goals, 0)", "nullif(@_pp_goals, 0)"), ("pp_opportunities", "CAST(NULL AS BIGINT)", "@_pp_opps"), ("hits", "nullif(2 * (game_id % 3), 0)", "coalesce(nullif(game_id % 5, 0), 1)"),
+        ("blocked", "CASE WHEN '@' = 'home' THEN 3 ELSE 7 END", "8"), ("pim", "CAST(NULL AS BIGINT)", "CASE WHEN @_pim = 0 THEN 0 ELSE @_pim END"), ("giveaways", "2", "2"), ("takeaways", "CAST(NULL AS BIGINT)", "0"), ("faceoff_pct", "CAST(NULL AS DOUBLE)", "CAST(51.5 AS DOUBLE)"),
+    )
+    for s in ("home", "away")
+)
+_BOX_ONLY = ", ".join(
+    f"CASE WHEN game_id % 2 = 0 THEN {value} END AS {name}"
+    for name, value in (
+        ("last_period_type", "last_period_type"), ("venue_location", "'Town'"), ("start_time_utc", "CAST(game_date AS VARCHAR) || 'T18:00:00Z'"), ("reg_periods", "3"), ("limited_scoring", "game_id % 4 = 0"), ("game_state", "status"),
+        ("ot_periods", "CASE WHEN last_period_type = 'OT' THEN 1 END"), ("period_number", "3"), ("period_type", "last_period_type"),
+    )
+)
+
+
 @query(
-    f"""WITH {_G} SELECT game_id, game_date, season, CAST(game_type AS VARCHAR) AS game_type, status, CASE WHEN game_id % 2 = 0 THEN last_period_type END AS last_period_type, 'Arena' AS venue, home_team_id, 'T' || home_team_id AS home_team_abbr, away_team_id, 'T' || away_team_id AS away_team_abbr,
-home_score, away_score, CASE WHEN game_id % 2 = 0 THEN home_sog END AS home_sog, CASE WHEN game_id % 2 = 0 THEN nullif(2 * (game_id % 3), 0) END AS home_hits, {_POINTS} FROM games"""
+    f"""WITH {_G} SELECT game_id, game_date, season, CAST(game_type AS VARCHAR) AS game_type, status, 'Arena' AS venue, home_team_id, 'T' || home_team_id AS home_team_abbr, away_team_id, 'T' || away_team_id AS away_team_abbr,
+home_score, away_score, {_BOTH}, {_BOX_ONLY}, {_POINTS} FROM games"""
 )
 def trf_games(spark, d):
-    return doc.extract_games(_games(spark, d)).select("game_id", "game_date", "season", "game_type", "status", "last_period_type", "venue", "home_team_id", "home_team_abbr", "away_team_id", "away_team_abbr", "home_score", "away_score", "home_sog", "home_hits", "home_points", "away_points")
+    return doc.extract_games(_games(spark, d))
 
 
-@query(f"WITH {_G} SELECT game_id, nullif(2 * (game_id % 3), 0) AS hits, CAST(NULL AS BIGINT) AS pim FROM games WHERE game_id % 2 = 0")
+@query(f"WITH {_G} SELECT game_id, CASE WHEN game_id % 2 = 0 THEN nullif(2 * (game_id % 3), 0) ELSE coalesce(nullif(game_id % 5, 0), 1) END AS hits, CASE WHEN game_id % 2 = 1 THEN away_pim END AS pim, 2 AS giveaways FROM games")
 def trf_team_totals(spark, d):
-    return doc.extract_games(_games(spark, d)).filter("game_id % 2 = 0").select("game_id", F.col("away_hits").alias("hits"), F.col("away_pim").alias("pim"))
+    return doc.extract_games(_games(spark, d)).select("game_id", F.col("away_hits").alias("hits"), F.col("away_pim").alias("pim"), F.col("away_giveaways").alias("giveaways"))
 
 
-@query(f"WITH {_G} SELECT game_id, CASE WHEN game_id % 2 = 0 THEN away_sog END AS away_sog FROM games")
+@query(f"WITH {_G} SELECT game_id, away_sog, CASE WHEN game_id % 2 = 1 THEN away_pp_opps END AS away_pp_opportunities, CASE WHEN game_id % 2 = 1 THEN 0 END AS away_takeaways FROM games")
 def trf_team_stat_fallback(spark, d):
-    return doc.extract_games(_games(spark, d)).select("game_id", "away_sog")
+    return doc.extract_games(_games(spark, d)).select("game_id", "away_sog", "away_pp_opportunities", "away_takeaways")
 
 
-_BOX = "SELECT game_id, game_id * 10 + k AS player_id, k < 3 AS is_home, 'T' || CASE WHEN k < 3 THEN home_team_id ELSE away_team_id END AS team_abbr, CASE WHEN k % 2 = 1 THEN 'C' ELSE 'G' END AS position, home_score AS goals, home_score + 1 AS points, 720 + game_id % 60 AS toi_seconds FROM games, (VALUES (1), (2), (3), (4)) v(k) WHERE game_id % 2 = 0"
+_PLAYED = "game_id, game_id * 10 + k AS player_id, k < 3 AS is_home, 'T' || CASE WHEN k < 3 THEN home_team_id ELSE away_team_id END AS team_abbr"
+_BOX = f"SELECT {_PLAYED}, CASE WHEN k % 2 = 1 THEN 'C' ELSE 'G' END AS position, home_score AS goals, home_score + 1 AS points, k - 2 AS plus_minus, CAST(k AS BIGINT) AS blocked_shots, 720 + game_id % 60 AS toi_seconds, CASE WHEN k % 2 = 0 THEN 20 END AS saves, CASE WHEN k % 2 = 0 THEN round(7200.0 / (720 + game_id % 60), 4) END AS gaa FROM games, (VALUES (1), (2), (3), (4)) v(k) WHERE game_id % 2 = 0"
+_LIVE = f"SELECT {_PLAYED}, 'D' AS position, 1 AS goals, 3 AS points, CAST(NULL AS BIGINT) AS plus_minus, CAST(NULL AS BIGINT) AS blocked_shots, 600 AS toi_seconds, CAST(NULL AS BIGINT) AS saves, CAST(NULL AS DOUBLE) AS gaa FROM games, (VALUES (1), (2), (3)) v(k) WHERE game_id % 2 = 1"
+_PLAYER_COLUMNS = ("game_id", "player_id", "is_home", "team_abbr", "position", "goals", "points", "plus_minus", "blocked_shots", "toi_seconds", "saves", "gaa")
 
 
-@query(f"WITH {_G} {_BOX}")
+@query(f"WITH {_G} {_BOX} UNION ALL {_LIVE}")
 def trf_players_boxscore(spark, d):
-    return doc.extract_players(_games(spark, d)).filter("game_id % 2 = 0").select("game_id", "player_id", "is_home", "team_abbr", "position", "goals", "points", "toi_seconds")
+    return doc.extract_players(_games(spark, d)).select(*_PLAYER_COLUMNS)
 
 
-@query(f"WITH {_G} SELECT game_id, game_id * 10 + k AS player_id, k < 3 AS is_home, 'T' || CASE WHEN k < 3 THEN home_team_id ELSE away_team_id END AS team_abbr, 3 AS points, 600 AS toi_seconds FROM games, (VALUES (1), (2), (3)) v(k) WHERE game_id % 2 = 1")
+@query(f"WITH {_G} SELECT team_abbr, is_home, CAST(count(*) AS BIGINT) AS players, CAST(sum(points) AS BIGINT) AS points, CAST(sum(toi_seconds) AS BIGINT) AS toi_seconds FROM ({_LIVE} UNION ALL {_BOX}) GROUP BY team_abbr, is_home")
 def trf_players_livedata(spark, d):
-    return doc.extract_players(_games(spark, d)).filter("game_id % 2 = 1").select("game_id", "player_id", "is_home", "team_abbr", "points", "toi_seconds")
+    p = doc.extract_players(_games(spark, d)).groupBy("team_abbr", "is_home")
+    return p.agg(F.count("*").alias("players"), F.sum("points").alias("points"), F.sum("toi_seconds").alias("toi_seconds"))
 
 
 @query(f"WITH {_G} SELECT game_id, CASE WHEN game_id % 4 < 2 THEN 7 ELSE 0 END AS event_id, 'GOAL' AS event_type, '1' AS period, 200 AS period_seconds, 'T' || home_team_id AS team_abbr, CASE WHEN game_id > 0 THEN game_id ELSE 1 END AS player_id, CASE WHEN game_id > 0 THEN game_id + 1 END AS player2_id, status AS description FROM games")
@@ -127,11 +150,14 @@ def trf_roster_lookup(spark, d):
     return doc.roster_with_teams(doc.extract_roster(_roster_docs(spark, d)), view(spark, d, "teams").filter("team_id < 20"))
 
 
-@query(f"WITH {_G} SELECT CAST(game_date AS VARCHAR) AS schedule_date, game_id, home_team_id, away_team_id FROM games")
+@query(
+    f"""WITH {_G}, s AS (SELECT *, season // 10000 % 3 AS k, CAST(game_date AS VARCHAR) AS day FROM games) SELECT day AS schedule_date, day AS schedule_source_key, game_id, CASE WHEN k > 0 THEN day || 'T00:00:00Z' END AS game_date, CASE WHEN k > 0 THEN season END AS season, home_team_id, away_team_id,
+CASE WHEN k > 0 THEN CAST(game_type AS VARCHAR) END AS game_type, status, CASE WHEN k > 0 THEN day || 'T18:30:00Z' END AS start_time_utc, CASE WHEN k > 0 THEN status END AS game_state, CASE WHEN k > 0 THEN 'Hall' END AS venue FROM s"""
+)
 def trf_schedule(spark, d):
     g = view(spark, d, "games").withColumn("day", F.col("game_date").cast("string"))
-    old = "collect_list(named_struct('gamePk', game_id, 'teams', named_struct('home', named_struct('id', home_team_id), 'away', named_struct('id', away_team_id))))"
-    new = "collect_list(named_struct('id', game_id, 'gameDate', day || 'T00:00:00Z', 'homeTeam', named_struct('id', home_team_id), 'awayTeam', named_struct('id', away_team_id)))"
+    old = "collect_list(named_struct('gamePk', game_id, 'status', named_struct('detailedState', status), 'teams', named_struct('home', named_struct('id', home_team_id), 'away', named_struct('id', away_team_id))))"
+    new = "collect_list(named_struct('id', game_id, 'gameDate', day || 'T00:00:00Z', 'season', season, 'gameType', cast(game_type as string), 'gameState', status, 'startTimeUTC', day || 'T18:30:00Z', 'venue', named_struct('default', 'Hall'), 'homeTeam', named_struct('id', home_team_id), 'awayTeam', named_struct('id', away_team_id)))"
     shape = F.expr(f"case season div 10000 % 3 when 0 then to_json(named_struct('dates', array(named_struct('date', day, 'games', {old})))) when 1 then to_json(named_struct('gameWeek', array(named_struct('date', day, 'games', {new})))) else to_json(named_struct('games', {new})) end")
     return doc.extract_schedule(_variants(g.groupBy("season", "day").agg(shape.alias("payload")).select(F.col("day").alias("key"), "payload"), "key", "payload"))
 
@@ -148,25 +174,47 @@ def trf_glossary_draft(spark, d):
     return doc.extract_terms(_variants(p, "payload"))
 
 
-@query("SELECT CAST(19950000 + s_nationkey AS BIGINT) AS season, CAST(s_suppkey AS VARCHAR) AS series_letter, CAST(1 + s_suppkey % 4 AS BIGINT) AS round, 'T' || s_nationkey AS top_seed, CAST(4 AS BIGINT) AS top_wins FROM supplier")
+@query("SELECT CAST(19950000 + s_nationkey AS BIGINT) AS season, CAST(s_suppkey AS VARCHAR) AS series_letter, s_name AS series_title, 'R1' AS series_abbrev, CAST(1 + s_suppkey % 4 AS BIGINT) AS round, 1 AS top_seed_rank, 'D1' AS top_seed_rank_abbrev, 'T' || s_nationkey AS top_seed, s_nationkey AS top_seed_id, CAST(4 AS BIGINT) AS top_wins, CAST(NULL AS BIGINT) AS bottom_seed_rank, CAST(NULL AS VARCHAR) AS bottom_seed_rank_abbrev, s_suppkey % 4 AS bottom_wins, s_suppkey AS bottom_seed_id, CAST(NULL AS VARCHAR) AS bottom_seed, s_nationkey AS winning_team_id, CAST(NULL AS BIGINT) AS losing_team_id FROM supplier")
 def trf_playoffs(spark, d):
     s = table(spark, d, "supplier").groupBy("s_nationkey").agg(
-        F.expr("to_json(named_struct('season', 19950000 + s_nationkey, 'data', named_struct('series', collect_list(named_struct('seriesLetter', cast(s_suppkey as string), 'playoffRound', 1 + s_suppkey % 4, 'topSeedTeam', named_struct('abbrev', 'T' || s_nationkey), 'topSeedWins', 4)))))").alias("payload")
+        F.expr("to_json(named_struct('season', 19950000 + s_nationkey, 'data', named_struct('series', collect_list(named_struct('seriesLetter', cast(s_suppkey as string), 'playoffRound', 1 + s_suppkey % 4, 'seriesTitle', s_name, 'seriesAbbrev', 'R1', 'topSeedRank', 1, 'topSeedRankAbbrev', 'D1', 'topSeedTeam', named_struct('id', s_nationkey, 'abbrev', 'T' || s_nationkey), 'topSeedWins', 4, 'bottomSeedWins', s_suppkey % 4, 'bottomSeedTeam', named_struct('id', s_suppkey), 'winningTeamId', s_nationkey)))))").alias("payload")
     )
-    return doc.extract_playoffs(_variants(s, "payload")).select("season", "series_letter", "round", "top_seed", "top_wins")
+    return doc.extract_playoffs(_variants(s, "payload"))
 
 
 @query("SELECT CAST(c_nationkey AS VARCHAR) AS season, c_custkey AS player_id, c_name AS name, CAST(c_custkey % 50 AS BIGINT) AS goals, CAST(c_custkey % 90 AS BIGINT) AS points FROM customer")
 def trf_season_stats(spark, d):
     one = "named_struct('playerId', c_custkey, 'skaterFullName', c_name, 'goals', c_custkey % 50, 'points', c_custkey % 90)"
     c = table(spark, d, "customer").groupBy("c_nationkey").agg(F.expr(f"case c_nationkey % 3 when 0 then to_json(collect_list({one})) when 1 then to_json(named_struct('data', collect_list({one}))) else to_json(named_struct('skaters', collect_list({one}))) end").alias("payload"))
-    return doc.extract_season_stats(_variants(c.select(F.col("c_nationkey").cast("string").alias("season"), "payload"), "season", "payload"))
+    return doc.extract_season_stats(_variants(c.select(F.col("c_nationkey").cast("string").alias("season"), "payload"), "season", "payload")).select("season", "player_id", "name", "goals", "points")
+
 
+@query("SELECT CAST(s_nationkey AS VARCHAR) AS season, s_suppkey AS team_id, s_name AS name, s_suppkey % 82 AS games, s_suppkey % 100 AS points, s_suppkey % 7 * 0.125 AS points_pct FROM supplier")
+def trf_season_team_stats(spark, d):
+    one = "named_struct('teamId', s_suppkey, 'teamFullName', s_name, 'gamesPlayed', s_suppkey % 82, 'points', s_suppkey % 100, 'pointPct', s_suppkey % 7 * 0.125D)"
+    s = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.expr(f"case s_nationkey % 3 when 0 then to_json(named_struct('data', named_struct('teams', named_struct('items', collect_list({one}))))) when 1 then to_json(named_struct('data', named_struct('items', collect_list({one})))) else to_json(named_struct('teams', collect_list({one}))) end").alias("payload"))
+    return doc.extract_season_stats(_variants(s.select(F.col("s_nationkey").cast("string").alias("season"), "payload"), "season", "payload"), "teams").select("season", "team_id", "name", "games", "points", "points_pct")
 
-@query("SELECT CAST(s_nationkey AS VARCHAR) AS season, 'D' || s_nationkey AS division, s_name AS team_abbr, CAST(s_suppkey % 100 AS BIGINT) AS points, CAST(s_suppkey % 40 AS BIGINT) AS wins FROM supplier")
+
+@query("SELECT '2024' AS season, s_nationkey AS team_id, s_suppkey AS player_id, CASE WHEN s_nationkey % 2 = 1 THEN 'T' || s_nationkey END AS team_abbr FROM supplier")
+def trf_roster_fallback(spark, d):
+    """Rosters from players by team, since there are none; half the teams keyed by id, half in a list."""
+    keyed = "to_json(map(cast(s_nationkey as string), array(named_struct('forwards', collect_list(named_struct('id', s_suppkey))))))"
+    listed = "to_json(named_struct('teams', named_struct('data', named_struct('items', array(named_struct('id', s_nationkey, 'triCode', 'T' || s_nationkey, 'goalies', collect_list(s_suppkey)))))))"
+    docs = _variants(table(spark, d, "supplier").groupBy("s_nationkey").agg(F.expr(f"if(s_nationkey % 2 = 0, {keyed}, {listed})").alias("payload")), "payload")
+    none = doc.extract_roster(_roster_docs(spark, d)).filter("team_id < 0")
+    return doc.roster_or_fallback(none, doc.roster_from_players_by_team(docs, "2024"))
+
+
+@query(
+    """SELECT CAST(s_nationkey AS VARCHAR) AS season, 'D' || s_nationkey AS division, CASE WHEN s_nationkey % 2 = 0 THEN CASE WHEN s_suppkey % 2 = 0 THEN 'own' ELSE 'East' END END AS conference, CASE WHEN s_nationkey % 2 = 0 THEN 'regular' END AS standings_type, s_name AS team_abbr, CAST(NULL AS VARCHAR) AS team_name,
+CASE WHEN s_nationkey % 2 = 0 THEN s_suppkey END AS team_id, CAST(NULL AS BIGINT) AS franchise_id, CAST(NULL AS BIGINT) AS games, CAST(s_suppkey % 40 AS BIGINT) AS wins, CAST(NULL AS BIGINT) AS losses, CASE WHEN s_nationkey % 2 = 1 THEN s_suppkey % 9 END AS ot_losses,
+CAST(s_suppkey % 100 AS BIGINT) AS points, CAST(NULL AS BIGINT) AS goals_for, CAST(NULL AS BIGINT) AS goals_against FROM supplier"""
+)
 def trf_standings(spark, d):
-    nested = "to_json(named_struct('records', array(named_struct('division', 'D' || s_nationkey, 'teamRecords', collect_list(named_struct('team', named_struct('abbrev', s_name), 'points', s_suppkey % 100, 'wins', s_suppkey % 40))))))"
-    flat = "to_json(named_struct('standings', collect_list(named_struct('teamAbbrev', named_struct('default', s_name), 'divisionName', 'D' || s_nationkey, 'points', s_suppkey % 100, 'wins', s_suppkey % 40))))"
+    one = "named_struct('team', named_struct('id', s_suppkey, 'abbrev', s_name), 'conference', if(s_suppkey % 2 = 0, 'own', null), 'points', s_suppkey % 100, 'leagueRecord', named_struct('wins', s_suppkey % 40))"
+    nested = f"to_json(named_struct('records', array(named_struct('standingsType', 'regular', 'division', named_struct('name', 'D' || s_nationkey), 'conference', 'East', 'teamRecords', concat(collect_list({one}), collect_list({one}))))))"
+    flat = "to_json(named_struct('standings', collect_list(named_struct('teamAbbrev', named_struct('default', s_name), 'divisionName', 'D' || s_nationkey, 'points', s_suppkey % 100, 'wins', s_suppkey % 40, 'otLosses', s_suppkey % 9))))"
     s = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.expr(f"if(s_nationkey % 2 = 0, {nested}, {flat})").alias("payload"))
     return doc.extract_standings(_variants(s.select(F.col("s_nationkey").cast("string").alias("season"), "payload"), "season", "payload"))
 
@@ -174,7 +222,7 @@ def trf_standings(spark, d):
 @query("SELECT CAST(s_nationkey AS VARCHAR) AS season, s_name AS category, s_suppkey AS entity_id, 'T' || s_nationkey AS team_abbr, CAST(s_suppkey % 160 AS DOUBLE) AS metric, CASE WHEN s_nationkey % 2 = 0 THEN CAST(s_suppkey % 99 AS DOUBLE) END AS imperial FROM supplier")
 def trf_edge_leaders(spark, d):
     a = "named_struct('player', named_struct('id', s_suppkey, 'team', named_struct('abbrev', 'T' || s_nationkey)), 'speed', named_struct('metric', s_suppkey % 160, 'imperial', s_suppkey % 99))"
-    b = "named_struct('team', named_struct('id', s_suppkey, 'abbrev', 'T' || s_nationkey), 'speed', s_suppkey % 160)"
+    b = "named_struct('team', named_struct('id', s_suppkey, 'abbrev', 'T' || s_nationkey), 'distance', s_suppkey % 160)"
     pairs = lambda x: f"to_json(named_struct('leaders', map_from_entries(collect_list(struct(s_name, {x})))))"
     s = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.expr(f"if(s_nationkey % 2 = 0, {pairs(a)}, {pairs(b)})").alias("payload"))
     return doc.extract_edge_leaders(_variants(s.select(F.col("s_nationkey").cast("string").alias("season"), "payload"), "season", "payload"))
@@ -187,19 +235,24 @@ def _details(spark, d):
     lineup = f"named_struct('head_coach', 'C', 'goalies', array({person('game_id % 30')}), 'lines', if(game_id % 2 = 0, array(named_struct('players', array({person('11')}, {person('12')}), 'left', null)), array(named_struct('players', null, 'left', {person('13')}))), 'extra_players', array({person('99')}))"
     text = f"""to_json(named_struct('game_id', cast(game_id as string), 'date', day, 'home_team', ' Home  ' || home_team_id || '\\t', 'away_team', 'Away ' || away_team_id, 'home_score', if(game_id % 3 = 0, null, cast(home_score as string)), 'away_score', if(game_id % 3 = 0, null, cast(away_score as string)),
       'result', home_score || ' - ' || away_score, 'venue', 'Hall  A', 'league', if(game_type = 3, 'SM-slutspel', 'SHL'), 'period_scores', filter(array(named_struct('period', '1', 'home', home_score, 'away', 0), named_struct('period', '2', 'home', 0, 'away', away_score), named_struct('period', if(last_period_type = 'REG', 'x', last_period_type), 'home', 0, 'away', 0)), p -> p.period != 'x'),
-      'home_team_stats', named_struct('shots', home_sog, 'saves', away_sog - away_score), 'away_team_stats', named_struct('shots', away_sog, 'saves', home_sog - home_score),
+      'time', '19:00', 'league_id', if(game_id % 2 = 0, 'L1', null), 'metadata', named_struct('scraped_at', day || 'T10:00:00.123456789'), 'home_team_stats', named_struct('shots', home_sog, 'saves', away_sog - away_score, 'penalty_minutes', home_pim), 'away_team_stats', named_struct('shots', away_sog, 'saves', home_sog - home_score),
       'events', array(named_struct('time', '12:34', 'period', '1', 'team', 'Home', 'event_type', 'goal', 'player_name', 'P', 'player_number', game_id % 90, 'assists', array({person('5')}), 'positive_participants', array(1, 2), 'negative_participants', array(game_id % 20))),
       'goalkeepers', array(named_struct('team', 'Home', 'number', 30, 'name', 'G' || home_team_id, 'saves', away_sog - away_score, 'shots_against', away_sog)), 'player_stats', array(named_struct('name', 'P', 'goals', home_score, 'plusMinus', if(game_id % 2 = 0, 1, null), 'plus_minus', -1)),
       'referees', array('R' || game_id % 9, to_json(named_struct('name', 'O' || game_id % 7))), 'linesmen', array('L' || game_id % 5), 'home_team_lineup', {lineup}, 'away_team_lineup', {lineup}))"""
     return doc.parse_details(g.select(F.expr(text).alias("payload")))
 
 
+_LEAGUE_POINTS = ", ".join(f"CAST({_PTS.format(o=o, t=t)} AS BIGINT) AS {n}".replace("(contains(status, 'OT') OR contains(status, 'SO'))", "last_period_type <> 'REG'") for o, t, n in (("home_score", "away_score", "home_points"), ("away_score", "home_score", "away_points")))
+
+
 @query(
-    f"""WITH {_G} SELECT CAST(game_id AS VARCHAR) AS game_id, CAST(game_date AS VARCHAR) AS game_date, CAST(year(game_date) AS VARCHAR) AS season, CASE WHEN game_type = 3 THEN 'playoff' ELSE 'regular' END AS game_type, 'Home ' || home_team_id AS home_team, 'Hall A' AS venue, home_score, away_score,
-last_period_type = 'OT' AS went_to_ot, last_period_type = 'SO' AS went_to_so, round((away_sog - away_score) * 100.0 / away_sog, 2) AS home_save_pct, CAST({_PTS.format(o='home_score', t='away_score').replace("(contains(status, 'OT') OR contains(status, 'SO'))", "last_period_type <> 'REG'")} AS BIGINT) AS home_points FROM games"""
+    f"""WITH {_G} SELECT CAST(game_id AS VARCHAR) AS game_id, CAST(game_date AS VARCHAR) AS game_date, CAST(year(game_date) AS VARCHAR) AS season, CASE WHEN game_type = 3 THEN 'SM-slutspel' ELSE 'SHL' END AS league, CASE WHEN game_id % 2 = 0 THEN 'L1' ELSE '' END AS league_id,
+CASE WHEN game_type = 3 THEN 'playoff' ELSE 'regular' END AS game_type, 'Home ' || home_team_id AS home_team, 'Away ' || away_team_id AS away_team, 'Hall A' AS venue, '19:00' AS time, home_score, away_score, home_sog AS home_shots, away_sog AS away_shots, away_sog - away_score AS home_saves, home_sog - home_score AS away_saves,
+home_pim, CAST(NULL AS BIGINT) AS away_pim, CASE WHEN last_period_type = 'REG' THEN 2 ELSE 3 END AS periods, 'C' AS home_coach, 'C' AS away_coach, CAST(game_date AS VARCHAR) || 'T10:00:00.123456' AS scraped_at,
+last_period_type = 'OT' AS went_to_ot, last_period_type = 'SO' AS went_to_so, round((away_sog - away_score) * 100.0 / away_sog, 2) AS home_save_pct, round((home_sog - home_score) * 100.0 / home_sog, 2) AS away_save_pct, {_LEAGUE_POINTS} FROM games"""
 )
 def trf_swe_games(spark, d):
-    return doc.league_games(_details(spark, d)).select("game_id", "game_date", "season", "game_type", "home_team", "venue", "home_score", "away_score", "went_to_ot", "went_to_so", "home_save_pct", "home_points")
+    return doc.league_games(_details(spark, d))
 
 
 @query(f"""WITH {_G} SELECT CAST(game_id AS VARCHAR) AS game_id, 0 AS pos, '1' AS period, 754 AS seconds, 'Home' AS team, 'goal' AS event_type, 'P' AS player_name, game_id % 90 AS player_number, '[{{"number":5,"name":"P5"}}]' AS assists FROM games""")

@@ -376,16 +376,28 @@ def corsi_outliers(spark, d):
 
 
 _SEVERITY = "round(least(abs({z}), 3.0) / 3, 4)"
+_AS_OF = "2001-12-31"
+# A z-score has three decimals, of which the text has two: rounded as decimals are, half away from 0.
+_Z2 = "CAST(round(CAST({z} AS DECIMAL(12, 3)), 2) AS DOUBLE), CASE WHEN {z} > 0 THEN 'above' ELSE 'below' END"
+_SAID_P = f"""printf('%s %s (%s, %s) is averaging %.2f pts/game over the last 5 games, vs their 20-game baseline of %.2f pts/game (z-score: %+.2f, %s baseline). Season totals: %d pts in %d games. Most recent game: %s.',
+  player_first_name, player_last_name, team_abbr, position, round(pts_avg_5g, 2), round(pts_avg_20g, 2), {_Z2.format(z="pts_zscore_5v20")}, pts_season, gp_season, CAST(game_date AS VARCHAR)) AS prompt_context"""
+_SAID_G = f"""printf('Goalie %s %s (%s) has a 5-game save%% of %.3f, vs 20-game baseline of %.3f (z-score: %+.2f, %s baseline). Games played this season: %d. Most recent game: %s.',
+  player_first_name, player_last_name, team_abbr, round(sv_pct_avg_5g, 3), round(sv_pct_avg_20g, 3), {_Z2.format(z="sv_pct_zscore_5v20")}, gp_season, CAST(game_date AS VARCHAR))"""
+_SAID_T = f"""printf('%s is averaging %.2f pts/game over the last 5 games (%dW-%dL), vs 20-game baseline of %.2f (z-score: %+.2f, %s baseline). Season: %d pts in %d GP. 10-game avg GF/GA: %.2f/%.2f. Last game: %s.',
+  team_abbr, round(pts_avg_5g, 2), wins_last_5, losses_last_5, round(pts_avg_20g, 2), {_Z2.format(z="pts_zscore_5v20")}, pts_cumulative, gp_season, round(gf_avg_10g, 2), round(ga_avg_10g, 2), CAST(game_date AS VARCHAR))"""
 _INSIGHT = "substr(md5('{t}:' || {e} || ':' || insight_type || ':' || CAST(game_date AS VARCHAR)), 1, 16)"
 _INSIGHTS = f"""{_PRS}, {_GRS.removeprefix(_PGS + ", ")}, {_TRS.removeprefix(cte("games")).removeprefix(", ")}, cand AS (
 SELECT 'player' AS entity_type, CAST(player_id AS VARCHAR) AS entity_id, player_first_name || ' ' || player_last_name AS entity_name, team_abbr, pts_zscore_5v20 AS z, season, game_date,
-  CASE WHEN pts_zscore_5v20 >= 2.5 THEN 'breakout' WHEN pts_zscore_5v20 >= 1 THEN 'hot_streak' WHEN pts_zscore_5v20 <= -2.5 THEN 'slump' ELSE 'cold_spell' END AS insight_type
+  CASE WHEN pts_zscore_5v20 >= 2.5 THEN 'breakout' WHEN pts_zscore_5v20 >= 1 THEN 'hot_streak' WHEN pts_zscore_5v20 <= -2.5 THEN 'slump' ELSE 'cold_spell' END AS insight_type, {_SAID_P}
 FROM (SELECT * FROM prs WHERE {_CURRENT} AND gp_season >= 3 AND abs(pts_zscore_5v20) >= 0.5 AND player_first_name IS NOT NULL AND player_last_name IS NOT NULL ORDER BY abs(pts_zscore_5v20) DESC, player_id LIMIT 20)
-UNION ALL SELECT 'player', CAST(player_id AS VARCHAR), player_first_name || ' ' || player_last_name, team_abbr, sv_pct_zscore_5v20, season, game_date, CASE WHEN sv_pct_zscore_5v20 > 0 THEN 'goalie_hot' ELSE 'goalie_cold' END
+UNION ALL SELECT 'player', CAST(player_id AS VARCHAR), player_first_name || ' ' || player_last_name, team_abbr, sv_pct_zscore_5v20, season, game_date, CASE WHEN sv_pct_zscore_5v20 > 0 THEN 'goalie_hot' ELSE 'goalie_cold' END, {_SAID_G}
 FROM (SELECT * FROM grs WHERE {_CURRENT} AND gp_season >= 2 AND abs(sv_pct_zscore_5v20) >= 0.5 AND player_first_name IS NOT NULL AND player_last_name IS NOT NULL ORDER BY abs(sv_pct_zscore_5v20) DESC, player_id LIMIT 10)
-UNION ALL SELECT 'team', team_abbr, team_abbr, team_abbr, pts_zscore_5v20, season, game_date, CASE WHEN pts_zscore_5v20 >= 1.5 THEN 'team_surge' ELSE 'team_collapse' END
+UNION ALL SELECT 'team', team_abbr, team_abbr, team_abbr, pts_zscore_5v20, season, game_date, CASE WHEN pts_zscore_5v20 >= 1.5 THEN 'team_surge' ELSE 'team_collapse' END, {_SAID_T}
 FROM (SELECT * FROM trs WHERE {_CURRENT} AND gp_season >= 20 AND abs(pts_zscore_5v20) >= 0.5 ORDER BY abs(pts_zscore_5v20) DESC, team_abbr LIMIT 10)),
-ins AS (SELECT {_INSIGHT.format(t="' || entity_type || '", e="entity_id")} AS insight_id, insight_type, entity_type, entity_id, entity_name, team_abbr, {_SEVERITY.format(z="z")} AS severity, round(z, 3) AS zscore, CAST(season AS VARCHAR) AS season, CAST(game_date AS VARCHAR) AS game_date FROM cand)"""
+ins AS (SELECT {_INSIGHT.format(t="' || entity_type || '", e="entity_id")} AS insight_id, insight_type, entity_type, entity_id, entity_name, team_abbr, {_SEVERITY.format(z="z")} AS severity, round(z, 3) AS zscore, CAST(season AS VARCHAR) AS season, CAST(game_date AS VARCHAR) AS game_date, prompt_context FROM cand
+UNION ALL SELECT substr(md5('team:' || team_abbr || ':possession_edge:{_AS_OF}'), 1, 16), 'possession_edge', 'team', team_abbr, team_abbr, team_abbr, {_SEVERITY.format(z="((corsi_pct_avg - 0.5) / 0.04)")}, round((corsi_pct_avg - 0.5) / 0.04, 3), substr('{_AS_OF}', 1, 4), '{_AS_OF}',
+  printf('%s has a 10-game Corsi%% of %.3f (%d games analyzed) \u2013 %s. Corsi%% below 0.42 or above 0.58 is a statistically significant outlier.', team_abbr, round(corsi_pct_avg, 3), n, CASE WHEN corsi_pct_avg > 0.5 THEN 'strong possession edge' ELSE 'possession concerns' END)
+FROM (WITH {_OUT} SELECT * FROM out WHERE corsi_pct_avg < 0.48 OR corsi_pct_avg > 0.52))"""
 
 
 def all_insights(spark: SparkSession, d: str) -> DataFrame:
@@ -394,27 +406,34 @@ def all_insights(spark: SparkSession, d: str) -> DataFrame:
         insights.player_anomalies(features.player_rolling_stats(pg), games, 3, 0.5),
         insights.goalie_anomalies(features.goalie_rolling_stats(pg), games, 2, 0.5),
         insights.team_anomalies(features.team_rolling_stats(tg), games, 20, 0.5),
+        insights.corsi_outliers(corsi(spark, d), low=0.48, high=0.52),
+        _AS_OF,
     )
 
 
-@query(f"WITH {_INSIGHTS} SELECT * FROM ins", name="insights")
+@query(f"WITH {_INSIGHTS} SELECT * EXCLUDE (prompt_context) FROM ins", name="insights")
 def insights_query(spark, d):
     return all_insights(spark, d).drop("prompt_context")
 
 
-@query(f"WITH {_INSIGHTS} SELECT * FROM ins ORDER BY severity DESC, insight_id LIMIT 5")
+@query(f"WITH {_INSIGHTS} SELECT * EXCLUDE (prompt_context) FROM ins ORDER BY severity DESC, insight_id LIMIT 5")
 def insights_top(spark, d):
     return insights.most_severe(all_insights(spark, d), 5).drop("prompt_context")
 
 
-@query()
+@query(f"WITH {_INSIGHTS} SELECT insight_id, TIMESTAMP '2002-01-01 06:00:00' AS generated_at, insight_type, entity_type, entity_id, entity_name, team_abbr, severity, zscore, season, CAST(game_date AS DATE) AS game_date, CAST(NULL AS VARCHAR) AS headline, CAST(NULL AS VARCHAR) AS body, prompt_context FROM ins")
+def insight_table(spark, d):
+    return insights.insight_table(all_insights(spark, d), "2002-01-01 06:00:00").withColumn("generated_at", F.col("generated_at").cast("timestamp_ntz"))
+
+
+@query(f"WITH {_INSIGHTS} SELECT insight_id, prompt_context FROM ins")
 def fn_prompt_text(spark, d):
     return all_insights(spark, d).select("insight_id", "prompt_context")
 
 
-@query(f"WITH {_TREND}, r AS (SELECT *, count(*) OVER w AS n, avg(coalesce(team_points, 0)) OVER w AS a, row_number() OVER (PARTITION BY team_abbr ORDER BY game_date DESC, game_id DESC) AS r FROM tgs WHERE game_type = 2 WINDOW w AS (PARTITION BY team_abbr ORDER BY game_date, game_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)) SELECT team_abbr, game_id, game_date, round(a, 6) AS pts_avg_5g, n FROM r WHERE r = 1 AND n >= 3 AND a > 1.0")
+@query(f"WITH {_TREND}, r AS (SELECT *, count(*) OVER w AS n, avg(coalesce(team_points, 0)) OVER w AS a, row_number() OVER (PARTITION BY team_abbr ORDER BY game_date DESC, game_id DESC) AS r FROM tgs WHERE game_type = 2 AND game_date >= (SELECT max(game_date) FROM tgs) - INTERVAL 90 DAY WINDOW w AS (PARTITION BY team_abbr ORDER BY game_date, game_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)) SELECT team_abbr, game_id, game_date, round(a, 6) AS pts_avg_5g, n FROM r WHERE r = 1 AND n >= 3 AND a > 1.6")
 def det_team_streak(spark, d):
-    return rounded(insights.team_streak(team_games(spark, d), least=1.0))
+    return rounded(insights.team_streak(team_games(spark, d)))
 
 
 @query(f"WITH {_PGS}, r AS (SELECT player_id, game_id, game_date, season, avg(points) OVER (PARTITION BY player_id ORDER BY game_date, game_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS a, avg(points) OVER ws AS b, count(*) OVER ws AS n, row_number() OVER wr AS r FROM pgs WHERE position <> 'G' AND toi_seconds > 0 WINDOW {_windows('player_id')}) SELECT player_id, game_id, game_date, season, round(a, 6) AS pts_avg_5g, round(b, 6) AS season_avg, n FROM r WHERE r = 1 AND n >= 3 AND b > 0 AND a >= 1.2 * b")
@@ -422,9 +441,9 @@ def det_player_breakout(spark, d):
     return rounded(insights.player_breakout(player_games(spark, d), times=1.2))
 
 
-@query(f"WITH {_PGS}, r AS (SELECT player_id, game_id, game_date, avg(save_pct) OVER w AS a, count(*) OVER w AS n, row_number() OVER (PARTITION BY player_id ORDER BY game_date DESC, game_id DESC) AS r FROM pgs WHERE position = 'G' AND toi_seconds > 600 WINDOW w AS (PARTITION BY player_id ORDER BY game_date, game_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)) SELECT player_id, game_id, game_date, round(a, 6) AS sv_pct_avg_3g FROM r WHERE r = 1 AND n >= 3 AND a > 0.92")
+@query(f"WITH {_PGS}, r AS (SELECT player_id, game_id, game_date, avg(save_pct) OVER w AS a, count(*) OVER w AS n, row_number() OVER (PARTITION BY player_id ORDER BY game_date DESC, game_id DESC) AS r FROM pgs WHERE position = 'G' AND toi_seconds > 600 AND game_date >= (SELECT max(game_date) FROM pgs) - INTERVAL 365 DAY WINDOW w AS (PARTITION BY player_id ORDER BY game_date, game_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)) SELECT player_id, game_id, game_date, round(a, 6) AS sv_pct_avg_3g FROM r WHERE r = 1 AND n >= 3 AND a > 0.92")
 def det_goalie_trend(spark, d):
-    return rounded(insights.goalie_trend(player_games(spark, d)))
+    return rounded(insights.goalie_trend(player_games(spark, d), days=365))
 
 
 @query(

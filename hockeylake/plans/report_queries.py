@@ -10,13 +10,15 @@ from hockeylake.plans.registry import query
 
 _G = cte("games")
 _CLOCK = "lpad(game_id % 20, 2, '0') || ':' || lpad(game_id % 60, 2, '0')"
-_REPORT = f"""'Referees Adams, Bo ' || 'Berg, Carl' || '\\nLinesmen: Dahl, Eva\\nHome ' || 'Club - Away Town' || '\\nSpectators: ' || (1 + game_id % 9) || ' 420\\n'
- || 'HOM 2 ' || (20 + game_id % 9) || ' 24 92,31 6 04:00 2 50,00 02:10 1 N/A\\n1st period\\nGoal {{c}} HOM ' || home_score || ' - ' || away_score || ' PP1 59 HEDMAN, Per 29 JONSSON, Mats Participation (On ice)\\nHOM: 6 12\\nAWY: ' || game_id % 40 || '\\n2nd period\\n'
- || 'Penalty 15:02 AWY 2 min. 17 BERG, Karl Roughing\\nGoalkeeper Out 58:40 AWY 35 LIND, Olle\\nOvertime\\nGoal 61:00 AWY 1 - 2 GWG ' || (1 + game_id % 30) || ' ROE, Ann\\n'""".replace("{c}", f"' || {_CLOCK} || '")
-_ROSTER = "'1st Line\\n' || (1 + game_id % 50) || ' ALM, Ola (C) 7 EK, Bo\\nGoalkeepers\\n30 NOR, Ed\\n'"
+# Dashes, blanks, cases of headings and goal types vary from game to game.
+_DASH = "if(game_id % 3 = 0, ' - ', if(game_id % 3 = 1, '-', ' \u2013  '))"
+_REPORT = f"""'Referees Adams, Bo ' || 'Berg, Carl' || '\\nLinesmen: Dahl, Eva\\nHome ' || if(game_id % 2 = 0, 'Club - Away Town', 'Club \u2013 Away Town') || '\\nSpectators: ' || (1 + game_id % 9) || ' 420\\n'
+ || 'HOM  2 ' || (20 + game_id % 9) || ' 24 92,31 6 04:00 2 50,00 02:10 1 N/A\\n' || if(game_id % 2 = 0, '1st period', '1ST PERIOD') || '\\nGoal  ' || {_CLOCK} || ' HOM ' || home_score || {_DASH} || away_score || if(game_id % 5 = 0, '', ' PP1') || ' 59 HEDMAN, Per 29 JONSSON, Mats Participation (On ice)\\nHOM: 6 12\\nAWY:  ' || game_id % 40 || '\\n2nd period\\n'
+ || 'Penalty 15:02 AWY 2 min. 17 BERG, Karl Roughing' || if(game_id % 4 = 0, ' (double)', '') || '\\nGoalkeeper Out 58:40 AWY 35 LIND, Olle\\n' || if(game_id % 2 = 0, 'Overtime', 'OT period') || '\\nGoal 61:00 AWY 1-2 GWG ' || (1 + game_id % 30) || ' ROE, Ann\\nGoal of the night\\n'"""
+_ROSTER = "'1st line\\nCE ' || (1 + game_id % 50) || ' ALM,Ola ' || if(game_id % 2 = 0, 'C ', '') || '1990-01-02 3 LD 7 EK, Bo A 1991-02-03\\nGoalkeepers\\nGK 30 NOR,Ed 1989-05-06\\nTeam Officials\\nKARLIN, Mats Head Coach ' || if(game_id % 3 = 0, '', 'ZACK, Nils Assistant Coach')"
 _LINEUP = "'Team: Home ' || home_team_id || '\\nGoalies\\n30 NOR, Ed\\nLine 1\\n' || (1 + game_id % 50) || ' ALM, Ola (ld) 7 EK, Bo (C)\\n'"
-_SUMMARY = "'No Name G A TP PIM\\n9 HALL, Max 1 ' || game_id % 4 || ' ' || (1 + game_id % 4) || ' 2\\nNo Name G A TP PIM\\n8 KAY, Tor 0 0 0 ' || game_id % 7"
-_MEDIA = "'Goalkeepers\\n30 NOR, Ed 60:00 ' || away_score || ' ' || (away_sog - away_score) || ' 91,50\\n31 OST, Al 0:00 0 0 N/A'"
+_SUMMARY = "'Name No. Pos. G A TP +/- PIM SOG FO+/- FO%\\nHALL, Max ' || '9 CE 1 ' || game_id % 4 || ' ' || (1 + game_id % 4) || ' -1 2 3 4/5 44,44\\nTotal 1 2\\nName No. Pos. SOG GA SVS SVS% MIP GAA\\nDE NOR, Ed 30 GK ' || away_sog || ' 2 23 92,00 60:00 2,00\\nName No. Pos. G A TP +/- PIM SOG FO+/- FO%\\nKAY, Tor 8 LD 0 0 0 0 ' || game_id % 7 || ' 1 0/0 N/A'"
+_MEDIA = "'Skaters SOG Goals Assists Points\\n12 HALL Max ' || game_id % 6 || ' 1 0 1 -1 2 4 - 5 50,0' || if(game_id % 2 = 0, ' 20 15:30', '') || '\\nGoalies Saves GA SOG\\n30 NOR Ed ' || (away_sog - away_score) || ' ' || away_score || ' ' || away_sog || ' 91,50 1 - 60:00\\n31 OST Al 0 0 0 N/A - - 0:00'"
 
 
 def _lines(spark, d, text: str, kind: str = "official_game_report"):
@@ -27,7 +29,7 @@ def _lines(spark, d, text: str, kind: str = "official_game_report"):
 _SEC = "game_id % 20 * 60 + game_id % 60"
 
 
-@query(f"WITH {_G} SELECT game_id, CAST(period AS VARCHAR) AS period, CAST(n AS BIGINT) AS n FROM games, (VALUES (NULL, 5), ('1', 4), ('2', 3), ('OT', 2)) v(period, n)")
+@query(f"WITH {_G} SELECT game_id, CAST(period AS VARCHAR) AS period, CAST(n AS BIGINT) AS n FROM games, (VALUES (NULL, 5), ('1', 4), ('2', 3), ('OT', 3)) v(period, n)")
 def txt_sections(spark, d):
     return reports.with_sections(_lines(spark, d, _REPORT)).groupBy("game_id", "period").agg(F.count("*").alias("n"))
 
@@ -43,7 +45,7 @@ def txt_period_stats(spark, d):
 
 
 @query(
-    f"""WITH {_G} SELECT game_id, '1' AS period, {_SEC} AS seconds, 'HOM' AS team, home_score, away_score, 'PP1' AS goal_type, 59 AS scorer_number, 'HEDMAN, Per' AS scorer, 'JONSSON, Mats' AS assist1 FROM games
+    f"""WITH {_G} SELECT game_id, '1' AS period, {_SEC} AS seconds, 'HOM' AS team, home_score, away_score, CASE WHEN game_id % 5 <> 0 THEN 'PP1' END AS goal_type, 59 AS scorer_number, 'HEDMAN, Per' AS scorer, 'JONSSON, Mats' AS assist1 FROM games
 UNION ALL SELECT game_id, 'OT', 3660, 'AWY', 1, 2, 'GWG', 1 + game_id % 30, 'ROE, Ann', NULL FROM games"""
 )
 def txt_goals(spark, d):
@@ -55,7 +57,7 @@ def txt_on_ice(spark, d):
     return reports.on_ice(_lines(spark, d, _REPORT)).drop("goal_pos")
 
 
-@query(f"WITH {_G} SELECT game_id, '2' AS period, 902 AS seconds, 'AWY' AS team, 2 AS minutes, 17 AS number, 'BERG, Karl' AS player, 'Roughing' AS infraction FROM games")
+@query(f"WITH {_G} SELECT game_id, '2' AS period, 902 AS seconds, 'AWY' AS team, 2 AS minutes, 17 AS number, 'BERG, Karl' AS player, 'Roughing' || CASE WHEN game_id % 4 = 0 THEN ' (double)' ELSE '' END AS infraction FROM games")
 def txt_penalties(spark, d):
     return reports.penalties(_lines(spark, d, _REPORT)).drop("pos")
 
@@ -75,28 +77,72 @@ def txt_teams(spark, d):
     return reports.team_names(_lines(spark, d, _REPORT))
 
 
-@query(f"WITH {_G} SELECT game_id, '1st Line' AS label, 'home' AS side, 1 + game_id % 50 AS number, 'ALM, Ola' AS player, TRUE AS captain FROM games UNION ALL SELECT game_id, '1st Line', 'away', 7, 'EK, Bo', FALSE FROM games UNION ALL SELECT game_id, 'Goalkeepers', 'home', 30, 'NOR, Ed', FALSE FROM games")
+@query(
+    f"""WITH {_G} SELECT game_id, '1st line' AS label, 'home' AS side, 'CE' AS position, 1 + game_id % 50 AS number, 'ALM, Ola' AS player, game_id % 2 = 0 AS captain, FALSE AS alternate, DATE '1990-01-02' AS birthdate FROM games
+UNION ALL SELECT game_id, '1st line', 'away', 'LD', 7, 'EK, Bo', FALSE, TRUE, DATE '1991-02-03' FROM games UNION ALL SELECT game_id, 'Goalkeepers', 'home', 'GK', 30, 'NOR, Ed', FALSE, FALSE, DATE '1989-05-06' FROM games"""
+)
 def txt_roster(spark, d):
     return reports.roster(_lines(spark, d, _ROSTER))
 
 
+@query(f"WITH {_G} SELECT game_id, 'home' AS side, 'KARLIN, Mats' AS name, 'Head Coach' AS role FROM games UNION ALL SELECT game_id, 'away', 'ZACK, Nils', 'Assistant Coach' FROM games WHERE game_id % 3 <> 0")
+def txt_officials(spark, d):
+    return reports.officials(_lines(spark, d, _ROSTER))
+
+
 @query(f"WITH {_G} SELECT game_id, 'Home ' || home_team_id AS team, 'Goalies' AS unit, 30 AS number, 'NOR, Ed' AS player, 'G' AS position FROM games UNION ALL SELECT game_id, 'Home ' || home_team_id, 'Line 1', 1 + game_id % 50, 'ALM, Ola', 'LD' FROM games UNION ALL SELECT game_id, 'Home ' || home_team_id, 'Line 1', 7, 'EK, Bo', 'C' FROM games")
 def txt_lineup(spark, d):
     return reports.lineup(_lines(spark, d, _LINEUP))
 
 
-@query(f"WITH {_G} SELECT game_id, 'home' AS side, 9 AS number, 'HALL, Max' AS player, 1 AS goals, game_id % 4 AS assists, 1 + game_id % 4 AS points, 2 AS pim FROM games UNION ALL SELECT game_id, 'away', 8, 'KAY, Tor', 0, 0, 0, game_id % 7 FROM games")
+@query(
+    f"""WITH {_G} SELECT game_id, 'home' AS side, 'HALL, Max' AS player, 9 AS number, 'CE' AS position, 1 AS goals, game_id % 4 AS assists, 1 + game_id % 4 AS points, -1 AS plus_minus, 2 AS pim, 3 AS shots, '4/5' AS faceoffs, 44.44 AS faceoff_pct FROM games
+UNION ALL SELECT game_id, 'away', 'KAY, Tor', 8, 'LD', 0, 0, 0, 0, game_id % 7, 1, '0/0', NULL FROM games"""
+)
 def txt_player_summary(spark, d):
     return reports.player_summary(_lines(spark, d, _SUMMARY))
 
 
-@query(f"WITH {_G} SELECT game_id, 30 AS number, 'NOR, Ed' AS player, 3600 AS seconds, away_score AS goals_against, away_sog - away_score AS saves, 91.5 AS save_pct, round(away_score * 1.0, 2) AS gaa FROM games UNION ALL SELECT game_id, 31, 'OST, Al', 0, 0, 0, NULL, NULL FROM games")
+@query(f"WITH {_G} SELECT game_id, 'home' AS side, 'DE NOR, Ed' AS player, 30 AS number, 'GK' AS position, away_sog AS shots_against, 2 AS goals_against, 23 AS saves, 92.0 AS save_pct, 3600 AS seconds, 2.0 AS gaa FROM games")
+def txt_summary_goalies(spark, d):
+    return reports.player_summary_goalies(_lines(spark, d, _SUMMARY))
+
+
+@query(
+    f"""WITH {_G} SELECT game_id, 'home' AS side, 30 AS number, 'NOR Ed' AS player, away_sog - away_score AS saves, away_score AS goals_against, away_sog AS shots_against, 91.5 AS save_pct, 1 AS pp_saves, CAST(NULL AS BIGINT) AS pp_shots_against, 3600 AS seconds, CAST(away_score AS DOUBLE) AS gaa FROM games
+UNION ALL SELECT game_id, 'home', 31, 'OST Al', 0, 0, 0, NULL, NULL, NULL, 0, NULL FROM games"""
+)
 def txt_media_summary(spark, d):
     return reports.media_summary(_lines(spark, d, _MEDIA))
 
 
-_PAGE = f"""'<html><head><title>Home ' || home_team_id || ' - Away</title></head><body><p>' || game_date || ', 19:00 Spectators: 5 ' || (100 + game_id % 800) || '</p><p>(' || home_score || '-0, 0-' || away_score || ')</p><h2>1st period</h2><table>'
- || '<tr><td>' || {_CLOCK} || '</td><td>1-0 (PP1)</td><td>HOM</td><td>9. Hall</td></tr><tr><td>05:00</td><td>2 min Hooking</td><td>AWY</td><td>8. Kay</td></tr><tr><td>Shots</td><td>' || home_sog || '</td><td>' || away_sog || '</td></tr><tr><td>PIM</td><td>' || home_pim || '</td><td>' || away_pim || '</td></tr></table><p>30. Ed Nor 92,00% (23/25)</p></body></html>'"""
+@query(
+    f"""WITH {_G} SELECT game_id, 'home' AS side, 12 AS number, 'HALL Max' AS player, game_id % 6 AS shots, 1 AS goals, 0 AS assists, 1 AS points, -1 AS plus_minus, 2 AS pim, 4 AS hits, CAST(NULL AS BIGINT) AS blocks, 5 AS faceoffs, 50.0 AS faceoff_pct,
+CASE WHEN game_id % 2 = 0 THEN 20 END AS shifts, CASE WHEN game_id % 2 = 0 THEN 930 END AS toi_seconds FROM games"""
+)
+def txt_media_skaters(spark, d):
+    return reports.media_summary_skaters(_lines(spark, d, _MEDIA))
+
+
+@query(f"WITH {_G} SELECT 'goals' AS name, CAST(2 * count(*) AS BIGINT) AS n FROM games UNION ALL SELECT 'penalties', count(*) FROM games UNION ALL SELECT 'goalkeeper_changes', count(*) FROM games UNION ALL SELECT 'team_names', count(*) FROM games")
+def txt_dispatch(spark, d):
+    """Rows by table of the official reports; every third text is of another kind and gives none."""
+    r = view(spark, d, "games").select("game_id", F.lit("official_game_report").alias("report_type"), F.expr(_REPORT).alias("text"))
+    other = r.select("game_id", F.lit("cover").alias("report_type"), "text").filter("game_id % 3 = 0")
+    tables = reports.read_report(r.unionByName(other), "official_game_report")
+    out = None
+    for name in ("goals", "penalties", "goalkeeper_changes", "team_names"):
+        n = tables[name].agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
+        out = n if out is None else out.union(n)
+    return out
+
+
+_CELLS = "'<td>{0}</td><td><strong>' || {1} || '</strong></td><td>({2})</td>'"
+_ROW = lambda label, home, away, a, b: f"'<tr>' || {_CELLS.format(label, home, a)} || {_CELLS.format(label, away, b)} || '</tr>'"
+_PAGE = f"""'<html><head><title>Home ' || home_team_id || ' - Away</title></head><body><table><tr><td style="text-align: center"><h3>' || if(game_id % 2 = 0, 'Hockeyettan &amp; Co', cast(game_date as string)) || '</h3></td></tr></table><h3>Division Hockey</h3><h3><b>Arena ' || game_id % 5 || '</b></h3><div>' || if(game_id % 3 = 0, '9 - 9</div><div style="font-weight: bold">', '') || home_score || ' - ' || away_score || '</div>'
+ || '<p>' || game_date || ', 19:00 Spectators: 5 ' || (100 + game_id % 800) || '</p><p>(' || home_score || '-0, 0-' || away_score || ')</p><h2>' || if(game_id % 2 = 0, '1st period', 'Events') || '</h2><table>'
+ || '<tr><td>' || {_CLOCK} || '</td><td>1-0 (PP1)</td><td>HOM</td><td>9. Hall, Max<div>31. Berg, Bo</div><div>Pos. Part.: 13 , 9</div><div>Neg. Part.: ' || game_id % 90 || '</div></td></tr><tr><td>05:00</td><td>' || (2 + game_id % 3) || ' min</td><td>AWY</td><td>8. Kay, Tor <br/>Hooking (05:00 - 07:00)</td></tr><tr><td>45:00</td><td>' || case game_id % 4 when 0 then 'Timeout' when 1 then 'GK Out' when 2 then 'Powerbreak' else 'Coffee' end || '</td><td>AWY</td><td></td></tr>'
+ || {_ROW("Shots", "home_sog", "away_sog", "11:10:2", "9:8:7")} || {_ROW("Saves", "(away_sog - away_score)", "(home_sog - home_score)", "1:2:3", "4:5:6")} || '<tr><td class="prc">92,00%</td><td class="prc">88,50%</td></tr>' || {_ROW("PIM", "home_pim", "away_pim", "2:0:0", "x")} || {_ROW("PP", "'50,00%'", "'0,00%'", "04:00", "02:30")} || '</table><p>30. Ed Nor 92,00% (23/25)</p></body></html>'"""
 _SCHEDULE = """'<h3>League ' || game_type || '</h3><table><tr class="x"><td>19:00</td><td><a href="/game/' || game_id || '">Home ' || home_team_id || ' - Away</a></td><td>' || if(status = 'FUT', '', home_score || ' - ' || away_score) || '</td><td>Hall &amp; Co</td></tr><tr><td>no game</td></tr></table>'"""
 
 
@@ -114,9 +160,9 @@ def page_title_pair(spark, d):
     return reports.page_header(_pages(spark, d, _PAGE)).select("page_id", "home_team", "away_team")
 
 
-@query(f"WITH {_G} SELECT game_id AS page_id, CAST(game_date AS VARCHAR) AS day, '19:00' AS time, CAST(5100 + game_id % 800 AS BIGINT) AS attendance FROM games")
+@query(f"WITH {_G} SELECT game_id AS page_id, CAST(game_date AS VARCHAR) AS day, '19:00' AS time, home_score, away_score, CAST(5100 + game_id % 800 AS BIGINT) AS attendance, 'Arena ' || game_id % 5 AS venue, CASE WHEN game_id % 2 = 0 THEN 'Hockeyettan & Co' ELSE CAST(game_date AS VARCHAR) END AS league FROM games")
 def page_header(spark, d):
-    return reports.page_header(_pages(spark, d, _PAGE)).select("page_id", "day", "time", "attendance")
+    return reports.page_header(_pages(spark, d, _PAGE)).drop("home_team", "away_team")
 
 
 @query(f"WITH {_G} SELECT game_id AS page_id, 1 AS period, home_score AS home, 0 AS away FROM games UNION ALL SELECT game_id, 2, 0, away_score FROM games")
@@ -124,7 +170,10 @@ def page_period_scores(spark, d):
     return reports.page_period_scores(_pages(spark, d, _PAGE))
 
 
-@query(f"WITH {_G} SELECT game_id AS page_id, home_sog AS home_shots, away_sog AS away_shots, CAST(NULL AS BIGINT) AS home_saves, CAST(NULL AS BIGINT) AS away_saves, home_pim, away_pim FROM games")
+@query(
+    f"""WITH {_G} SELECT game_id AS page_id, home_sog AS home_shots, '11,10,2' AS home_shots_by_period, away_sog - away_score AS home_saves, '1,2,3' AS home_saves_by_period, home_pim, '2,0,0' AS home_pim_by_period, 92.0 AS home_save_pct, 50.0 AS home_pp_pct, 240 AS home_pp_seconds,
+away_sog AS away_shots, '9,8,7' AS away_shots_by_period, home_sog - home_score AS away_saves, '4,5,6' AS away_saves_by_period, away_pim, CAST(NULL AS VARCHAR) AS away_pim_by_period, 88.5 AS away_save_pct, 0.0 AS away_pp_pct, 150 AS away_pp_seconds FROM games"""
+)
 def page_boxscore(spark, d):
     return reports.page_boxscore(_pages(spark, d, _PAGE))
 
@@ -134,7 +183,12 @@ def page_goalkeepers(spark, d):
     return reports.page_goalkeepers(_pages(spark, d, _PAGE))
 
 
-@query(f"WITH {_G} SELECT game_id AS page_id, {_SEC} AS seconds, 1 AS period, 'goal' AS event, 'PP1' AS goal_type, 'HOM' AS team, '9. Hall' AS player FROM games UNION ALL SELECT game_id, 300, 1, 'penalty', NULL, 'AWY', '8. Kay' FROM games")
+@query(
+    f"""WITH {_G} SELECT game_id AS page_id, {_SEC} AS seconds, CASE WHEN game_id % 2 = 0 THEN 1 ELSE CASE WHEN {_SEC} >= 1200 THEN 3 ELSE 2 END END AS period, 'goal' AS event, 'power_play' AS goal_type, 1 AS power_play_number, 1 AS score_home, 0 AS score_away,
+CAST(NULL AS BIGINT) AS penalty_minutes, CAST(NULL AS VARCHAR) AS penalty_type, CAST(NULL AS BIGINT) AS penalty_start, CAST(NULL AS BIGINT) AS penalty_end, CAST(NULL AS VARCHAR) AS goalkeeper_action, 'HOM' AS team, 9 AS player_number, 'Hall' AS player, 'Berg' AS assists, '13,9' AS positive_participants, CAST(game_id % 90 AS VARCHAR) AS negative_participants FROM games
+UNION ALL SELECT game_id, 300, CASE WHEN game_id % 2 = 0 THEN 1 ELSE 2 END, 'penalty', NULL, NULL, NULL, NULL, 2 + game_id % 3, 'Tor Hooking', 300, 420, NULL, 'AWY', 8, 'Kay', NULL, NULL, NULL FROM games
+UNION ALL SELECT game_id, 2700, CASE WHEN game_id % 2 = 0 THEN 1 ELSE 4 END, CASE game_id % 4 WHEN 0 THEN 'timeout' WHEN 1 THEN 'goalkeeper_change' WHEN 2 THEN 'powerbreak' ELSE 'other' END, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CASE WHEN game_id % 4 = 1 THEN 'out' END, 'AWY', NULL, NULL, NULL, NULL, NULL FROM games"""
+)
 def page_events(spark, d):
     return reports.page_events(_pages(spark, d, _PAGE)).drop("pos")
 
@@ -148,4 +202,5 @@ def page_period_infer(spark, d):
 def page_outline(spark, d):
     """Titles and list lengths of the web pages themselves."""
     rows = reports.page_rows(table(spark, d, "pages")).groupBy("page_id").agg(F.sum((F.col("kind") == "li").cast("bigint")).alias("items"))
-    return table(spark, d, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title")).join(rows, "page_id")
+    titles = table(spark, d, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
+    return titles.join(rows, "page_id", "left").select("page_id", "title", F.coalesce("items", F.lit(0)).alias("items"))

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hockeylake import streaming
+from hockeylake.operators.writes import read_buckets
 from hockeylake.plans.adapters import table
 from hockeylake.plans.data_queries import scratch
 from hockeylake.plans.registry import query
@@ -34,7 +35,7 @@ def stream_upsert(spark, d):
     out = scratch(spark, "upserted")
     schema = "user_id long, event_type string"
     streaming.run_available(_stream(spark, d).select("user_id", "event_type"), scratch(spark, "checkpoint"), streaming.upsert_to(out, ["user_id", "event_type"], schema))
-    return spark.read.schema(schema).parquet(out)
+    return read_buckets(spark, out, schema)
 
 
 @query("SELECT event_id FROM events WHERE event_type <> 'view'")
@@ -56,17 +57,25 @@ def stream_dedup(spark, d):
 
 @query("SELECT time_bucket(INTERVAL 6 HOUR, ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
 def stream_window_counts(spark, d):
-    out = scratch(spark, "windows")
-    counts = streaming.window_counts(_stream(spark, d), "ts", "1 hour", "6 hours", ["event_type"])
-    last = lambda batch, number: batch.write.mode("overwrite").parquet(out)  # noqa: E731  complete mode: each batch is the whole result
-    counts.writeStream.outputMode("complete").option("checkpointLocation", scratch(spark, "checkpoint")).trigger(availableNow=True).foreachBatch(last).start().awaitTermination()
-    return spark.read.parquet(out).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+    """Append mode: a window is given once, when the watermark has passed it. Events that come again too late are dropped, and a last one in the far future closes all windows."""
+    path, out = scratch(spark, "events"), scratch(spark, "windows")
+    events = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    first = F.lit(events.agg(F.min("ts")).first()[0])
+    day = F.floor((F.unix_timestamp("ts") - F.unix_timestamp(first)) / 86400)
+    # Files in order of time, and behind them events of the first days again.
+    for rows in [events.filter(F.least(F.floor(day / 8), F.lit(PARTS - 1)) == i) for i in range(PARTS)] + [events.filter(day < 5)]:
+        rows.coalesce(1).write.mode("append").parquet(path)
+    events.limit(1).withColumn("ts", F.col("ts") + F.expr("INTERVAL 10 YEARS")).write.mode("append").parquet(path)
+    counts = streaming.window_counts(streaming.read_stream(spark, path, EVENTS, files_per_trigger=1), "ts", "1 hour", "6 hours", ["event_type"])
+    counts = counts.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+    streaming.run_available(counts, scratch(spark, "checkpoint"), streaming.append_to(out))
+    return spark.read.option("basePath", out).parquet(out).drop("batch")
 
 
 @query("SELECT event_id, user_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6) AS value_avg_5 FROM events")
 def stream_rolling_form(spark, d):
     w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-4, 0)
     features = lambda df: df.select("event_id", "user_id", F.round(F.avg("value").over(w), 6).alias("value_avg_5"))
-    out = scratch(spark, "form")
-    streaming.run_available(_stream(spark, d), scratch(spark, "checkpoint"), streaming.rolling_form_to(out, scratch(spark, "base"), "user_id", features))
-    return spark.read.schema("event_id long, user_id long, value_avg_5 double").parquet(out)
+    out, schema = scratch(spark, "form"), "event_id long, user_id long, value_avg_5 double"
+    streaming.run_available(_stream(spark, d), scratch(spark, "checkpoint"), streaming.rolling_form_to(out, scratch(spark, "base"), "user_id", schema, features))
+    return read_buckets(spark, out, schema)

@@ -21,6 +21,65 @@ def read_documents(spark: SparkSession, path: str, pattern: str = "*.json", skip
     return raw.filter(~F.element_at(F.split("key", "/"), -1).isin(*skip)).select("key", path_date(F.col("key")).alias("game_date"), path_season(F.col("key")).alias("season"), "payload")
 
 
+def read_season_documents(spark: SparkSession, path: str, depth: int | None = None, pattern: str = "*.json") -> DataFrame:
+    """``(key, season, payload, doc)`` of the season documents below ``path``, each key once, in order of keys; those that don't parse are left out.
+
+    The season is the first eight digits that begin with 20 in the key, else what follows its last underscore. With ``depth`` only
+    files so many folders below ``path`` count, 0 for those in it.
+    """
+    docs = _texts(spark, path, pattern)
+    name = F.regexp_replace(F.element_at(F.split("key", "/"), -1), r"\.json$", "")
+    season = F.coalesce(F.nullif(F.regexp_extract("key", r"(20\d{6})", 1), F.lit("")), F.element_at(F.split(name, "_"), -1))
+    if depth is not None:
+        top = path.rstrip("/").rpartition("/")[2]
+        docs = docs.filter(F.size(F.split(F.regexp_extract("key", rf"/{top}/(.*)$", 1), "/")) == depth + 1)
+    docs = docs.withColumn("season", season).withColumn("doc", F.try_parse_json("payload")).filter("doc IS NOT NULL")
+    return docs.dropDuplicates(["key"]).orderBy("key").select("key", "season", "payload", "doc")
+
+
+#: Where the files of each dimension lie below the root: pattern of paths, and one that is tried where it finds nothing.
+DIMENSIONS = {
+    "teams": ("basic/teams/all_teams.json", None), "players": ("basic/players/all_players.json", None), "players_by_team": ("basic/players/players_by_team.json", None), "countries": ("misc/countries.json", None),
+    "rosters": ("basic/teams/rosters/*/*.json", "basic/teams/*roster*.json"), "schedule": ("basic/schedule/*.json", None), "game_ids": ("helpers/*.json", None), "glossary": ("misc/glossary.json", None),
+    "draft": ("misc/draft_year_and_rounds.json", None), "playoffs": ("playoffs/*_bracket.json", None),
+}
+REQUIRED = ("teams", "players", "players_by_team")
+
+
+def _texts(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path)
+    return raw.select(F.col("_metadata.file_path").alias("key"), F.col("value").alias("payload"))
+
+
+def read_dimension_documents(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """``(key, season, payload, doc)`` for each dimension, by name; ``doc`` is null for a document that doesn't parse.
+
+    The season of a roster is its folder's name, of others what the key says. Optional files that are absent give an empty table, and a root
+    without teams or players raises.
+    """
+    jvm = spark.sparkContext._jvm
+    at = lambda p: jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{p}")
+    fs = at("x").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = {}
+    for name, patterns in DIMENSIONS.items():
+        found = next((p for p in patterns if p and len(fs.globStatus(at(p)) or ())), None)
+        if found is None and name in REQUIRED:
+            raise FileNotFoundError(f"{root}/{patterns[0]}")
+        raw = spark.read.option("wholetext", True).text(at(found).toString()).select(F.col("_metadata.file_path").alias("key"), F.col("value").alias("payload")) if found else spark.createDataFrame([], "key string, payload string")
+        folder = F.element_at(F.split("key", "/"), -2)
+        out[name] = raw.select("key", (folder if name == "rosters" else path_season(F.col("key"))).alias("season"), "payload", F.try_parse_json("payload").alias("doc"))
+    return out
+
+
+def list_tables(spark: SparkSession, root: str) -> list[str]:
+    """Names of the Parquet tables that lie in a folder, files or folders."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(root)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+    return sorted(n.removesuffix(".parquet") for n in names if n.endswith(".parquet"))
+
+
 def split_rejects(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(documents with their parsed variant, (key, error) of those that don't parse)``."""
     parsed = docs.withColumn("doc", F.try_parse_json("payload"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +48,41 @@ def unprocessed(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return df.join(done.select(key), key, "left_anti")
 
 
+def id_batches(df: DataFrame, done: DataFrame, key: str, size: int = 50, most: int | None = None) -> DataFrame:
+    """``(key, batch_no)`` of the distinct ids that aren't done, so many to a batch in order of ids, and the first ``most`` batches alone if asked.
+
+    Places come from a sort and the counts of its parts, so that no task holds all ids. Null ids are left out.
+    """
+    ids = df.select(key).filter(F.col(key).isNotNull()).distinct().join(done.select(key), key, "left_anti").orderBy(key).withColumn("_at", F.monotonically_increasing_id()).persist()
+    part = F.shiftright("_at", 33)
+    before = ids.groupBy(part.alias("_p")).agg(F.count("*").alias("_n"))
+    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part of the sort
+    before = before.select("_p", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    out = ids.withColumn("_p", part).join(F.broadcast(before), "_p").select(key, F.floor(place / size).alias("batch_no"))
+    return out if most is None else out.filter(F.col("batch_no") < most)
+
+
+def processed_after(done: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """The ids that are done once a batch has been written: all ids that it asked for, those without a document too."""
+    return done.select(key).unionByName(batch.select(key)).distinct()
+
+
+def backfill(spark: SparkSession, state: str, pipeline: str, years: list[int], job: Callable[[int], None]) -> list[int]:
+    """Run ``job`` year by year, in order, and return the years that it ran for; years that the control table has as done are skipped.
+
+    A year is done once its job has ended well; the first that fails ends the run with its error, and a later run goes on there.
+    """
+    ran = []
+    for year in sorted(years):
+        if read_state(spark, state, pipeline, str(year)) == "done":
+            continue
+        job(year)
+        advance_state(spark, state, pipeline, "done", str(year))
+        ran.append(year)
+    return ran
+
+
 def unknown_matches(df: DataFrame, known: DataFrame, key: str, result: str) -> DataFrame:
     """Matches that have ended and aren't known."""
     return df.filter(F.col(result).isNotNull()).join(known.select(key), key, "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hockeylake.operators.writes import conform, replace_table, upsert_insert_only
+from hockeylake.operators.writes import conform, read_buckets, upsert_insert_only, write_buckets
 
 
 def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
@@ -32,17 +32,28 @@ def append_to(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def upsert_to(path: str, keys: list[str], schema: str) -> Callable[[DataFrame, int], None]:
-    """A sink that inserts the keys it doesn't have; the first row of a key in a batch counts. A repeated batch changes nothing."""
+def _bucket(keys: list[str], buckets: int):
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket")
+
+
+def _touched(batch: DataFrame, keys: list[str], buckets: int) -> list[int]:
+    """The buckets that a batch has rows of; ``buckets`` at most."""
+    return [r["bucket"] for r in batch.select(_bucket(keys, buckets)).distinct().collect()]
+
+
+def upsert_to(path: str, keys: list[str], schema: str, buckets: int = 16) -> Callable[[DataFrame, int], None]:
+    """A sink that inserts the keys it doesn't have; the first row of a key in a batch counts. A repeated batch changes nothing.
+
+    The table is kept in buckets of its keys, and a batch rewrites those alone that it has rows of. Read it with ``read_buckets``.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        batch = conform(batch, schema).dropDuplicates(keys)
-        jvm = spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
-            batch = upsert_insert_only(spark.read.schema(schema).parquet(path), batch, keys)
-        replace_table(spark, batch, path)
+        batch = conform(batch, schema).dropDuplicates(keys).persist()
+        touched = _touched(batch, keys, buckets)
+        if touched:
+            old = read_buckets(batch.sparkSession, path, schema, number, touched)
+            write_buckets(upsert_insert_only(old, batch, keys).withColumn("bucket", _bucket(keys, buckets)), path, number)
+        batch.unpersist()
 
     return write
 
@@ -58,23 +69,24 @@ def window_counts(stream: DataFrame, ts: str, late: str, width: str, by: list[st
     return stream.withWatermark(ts, late).groupBy(w.alias("w"), *by).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), *by, "n")
 
 
-def rolling_form_to(path: str, base: str, entity: str, features: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """A sink that keeps rolling form current: the windows of the entities in a batch are computed again from all their rows.
+def rolling_form_to(path: str, base: str, entity: str, schema: str, features: Callable[[DataFrame], DataFrame], buckets: int = 16) -> Callable[[DataFrame, int], None]:
+    """A sink that keeps rolling form, of ``schema``, current: the windows of the entities in a batch are computed again from all their rows.
 
-    ``base`` collects the rows by batch; late games are no matter, since whole histories of the touched entities are read.
+    ``base`` collects the rows by batch and bucket of entities, of which those that the batch has are read and rewritten alone; late
+    games are no matter, since whole histories of the touched entities are read. Read the form with ``read_buckets``.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        append_to(base)(batch, number)
-        rows = spark.read.option("basePath", base).parquet(base).drop("batch")
-        touched = batch.select(entity).distinct()
-        fresh = features(rows.join(touched, entity, "left_semi"))
-        jvm = spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
-            old = spark.read.schema(fresh.schema).parquet(path)
-            fresh = old.join(touched, entity, "left_anti").unionByName(fresh)
-        replace_table(spark, fresh, path)
+        batch = batch.persist()
+        touched = _touched(batch, [entity], buckets)
+        if touched:
+            batch.withColumn("bucket", _bucket([entity], buckets)).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(f"{base}/batch={number}")
+            rows = spark.read.option("basePath", base).parquet(base).filter(F.col("bucket").isin(touched)).drop("batch", "bucket")
+            entities = batch.select(entity).distinct()
+            fresh = conform(features(rows.join(entities, entity, "left_semi")), schema)
+            old = read_buckets(spark, path, schema, number, touched).join(entities, entity, "left_anti").select(*fresh.columns)
+            write_buckets(old.unionByName(fresh).withColumn("bucket", _bucket([entity], buckets)), path, number)
+        batch.unpersist()
 
     return write

@@ -54,6 +54,59 @@ def test_replace_table_reads_what_it_replaces(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_replacement_that_was_cut_short_is_made_whole(spark, tmp_path):
+    import os
+
+    path = f"{tmp_path}/t"
+    writes.replace_table(spark, spark.range(3), path)
+    spark.range(5).write.parquet(f"{path}.new")
+    os.rename(path, f"{path}.old")  # the run ended between the two renames
+    assert writes.recover_table(spark, path) and spark.read.parquet(path).count() == 5
+    os.rename(path, f"{path}.old")  # and here before the new table was whole
+    os.makedirs(f"{path}.new")
+    writes.replace_table(spark, spark.range(2), path)
+    assert spark.read.parquet(path).count() == 2
+    assert not writes.recover_table(spark, f"{tmp_path}/none")
+
+
+def test_buckets_survive_a_batch_that_ends_early(spark, tmp_path):
+    import os
+
+    from hockeylake import streaming
+
+    path, schema = f"{tmp_path}/b", "k long, v string"
+    sink = streaming.upsert_to(path, ["k"], schema, buckets=4)
+    batch = lambda lo, hi, v: spark.range(lo, hi).select(F.col("id").alias("k"), F.lit(v).alias("v"))
+    sink(batch(0, 20, "a"), 0)
+    sink(batch(20, 21, "b"), 1)  # one bucket of four
+    assert len(os.listdir(f"{path}/v=1")) < 5
+    os.remove(f"{path}/v=1/_SUCCESS")  # the run ended before the version was whole
+    assert writes.read_buckets(spark, path, schema).count() == 20
+    for _ in range(2):
+        sink(batch(15, 25, "b"), 1)
+    got = dict(writes.read_buckets(spark, path, schema).select("k", "v").collect())
+    assert got == {k: "a" if k < 20 else "b" for k in range(25)}
+    sink(batch(0, 30, "c"), 2)
+    assert writes.read_buckets(spark, path, schema).count() == 30
+    assert set(writes.current_buckets(spark, path).values()) <= {f"file:{path}/v=2/bucket={k}" for k in range(4)}
+
+
+def test_report_lines_in_other_shapes(spark):
+    from hockeylake.operators import reports
+
+    text = "SO period\nGoal  59:59 AWY 1 \u2013 2 EN 9 \u00c5S,  Bo\tAnn\nAWY: 9  11\nGoal at 12:00\nHOM: 1 2\nNote: x\nHOM: 3\n" + "9 " * 40 + "x\n\nGoal 10:00 HOM 3-2 7 OLE, P 8 PER, Q 9 PAL, R"
+    lines = reports.report_lines(spark.createDataFrame([(1, "official_game_report", text), (2, "official_game_report", None)], "game_id long, report_type string, text string"))
+    got = [tuple(r) for r in reports.goals(lines).drop("game_id", "pos").orderBy("seconds").collect()]
+    assert got == [("SO", 600, "HOM", 3, 2, None, 7, "OLE, P", "PER, Q", "PAL, R"), ("SO", 3599, "AWY", 1, 2, "EN", 9, "\u00c5S, Bo Ann", None, None)]
+    assert [(r.team, r.side, r.number) for r in reports.on_ice(lines).orderBy("number").collect()] == [("AWY", "positive", 9), ("AWY", "positive", 11)]
+    assert reports.read_report(lines.select("game_id", "report_type", F.lit("x").alias("text")), "unknown") == {}
+
+
+def test_csv_has_nested_cells_as_json(spark, tmp_path):
+    writes.write_csv(spark.sql("SELECT 1 AS a, array(1, 2) AS b, named_struct('x', 'y') AS c"), f"{tmp_path}/csv")
+    assert [tuple(r) for r in spark.read.csv(f"{tmp_path}/csv", header=True, escape='"').collect()] in ([("1", "[1,2]", '{"x":"y"}')], [("1", "[1,2]", '{\\"x\\":\\"y\\"}')])
+
+
 def test_documents_rejects_and_state(spark, tmp_path):
     folder = tmp_path / "by_date" / "2024-01-05"
     folder.mkdir(parents=True)
