@@ -104,7 +104,7 @@ def test_report_lines_in_other_shapes(spark):
 
 def test_csv_has_nested_cells_as_json(spark, tmp_path):
     writes.write_csv(spark.sql("SELECT 1 AS a, array(1, 2) AS b, named_struct('x', 'y') AS c"), f"{tmp_path}/csv")
-    assert [tuple(r) for r in spark.read.csv(f"{tmp_path}/csv", header=True, escape='"').collect()] in ([("1", "[1,2]", '{"x":"y"}')], [("1", "[1,2]", '{\\"x\\":\\"y\\"}')])
+    assert rows(files.read_csv_strings(spark, f"{tmp_path}/csv")) == [("1", "[1,2]", '{"x":"y"}')]
 
 
 def test_documents_rejects_and_state(spark, tmp_path):
@@ -170,3 +170,74 @@ def test_table_comments(spark):
     writes.comment_table(spark, "commented", "rows", {"id": "it's a key"})
     assert spark.sql("DESCRIBE commented").first()["comment"] == "it's a key"
     spark.sql("DROP TABLE commented")
+
+
+def test_season_and_dimension_documents(spark, tmp_path):
+    for name, text in {
+        "seasons/20232024/a.json": '{"a": 1}', "seasons/x_standings.json": "[1]", "seasons/deep/y/z_20222023.json": "{}", "seasons/bad_1.json": "{", "basic/teams/all_teams.json": "[]", "basic/players/all_players.json": "[]",
+        "basic/players/players_by_team.json": "{}", "basic/teams/old_roster.json": "[7]", "playoffs/2023_bracket.json": "{}", "playoffs/other.json": "{}",
+    }.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    seasons = files.read_season_documents(spark, f"{tmp_path}/seasons")
+    assert [r.season for r in seasons.collect()] == ["20232024", "20222023", "standings"]
+    assert [r.season for r in files.read_season_documents(spark, f"{tmp_path}/seasons", depth=0).collect()] == ["standings"]
+    found = files.read_dimension_documents(spark, str(tmp_path))
+    assert {n: df.count() for n, df in found.items()} == {n: int(n in ("teams", "players", "players_by_team", "rosters", "playoffs")) for n in files.DIMENSIONS}
+    rosters = tmp_path / "basic" / "teams" / "rosters" / "20242025"
+    rosters.mkdir(parents=True)
+    (rosters / "T.json").write_text("{broken")
+    roster = files.read_dimension_documents(spark, str(tmp_path))["rosters"].collect()
+    assert [(r.season, r.doc) for r in roster] == [("20242025", None)]
+    with pytest.raises(FileNotFoundError, match="all_teams"):
+        files.read_dimension_documents(spark, f"{tmp_path}/none")
+    volumes = {r.prefix: (r.n_files, r.n_bytes) for r in quality.file_volumes(spark, f"{tmp_path}/basic").collect()}
+    assert volumes == {"teams": (3, 12), "players": (2, 4)}
+    spark.range(1).write.parquet(f"{tmp_path}/tables/one.parquet")
+    assert files.list_tables(spark, f"{tmp_path}/tables") == ["one"] and files.list_tables(spark, f"{tmp_path}/no") == []
+
+
+def test_backfill_goes_on_where_it_stopped(spark, tmp_path):
+    ran, state = [], f"{tmp_path}/state"
+
+    def job(year):
+        ran.append(year)
+        if len(ran) == 2:
+            raise RuntimeError("stopped")
+
+    with pytest.raises(RuntimeError):
+        incremental.backfill(spark, state, "games", [2012, 2010, 2011], job)
+    assert incremental.backfill(spark, state, "games", [2010, 2011, 2012], job) == [2011, 2012]
+    assert ran == [2010, 2011, 2011, 2012] and incremental.backfill(spark, state, "games", [2010, 2011], job) == []
+
+
+def test_id_batches_and_processed_ids(spark):
+    ids = spark.createDataFrame([(i,) for i in [5, 3, None, 9, 3, 1, 7]], "id long")
+    done = spark.createDataFrame([(9,), (2,)], "id long")
+    assert rows(incremental.id_batches(ids, done, "id", 2)) == [(1, 0), (3, 0), (5, 1), (7, 1)]
+    first = incremental.id_batches(ids, done, "id", 3, most=1)
+    assert rows(first.select("id")) == [(1,), (3,), (5,)]
+    assert rows(incremental.processed_after(done, first, "id")) == [(1,), (2,), (3,), (5,), (9,)]
+
+
+def test_dictionary_profile_and_keys_that_lack(spark):
+    df = spark.createDataFrame([(1, "b", None), (2, "a", None), (2, None, None)], "k long, v string, n double")
+    text = quality.dictionary_markdown({"t": df, "a": df.select("k")}, {"t": "rows"})
+    assert text.index("## a") < text.index("## t") and "| v | string |  |" in text and "rows" in text
+    assert {r.column: (r.n_nulls, r.n_distinct, r.least, r.greatest) for r in quality.table_profile(df).collect()} == {"k": (0, 2, "1", "2"), "v": (1, 2, "a", "b"), "n": (3, 0, None, None)}
+    assert gold.keep_first(df, ["k", "absent"], ["v"]).count() == 3 and gold.keep_first(df, ["k"], ["v"]).count() == 2
+    assert quality.json_key_paths(df.limit(0).select(F.col("v").alias("payload"))).count() == 0
+
+
+def test_game_documents_without_players_fall_back(spark):
+    from hockeylake.operators import documents
+
+    one = '{"gameId": "7", "date": "2024-01-05", "boxscore": {"id": 8, "homeTeam": {"abbrev": "A", "score": 1, "hits": 0, "shots": 9}}, "liveData": {"boxscore": {"teams": {"home": {"teamStats": {"teamSkaterStats": {"hits": 0}, "teamGoalieStats": {"hits": 4}}}}}}}'
+    two = '{"boxscore": {"id": 9, "gameDate": "2024-01-06T00:00", "homeTeam": {"abbrev": "B"}, "playerByGameStats": {"homeTeam": {"goalies": [{"playerId": 1, "toi": "30:00", "goalsAgainst": 2, "saves": 5, "hits": 0}]}}}}'
+    parsed = documents.parse_games(spark.createDataFrame([("k", None, one), ("l", None, two), ("m", None, "{broken"), ("n", None, None)], "key string, game_date date, payload string"))
+    games = {r.game_id: r for r in documents.extract_games(parsed).collect()}
+    assert len(documents.extract_games(parsed).columns) == 41
+    assert (games[7].home_hits, games[7].home_sog, str(games[7].game_date)) == (4, 9, "2024-01-05")
+    assert (games[9].home_hits, games[9].home_sog, str(games[9].game_date)) == (None, None, "2024-01-06")
+    players = documents.extract_players(parsed).collect()
+    assert len(players) == 1 and len(players[0]) == 33 and (players[0].saves, players[0].gaa, players[0].is_home) == (5, 4.0, True)
