@@ -92,6 +92,10 @@ def _canonical_sql(text: str) -> str:
     return f"trim(replace({x}, '  ', ' '))"
 
 
+def _folded_sql(text: str) -> str:
+    return f"replace(replace(lower({text}), 'ß', 'ss'), 'ς', 'σ')"
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -155,9 +159,13 @@ win AS MATERIALIZED (
   SELECT item_id, k, list_slice(t, k, k + 7) AS w FROM (SELECT item_id, t, unnest(range(1, len(t) - 6)) AS k FROM items)
   WHERE len(list_filter(list_slice(t, k, k + 7), lambda x: x NOT IN (chr(1), chr(2), chr(3)))) >= 4),
 total AS (SELECT item_id, count(*) AS n_windows FROM win GROUP BY item_id),
+plain AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_folded_sql("coalesce(text, '')")}, '[\\p{{L}}\\p{{M}}]+|\\p{{N}}+(?:[.,:/]\\p{{N}}+)*') AS t FROM documents),
+plain_win AS (SELECT item_id, k, list_transform(w, lambda x: {_folded_sql("x")}) AS w FROM win),
 hits AS (
-  SELECT DISTINCT doc_id, item_id, win.k FROM (SELECT doc_id, list_slice(t, p, p + 7) AS w FROM (SELECT doc_id, t, unnest(range(1, len(t) - 6)) AS p FROM docs)) JOIN win USING (w)),
-pairs AS (SELECT doc_id, item_id, count(*) AS covered, n_windows FROM hits JOIN total USING (item_id) GROUP BY doc_id, item_id, n_windows HAVING count(*) * 100 >= 50 * n_windows),
+  SELECT DISTINCT doc_id, item_id, win.k, TRUE AS own FROM (SELECT doc_id, list_slice(t, p, p + 7) AS w FROM (SELECT doc_id, t, unnest(range(1, len(t) - 6)) AS p FROM docs)) JOIN win USING (w)
+  UNION ALL SELECT DISTINCT doc_id, item_id, k, FALSE FROM (SELECT doc_id, list_slice(t, p, p + 7) AS w FROM (SELECT doc_id, t, unnest(range(1, len(t) - 6)) AS p FROM plain)) JOIN plain_win USING (w)),
+sums AS (SELECT doc_id, item_id, count(DISTINCT k) FILTER (own) AS own, count(DISTINCT k) AS either, n_windows FROM hits JOIN total USING (item_id) GROUP BY doc_id, item_id, n_windows),
+pairs AS (SELECT doc_id, item_id, CASE WHEN own * 100 >= 50 * n_windows THEN own ELSE either END AS covered, n_windows FROM sums WHERE either * 100 >= 50 * n_windows),
 best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY covered / n_windows DESC, item_id) AS r, count(*) OVER (PARTITION BY doc_id) AS n_items FROM pairs)
 SELECT d.doc_id, b.doc_id IS NOT NULL AS contaminated, item_id, covered, n_windows, coalesce(n_items, 0) AS n_items
 FROM documents d LEFT JOIN best b ON b.doc_id = d.doc_id AND r = 1""",
