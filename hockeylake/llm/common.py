@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import contextvars
+import gc
 import re
 import tempfile
 import uuid
@@ -59,6 +60,7 @@ def stash(df: DataFrame, name: str, up: int = 0) -> DataFrame:
     """
     path = new_path(df.sparkSession, name, up)
     df.write.parquet(path)
+    _let_go(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -80,8 +82,15 @@ def intermediates(spark: SparkSession) -> Iterator[None]:
     finally:
         _blocks.reset(token)
         _delete(own)
-        with contextlib.suppress(Exception):  # the session may be gone
-            spark.sparkContext._jvm.System.gc()  # Spark deletes shuffle files once the driver has let go of their plans
+        gc.collect()  # Python's references hold plans in the JVM
+        pa.default_memory_pool().release_unused()
+        _let_go(spark)
+
+
+def _let_go(spark: SparkSession) -> None:
+    """Have the driver drop plans that nothing refers to: it keeps small, and Spark deletes their shuffle files."""
+    with contextlib.suppress(Exception):  # the session may be gone
+        spark.sparkContext._jvm.System.gc()
 
 
 def _delete(paths: list[tuple[SparkSession, str]]) -> None:
