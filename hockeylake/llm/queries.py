@@ -31,7 +31,7 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return token_counts(_read(spark, sf_dir, "documents"), str(public_tokenizers.path("word_bpe_49k.json")), limit=2048, chunk=8192)
+    return token_counts(_read(spark, sf_dir, "documents"), str(public_tokenizers.path("word_bpe_49k.json")), limit=2048, chunk=16384)
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
