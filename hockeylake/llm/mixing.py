@@ -50,6 +50,28 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: i
     })
 
 
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """``_sized`` rows of which those that equal another in source, id and text have hashes of their own: the hash of the first with the number of the copy.
+
+    Where no rows repeat, and that is counted, they are what they were. Else they are written, and copies are numbered within each partition and then
+    from one partition to the next, so that no task holds all of a row's copies. Which copy has which number is no matter, as they are equal.
+    """
+    key = ["_mix_source", "_mix_u"]
+    often = rows.groupBy(*key).agg(F.count("*").alias("_mix_n")).filter("_mix_n > 1").drop("_mix_n")
+    if often.isEmpty():
+        return rows
+    rows = stash(rows.withColumn("_mix_at", F.monotonically_increasing_id()), "rows")
+    same = F.col("_mix_source").eqNullSafe(F.col("_s")) & (F.col("_mix_u") == F.col("_u"))
+    copies = rows.select(*key, "_mix_at", F.shiftright("_mix_at", 33).alias("_p")).join(often.toDF("_s", "_u"), same, "left_semi")
+    nth = F.row_number().over(Window.partitionBy(*key, "_p").orderBy("_mix_at"))
+    copies = stash(copies.withColumn("_nth", nth), "copies")
+    before = F.coalesce(F.sum("_k").over(Window.partitionBy(*key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each partition
+    parts = copies.groupBy(*key, "_p").agg(F.count("*").alias("_k")).select(F.col("_mix_source").alias("_s"), F.col("_mix_u").alias("_u"), F.col("_p").alias("_q"), before.alias("_before"))
+    numbered = copies.join(parts, same & (F.col("_p") == F.col("_q"))).select("_mix_at", (F.col("_nth") + F.col("_before")).alias("_copy"))
+    u = F.when(F.col("_copy") > 1, F.xxhash64("_mix_u", "_copy")).otherwise(F.col("_mix_u"))
+    return stash(rows.join(numbered, "_mix_at", "left").withColumn("_mix_u", u).drop("_mix_at", "_copy"), "rows")
+
+
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), total_share: float = 1.5, most: float = 2.0) -> DataFrame:
     """Of ``(source, words, ...)`` with a row for each source, the same with ``rank`` and ``target``, the words to take of it.
 
@@ -103,7 +125,7 @@ def _block_draws(rows: DataFrame, weights: tuple[float, ...], total_share: float
         cum = blocks.withColumn("upto", upto).join(supers, ["rank", "super"]).withColumn("upto", F.col("upto") + F.col("before")).join(sources.select("rank", "part", "whole", "n_blocks"), "rank")
         more = F.when(F.col("upto") <= F.col("part"), "all").when(F.col("upto") - F.col("words") < F.col("part"), "edge")
         cum = stash(cum.select("rank", "block", "whole", "n_blocks", more.alias("more"), (F.col("part") - F.col("upto") + F.col("words")).alias("room")), "cumulated")
-        # Within the one block at a source's boundary rows are taken in order of their hash, to within half a row; equal rows alike.
+        # Within the one block at a source's boundary rows are taken in order of their hash, to within half a row.
         edge = rows.join(cum.filter("more = 'edge'").select("rank", "block", "room"), ["rank", "block"])
         edge = edge.withColumn("upto", F.sum("size").over(Window.partitionBy("rank", "block").orderBy("u"))).filter(F.col("upto") - F.col("size") / 2 <= F.col("room"))
         edge = edge.groupBy("rank").agg(F.max("u").alias("cut"))
@@ -159,11 +181,12 @@ def mixing_plan(
     All draws depend on the seed and the rows alone, so reruns agree. A source has fewer than 10^9 blocks.
 
     Null and blank texts have size 0 and are taken with their block, as 0 words; a null source is a
-    source of its own; null ids and repeated rows are rows like others (rows of equal id and text share a verdict);
+    source of its own; null ids are rows like others; repeated rows are taken each by itself;
     an empty table gives an empty result. Other columns are not read.
     """
     with intermediates(docs.sparkSession):
         rows = _sized(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(source_col).alias("source")), "doc_id", "text", "source", seed)
+        rows = _told_apart(rows)
         sources, dealt = _block_draws(rows, weights, total_share, most, block_docs, shards, shard_bytes, "text", seed)
         n = F.size("_mix_drawn").cast("long")
         plan = _with_draws(rows.drop("text"), sources, dealt).select(
@@ -182,7 +205,7 @@ def draw_mix(
     that the mix does not take is not in it. Method, ties and edge cases are those of ``mixing_plan``. Existing columns shard
     and place are replaced. The result reads stashed tables of blocks, which go with the block of ``intermediates`` around.
     """
-    rows = _sized(docs, id_col, text_col, source_col, seed)
+    rows = _told_apart(_sized(docs, id_col, text_col, source_col, seed))
     sources, dealt = _block_draws(rows, weights, total_share, most, block_docs, shards, shard_bytes, text_col, seed)
     drawn = _with_draws(rows, sources, dealt).select(*(F.col(c) for c in docs.columns if c not in ("shard", "place")), "_mix_u", F.explode("_mix_drawn").alias("_mix_draw"))
     drawn = drawn.withColumns({"shard": F.col("_mix_draw.shard"), "place": F.xxhash64(F.lit(seed), "_mix_u", F.col("_mix_draw.pass"))}).drop("_mix_u", "_mix_draw")
