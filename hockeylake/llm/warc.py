@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -126,6 +127,11 @@ def _headers(raw: bytes) -> dict[str, str]:
 HEADER_BYTES, _SLICE = 1 << 20, 1 << 16
 
 
+def _whole(text: str | None) -> int | None:
+    """A number of up to 18 digits, as 64 bits hold; anything else is none."""
+    return int(text) if text and re.fullmatch(r"-?[0-9]{1,18}", text) else None
+
+
 class _Plain:
     """Bytes of a file from an offset on."""
 
@@ -136,6 +142,8 @@ class _Plain:
         n = min(n, self.size - self.at - off)
         return self.file.read_at(n, self.at + off) if n > 0 else b""
 
+    peek = get
+
 
 class _Member:
     """What a gzip member at an offset unpacks to, slice by slice; ``end`` is where it ends well, ``fault`` why it does not."""
@@ -161,10 +169,39 @@ class _Member:
                 self.end = self.pos - len(self.d.unused_data)
         return bytes(self.buffer[off : off + n])
 
+    def peek(self, off: int, n: int) -> bytes:
+        """``get`` without keeping what is far ahead: a length is checked before its bytes are held."""
+        if off <= len(self.buffer) + 16 * _SLICE:
+            return self.get(off, n)
+        d, pos, tail, at, held = self.d.copy(), self.pos, self.tail, len(self.buffer), b""
+        while at - len(held) <= off + n:
+            if at >= off + n or d.eof:
+                break
+            data = tail or self.file.read_at(min(_SLICE, self.size - pos), pos)
+            if not data:
+                break
+            pos += 0 if tail else len(data)
+            try:
+                found = d.decompress(data, 16 * _SLICE)
+            except zlib.error:
+                break
+            tail = d.unconsumed_tail
+            at += len(found)
+            held = (held + found)[-(at - off) :] if at > off else b""
+        return held[:n]
+
     def drop(self, n: int) -> None:
         del self.buffer[:n]
 
 
+def _digest_fits(said: str, data: bytes) -> bool:
+    """Whether a digest header is that of the bytes; one of a kind that is not known, or none, fits."""
+    kind, _, want = said.partition(":")
+    if kind.lower() == "sha1":
+        return want.upper() == base64.b32encode(hashlib.sha1(data).digest()).decode() or want.lower() == hashlib.sha1(data).hexdigest()
+    return kind.lower() != "sha256" or want.lower() == hashlib.sha256(data).hexdigest()
+
+
 def parse_record(source) -> tuple[dict | None, int, str]:
     """``(record, its length, "")`` of the record that ``source`` begins with, or ``(None, 0, what failed)``."""
     if source.get(0, len(_VERSION)) != _VERSION:
@@ -175,23 +212,24 @@ def parse_record(source) -> tuple[dict | None, int, str]:
     if stop < 0:
         return None, 0, "headers do not end"
     head, start = _headers(head[:stop]), stop + 4
-    try:
-        n = int(head["content-length"])
-    except (KeyError, ValueError):
+    n = _whole(head.get("content-length"))
+    if n is None:
         return None, 0, "no content length"
-    if n < 0 or source.get(start + n, 4) != b"\r\n\r\n":
+    if n < 0 or source.peek(start + n, 4) != b"\r\n\r\n":
         return None, 0, "content length is wrong"
     block = source.get(start, n)
-    kind, _, want = head.get("warc-block-digest", "").partition(":")
-    if kind == "sha1" and base64.b32encode(hashlib.sha1(block).digest()).decode() != want:
+    if not _digest_fits(head.get("warc-block-digest", ""), block):
         return None, 0, "block digest differs"
     http, _, payload = block.partition(b"\r\n\r\n")
-    kind, _, digest = head.get("warc-payload-digest", "").partition(":")
     whole = head.get("warc-type") != "revisit"
-    if whole and kind == "sha256" and hashlib.sha256(payload).hexdigest() != digest:
+    digest = head.get("warc-payload-digest", "")
+    if whole and not _digest_fits(digest, payload):
         return None, 0, "payload digest differs"
-    size = len(payload) if whole else int(_headers(b"\r\n" + http).get("content-length", "0"))
-    page = lambda k: next((int(x) for x in [head.get(k, "").removeprefix("<urn:page:").removesuffix(">")] if x.lstrip("-").isdigit()), None)
+    size = len(payload) if whole else _whole(_headers(b"\r\n" + http).get("content-length", "0"))
+    if size is None or size < 0:
+        return None, 0, "no payload length"
+    digest = digest.partition(":")[2]
+    page = lambda k: _whole(head.get(k, "").removeprefix("<urn:page:").removesuffix(">"))
     return {"record_type": head.get("warc-type"), "uri": head.get("warc-target-uri"), "page_id": page("warc-record-id"), "refers_to": page("warc-refers-to"), "payload_digest": hashlib.sha256(payload).hexdigest() if whole else digest, "payload_bytes": size, "payload": payload if whole else None}, start + n + 4, ""
 
 
@@ -219,10 +257,11 @@ def _unpacked(member: _Member) -> Iterator[dict | str]:
         else:
             yield fault
             member.drop(1)
-            while (at := _next_of(member, 0, (_VERSION,))) != 0:
-                if at < 0:
+            while (at := (data := member.get(0, _SLICE + 16)).find(_VERSION)) < 0:
+                if len(data) <= _SLICE:
                     return
-                member.drop(at)
+                member.drop(_SLICE)  # what was searched is not held
+            member.drop(at)
 
 
 def salvage(data) -> Iterator[tuple[int, int, dict | None, str]]:
