@@ -19,6 +19,8 @@ PATTERNS = {
     "card": r"[0-9A-Za-z\x01\x02]{13,}",  # groups of digits and what joins them, see _cards
 }
 KINDS = tuple(PATTERNS)
+#: No pattern fits a shorter text: the shortest hit is an address such as a@b.co.
+LEAST = 6
 #: The order of search; what one stage finds is closed to the next.
 _STAGES = (("email", "iban"), ("phone", "ssn", "date", "ip"), ("card",))
 #: Lengths of IBANs by country, and calling codes of two digits (those of one digit are 1 and 7, all others have three).
@@ -325,7 +327,7 @@ def _scanned(pieces: Column, kinds: tuple[str, ...], key: str, inverse: bool) ->
         marked = F.regexp_replace(F.regexp_replace(text, "(?<=[0-9]) (?=[0-9])", "\u0001"), "(?<=[0-9])-(?=[0-9])", "\u0002")
         return F.transform(_bound(marked, of), lambda p: F.struct(p["kind"].alias("kind"), F.translate(p["text"], "\u0001\u0002", " -").alias("text")))
 
-    return F.flatten(F.transform(pieces, lambda p: F.when(p["kind"].isNotNull() | (F.length(p["text"]) < 7), F.array(p)).otherwise(open_(p["text"]))))
+    return F.flatten(F.transform(pieces, lambda p: F.when(p["kind"].isNotNull() | (F.length(p["text"]) < LEAST), F.array(p)).otherwise(open_(p["text"]))))
 
 
 def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", inverse: bool = False, kinds: tuple[str, ...] = KINDS) -> DataFrame:
