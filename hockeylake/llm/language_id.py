@@ -84,13 +84,13 @@ def _vector(at: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def train_language_model(
-    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", most: int = 4000, most_langs: int = 200, epochs: int = 3, l1: float = 0.002, l2: float = 0.05, seed: int = 7
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", most: int = 4000, most_langs: int = 1000, epochs: int = 3, l1: float = 0.002, l2: float = 0.05, seed: int = 7
 ) -> LanguageModel:
     """Fit on ``docs``: rows with null language or text without a letter teach nothing.
 
     Document frequencies come from every row. The weights are fitted on a sample of different texts, chosen by
-    a hash of the text and used whole: about ``most`` and never more than twice as many, spread evenly over the languages, of which the
-    ``most_langs`` with most rows are learned (of equally many the first by name). A fifth of the sample is
+    a hash of the text and used whole: about ``most`` and never more than twice as many, spread evenly over the languages, but a text of
+    each at least. All are learned; the model has a column for each, and more than ``most_langs`` raise an error. A fifth of the sample is
     held back to set the temperature. The sample's features are what reaches the driver. Copies of a text
     in one language count once, ties in the order of hashes fall together, an empty table gives a model without languages.
     """
@@ -99,7 +99,9 @@ def train_language_model(
     idf = np.log((1 + df[FEATURES]) / (1 + df[:FEATURES])) + 0.1
     rows = rows.withColumn("hash", F.xxhash64("text", F.lit(seed)))
     # Estimated numbers of different texts: they set the share that is sampled, and nothing else.
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"), F.approx_count_distinct("hash").alias("n")).orderBy(F.desc("rows"), "lang").limit(most_langs).collect()
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"), F.approx_count_distinct("hash").alias("n")).limit(most_langs + 1).collect()
+    if len(sizes) > most_langs:
+        raise ValueError(f"more than {most_langs} languages are labelled; raise most_langs, as the model has a column for each")
     langs = sorted(r["lang"] for r in sizes)
     if not langs:
         return LanguageModel([], idf, np.zeros((FEATURES, 0)), np.zeros(0), 1.0)
