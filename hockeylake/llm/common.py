@@ -5,11 +5,10 @@ from __future__ import annotations
 import atexit
 import contextlib
 import contextvars
-import gc
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +59,6 @@ def stash(df: DataFrame, name: str, up: int = 0) -> DataFrame:
     """
     path = new_path(df.sparkSession, name, up)
     df.write.parquet(path)
-    _let_go(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -71,7 +69,7 @@ def keep(df: DataFrame, name: str) -> DataFrame:
 
 @contextlib.contextmanager
 def intermediates(spark: SparkSession) -> Iterator[None]:
-    """A block that owns what is stashed in it: at its end the files are deleted, and what only they needed is let go.
+    """A block that owns what is stashed in it: at its end the files are deleted.
 
     What ``keep`` has written belongs to the block around, at last to the process.
     """
@@ -82,15 +80,6 @@ def intermediates(spark: SparkSession) -> Iterator[None]:
     finally:
         _blocks.reset(token)
         _delete(own)
-        gc.collect()  # Python's references hold plans in the JVM
-        pa.default_memory_pool().release_unused()
-        _let_go(spark)
-
-
-def _let_go(spark: SparkSession) -> None:
-    """Have the driver drop plans that nothing refers to: it keeps small, and Spark deletes their shuffle files."""
-    with contextlib.suppress(Exception):  # the session may be gone
-        spark.sparkContext._jvm.System.gc()
 
 
 def _delete(paths: list[tuple[SparkSession, str]]) -> None:
@@ -132,29 +121,54 @@ def in_bitmap(words: np.ndarray, values: np.ndarray) -> np.ndarray:
     return ((words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums by chunk, row by row: a task holds one array for each of its chunks."""
+    totals: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            x = np.frombuffer(raw.as_buffer(), dtype=np.int64)
+            if chunk in totals:
+                totals[chunk] += x
+            else:
+                totals[chunk] = x.copy()
+    yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array([t.tobytes() for t in totals.values()], pa.binary())], names=["chunk", "counts"])
+
+
 def sum_arrays(parts: DataFrame, size: int) -> np.ndarray:
-    """Sum rows ``(chunk int, counts binary of int64)`` by chunk in Spark; the fixed-size total comes to the driver.
+    """Sum rows ``(chunk int, counts binary of int64)`` by chunk in Spark, in two levels; the fixed-size total comes to the driver.
 
+    The first level adds up a chunk's rows in 64 groups of tasks, so that no task reads more than its share of them.
     The result has ``size`` numbers whatever the corpus holds.
     """
-
-    def total(pdf):
-        import pandas as pd
-
-        acc = None
-        for raw in pdf["counts"]:
-            x = np.frombuffer(raw, dtype=np.int64)
-            acc = x.copy() if acc is None else acc + x
-        return pd.DataFrame({"chunk": [pdf["chunk"].iloc[0]], "counts": [acc.tobytes()]})
-
     out = np.zeros(size, dtype=np.int64)
-    rows = parts.groupBy("chunk").applyInPandas(total, "chunk int, counts binary").collect()
+    some = parts.repartition("chunk", F.spark_partition_id() % 64).mapInArrow(_summed, "chunk int, counts binary")
+    rows = some.repartition("chunk").mapInArrow(_summed, "chunk int, counts binary").collect()
     step = size // CHUNKS
     for row in rows:
-        out[row["chunk"] * step : (row["chunk"] + 1) * step] = np.frombuffer(row["counts"], dtype=np.int64)
+        out[row["chunk"] * step : (row["chunk"] + 1) * step] += np.frombuffer(row["counts"], dtype=np.int64)
     return out
 
 
+def one_per_group(docs: DataFrame, id_col: str, groups: Callable[[DataFrame, str], DataFrame], largest: bool) -> DataFrame:
+    """One row of each group of ``docs``: that with the largest or smallest id, null ids last; columns unchanged.
+
+    ``groups(rows, id_col)`` gives ``(id, label)`` for every row. Where ids are unique it is asked about them. Else rows are
+    numbered and written first, and it is asked about the numbers: rows that share an id, or have none, are told apart.
+    Of rows with equal ids the first written stays.
+    """
+    counted = docs.select(F.col(id_col).alias("id")).groupBy("id").agg(F.count("*").alias("n"))
+    if counted.filter("n > 1 or id is null").isEmpty():
+        best = (F.max if largest else F.min)("id")
+        told = groups(docs, id_col).toDF("id", "label")
+        gone = told.join(told.groupBy("label").agg(best.alias("best"), F.count("*").alias("n")).filter("n > 1"), "label").filter("id != best").select(F.col("id").alias("_gone"))
+        return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    numbered = stash(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    told = groups(numbered, "_row").toDF("_row", "label").join(numbered.select("_row", F.col(id_col).alias("_id")), "_row")
+    rank = F.struct(F.col("_id").isNull(), -F.col("_id").cast("long") if largest else F.col("_id").cast("long"), "_row")
+    kept = told.groupBy("label").agg(F.min(rank)["_row"].alias("_row"))
+    return numbered.join(kept, "_row", "left_semi").drop("_row")
+
+
 CHUNKS = 32
 
 

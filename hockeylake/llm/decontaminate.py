@@ -148,7 +148,7 @@ def contaminated_documents(
     pair is reported if the hits that count cover ``share`` percent of the item's windows at least, or
     of those that are words by half. Other windows, which are mostly names, numbers and units, are
     found by their own values in place of templates. An item of one or two tokens has no window: it is
-    found where it is the whole document, in any case.
+    found where its own words stand in a row, in any case.
 
     With ``any_case`` a window also counts where its own words, names and numbers stand in any letter
     case; without it a copy in another case, in which other words look like names, may be missed.
@@ -225,10 +225,15 @@ def contaminated_documents(
         # A question asked again with other values can't meet the windows that are mostly values: the others' share is enough.
         enough = lambda c: (F.col(c) * 100 >= share * F.col("n_windows")) | ((F.col("n_worded") > 0) & (F.col(f"{c}_worded") * 100 >= share * F.col("n_worded")))
         held = covered.filter(enough("either")).select("doc_id", "item_id", F.when(enough("own"), F.col("own")).otherwise(F.col("either")).alias("covered"), "n_windows")
-        short = _items(benchmark, "item_id", "text").filter(F.size("template").between(1, 2)).select("item_id", F.array_join(_plain_window(F.col("tokens")), " ").alias("whole"))
-        if not short.isEmpty():
-            whole = rows.select("doc_id", F.array_join(_plain(F.col("text")), " ").alias("whole"))
-            held = held.unionByName(whole.join(short, "whole").select("doc_id", "item_id", F.lit(1).cast("long").alias("covered"), F.lit(1).cast("long").alias("n_windows")).distinct())
+        # Items without a window: their words in a row anywhere in a document, met by the first of them.
+        short = _items(benchmark, "item_id", "text").filter(F.size("template").between(1, 2)).select("item_id", _plain_window(F.col("tokens")).alias("own")).filter(F.size("own") > 0)
+        short = stash(short.withColumn("first", F.get("own", F.lit(0))), "short")
+        n_short, reach = short.agg(F.count("*"), F.coalesce(F.max(F.size("own")), F.lit(1))).first()
+        if n_short:
+            plain = _segments(rows.select("doc_id", _plain(F.col("text")).alias("plain")), ("plain",), reach - 1, "doc_id")
+            words = plain.select("doc_id", "plain", F.explode(F.transform("plain", lambda w, i: F.struct(w.alias("first"), (i + 1).alias("at")))).alias("w")).select("doc_id", "plain", "w.*")
+            met = words.join(F.broadcast(short) if n_short <= broadcast_rows else short, "first").filter(F.slice("plain", F.col("at"), F.size("own")) == F.col("own"))
+            held = held.unionByName(met.select("doc_id", "item_id", F.lit(1).cast("long").alias("covered"), F.lit(1).cast("long").alias("n_windows")).distinct())
         return keep(held, "contaminated")
 
 
@@ -245,7 +250,12 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, **how) -> DataFr
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; columns unchanged, rows with null id stay."""
-    id_col = how.get("id_col", "doc_id")
-    gone = contaminated_documents(docs, benchmark, **how).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    """``docs`` without the documents that hold a benchmark item; columns unchanged.
+
+    Rows are told apart by more than their id: rows that share an id, or have none, are numbered, and stay or go each by its own text.
+    """
+    id_col = how.pop("id_col", "doc_id")
+    shared = docs.groupBy(F.col(id_col).alias("_id")).count().filter("count > 1 or _id is null")
+    rows, key = (docs, id_col) if shared.isEmpty() else (stash(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered"), "_row")
+    gone = contaminated_documents(rows, benchmark, id_col=key, **how).select(F.col("doc_id").alias("_gone")).distinct()
+    return rows.join(gone, rows[key] == gone["_gone"], "left_anti").select(*docs.columns)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hockeylake.llm.common import ASCII_LOWER, intermediates, keep, stash, texts
+from hockeylake.llm.common import ASCII_LOWER, intermediates, keep, one_per_group, stash, texts
 
 _GEAR = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -130,9 +130,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text another kept row has; columns unchanged.
+    """``docs`` with one row of each text, that with the largest id; columns unchanged.
 
-    Rows with null id are outside the comparison of ids and stay.
+    Rows are told apart by more than their id: of rows that share id and text one stays, and rows that share an id alone stay or go
+    each by its own text. A row with null id stays if no row of its text has an id. Null texts are equal to empty ones.
     """
-    gone = exact_duplicates(docs, id_col, text_col).filter("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    return one_per_group(docs, id_col, lambda rows, key: exact_duplicates(rows, key, text_col).select("doc_id", "keep_id"), largest=True)

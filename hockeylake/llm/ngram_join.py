@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hockeylake.llm.common import ASCII_LOWER, CHUNKS, array_parts, bitmap, in_bitmap, intermediates, keep, stash, sum_arrays, texts
+from hockeylake.llm.common import ASCII_LOWER, CHUNKS, array_parts, bitmap, in_bitmap, intermediates, keep, one_per_group, stash, sum_arrays, texts
 from hockeylake.llm.components import connected_components
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
@@ -211,6 +211,7 @@ def similar_documents(
                 ),
                 "described",
             )
+            levels.destroy()
             named = told.filter("n_shingles > 0 and doc_id is not null")
             groups = keep(named.groupBy("grp").agg(F.min("doc_id").alias("gid"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), (F.min("print") != F.max("print")).alias("several")), "groups")
             reps = stash(named.groupBy("print").agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("n_shingles", "grp", *NARROWS, "wide"))), "representatives")
@@ -253,6 +254,7 @@ def similar_documents(
                 wanted = stash(few.select(F.col("a").alias("rep")).union(few.select("b")).distinct().withColumn("mixed", F.xxhash64("rep")), "wanted")
                 hits = spark.sparkContext.broadcast(bitmap(wanted, "mixed", wanted.count()))
                 sets = stash(rows.filter("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id")).mapInArrow(lambda it: _sets(it, n, hits), "rep long, shingles binary"), "sets")
+                hits.destroy()
                 links = (
                     few.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
                     .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
@@ -264,6 +266,7 @@ def similar_documents(
         shared = stash(groups.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("c")).filter("c > 1"), "shared")
         some = spark.sparkContext.broadcast(bitmap(shared, "token", shared.count()))
         postings = stash(groups.select("gid", "n", "prefix").mapInArrow(lambda it: _postings(it, some), "token long, gid long, n long, at int, prior long"), "postings")
+        some.destroy()
         x, y = postings.alias("x"), postings.alias("y")
         same = F.col("x.token") == F.col("y.token")
         several = classes.filter("several")
@@ -321,7 +324,6 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
     """``docs`` with one document of each component, that with the smallest id; columns unchanged.
 
-    Empty texts and rows with null id stay.
+    Empty texts stay. Rows are told apart by more than their id: rows that share an id, or have none, stay or go each by its own text.
     """
-    gone = near_duplicate_components(docs, id_col, text_col, n, part, whole).filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    return one_per_group(docs, id_col, lambda rows, key: near_duplicate_components(rows, key, text_col, n, part, whole).select("doc_id", "component_id"), largest=False)
