@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hockeylake import functions as fn
+from hockeylake.operators.names import team_slug
 from hockeylake.plans.adapters import cte, table, view
 from hockeylake.plans.registry import query
 
@@ -110,12 +111,18 @@ def fn_name_split(spark, d):
     return table(spark, d, "part").select(F.col("p_partkey").alias("k"), fn.first_name(F.col("p_name")).alias("first_name"), fn.rest_of_name(F.col("p_name")).alias("last_name"))
 
 
-@query("SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE lower(replace(c_name, ' ', '_')) END AS slug FROM customer")
+_NAMED = """SELECT c_custkey AS k, CASE c_custkey % 6 WHEN 0 THEN upper(c_name) || ' IHK' WHEN 1 THEN right(c_name, 2) WHEN 2 THEN 'Ælg Å ' || CAST(c_custkey AS VARCHAR(9)) WHEN 3 THEN c_name WHEN 4 THEN right(c_name, 4) ELSE CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE '' END END AS name FROM {t}"""
+_KNOWN = """SELECT CASE WHEN c_custkey % 20 = 0 THEN c_name ELSE substr(c_name, 10) END AS name, 's' || CAST(c_custkey AS VARCHAR(9)) AS value, c_custkey // 20 AS ord FROM {t} WHERE c_custkey % 10 = 0"""
+
+
+@query(f"""WITH n AS ({_NAMED.format(t="customer")}), m AS ({_KNOWN.format(t="customer")}),
+hit AS (SELECT k, min({{'ord': ord, 'value': value}}) AS first FROM n JOIN m ON contains(lower(n.name), lower(m.name)) OR contains(lower(m.name), lower(n.name)) GROUP BY k)
+SELECT k, coalesce(first.value, replace(translate(replace(lower(name), ' ', '_'), 'øå', 'oa'), 'æ', 'ae')) AS slug FROM n LEFT JOIN hit USING (k)""")
 def fn_team_slug(spark, d):
+    """Names around, within and beside known ones, short and empty and null ones, against known names of which two share each place in the order."""
     c = table(spark, d, "customer")
-    known = c.filter("c_custkey % 2 = 0").select(F.col("c_name").alias("name"), F.col("c_name").alias("slug"))
-    # Exact names first; only what they leave is folded.
-    return c.join(known, c["c_name"] == known["name"], "left").select(F.col("c_custkey").alias("k"), F.coalesce("slug", fn.folded_slug(F.col("c_name"))).alias("slug"))
+    names, known = (spark.sql(q.replace("{t}", "{c}").replace("//", "div"), c=c) for q in (_NAMED, _KNOWN))
+    return team_slug(names, "name", known).select("k", "slug")
 
 
 _DOC = "to_json(struct(o_orderkey % 5 AS plain, named_struct('default', o_orderpriority) AS local, named_struct('metric', o_custkey % 90, 'imperial', o_custkey % 60) AS speed, array(named_struct('id', o_custkey), named_struct('id', o_orderkey)) AS plays))"

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hockeylake import streaming
+from hockeylake.streaming import state
 from hockeylake.operators.writes import read_buckets
 from hockeylake.plans.adapters import table
 from hockeylake.plans.data_queries import scratch
@@ -79,3 +80,36 @@ def stream_rolling_form(spark, d):
     out, schema = scratch(spark, "form"), "event_id long, user_id long, value_avg_5 double"
     streaming.run_available(_stream(spark, d), scratch(spark, "checkpoint"), streaming.rolling_form_to(out, scratch(spark, "base"), "user_id", schema, features))
     return read_buckets(spark, out, schema)
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events WHERE NOT (user_id % 10 = 3 AND event_type = 'view')")
+def stream_keyed_insert(spark, d):
+    """Keys that neither the table has, here of views of every tenth user, nor an earlier batch."""
+    state.use_keyed_state(spark)
+    out, schema = scratch(spark, "inserted"), "user_id long, event_type string"
+    have = table(spark, d, "events").filter("user_id % 10 = 3 AND event_type = 'view'").select("user_id", "event_type").distinct()
+    streaming.run_available(state.inserted(_stream(spark, d).select("user_id", "event_type"), ["user_id", "event_type"], have), scratch(spark, "checkpoint"), streaming.append_to(out))
+    return spark.read.schema(schema).option("basePath", out).parquet(out).drop("batch")
+
+
+FORM = "entity long, id long, average double, season_total double, season_games long, late boolean"
+
+
+@query("""SELECT event_id, user_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS 4 PRECEDING), 6) AS value_avg_5,
+round(sum(value) OVER s, 6) AS month_total, count(*) OVER s AS month_events FROM events WINDOW s AS (PARTITION BY user_id, date_trunc('month', ts) ORDER BY ts, event_id)""")
+def stream_keyed_form(spark, d):
+    """Every seventh event comes a file later than it should, and every eleventh comes again with the next file."""
+    path, out = scratch(spark, "events"), scratch(spark, "form")
+    events = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    nth = F.least(F.floor((F.unix_timestamp("ts") - F.unix_timestamp(F.lit(low))) * PARTS / (F.unix_timestamp(F.lit(high)) - F.unix_timestamp(F.lit(low)) + 1)), F.lit(PARTS - 1)).cast("int")
+    late = (F.col("event_id") % 7 == 0).cast("int")
+    files = F.when(F.col("event_id") % 11 == 0, F.array(nth + late, nth + late + 1)).otherwise(F.array(nth + late))
+    parted = events.withColumn("file", F.explode(files))
+    for i in range(PARTS + 2):  # files in order of arrival
+        parted.filter(F.col("file") == i).drop("file").repartition(2, "user_id").write.mode("append").parquet(path)
+    stream = streaming.read_stream(spark, path, EVENTS, files_per_trigger=2).withColumn("month", F.date_format("ts", "yyyy-MM"))
+    form = state.rolling_form(stream, "user_id", "event_id", "ts", "month", "value", n=5, late_seconds=(high - low).total_seconds())
+    streaming.run_available(form, scratch(spark, "checkpoint"), streaming.append_to(out))
+    rows = state.latest(spark, out, FORM, ["id"]).filter("NOT late")
+    return rows.select(F.col("id").alias("event_id"), F.col("entity").alias("user_id"), F.round("average", 6).alias("value_avg_5"), F.round("season_total", 6).alias("month_total"), F.col("season_games").alias("month_events"))
