@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +24,7 @@ _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _STOP = re.compile(rb"""[.!?]["')\]]*$""")
 #: Bytes of a text that are encoded at once, and tokens whose cuts are chosen at once.
 _SEGMENT, _BLOCK = 1 << 20, 1 << 20
-_MEMO = 400_000
+_MEMO = 600_000
 
 
 def padding(length: int, window: int) -> int:
@@ -67,20 +70,37 @@ def choose_cuts(places: np.ndarray, penalties: np.ndarray, window: int, each: in
     return cost[-1], ends[::-1]
 
 
+#: Characters of which lower case and normal form are one character each, whatever stands beside them: ASCII without controls, and Latin letters but for the dotted I.
+_SIMPLE = regex.compile(r"[!-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017F]+")
+#: The characters that stand for bytes in the vocabulary: printable ones for themselves, all others from U+0100 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_AS_CHAR = {b: chr(b) if b in _PRINTED else chr(256 + b - sum(p < b for p in _PRINTED)) for b in range(256)}
+
+
 class Encoder:
-    """Ids of texts in segments, each distinct run between white space encoded once where the tokenizer allows."""
+    """Ids of texts in segments. Where the tokenizer allows, each distinct run between white space is encoded once, and of simple runs each distinct piece that its pattern cuts."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        self.by_run = drops_space(load_tokenizer(path)[1])
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.by_run = drops_space(load_tokenizer(path)[1])
+        self.model, self.pattern, self.special = self.tokenizer.model, None, regex.compile(r"(?!)")
+        with open(path, encoding="utf-8") as f:
+            said = json.load(f)
+        steps = [n.get("type") for n in (said.get("normalizer") or {}).get("normalizers", [])]
+        cuts = (said.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        if steps == ["NFC", "Replace", "Lowercase"] and [c.get("type") for c in cuts] == ["Split", "ByteLevel"] and cuts[0].get("invert") and cuts[0].get("behavior") == "Removed" and not cuts[1].get("add_prefix_space") and not cuts[1].get("use_regex"):
+            self.pattern = regex.compile(cuts[0]["pattern"]["Regex"])
+            names = [regex.escape(t["content"]) for t in said.get("added_tokens", [])]
+            self.special = regex.compile("|".join(names)) if names else self.special
         self._clear()
 
     def _clear(self) -> None:
         self.memo: dict[bytes, int] = {}
+        self.pieces: dict[str, list[int]] = {}
         self.ids, self.used = np.empty(1 << 16, dtype=np.uint32), 0
         self.begin, self.size, self.stop = (np.empty(1 << 12, dtype=np.int64) for _ in range(3))
 
@@ -88,38 +108,54 @@ class Encoder:
     def _room(x: np.ndarray, need: int) -> np.ndarray:
         return x if need <= len(x) else np.concatenate([x, np.empty(max(need - len(x), len(x)), dtype=x.dtype)])
 
+    def _piece(self, piece: str) -> list[int]:
+        text = piece if piece.isascii() else "".join(map(_AS_CHAR.__getitem__, piece.encode()))
+        found = self.pieces[piece] = [t.id for t in self.model.tokenize(text)]
+        return found
+
+    def _encoded(self, words: list[bytes]) -> list[list[int]]:
+        out: list[list[int] | None] = []
+        pieces, cut, whole = self.pieces, self.pattern.findall if self.pattern else None, []
+        for w in map(bytes.decode, words):
+            if cut is None or not _SIMPLE.fullmatch(w) or self.special.search(w):
+                whole.append(w)
+                out.append(None)
+                continue
+            found = cut(w.lower())
+            ids = []
+            for p in found:
+                known = pieces.get(p)
+                ids += self._piece(p) if known is None else known
+            out.append(ids)
+        rest = iter(e.ids for at in range(0, len(whole), 20_000) for e in self.tokenizer.encode_batch_fast(whole[at : at + 20_000], add_special_tokens=False))
+        return [next(rest) if ids is None else ids for ids in out]
+
     def learn(self, words: list[bytes]) -> None:
-        """Encode the words that are not known yet, 500 at once: a token belongs to the word in which it begins."""
-        new = {w for w in words if w not in self.memo}
+        """Encode the words that are not known yet."""
+        new = {w for w in set(words) if w not in self.memo}
         if len(self.memo) + len(new) > _MEMO:
             self._clear()
             new = set(words)
         new = list(new)
-        parts = [new[at : at + 500] for at in range(0, len(new), 500)]
-        for part, e in zip(parts, self.tokenizer.encode_batch(["\n".join(w.decode() for w in p) for p in parts], add_special_tokens=False), strict=True):
-            n, ids = len(self.memo), e.ids
-            starts = np.cumsum([0, *(len(w.decode()) + 1 for w in part)])[:-1]
-            of = np.searchsorted(starts, [a for a, _ in e.offsets], side="right") - 1
-            sizes = np.bincount(of.astype(np.int64), minlength=len(part))
-            self.ids = self._room(self.ids, self.used + len(ids))
-            self.begin, self.size, self.stop = (self._room(x, n + len(part)) for x in (self.begin, self.size, self.stop))
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.size[n : n + len(part)] = sizes
-            self.begin[n : n + len(part)] = self.used + np.cumsum(sizes) - sizes
-            self.stop[n : n + len(part)] = [bool(_STOP.search(w)) for w in part]
-            self.memo.update(zip(part, range(n, n + len(part)), strict=True))
-            self.used += len(ids)
-
-    def encode(self, segment: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """The ids, and the places (ids before them) where a sentence has ended."""
+        found = self._encoded(new)
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        total, n = int(sizes.sum()), len(self.memo)
+        self.ids = self._room(self.ids, self.used + total)
+        self.begin, self.size, self.stop = (self._room(x, n + len(new)) for x in (self.begin, self.size, self.stop))
+        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=total)
+        self.size[n : n + len(new)] = sizes
+        self.begin[n : n + len(new)] = self.used + np.cumsum(sizes) - sizes
+        self.stop[n : n + len(new)] = [w[-1] in b".!?\"')]" and bool(_STOP.search(w)) for w in new]
+        self.memo.update(zip(new, range(n, n + len(new)), strict=True))
+        self.used += total
+
+    def encode(self, segment: bytes, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a segment, whose runs between white space are ``words``, and the places (ids before them) where a sentence has ended."""
         if not self.by_run:
             text = segment.decode()
             e = self.tokenizer.encode(text, add_special_tokens=False)
             ends = [k + 1 for k, (_, b) in enumerate(e.offsets) if b and text[b - 1] in ".!?"]
             return np.array(e.ids, dtype=np.uint32), np.array(ends, dtype=np.int64)
-        words = segment.split()
-        if not all(map(self.memo.__contains__, words)):
-            self.learn(words)
         which = np.fromiter(map(self.memo.__getitem__, words), dtype=np.int64, count=len(words))
         sizes = self.size[which]
         ends = np.cumsum(sizes)
@@ -252,10 +288,11 @@ def _packed(batches: Iterator[pa.RecordBatch], path: str, end_id: int, window: i
     before = 0
     for batch in batches:
         for group in _grouped(segments(batch), 2 * _SEGMENT):
+            words = [part.split() if encoder.by_run else [] for *_, part in group]
             if encoder.by_run:
-                encoder.learn([w for *_, part in group for w in part.split()])
-            for doc_id, ends, part in group:
-                ids, sentences = encoder.encode(part)
+                encoder.learn(list(chain.from_iterable(words)))
+            for (doc_id, ends, part), own in zip(group, words, strict=True):
+                ids, sentences = encoder.encode(part, own)
                 if ends:
                     ids = np.append(ids, np.uint32(end_id))
                 packer.add(number, before, ids, sentences, ends)
@@ -285,7 +322,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     waits for what follows, so that memory is bounded and a document of any length goes through in segments of 1 MB.
     A window that costs less in powers of two than in padding, as the last of a task, is cut into those.
 
-    Where tokens don't cross white space, each distinct run between white space is encoded once. One pass, no shuffle: a lost
+    Where tokens don't cross white space, each distinct run between white space is encoded once, and where the file cuts lower-cased text by a pattern,
+    each distinct piece, by the library's model. One pass, no shuffle: a lost
     executor repeats its own splits, to the same result. Sequence ids are the task's number in the high bits and a
     count from 0.
 
