@@ -40,6 +40,11 @@ def carried(value: Column) -> Column:
     return F.last(value, ignorenulls=True).over(_order())
 
 
+def marked(lines: DataFrame, **columns: Column) -> DataFrame:
+    """Lines with columns that windows make. Words are made again behind them, so that they don't go through the shuffle and sort."""
+    return lines.withColumns(columns).drop("words").withColumn("words", F.split("line", " "))
+
+
 def group(pattern: str, i: int) -> Column:
     return blank_to_null(F.regexp_extract("line", pattern, i))
 
@@ -89,7 +94,7 @@ def with_sections(lines: DataFrame) -> DataFrame:
     """
     low = F.lower("line")
     mark = F.when(low.rlike(r"^\d(st|nd|rd|th) period\b"), F.substring("line", 1, 1)).when(low.rlike(r"^(ot|overtime)( period\b|$)"), "OT").when(low.rlike(r"^(so|shootout)( period\b|$)|^game winning shots$"), "SO")
-    return lines.withColumn("period", carried(mark))
+    return marked(lines, period=carried(mark))
 
 
 #: What may stand for the type of a goal.
@@ -126,7 +131,7 @@ def on_ice(lines: DataFrame) -> DataFrame:
     numbers = F.slice("words", 2, F.greatest(size() - 1, F.lit(0)))
     ice = word(0).endswith(":") & (size() > 1) & F.forall(numbers, lambda w: w.rlike(NUMBER))
     above = carried(F.when(~ice, F.struct("pos", F.when(_is_goal(), word(2)).alias("scored"))))
-    df = lines.withColumn("above", above).filter(ice & F.col("above.scored").isNotNull())
+    df = marked(lines, above=above).filter(ice & F.col("above.scored").isNotNull())
     team = F.regexp_replace(word(0), ":$", "")
     return df.select("game_id", F.col("above.pos").alias("goal_pos"), team.alias("team"), F.when(team == F.col("above.scored"), "positive").otherwise("negative").alias("side"), F.explode(numbers).alias("n")).withColumn("number", F.col("n").cast("bigint")).drop("n")
 
@@ -192,7 +197,7 @@ _DAY = r"^\d{4}-\d{2}-\d{2}$"
 def _labelled(lines: DataFrame) -> DataFrame:
     """Lines with the line or group, or ``officials``, whose label stands above them."""
     low = F.lower("line")
-    return lines.withColumn("label", carried(F.when(low.rlike("team officials"), "officials").when(low.rlike(r"^(\d+(st|nd|rd|th) line|extra players|goalkeepers?)$"), F.col("line"))))
+    return marked(lines, label=carried(F.when(low.rlike("team officials"), "officials").when(low.rlike(r"^(\d+(st|nd|rd|th) line|extra players|goalkeepers?)$"), F.col("line"))))
 
 
 def _side(i: Column) -> Column:
@@ -222,17 +227,35 @@ def officials(lines: DataFrame) -> DataFrame:
     return df.select("game_id", _side(F.col("i")).alias("side"), "p.name", "p.role")
 
 
-def lineup(lines: DataFrame) -> DataFrame:
-    """Players of line-up lines ``12 NAME, First (LD)`` with the team and line carried from above."""
-    df = lines.withColumn("team", carried(group(r"^Team: (.+)$", 1))).withColumn("unit", carried(group(r"^(Line \d|Goalies)$", 1))).filter("unit IS NOT NULL")
+#: What heads a line-up and is no team, and what may stand above or before the players of a line.
+NO_TEAM = ("Official Line Up", "HockeyAllsvenskan", "J20 Nationell", "Linesman", "SHL", "Team")
+_LABEL = r"(?i)^(1st|2nd|3rd|4th|Extra players)"
+_NAME_FIRST, _NAME_REST = "[A-ZÄÅÖ]", "A-Za-zäåöüÄÅÖÜ"
 
-    def player(p: Column, end: Column) -> Column:
-        last = word(end - 1)
-        placed = last.rlike(r"^\(\w+\)$")
-        return F.struct(word(p).cast("bigint").alias("number"), joined(p + 1, end - F.when(placed, 1).otherwise(0)).alias("player"), F.when(placed, position(F.regexp_replace(last, "[()]", ""))).alias("position"))
 
-    df = df.select("game_id", "team", "unit", F.explode(pieces(places(lambda w: w.rlike(NUMBER)), player)).alias("p")).filter("contains(p.player, ',')")
-    return df.select("game_id", "team", "unit", "p.number", "p.player", F.coalesce("p.position", F.when(F.col("unit") == "Goalies", "G")).alias("position"))
+def lineup(lines: DataFrame) -> DataFrame:
+    """``(game_id, pos, i, team, line_number, number, player, position)`` of line-up reports, in order.
+
+    A line of letters alone, perhaps with a colour in brackets (``Leksands IF (White)``), is a team; it ends the line above it. ``1st`` to ``4th`` and
+    ``Extra players`` name a line, on a line of their own or before its first player. Players are ``10 JOHANSSON, Anton (RD)``, several to a line;
+    a number and a name without a place are a goalkeeper, if there is a team. Players before any team have none.
+    """
+    text = F.regexp_replace("line", rf" ?\([{_NAME_REST}]+\)$", "")
+    only = F.col("line").rlike(_LABEL + "$")
+    team = ~only & text.rlike(rf"^{_NAME_FIRST}[{_NAME_REST} -]+$") & (F.length(text) > 3) & ~text.isin(*NO_TEAM)
+    label = F.when(only | F.col("line").rlike(_LABEL + r" \d."), group(_LABEL, 1))
+    df = marked(lines, team=carried(F.when(team, F.struct("pos", text.alias("name")))), label=carried(F.when(label.isNotNull(), F.struct("pos", label.alias("name"))))).filter(~team & ~only & F.col("line").rlike(r"\d"))
+    unit = F.when(F.col("team").isNull() | (F.col("label.pos") > F.col("team.pos")), F.col("label.name"))
+    rest = F.regexp_replace("line", _LABEL + r" (?=\d.)", "")
+    form = rf"(\d{{1,3}}) ({_NAME_FIRST}[{_NAME_REST},. -]+?) \((LW|CE|RW|LD|RD|GK|G|D|F)\)"
+    placed = F.regexp_extract_all(rest, F.lit(form), F.lit(0))
+    of = lambda x, i, pattern=form: F.regexp_extract(x, pattern, i)
+    tidy = lambda x: F.regexp_replace(F.trim(x), ",+$", "")
+    people = F.transform(placed, lambda x: F.struct(of(x, 1).cast("bigint").alias("number"), tidy(of(x, 2)).alias("player"), of(x, 3).alias("position"), F.lit(False).alias("bare")))
+    bare = rf"^(\d{{1,2}}) ({_NAME_FIRST}[{_NAME_REST}, -]+)$"
+    goalie = F.when(rest.rlike(bare) & F.col("team").isNotNull(), F.array(F.struct(of(rest, 1, bare).cast("bigint").alias("number"), tidy(of(rest, 2, bare)).alias("player"), F.lit("GK").alias("position"), F.lit(True).alias("bare"))))
+    df = df.select("game_id", "pos", F.col("team.name").alias("team"), unit.alias("unit"), F.posexplode(F.when(F.size(placed) > 0, people).otherwise(goalie)).alias("i", "p"))
+    return df.select("game_id", "pos", "i", "team", F.when(F.col("p.bare"), "Goalkeepers").otherwise(F.col("unit")).alias("line_number"), "p.number", "p.player", "p.position")
 
 
 #: The fields of summary rows after the name, or after number and name.
@@ -245,8 +268,10 @@ MEDIA_GOALIE = {"saves": "whole", "goals_against": "whole", "shots_against": "wh
 def _tables(lines: DataFrame, skaters: str, goalies: str) -> DataFrame:
     """Lines with the table that they are in, and its team: the first table of a kind is the home team's, the second the away team's."""
     head = F.when(F.col("line").startswith(skaters), "skaters").when(F.col("line").startswith(goalies), "goalies")
-    lines = lines.withColumn("head", head).withColumn("table", carried(head))
-    nth = F.greatest(*(F.when(F.col("table") == t, F.sum(F.when(F.col("head") == t, 1).otherwise(0)).over(_order())) for t in ("skaters", "goalies")))
+    lines = lines.withColumn("head", head)
+    count = {t: F.sum(F.when(F.col("head") == t, 1).otherwise(0)).over(_order()) for t in ("skaters", "goalies")}
+    lines = marked(lines, table=carried(F.col("head")), **count)
+    nth = F.when(F.col("table") == "skaters", F.col("skaters")).otherwise(F.col("goalies"))
     return lines.withColumn("side", _side(nth - 1)).filter("head IS NULL AND table IS NOT NULL")
 
 
@@ -290,7 +315,7 @@ def media_summary(lines: DataFrame) -> DataFrame:
 READERS: dict[str, dict[str, Callable[[DataFrame], DataFrame]]] = {
     "official_game_report": {"goals": goals, "on_ice": on_ice, "penalties": penalties, "goalkeeper_changes": goalkeeper_changes, "period_stats": period_stats, "referees": referees, "spectators": spectators, "team_names": team_names},
     "team_roster": {"roster": roster, "officials": officials},
-    "line_up": {"lineup": lineup},
+    "line_up": {"lineup": lineup, "referees": referees},
     "game_summary": {"skaters": player_summary, "goalies": player_summary_goalies},
     "media_summary": {"skaters": media_summary_skaters, "goalies": media_summary},
 }
@@ -316,19 +341,57 @@ def _plain(x: Column) -> Column:
     return html_unescape(F.trim(F.regexp_replace(F.regexp_replace(text, r"\s+", " "), r" ?\| ?", "|")))
 
 
+def found_in(html: str, pattern: str) -> Column:
+    """``(at, text)`` of each place of a page that fits, in order; ``at`` counts from 1."""
+    hits = F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
+    none = F.array().cast("array<struct<at: int, text: string>>")
+
+    def step(done: Column, hit: Column) -> Column:
+        at = F.position(hit, F.col(html), done["end"])
+        return F.struct((at + F.length(hit)).alias("end"), F.concat(done["out"], F.array(F.struct(at.alias("at"), hit.alias("text")))).alias("out"))
+
+    return F.aggregate(hits, F.struct(F.lit(1).alias("end"), none.alias("out")), step, lambda done: done["out"])
+
+
+def last_before(marks: Column, at: Column) -> Column:
+    """Of marks in order the last that stands before a place: what a heading says goes for what follows up to the next."""
+    before = F.filter(marks, lambda m: m["at"] < at)
+    return F.get(before, F.size(before) - 1)
+
+
+#: Markup of schedule pages.
+_ROWS = r"(?s)<tr[^>]*>.*?</tr>"
+_LEAGUE_ROW = r"""(?s)<td[^>]*colspan="5"[^>]*>.*?<a[^>]*href="/ScheduleAndResults/(?:Schedule|Overview)/(\d+)"[^>]*>(.*?)</a>"""
+_GAME_CELL = r"""(?s)<td[^>]*class="(?:tdOdd|tdNormal)"[^>]*>(.*?)</td>"""
+_RESULT = r"\[([^\]]+)\]\(|>([^<]+)</a>"
+
+
 def page_games(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Games of schedule pages: rows ``time|Home - Away|2 - 3|venue`` below a heading that names the league; the id is in the link."""
-    rows = page_rows(pages, key, html)
-    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("league", F.last(F.when(F.col("kind").rlike("^h[1-6]$"), F.col("text")), ignorenulls=True).over(w))
-    c = F.split("text", r"\|")
-    cell = lambda i: F.get(c, F.lit(i))
-    result = r"^(\d+) - (\d+)$"
-    rows = rows.filter((F.col("kind") == "tr") & (F.size(c) >= 3) & cell(1).contains(" - "))
-    return rows.select(
-        key, "league", F.regexp_extract("href", r"/(\d+)(?:$|[/?#])", 1).try_cast("bigint").alias("game_id"), cell(0).alias("time"), F.trim(F.split_part(cell(1), F.lit(" - "), F.lit(1))).alias("home_team"), F.trim(F.split_part(cell(1), F.lit(" - "), F.lit(2))).alias("away_team"),
-        F.regexp_extract(cell(2), result, 1).try_cast("bigint").alias("home_score"), F.regexp_extract(cell(2), result, 2).try_cast("bigint").alias("away_score"), cell(3).alias("venue"),
+    """Games of schedule pages, 12 columns: a row of at least four cells of class ``tdOdd`` or ``tdNormal``: time, teams, result, venue.
+
+    The league and its id are those of the last row with a link across five columns before it, the date is the page's first in a heading cell. The game id
+    stands in the result's link, be it an address or a script. Teams that aren't two parts of ``A - B`` are the home team as they stand. Rows without id, result and
+    two teams are none, nor are those of a page without a date, or without a team.
+    """
+    rows = pages.select(key, blank_to_null(F.regexp_extract(html, r"<th[^>]*>(\d{4}-\d{2}-\d{2})</th>", 1)).alias("date"), found_in(html, _ROWS).alias("rows")).filter("date IS NOT NULL")
+    marked_rows = F.transform("rows", lambda r: F.struct(r["at"].alias("at"), r["text"].alias("text"), r["text"].rlike(_LEAGUE_ROW).alias("league")))
+    rows = rows.select(key, "date", marked_rows.alias("rows"))
+    rows = rows.select(key, "date", F.filter("rows", lambda r: r["league"]).alias("leagues"), F.explode(F.filter("rows", lambda r: ~r["league"])).alias("r"))
+    cells = F.regexp_extract_all("r.text", F.lit(_GAME_CELL), F.lit(1))
+    rows = rows.select(key, "date", last_before(F.col("leagues"), F.col("r.at"))["text"].alias("league"), cells.alias("cells")).filter(F.size("cells") >= 4)
+    cell = lambda i: F.trim(F.get("cells", F.lit(i)))
+    text = lambda c: html_unescape(F.trim(F.regexp_replace(c, r"<[^>]+>", "")))
+    teams = F.split(text(cell(1)), " - ")
+    both = F.size(teams) == 2
+    result = html_unescape(blank_to_null(F.trim(F.concat(*(F.regexp_extract(cell(2), _RESULT, i) for i in (1, 2))))))
+    score = r"^(\d+) ?- ?(\d+)"
+    rows = rows.select(
+        key, "date", F.regexp_extract("league", _LEAGUE_ROW, 1).try_cast("bigint").alias("league_id"), text(F.regexp_extract("league", _LEAGUE_ROW, 2)).alias("league"),
+        F.regexp_extract(cell(2), r"/Game/Events/(\d+)", 1).try_cast("bigint").alias("game_id"), html_unescape(cell(0)).alias("time"),
+        F.when(both, F.trim(F.get(teams, F.lit(0)))).otherwise(blank_to_null(text(cell(1)))).alias("home_team"), F.when(both, F.trim(F.get(teams, F.lit(1)))).alias("away_team"),
+        result.alias("result"), F.regexp_extract(result, score, 1).try_cast("bigint").alias("home_score"), F.regexp_extract(result, score, 2).try_cast("bigint").alias("away_score"), html_unescape(cell(3)).alias("venue"),
     )
+    return rows.filter("(home_team != '' OR away_team != '') AND (game_id IS NOT NULL OR result IS NOT NULL OR away_team IS NOT NULL)")
 
 
 def page_header(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -377,10 +440,20 @@ def page_boxscore(pages: DataFrame, key: str = "page_id", html: str = "html") ->
 
 
 def page_goalkeepers(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Goalkeepers ``30. Name 92,00% (23/25)``."""
-    one = r"(\d{1,3})\. ([\p{L} '.-]+?) (\d+,\d+)% \((\d+)/(\d+)\)"
-    df = pages.select(key, F.explode(F.regexp_extract_all(html, F.lit(one), F.lit(0))).alias("line"))
-    return df.select(key, group(one, 1).cast("bigint").alias("number"), group(one, 2).alias("name"), comma_decimal(group(one, 3)).alias("save_pct"), group(one, 4).cast("bigint").alias("saves"), group(one, 5).cast("bigint").alias("shots"))
+    """``(key, team, number, name, save_pct, saves, shots)`` of the rows of the section ``Goalkeeper Summary``, which ends at the next third-level heading or with the page.
+
+    A row has a cell ``30. Nor, Ed``, then one with a bold share and ``(23/25)``; the team is the first other cell of 2 to 10 characters of plain text on one line. Rows that lack
+    one of these, and rows of other sections, are none.
+    """
+    section = F.regexp_extract(html, r"(?is)Goalkeeper Summary.*?(?:<h3>|\z)", 0)
+    rows = pages.select(key, F.explode(F.regexp_extract_all(section, F.lit(r"(?s)<tr>.*?</tr>"), F.lit(0))).alias("row"))
+    share, who = r"<strong>([\d,]+)%</strong>\s*\((\d+)/(\d+)\)", r"(?s)(\d+)\.\s*([^<]+)</td><td[^>]*><strong>"
+    cells = F.transform(F.regexp_extract_all("row", F.lit(r"<td[^>]*>([^<]+)</td>"), F.lit(1)), lambda c: F.regexp_replace(c, r"^\s+|\s+$", ""))
+    team = F.get(F.filter(cells, lambda c: ~c.contains("\n") & F.length(c).between(2, 10) & ~c.rlike(r"^\d+\.")), F.lit(0))
+    rows = rows.filter(F.col("row").rlike(share) & F.col("row").rlike(who)).select(key, "row", team.alias("team")).filter("team IS NOT NULL")
+    of = lambda pattern, i: F.regexp_extract("row", pattern, i)
+    name = html_unescape(F.trim(F.regexp_replace(of(who, 2), r"\s+", " ")))
+    return rows.select(key, "team", of(who, 1).cast("bigint").alias("number"), name.alias("name"), comma_decimal(of(share, 1)).alias("save_pct"), of(share, 2).cast("bigint").alias("saves"), of(share, 3).cast("bigint").alias("shots"))
 
 
 #: What an event row says, as a pattern on its lower-case text, and the class that it means; the first that fits counts.
@@ -403,18 +476,24 @@ GOAL_SIGNS = (("(EQ)", "even_strength"), ("PP", "power_play"), ("SH", "short_han
 
 
 def page_events(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Event rows ``12:34|what|team|who`` with their class and period: that of the heading above, else by the minute.
+    """Event rows ``12:34|what|team|who`` with their class and period: that of the last heading before them on the page, else by the minute of the page's first event.
 
-    Goals have a type, the score and the power play's number; penalties minutes, what for and the clock from and to; who is the first
+    Headings of class ``tdSubTitle`` count, or where none of them names a period any heading that does. Goals have a type, the score and the power play's number; penalties minutes, what for and the clock from and to; who is the first
     number and surname, further ones are assists; participants are lists of numbers, joined by commas.
     """
-    rows = page_rows(pages, key, html)
-    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    head = F.lower("text")
-    mark = F.when(head.rlike(r"^\d(st|nd|rd|th) period"), F.substring("text", 1, 1).try_cast("bigint")).when(head.rlike("^overtime|^ot period"), 4).when(head.rlike("^shootout|^so period"), 5)
-    rows = rows.withColumn("head", F.last(F.when(F.col("kind").rlike("^h[1-6]$") | (F.col("kind") == "tr"), mark), ignorenulls=True).over(w))
-    c = F.split("text", r"\|")
-    rows = rows.filter((F.col("kind") == "tr") & F.col("text").rlike(r"^\d{1,3}:\d{2}\|")).select(key, "pos", "head", *(F.get(c, F.lit(i)).alias(n) for i, n in enumerate(("clock", "what", "team", "who"))))
+    def periods(marks: Column) -> Column:
+        low = lambda m: F.lower(_plain(m["text"]))
+        of = lambda x: F.when(x.rlike(r"1st|1.*period|period.*1"), 1).when(x.rlike("2nd|2.*period|period.*2"), 2).when(x.rlike("3rd|3.*period|period.*3"), 3).when(x.rlike(r"overtime|\bot\b"), 4).when(x.rlike("shootout|^so period"), 5)
+        return F.filter(F.transform(marks, lambda m: F.struct(m["at"].alias("at"), of(low(m)).cast("bigint").alias("period"))), lambda m: m["period"].isNotNull())
+
+    told = pages.select(key, periods(found_in(html, r"""(?i)<th[^>]*class="tdSubTitle"[^>]*><h3>[^<]+</h3></th>""")).alias("titled"), periods(found_in(html, r"(?i)<h\d[^>]*>[^<]*(?:period|overtime|shootout)[^<]*</h\d>")).alias("headed"), found_in(html, r"(?s)<tr\b[^>]*>.*?</tr>").alias("rows"))
+    timed = F.filter("rows", lambda r: r["text"].rlike(r"(?s)^<tr\b[^>]*>\s*<td[^>]*>(?:\s|<[^>]*>)*\d{1,3}:\d{2}\s*<"))
+    told = told.select(key, F.when(F.size("titled") > 0, F.col("titled")).otherwise(F.col("headed")).alias("marks"), timed.alias("events"))
+    first = inferred_period(clock_seconds(F.regexp_extract(F.get("events", F.lit(0))["text"], r"(\d{1,3}:\d{2})\s*<", 1)))
+    rows = told.select(key, "marks", first.alias("first"), F.explode("events").alias("e"))
+    c = F.split(_plain(F.col("e.text")), r"\|")
+    rows = rows.select(key, F.col("e.at").alias("pos"), F.coalesce(last_before(F.col("marks"), F.col("e.at"))["period"], F.col("first")).alias("head"), c.alias("cells"))
+    rows = rows.select(key, "pos", "head", *(F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(("clock", "what", "team", "who"))))
     seconds, what, who = clock_seconds(F.col("clock")), F.col("what"), F.coalesce("who", F.lit(""))
     kind = None
     for pattern, name in EVENT_CLASSES:
@@ -431,7 +510,7 @@ def page_events(pages: DataFrame, key: str = "page_id", html: str = "html") -> D
     part = lambda sign: blank_to_null(F.array_join(F.regexp_extract_all(F.regexp_extract(who, rf"(?i){sign}\. ?Part\.: ?([\d ,]+)", 1), F.lit(r"\d+"), F.lit(0)), ","))
     first = F.get(people, F.lit(0))
     return rows.select(
-        key, "pos", seconds.alias("seconds"), F.coalesce("head", inferred_period(seconds)).alias("period"), "event", of("goal", goal_type.otherwise("unknown")).alias("goal_type"), of("goal", said(what, r"PP(\d+)").try_cast("bigint")).alias("power_play_number"),
+        key, "pos", seconds.alias("seconds"), F.col("head").alias("period"), "event", of("goal", goal_type.otherwise("unknown")).alias("goal_type"), of("goal", said(what, r"PP(\d+)").try_cast("bigint")).alias("power_play_number"),
         *(F.when(F.col("event").isin("goal", "shootout"), said(what, r"(\d+)-(\d+)", i).try_cast("bigint")).alias(n) for i, n in ((1, "score_home"), (2, "score_away"))),
         of("penalty", said(what, r"(\d+) ?min").try_cast("bigint")).alias("penalty_minutes"), of("penalty", said(who, r"([A-Za-z ]+) ?\(")).alias("penalty_type"),
         *(of("penalty", clock_seconds(said(who, r"\((\d{2,3}:\d{2}) ?- ?(\d{2,3}:\d{2})\)", i))).alias(n) for i, n in ((1, "penalty_start"), (2, "penalty_end"))),

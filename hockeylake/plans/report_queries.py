@@ -16,7 +16,8 @@ _REPORT = f"""'Referees Adams, Bo ' || 'Berg, Carl' || '\\nLinesmen: Dahl, Eva\\
  || 'HOM  2 ' || (20 + game_id % 9) || ' 24 92,31 6 04:00 2 50,00 02:10 1 N/A\\n' || if(game_id % 2 = 0, '1st period', '1ST PERIOD') || '\\nGoal  ' || {_CLOCK} || ' HOM ' || home_score || {_DASH} || away_score || if(game_id % 5 = 0, '', ' PP1') || ' 59 HEDMAN, Per 29 JONSSON, Mats Participation (On ice)\\nHOM: 6 12\\nAWY:  ' || game_id % 40 || '\\n2nd period\\n'
  || 'Penalty 15:02 AWY 2 min. 17 BERG, Karl Roughing' || if(game_id % 4 = 0, ' (double)', '') || '\\nGoalkeeper Out 58:40 AWY 35 LIND, Olle\\n' || if(game_id % 2 = 0, 'Overtime', 'OT period') || '\\nGoal 61:00 AWY 1-2 GWG ' || (1 + game_id % 30) || ' ROE, Ann\\nGoal of the night\\n'"""
 _ROSTER = "'1st line\\nCE ' || (1 + game_id % 50) || ' ALM,Ola ' || if(game_id % 2 = 0, 'C ', '') || '1990-01-02 3 LD 7 EK, Bo A 1991-02-03\\nGoalkeepers\\nGK 30 NOR,Ed 1989-05-06\\nTeam Officials\\nKARLIN, Mats Head Coach ' || if(game_id % 3 = 0, '', 'ZACK, Nils Assistant Coach')"
-_LINEUP = "'Team: Home ' || home_team_id || '\\nGoalies\\n30 NOR, Ed\\nLine 1\\n' || (1 + game_id % 50) || ' ALM, Ola (ld) 7 EK, Bo (C)\\n'"
+_LINEUP = """'Official Line Up\\nTeam\\nLeksands IF (White)\\n37 HELLSTEN, Jakob\\n1st\\n10 JOHANSSON, Anton (RD) ' || (1 + game_id % 50) || ' MILOSEVIC, Stefan (LD)\\n3rd 26 HEENS, Isac (LD)' || if(game_id % 2 = 0, ' 9 ÖST, Åke (CE)', '') || '\\nExtra players\\n' || if(game_id % 3 = 0, '', '5 EK, Bo (RW)\\n')
+ || 'Frölunda HC\\n30 NOR, Ed\\n7 LOOSE, Lee (GK)\\n77 alm, ola\\nSpectators 1 420'"""
 _SUMMARY = "'Name No. Pos. G A TP +/- PIM SOG FO+/- FO%\\nHALL, Max ' || '9 CE 1 ' || game_id % 4 || ' ' || (1 + game_id % 4) || ' -1 2 3 4/5 44,44\\nTotal 1 2\\nName No. Pos. SOG GA SVS SVS% MIP GAA\\nDE NOR, Ed 30 GK ' || away_sog || ' 2 23 92,00 60:00 2,00\\nName No. Pos. G A TP +/- PIM SOG FO+/- FO%\\nKAY, Tor 8 LD 0 0 0 0 ' || game_id % 7 || ' 1 0/0 N/A'"
 _MEDIA = "'Skaters SOG Goals Assists Points\\n12 HALL Max ' || game_id % 6 || ' 1 0 1 -1 2 4 - 5 50,0' || if(game_id % 2 = 0, ' 20 15:30', '') || '\\nGoalies Saves GA SOG\\n30 NOR Ed ' || (away_sog - away_score) || ' ' || away_score || ' ' || away_sog || ' 91,50 1 - 60:00\\n31 OST Al 0 0 0 N/A - - 0:00'"
 
@@ -90,9 +91,10 @@ def txt_officials(spark, d):
     return reports.officials(_lines(spark, d, _ROSTER))
 
 
-@query(f"WITH {_G} SELECT game_id, 'Home ' || home_team_id AS team, 'Goalies' AS unit, 30 AS number, 'NOR, Ed' AS player, 'G' AS position FROM games UNION ALL SELECT game_id, 'Home ' || home_team_id, 'Line 1', 1 + game_id % 50, 'ALM, Ola', 'LD' FROM games UNION ALL SELECT game_id, 'Home ' || home_team_id, 'Line 1', 7, 'EK, Bo', 'C' FROM games")
+@query(f"""WITH {_G} SELECT game_id, team, line_number, number, player, position FROM games, (VALUES ('Leksands IF', 'Goalkeepers', 37, 'HELLSTEN, Jakob', 'GK'), ('Leksands IF', '1st', 10, 'JOHANSSON, Anton', 'RD'), ('Leksands IF', '3rd', 26, 'HEENS, Isac', 'LD'), ('Frölunda HC', 'Goalkeepers', 30, 'NOR, Ed', 'GK'), ('Frölunda HC', NULL, 7, 'LOOSE, Lee', 'GK')) v(team, line_number, number, player, position)
+UNION ALL SELECT game_id, 'Leksands IF', '1st', 1 + game_id % 50, 'MILOSEVIC, Stefan', 'LD' FROM games UNION ALL SELECT game_id, 'Leksands IF', '3rd', 9, 'ÖST, Åke', 'CE' FROM games WHERE game_id % 2 = 0 UNION ALL SELECT game_id, 'Leksands IF', 'Extra players', 5, 'EK, Bo', 'RW' FROM games WHERE game_id % 3 <> 0""")
 def txt_lineup(spark, d):
-    return reports.lineup(_lines(spark, d, _LINEUP))
+    return reports.lineup(_lines(spark, d, _LINEUP)).drop("pos", "i")
 
 
 @query(
@@ -142,15 +144,21 @@ _ROW = lambda label, home, away, a, b: f"'<tr>' || {_CELLS.format(label, home, a
 _PAGE = f"""'<html><head><title>Home ' || home_team_id || ' - Away</title></head><body><table><tr><td style="text-align: center"><h3>' || if(game_id % 2 = 0, 'Hockeyettan &amp; Co', cast(game_date as string)) || '</h3></td></tr></table><h3>Division Hockey</h3><h3><b>Arena ' || game_id % 5 || '</b></h3><div>' || if(game_id % 3 = 0, '9 - 9</div><div style="font-weight: bold">', '') || home_score || ' - ' || away_score || '</div>'
  || '<p>' || game_date || ', 19:00 Spectators: 5 ' || (100 + game_id % 800) || '</p><p>(' || home_score || '-0, 0-' || away_score || ')</p><h2>' || if(game_id % 2 = 0, '1st period', 'Events') || '</h2><table>'
  || '<tr><td>' || {_CLOCK} || '</td><td>1-0 (PP1)</td><td>HOM</td><td>9. Hall, Max<div>31. Berg, Bo</div><div>Pos. Part.: 13 , 9</div><div>Neg. Part.: ' || game_id % 90 || '</div></td></tr><tr><td>05:00</td><td>' || (2 + game_id % 3) || ' min</td><td>AWY</td><td>8. Kay, Tor <br/>Hooking (05:00 - 07:00)</td></tr><tr><td>45:00</td><td>' || case game_id % 4 when 0 then 'Timeout' when 1 then 'GK Out' when 2 then 'Powerbreak' else 'Coffee' end || '</td><td>AWY</td><td></td></tr>'
- || {_ROW("Shots", "home_sog", "away_sog", "11:10:2", "9:8:7")} || {_ROW("Saves", "(away_sog - away_score)", "(home_sog - home_score)", "1:2:3", "4:5:6")} || '<tr><td class="prc">92,00%</td><td class="prc">88,50%</td></tr>' || {_ROW("PIM", "home_pim", "away_pim", "2:0:0", "x")} || {_ROW("PP", "'50,00%'", "'0,00%'", "04:00", "02:30")} || '</table><p>30. Ed Nor 92,00% (23/25)</p></body></html>'"""
-_SCHEDULE = """'<h3>League ' || game_type || '</h3><table><tr class="x"><td>19:00</td><td><a href="/game/' || game_id || '">Home ' || home_team_id || ' - Away</a></td><td>' || if(status = 'FUT', '', home_score || ' - ' || away_score) || '</td><td>Hall &amp; Co</td></tr><tr><td>no game</td></tr></table>'"""
+ || {_ROW("Shots", "home_sog", "away_sog", "11:10:2", "9:8:7")} || {_ROW("Saves", "(away_sog - away_score)", "(home_sog - home_score)", "1:2:3", "4:5:6")} || '<tr><td class="prc">92,00%</td><td class="prc">88,50%</td></tr>' || {_ROW("PIM", "home_pim", "away_pim", "2:0:0", "x")} || {_ROW("PP", "'50,00%'", "'0,00%'", "04:00", "02:30")} || '</table><h3>Goalkeeper Summary</h3><table><tr><td>HOM</td><td>30. Nor, Ed</td><td><strong>92,00%</strong> (23/25)</td></tr><tr><td>' || if(game_id % 3 = 0, 'A long name of a team', 'ÖIK') || '</td><td>' || (1 + game_id % 40) || '. Ek,\\n  Åsa</td><td class="x"><strong>100%</strong>\\n(' || away_sog || '/' || away_sog || ')</td></tr><tr><td>HOM</td><td>31. Ost, Al</td><td></td></tr></table><h3>Best players</h3><table><tr><td>HOM</td><td>30. Nor, Ed</td><td><strong>92,00%</strong> (23/25)</td></tr></table></body></html>'"""
+_GAME = lambda k, teams, result: f"""'<tr class="x"><td class="td{k}">19:00</td><td class="td{k}">' || {teams} || '</td><td class="td{k}">' || {result} || '</td><td class="td{k}">Hall &amp; Co</td></tr>'"""
+_LINKED = """if(status = 'FUT', '<a href="/Game/Events/' || game_id || '"> </a>', if(game_id % 2 = 0, '<a href="/Game/Events/' || game_id || '">' || home_score || ' - ' || away_score || '</a>', '<a href="javascript:openonlinewindow(&#39;/Game/Events/' || game_id || '&#39;,1)">' || home_score || '-' || away_score || '</a>'))"""
+_DAY = "if(game_id % 7 = 0, 'no day', cast(game_date as string))"
+_SCHEDULE = f"""'<table class="tblContent"><tr><th colspan="5">' || {_DAY} || '</th></tr>' || if(game_id % 5 = 0, '', '<tr><td colspan="5"><b><a href="/ScheduleAndResults/' || if(game_id % 2 = 0, 'Schedule', 'Overview') || '/' || (100 + game_type) || '" class="y"><i>League</i> ' || game_type || ' &amp; Co</a></b></td></tr>')
+ || {_GAME("Odd", "'<b>Home ' || home_team_id || '</b> - Away'", _LINKED)} || '<tr><td colspan="5"><a href="/ScheduleAndResults/Schedule/9">Cup</a></td></tr>' || {_GAME("Normal", "'All Stars'", "'[1 - 2](x)'")} || {_GAME("Normal", "'To be told'", "''")} || '<tr><td class="tdOdd">no game</td></tr></table>'"""
 
 
 def _pages(spark, d, text: str):
     return view(spark, d, "games").select(F.col("game_id").alias("page_id"), F.expr(text).alias("html"))
 
 
-@query(f"WITH {_G} SELECT game_id AS page_id, 'League ' || game_type AS league, game_id, '19:00' AS time, 'Home ' || home_team_id AS home_team, 'Away' AS away_team, CASE WHEN status <> 'FUT' THEN home_score END AS home_score, CASE WHEN status <> 'FUT' THEN away_score END AS away_score, 'Hall & Co' AS venue FROM games")
+@query(f"""WITH {_G} SELECT game_id AS page_id, CAST(game_date AS VARCHAR) AS date, CASE WHEN game_id % 5 <> 0 THEN 100 + game_type END AS league_id, CASE WHEN game_id % 5 <> 0 THEN 'League ' || game_type || ' & Co' END AS league, game_id, '19:00' AS time, 'Home ' || home_team_id AS home_team, 'Away' AS away_team,
+CASE WHEN status <> 'FUT' THEN home_score || CASE WHEN game_id % 2 = 0 THEN ' - ' ELSE '-' END || away_score END AS result, CASE WHEN status <> 'FUT' THEN home_score END AS home_score, CASE WHEN status <> 'FUT' THEN away_score END AS away_score, 'Hall & Co' AS venue FROM games WHERE game_id % 7 <> 0
+UNION ALL SELECT game_id, CAST(game_date AS VARCHAR), 9, 'Cup', NULL, '19:00', 'All Stars', NULL, '1 - 2', 1, 2, 'Hall & Co' FROM games WHERE game_id % 7 <> 0""")
 def page_games(spark, d):
     return reports.page_games(_pages(spark, d, _SCHEDULE))
 
@@ -178,16 +186,16 @@ def page_boxscore(spark, d):
     return reports.page_boxscore(_pages(spark, d, _PAGE))
 
 
-@query(f"WITH {_G} SELECT game_id AS page_id, 30 AS number, 'Ed Nor' AS name, 92.0 AS save_pct, 23 AS saves, 25 AS shots FROM games")
+@query(f"WITH {_G} SELECT game_id AS page_id, 'HOM' AS team, 30 AS number, 'Nor, Ed' AS name, 92.0 AS save_pct, 23 AS saves, 25 AS shots FROM games UNION ALL SELECT game_id, 'ÖIK', 1 + game_id % 40, 'Ek, Åsa', 100.0, away_sog, away_sog FROM games WHERE game_id % 3 <> 0")
 def page_goalkeepers(spark, d):
     return reports.page_goalkeepers(_pages(spark, d, _PAGE))
 
 
 @query(
-    f"""WITH {_G} SELECT game_id AS page_id, {_SEC} AS seconds, CASE WHEN game_id % 2 = 0 THEN 1 ELSE CASE WHEN {_SEC} >= 1200 THEN 3 ELSE 2 END END AS period, 'goal' AS event, 'power_play' AS goal_type, 1 AS power_play_number, 1 AS score_home, 0 AS score_away,
+    f"""WITH {_G} SELECT game_id AS page_id, {_SEC} AS seconds, CASE WHEN game_id % 2 = 0 THEN 1 ELSE 2 END AS period, 'goal' AS event, 'power_play' AS goal_type, 1 AS power_play_number, 1 AS score_home, 0 AS score_away,
 CAST(NULL AS BIGINT) AS penalty_minutes, CAST(NULL AS VARCHAR) AS penalty_type, CAST(NULL AS BIGINT) AS penalty_start, CAST(NULL AS BIGINT) AS penalty_end, CAST(NULL AS VARCHAR) AS goalkeeper_action, 'HOM' AS team, 9 AS player_number, 'Hall' AS player, 'Berg' AS assists, '13,9' AS positive_participants, CAST(game_id % 90 AS VARCHAR) AS negative_participants FROM games
 UNION ALL SELECT game_id, 300, CASE WHEN game_id % 2 = 0 THEN 1 ELSE 2 END, 'penalty', NULL, NULL, NULL, NULL, 2 + game_id % 3, 'Tor Hooking', 300, 420, NULL, 'AWY', 8, 'Kay', NULL, NULL, NULL FROM games
-UNION ALL SELECT game_id, 2700, CASE WHEN game_id % 2 = 0 THEN 1 ELSE 4 END, CASE game_id % 4 WHEN 0 THEN 'timeout' WHEN 1 THEN 'goalkeeper_change' WHEN 2 THEN 'powerbreak' ELSE 'other' END, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CASE WHEN game_id % 4 = 1 THEN 'out' END, 'AWY', NULL, NULL, NULL, NULL, NULL FROM games"""
+UNION ALL SELECT game_id, 2700, CASE WHEN game_id % 2 = 0 THEN 1 ELSE 2 END, CASE game_id % 4 WHEN 0 THEN 'timeout' WHEN 1 THEN 'goalkeeper_change' WHEN 2 THEN 'powerbreak' ELSE 'other' END, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CASE WHEN game_id % 4 = 1 THEN 'out' END, 'AWY', NULL, NULL, NULL, NULL, NULL FROM games"""
 )
 def page_events(spark, d):
     return reports.page_events(_pages(spark, d, _PAGE)).drop("pos")
