@@ -136,10 +136,31 @@ def without_repeats(df: DataFrame, days: int) -> DataFrame:
     return df.withColumn("_next", following).filter(F.col("_next").isNull() | (F.datediff("_next", "game_date") > days)).drop("_next")
 
 
+def islands(df: DataFrame, days: int) -> DataFrame:
+    """Chains of an entity's insights of one type, each within so many days of the one before, as one row: its latest insight with ``first_date``, ``n_repeats`` and the chain's greatest ``severity``.
+
+    Insights of equal date go by game. A null date begins a chain of its own kind, before all others.
+    """
+    key = ["entity_type", "entity_id", "insight_type"]
+    w = Window.partitionBy(*key).orderBy("game_date", "game_id")
+    begins = F.coalesce(F.datediff("game_date", F.lag("game_date").over(w)) > days, F.lit(True))
+    df = df.withColumn("_begins", begins.cast("int")).withColumn("_chain", F.sum("_begins").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    rest = [c for c in df.columns if c not in (*key, "severity", "_begins", "_chain")]
+    last = F.max_by(F.struct(*rest), F.struct("game_date", "game_id"))
+    chains = df.groupBy(*key, "_chain").agg(last.alias("last"), F.min("game_date").alias("first_date"), (F.count("*") - 1).alias("n_repeats"), F.max("severity").alias("severity"))
+    return chains.select(*key, "last.*", "severity", "first_date", "n_repeats")
+
+
+def ranked(df: DataFrame, n: int, run: list[str]) -> DataFrame:
+    """The ``n`` most significant insights of each run, with their ``rank``: by severity, then the longer chain, then entity, type and date."""
+    order = (F.desc("severity"), F.desc("n_repeats"), "entity_type", "entity_id", "insight_type", "game_date", "game_id")
+    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*run).orderBy(*order)).cast("bigint")).filter(F.col("rank") <= n)
+
+
 def _since(games: DataFrame, days: int, as_of: str | None) -> DataFrame:
-    """Games of the days up to a date, that of the last game if none is given; the date is one row."""
-    last = games.agg(F.lit(as_of).cast("date").alias("_last") if as_of else F.max("game_date").cast("date").alias("_last"))
-    return games.join(F.broadcast(last), F.col("game_date").between(F.date_sub("_last", days), F.col("_last"))).drop("_last")
+    """Games of the days up to a date, that of the last game if none is given; the date is a scalar that reaches the scan."""
+    last = F.lit(as_of).cast("date") if as_of else games.agg(F.max("game_date").cast("date")).scalar()
+    return games.filter(F.col("game_date").between(F.date_sub(last, days), last))
 
 
 def team_streak(team_games: DataFrame, n: int = 5, least: float = 1.6, min_games: int = 3, days: int = 90, as_of: str | None = None) -> DataFrame:

@@ -75,3 +75,50 @@ def goalie_situations(df: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("games"), F.sum("saves").alias("saves"), F.sum("shots_against").alias("shots"))
         .withColumn("save_pct", F.col("saves").cast("double") / F.nullif(F.col("shots"), F.lit(0)))
     )
+
+
+def points_curve(team_games: DataFrame, entity: str = "team_abbr", points: str = "team_points") -> DataFrame:
+    """``(entity, season, game_no, game_date, game_id, points, total, pace)``: a team's points game by game, their running total and what that comes to in 82 games.
+
+    Games of one date go by id; null points are 0.
+    """
+    w = Window.partitionBy(entity, "season").orderBy("game_date", "game_id")
+    got = F.coalesce(F.col(points), F.lit(0)).cast("bigint")
+    total, n = F.sum(got).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.row_number().over(w).cast("bigint")
+    return team_games.select(entity, "season", n.alias("game_no"), "game_date", "game_id", got.alias("points"), total.alias("total"), F.round(total * 82.0 / n, 2).alias("pace"))
+
+
+def division_standings(table: DataFrame, division: str = "division") -> DataFrame:
+    """Ranks of a season's table within each division, in the league, and points behind the division's first: by points, then wins, then team.
+
+    ``table`` has ``team_abbr``, ``season``, the division, ``points`` and ``wins``; teams without a division are a division of their own.
+    """
+    order = (F.desc("points"), F.desc("wins"), "team_abbr")
+    within = Window.partitionBy("season", division).orderBy(*order)
+    first = F.first("points").over(within.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return table.withColumns({
+        "division_rank": F.row_number().over(within).cast("bigint"), "league_rank": F.row_number().over(Window.partitionBy("season").orderBy(*order)).cast("bigint"), "behind": first - F.col("points"),
+    })
+
+
+def playoff_bracket(series: DataFrame) -> DataFrame:
+    """The bracket as a tree: each series with ``parent``, the letter of the series of the next round that its winner plays in, ``path`` of letters from the last round down, and ``depth``.
+
+    ``series`` has ``season, series_letter, round, top_seed_id, bottom_seed_id, winning_team_id``. Series are linked round by round through their winners, by a recursive
+    query from those that have no parent: the final, and series without a winner or whose winner isn't drawn yet. Rows without letter or round are left out.
+    """
+    spark = series.sparkSession
+    return spark.sql(
+        """
+WITH RECURSIVE s AS (SELECT season, series_letter, `round`, top_seed_id, bottom_seed_id, winning_team_id FROM {series} WHERE series_letter IS NOT NULL AND `round` IS NOT NULL),
+linked AS (
+  SELECT a.season, a.series_letter, a.`round`, a.top_seed_id, a.bottom_seed_id, a.winning_team_id, min(b.series_letter) AS parent
+  FROM s a LEFT JOIN s b ON a.season = b.season AND b.`round` = a.`round` + 1 AND a.winning_team_id IN (b.top_seed_id, b.bottom_seed_id)
+  GROUP BY ALL),
+tree AS (
+  SELECT season, series_letter, parent, series_letter AS path, 0 AS depth FROM linked WHERE parent IS NULL
+  UNION ALL
+  SELECT l.season, l.series_letter, l.parent, t.path || '/' || l.series_letter, t.depth + 1 FROM tree t JOIN linked l ON l.season = t.season AND l.parent = t.series_letter)
+SELECT l.*, t.path, CAST(t.depth AS BIGINT) AS depth FROM linked l JOIN tree t ON t.season = l.season AND t.series_letter = l.series_letter""",
+        series=series,
+    )

@@ -156,3 +156,35 @@ def comment_table(spark: SparkSession, table: str, comment: str, columns: dict[s
 
 def keep_first_by_source(df: DataFrame, keys: list[str], *order: Column | str) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_r = 1").drop("_r")
+
+
+def _versions(spark: SparkSession, name: str) -> list[int]:
+    """Numbers of the versions of a table that ``replace_in_catalog`` has written, oldest first."""
+    database, _, table = name.rpartition(".")
+    where = f" IN {database}" if database else ""
+    found = (r["tableName"] for r in spark.sql(f"SHOW TABLES{where} LIKE '{table}__v*'").collect())
+    return sorted(int(n.rpartition("__v")[2]) for n in found if n.rpartition("__v")[2].isdigit())
+
+
+def replace_in_catalog(spark: SparkSession, df: DataFrame, name: str, folder: str | None = None, versions: int = 2, partition_by: list[str] | None = None) -> int:
+    """Create or replace a table of the session catalog from a query, which may read the table itself, and return its version.
+
+    The rows are written as a table ``<name>__v<n>``; then the view ``<name>`` is put on it, which is one step of the catalog: who reads at any time sees the old rows or
+    the new ones, never none, and a run that ends before that leaves the old. The last ``versions`` stay for readers that have begun; older ones, and what
+    a run that failed has left, are dropped with their files by the next. ``folder`` is where versions are kept, else the warehouse.
+    """
+    done = _versions(spark, name)
+    number = (done[-1] if done else 0) + 1
+    writer = df.write.format("parquet")
+    if folder:
+        writer = writer.option("path", f"{folder}/v={number}")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(f"{name}__v{number}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {name}__v{number}")
+    for old in done[: max(0, len(done) + 1 - versions)]:
+        spark.sql(f"DROP TABLE IF EXISTS {name}__v{old}")
+        if folder:
+            fs, at = _files(spark, folder)
+            fs.delete(at(f"{folder}/v={old}"), True)
+    return number

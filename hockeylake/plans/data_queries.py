@@ -403,12 +403,48 @@ def dq_schema_diff(spark, d):
     return quality.schema_difference_rows(spark, c, expected)
 
 
-@query("""SELECT '$.id' AS path, 'BIGINT' AS kind, count(*) AS n FROM orders UNION ALL SELECT '$.who', 'OBJECT', count(*) FROM orders UNION ALL SELECT '$.who.name', 'STRING', count(*) FROM orders UNION ALL SELECT '$.list', 'ARRAY', count(*) FROM orders
-UNION ALL SELECT '$.list[]', 'BIGINT', count(*) FROM orders UNION ALL SELECT '$.list[]', 'OBJECT', count(*) FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT '$.list[].k', 'STRING', count(*) FROM orders WHERE o_orderkey % 3 = 0""")
+_DOCUMENT = """'{"id": ' || o_orderkey || ', "who": {"name": "' || o_orderstatus || '"}, "list": [' || o_custkey || if(o_orderkey % 3 = 0, ', {"k": "v", "deep": [[{"x": {"y": {"z": {"w": 1}}}}]]}', '') || ']}'"""
+_DEEP = " UNION ALL ".join(f"SELECT '{path}' AS path, '{kind}' AS kind, count(*) AS n FROM o WHERE k % 3 = 0" for path, kind in (("$.list[]", "OBJECT"), ("$.list[].k", "STRING"), ("$.list[].deep", "ARRAY"), ("$.list[].deep[]", "ARRAY"), ("$.list[].deep[][]", "OBJECT"), ("$.list[].deep[][].x", "OBJECT"), ("$.list[].deep[][].x.y", "OBJECT"), ("$.list[].deep[][].x.y.z", "DEEPER")))
+_PATHS = f"""SELECT '$.id' AS path, 'BIGINT' AS kind, count(*) AS n FROM o UNION ALL SELECT '$.who', 'OBJECT', count(*) FROM o UNION ALL SELECT '$.who.name', 'STRING', count(*) FROM o UNION ALL SELECT '$.list', 'ARRAY', count(*) FROM o
+UNION ALL SELECT '$.list[]', 'BIGINT', count(*) FROM o UNION ALL {_DEEP}"""
+
+
+def _json_documents(spark, d):
+    docs = table(spark, d, "orders").select(F.year("o_orderdate").alias("season"), F.expr(_DOCUMENT).alias("payload"))
+    return docs.unionByName(docs.limit(1).select("season", F.lit("{broken").alias("payload")))
+
+
+@query(f"WITH o AS (SELECT o_orderkey AS k FROM orders) {_PATHS}")
 def json_key_paths(spark, d):
-    text = """'{"id": ' || o_orderkey || ', "who": {"name": "' || o_orderstatus || '"}, "list": [' || o_custkey || if(o_orderkey % 3 = 0, ', {"k": "v"}', '') || ']}'"""
-    docs = table(spark, d, "orders").select(F.expr(text).alias("payload"))
-    return quality.json_key_paths(docs.unionByName(docs.limit(1).select(F.lit("{broken").alias("payload"))))
+    return quality.json_key_paths(_json_documents(spark, d))
+
+
+@query(f"WITH o AS (SELECT o_orderkey AS k FROM orders WHERE year(o_orderdate) IN (SELECT min(year(o_orderdate)) FROM orders UNION ALL SELECT max(year(o_orderdate)) FROM orders)) {_PATHS}")
+def json_key_paths_of_ends(spark, d):
+    """Of the first and last season alone."""
+    return quality.json_key_paths(_json_documents(spark, d), ends_of="season")
+
+
+_PROFILED = ("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count(*) - count({c}) AS n_nulls, CASE WHEN count(DISTINCT {c}) < 60 THEN count(DISTINCT {c}) END AS n_distinct, CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS greatest FROM (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS l_quantity, CASE WHEN l_linenumber = 4 THEN NULL ELSE l_returnflag END AS l_returnflag, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem)" for c in _PROFILED))
+def profile_sketches(spark, d):
+    """Profiles by year, merged: what is exact, and numbers of few distinct values, which the sketch counts as they are."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("bigint").alias("l_quantity"), F.when(F.col("l_linenumber") != 4, F.col("l_returnflag")).alias("l_returnflag"), F.col("l_shipdate").cast("date").alias("l_shipdate"))
+    parts = quality.profile_parts(lines.withColumn("year", F.year("l_shipdate")), ["year"])
+    return quality.merged_profile(parts).select("column", "n_rows", "n_nulls", F.when(F.col("n_distinct") < 60, F.col("n_distinct")).alias("n_distinct"), "least", "greatest")
+
+
+@query(f"WITH {_G} SELECT game_id, game_date FROM games WHERE season >= 19970000")
+def src_catalog_table(spark, d):
+    """A catalog table that is replaced by a query on itself, and read by name."""
+    name, folder = f"games_{uuid.uuid4().hex}", scratch(spark, "catalog")
+    writes.replace_in_catalog(spark, games(spark, d).filter("season < 19980000"), name, folder, partition_by=["season"])
+    newer = games(spark, d).filter("season >= 19980000")
+    writes.replace_in_catalog(spark, files.read_catalog_table(spark, name).unionByName(newer), name, folder, partition_by=["season"])
+    return files.read_catalog_table(spark, name, ["game_id", "game_date"], "season >= 19970000")
+
 
 
 

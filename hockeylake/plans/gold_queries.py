@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hockeylake.operators import features, gold, insights, trends
-from hockeylake.plans.adapters import cte, view
+from hockeylake.plans.adapters import cte, table, view
 from hockeylake.plans.registry import query
 
 _ROUND = 6
@@ -455,3 +455,54 @@ def insight_rank_dedup(spark, d):
     tg = team_games(spark, d)
     c = tg.select(F.lit("team").alias("entity_type"), F.col("team_abbr").alias("entity_id"), F.when(F.col("team_points") == 2, "win").otherwise("other").alias("insight_type"), "game_date", "game_id", F.abs(F.col("goals_for") - F.col("goals_against")).cast("double").alias("severity"))
     return insights.without_repeats(c, 7)
+
+
+_CHANCES = """c AS (SELECT 'team' AS entity_type, team_abbr AS entity_id, CASE WHEN team_points = 2 THEN 'win' ELSE 'other' END AS insight_type, game_date, game_id, season, CAST(abs(goals_for - goals_against) AS DOUBLE) AS severity FROM tgs),
+b AS (SELECT *, CASE WHEN game_date - lag(game_date) OVER w <= 7 THEN 0 ELSE 1 END AS begins FROM c WINDOW w AS (PARTITION BY entity_id, insight_type ORDER BY game_date, game_id)),
+k AS (SELECT *, sum(begins) OVER (PARTITION BY entity_id, insight_type ORDER BY game_date, game_id) AS chain FROM b),
+i AS (SELECT entity_type, entity_id, insight_type, max(game_date) AS game_date, max_by(game_id, {'d': game_date, 'g': game_id}) AS game_id, max_by(season, {'d': game_date, 'g': game_id}) AS season, max(severity) AS severity, min(game_date) AS first_date, count(*) - 1 AS n_repeats FROM k GROUP BY entity_type, entity_id, insight_type, chain)"""
+
+
+def _chances(spark, d):
+    kind = F.when(F.col("team_points") == 2, "win").otherwise("other")
+    return team_games(spark, d).select(F.lit("team").alias("entity_type"), F.col("team_abbr").alias("entity_id"), kind.alias("insight_type"), "game_date", "game_id", "season", F.abs(F.col("goals_for") - F.col("goals_against")).cast("double").alias("severity"))
+
+
+@query(f"WITH {cte('games')}{_TGS_ONLY}, {_CHANCES} SELECT entity_type, entity_id, insight_type, game_date, game_id, season, severity, first_date, n_repeats FROM i")
+def insight_islands(spark, d):
+    return insights.islands(_chances(spark, d), 7)
+
+
+@query(f"WITH {cte('games')}{_TGS_ONLY}, {_CHANCES} SELECT * FROM (SELECT entity_type, entity_id, insight_type, game_date, game_id, season, severity, first_date, n_repeats, row_number() OVER (PARTITION BY season ORDER BY severity DESC, n_repeats DESC, entity_type, entity_id, insight_type, game_date, game_id) AS rank FROM i) WHERE rank <= 10")
+def insight_ranked(spark, d):
+    """The ten most significant chains of each season."""
+    return insights.ranked(insights.islands(_chances(spark, d), 7), 10, ["season"])
+
+
+@query(f"WITH {cte('games')}{_TGS_ONLY} SELECT team_abbr, season, row_number() OVER w AS game_no, game_date, game_id, coalesce(team_points, 0) AS points, CAST(sum(coalesce(team_points, 0)) OVER w AS BIGINT) AS total, round(sum(coalesce(team_points, 0)) OVER w * 82.0 / row_number() OVER w, 2) AS pace FROM tgs WINDOW w AS (PARTITION BY team_abbr, season ORDER BY game_date, game_id ROWS UNBOUNDED PRECEDING)")
+def points_curve(spark, d):
+    return trends.points_curve(team_games(spark, d))
+
+
+@query(f"""WITH {cte('games')}{_TGS_ONLY}, t AS (SELECT team_abbr, season, CASE WHEN team_abbr < 'T15' THEN 'North' WHEN team_abbr < 'T25' THEN 'South' END AS division, CAST(sum(coalesce(team_points, 0)) AS BIGINT) AS points, count(*) FILTER (team_points = 2) AS wins FROM tgs GROUP BY ALL)
+SELECT *, row_number() OVER w AS division_rank, row_number() OVER (PARTITION BY season ORDER BY points DESC, wins DESC, team_abbr) AS league_rank, max(points) OVER (PARTITION BY season, division) - points AS behind FROM t WINDOW w AS (PARTITION BY season, division ORDER BY points DESC, wins DESC, team_abbr)""")
+def standings_by_division(spark, d):
+    t = team_games(spark, d).withColumn("division", F.when(F.col("team_abbr") < "T15", "North").when(F.col("team_abbr") < "T25", "South"))
+    t = t.groupBy("team_abbr", "season", "division").agg(F.sum(F.coalesce("team_points", F.lit(0))).cast("bigint").alias("points"), F.count_if(F.col("team_points") == 2).alias("wins"))
+    return trends.division_standings(t)
+
+
+#: A bracket of eight teams for each year and clerk of the orders; who wins goes by arithmetic, and no final is played in every fifth.
+_SERIES = """SELECT CAST(k AS BIGINT) AS season, CAST(r AS BIGINT) AS `round`, CASE r WHEN 1 THEN CASE i WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C' ELSE 'D' END WHEN 2 THEN CASE i WHEN 0 THEN 'E' ELSE 'F' END ELSE 'G' END AS series_letter, top_seed_id, bottom_seed_id,
+ CASE WHEN r = 3 AND k % 5 = 0 THEN NULL WHEN (k + r + i) % 2 = 0 THEN top_seed_id ELSE bottom_seed_id END AS winning_team_id FROM (
+SELECT k, 1 AS r, i, k * 100 + 2 * i AS top_seed_id, k * 100 + 2 * i + 1 AS bottom_seed_id FROM (SELECT DISTINCT year(o_orderdate) * 1000 + o_custkey % 50 AS k FROM {t}) CROSS JOIN (VALUES (0), (1), (2), (3)) v(i)
+UNION ALL SELECT k, 2, i, k * 100 + 4 * i + (k + 1 + 2 * i) % 2, k * 100 + 4 * i + 2 + (k + 1 + 2 * i + 1) % 2 FROM (SELECT DISTINCT year(o_orderdate) * 1000 + o_custkey % 50 AS k FROM {t}) CROSS JOIN (VALUES (0), (1)) v(i)
+UNION ALL SELECT k, 3, 0, CASE WHEN (k + 2) % 2 = 0 THEN k * 100 + (k + 1) % 2 ELSE k * 100 + 2 + k % 2 END, CASE WHEN (k + 3) % 2 = 0 THEN k * 100 + 4 + (k + 3) % 2 ELSE k * 100 + 6 + (k + 4) % 2 END FROM (SELECT DISTINCT year(o_orderdate) * 1000 + o_custkey % 50 AS k FROM {t}))"""
+
+
+@query(f"""WITH RECURSIVE s AS ({_SERIES.format(t="orders").replace("`round`", '"round"')}),
+linked AS (SELECT a.season, a.series_letter, a."round", a.top_seed_id, a.bottom_seed_id, a.winning_team_id, b.series_letter AS parent FROM s a LEFT JOIN s b ON a.season = b.season AND b."round" = a."round" + 1 AND a.winning_team_id IN (b.top_seed_id, b.bottom_seed_id)),
+tree AS (SELECT season, series_letter, parent, series_letter AS path, 0 AS depth FROM linked WHERE parent IS NULL UNION ALL SELECT l.season, l.series_letter, l.parent, t.path || '/' || l.series_letter, t.depth + 1 FROM tree t JOIN linked l ON l.season = t.season AND l.parent = t.series_letter)
+SELECT l.*, t.path, CAST(t.depth AS BIGINT) AS depth FROM linked l JOIN tree t ON t.season = l.season AND t.series_letter = l.series_letter""")
+def playoff_bracket(spark, d):
+    return trends.playoff_bracket(spark.sql(_SERIES.replace("{t}", "{orders}"), orders=table(spark, d, "orders")))

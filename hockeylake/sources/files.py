@@ -156,3 +156,10 @@ def prefix_counts(paths: DataFrame, path: str = "path", depth: int = 3) -> DataF
         .groupBy("p.prefix", "p.level")
         .agg(F.count("*").alias("n"))
     )
+
+
+def read_catalog_table(spark: SparkSession, name: str, columns: list[str] | None = None, where: str | None = None) -> DataFrame:
+    """A table or view of the session catalog, as its current version is when it is read; a filter and the columns reach its scan. A name that isn't there raises."""
+    df = spark.table(name)
+    df = df.filter(where) if where else df
+    return df.select(*columns) if columns else df

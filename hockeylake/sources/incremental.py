@@ -11,9 +11,12 @@ CONTROL = "pipeline string, scope string, value string"
 
 
 def after_watermark(df: DataFrame, control: DataFrame, day: str = "game_date") -> DataFrame:
-    """Rows after the date in a control table of one row; all rows if it has none."""
-    mark = control.agg(F.max("value").cast("date").alias("_mark"))
-    return df.join(F.broadcast(mark), F.col("_mark").isNull() | (F.col(day) > F.col("_mark"))).drop("_mark")
+    """Rows after the date in a control table of one row; all rows if it has none. Rows without a date are left out where there is one.
+
+    The date is a scalar subquery, so that it reaches the scan: of a table partitioned by ``day`` only the partitions after it are read.
+    """
+    mark = control.agg(F.max("value").cast("date")).scalar()
+    return df.filter(mark.isNull() | (F.col(day) > mark))
 
 
 def from_start(df: DataFrame, start: str, day: str = "game_date") -> DataFrame:
@@ -39,6 +42,7 @@ def date_batches(df: DataFrame, size: int, day: str = "game_date") -> DataFrame:
 
 
 def first_batch(df: DataFrame, size: int, day: str = "game_date") -> DataFrame:
+    """Rows of the first so many distinct dates; rows without a date are left out."""
     days = date_batches(df, size, day).filter("batch_no = 0").select(day)
     return df.join(F.broadcast(days), day, "left_semi")
 
