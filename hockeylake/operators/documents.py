@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hockeylake.functions import blank_to_null, clean_text, clock_seconds, cross_save_pct, first_list, game_type, goals_against_average, leading_date, localised, measure, overtime_flags, points_210, position, season_year, zero_to_null
+from hockeylake.functions import blank_to_null, clean_text, clock_seconds, cross_save_pct, first_list, game_type, goals_against_average, leading_date, localised, measure, overtime_flags, period_number, phase, points_210, position, season_year, synthetic_id, zero_to_null
 from hockeylake.operators.gold import keep_first
+from hockeylake.operators.names import slug_among
 
 def _struct(fields: str) -> str:
     return "struct<" + ", ".join(f"{n}: {t}" for n, t in (f.rsplit(" ", 1) for f in fields.split(", "))) + ">"
@@ -37,7 +38,8 @@ _P = _struct("playerId long, position string, sweaterNumber long, toi string, fa
 _TEAM_KEYS = _typed(" ".join(dict.fromkeys(k for keys in _TEAM.values() for k in keys)), "long")
 _S = _struct(f"id long, abbrev string, score long, {_TEAM_KEYS}")
 _STATS = f"struct<forwards: array<{_P}>, defense: array<{_P}>, goalies: array<{_P}>>"
-_PLAY = "struct<about: struct<eventId: long, period: string, periodTime: string>, result: struct<eventTypeId: string, description: string>, team: struct<triCode: string>, players: array<struct<player: struct<id: long>, playerId: long>>>"
+_PLAY = """struct<about: struct<eventId: long, period: string, periodType: string, periodTime: string, timeRemaining: string>, result: struct<eventTypeId: string, eventType: string, description: string>, team: struct<triCode: string, abbreviation: string, abbrev: string>,
+  players: array<struct<player: struct<id: long>, playerId: long>>, type: string, eventTypeId: string, period: string, periodType: string, periodTime: string, description: string>"""
 _SKATER_STATS = _struct("timeOnIce string, faceOffWinPercentage double, " + _typed(" ".join(b for _, b in _SKATER.values()), "long"))
 _GOALIE_STATS = _struct("timeOnIce string, savePercentage double, " + _typed(" ".join(b for _, b in _GOALIE.values()), "long"))
 _LIVE_PLAYER = f"struct<person: struct<id: long>, jerseyNumber: string, position: struct<abbreviation: string>, stats: struct<skaterStats: {_SKATER_STATS}, goalieStats: {_GOALIE_STATS}>>"
@@ -51,7 +53,7 @@ GAME = f"""gameId string, date string,
 boxscore struct<id: long, season: long, gameDate: string, gameState: string, gameType: string, startTimeUTC: string, regPeriods: long, limitedScoring: boolean, venue: struct<default: string>, venueLocation: struct<default: string>,
   gameOutcome: struct<otPeriods: long, lastPeriodType: string>, periodDescriptor: struct<number: long, periodType: string>, gameData: {_GAME_DATA},
   homeTeam: {_S}, awayTeam: {_S}, playerByGameStats: struct<homeTeam: {_STATS}, awayTeam: {_STATS}>>,
-playByPlay struct<plays: array<{_PLAY}>, allPlays: array<{_PLAY}>>,
+playByPlay struct<plays: array<{_PLAY}>, gamePlays: array<{_PLAY}>, allPlays: array<{_PLAY}>>,
 gameStory struct<headline: string, title: string, body: string, article: string>,
 gameData {_GAME_DATA},
 liveData struct<linescore: struct<teams: struct<home: struct<goals: long>, away: struct<goals: long>>>, plays: struct<allPlays: array<{_PLAY}>>, boxscore: struct<teams: struct<home: {_LIVE_SIDE}, away: {_LIVE_SIDE}>>>"""
@@ -164,17 +166,25 @@ def extract_players(parsed: DataFrame) -> DataFrame:
 
 
 def extract_events(parsed: DataFrame) -> DataFrame:
-    """One row a play; the event id is the play's own or its place, players are the first two ids of the first three entries."""
-    plays = F.coalesce("doc.playByPlay.plays", "doc.playByPlay.allPlays", "doc.liveData.plays.allPlays")
-    df = parsed.select(_game_id().alias("game_id"), "game_date", F.posexplode(plays).alias("pos", "e"))
+    """One row a play of the first list that has any: ``plays``, ``gamePlays``, ``allPlays`` or the live data's. The event id is the play's own or its place; players are the first two ids of the first three entries.
+
+    Kind, period, clock, team and text are each taken from the first place that has one. Null entries are left out but count as places.
+    """
+    some = lambda plays: F.when(F.size(plays) > 0, F.col(plays))
+    plays = F.coalesce(*map(some, ("doc.playByPlay.plays", "doc.playByPlay.gamePlays", "doc.playByPlay.allPlays", "doc.liveData.plays.allPlays")))
+    df = parsed.select(_game_id().alias("game_id"), "game_date", F.posexplode(plays).alias("pos", "e")).filter("e IS NOT NULL")
     ids = F.filter(F.transform(F.slice("e.players", 1, 3), lambda p: F.coalesce(p["player"]["id"], p["playerId"])), lambda i: i > 0)
+    first = lambda *paths: F.coalesce(*(blank_to_null(F.col(f"e.{x}")) for x in paths))
+    clock = first("about.periodTime", "about.timeRemaining", "periodTime")
     return df.select(
-        "game_id", "game_date", F.coalesce("e.about.eventId", F.col("pos").cast("bigint")).alias("event_id"), F.upper("e.result.eventTypeId").alias("event_type"), F.col("e.about.period").alias("period"), clock_seconds(F.col("e.about.periodTime")).alias("period_seconds"),
-        F.col("e.team.triCode").alias("team_abbr"), F.get(ids, F.lit(0)).alias("player_id"), F.get(ids, F.lit(1)).alias("player2_id"), F.substring(F.coalesce("e.result.description", F.lit("")), 1, 500).alias("description"),
+        "game_id", "game_date", F.coalesce(F.nullif("e.about.eventId", F.lit(0)), F.col("pos").cast("bigint")).alias("event_id"), F.upper(F.coalesce(first("result.eventTypeId", "result.eventType", "type", "eventTypeId"), F.lit(""))).alias("event_type"),
+        first("about.period", "period").alias("period"), F.coalesce(first("about.periodType", "periodType"), F.lit("")).alias("period_type"), F.coalesce(clock, F.lit("")).alias("time_remaining"), clock_seconds(clock).alias("period_seconds"),
+        first("team.triCode", "team.abbreviation", "team.abbrev").alias("team_abbr"), F.get(ids, F.lit(0)).alias("player_id"), F.get(ids, F.lit(1)).alias("player2_id"), F.substring(F.coalesce(first("result.description", "description"), F.lit("")), 1, 500).alias("description"),
     )
 
 
 def extract_stories(parsed: DataFrame) -> DataFrame:
+    """Headline and body of game stories, 1,000 and 50,000 characters of them; a game without either has no row."""
     s = "doc.gameStory"
     df = parsed.select(_game_id().alias("game_id"), F.substring(F.coalesce(f"{s}.headline", f"{s}.title", F.lit("")), 1, 1000).alias("headline"), F.substring(F.coalesce(f"{s}.body", f"{s}.article", F.lit("")), 1, 50000).alias("body"))
     return df.filter("headline != '' OR body != ''")
@@ -184,37 +194,54 @@ def _text(v: Column | str, path: str) -> Column:
     return F.try_variant_get(v, path, "string")
 
 
+def _is_object(v: Column | str) -> Column:
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+
+
 def _long(v: Column | str, path: str) -> Column:
     return F.try_variant_get(v, path, "bigint")
 
 
 def extract_teams(docs: DataFrame) -> DataFrame:
-    """Teams from a list or ``{teams: [...]}``, with conference and division."""
-    t = docs.select(F.explode(first_list(F.col("doc"), "$.teams")).alias("t"))
-    return t.select(_text("t", "$.abbr").alias("abbr"), localised(F.col("t"), "name").alias("name"), _text("t", "$.conference.abbr").alias("conference_abbr"), _text("t", "$.conference.name").alias("conference_name"), _text("t", "$.division.name").alias("division_name"))
+    """Teams from a list, or the list below ``teams``, ``data`` or ``items``, with conference and division; entries that aren't objects are left out."""
+    t = docs.select(F.explode(first_list(F.col("doc"), "$.teams", "$.data", "$.items")).alias("t")).filter(_is_object("t"))
+    return t.select(
+        F.coalesce(_long("t", "$.id"), _long("t", "$.franchiseId")).alias("id"), F.coalesce(_text("t", "$.abbr"), _text("t", "$.abbrev")).alias("abbr"), localised(F.col("t"), "name").alias("name"), _text("t", "$.conference.abbr").alias("conference_abbr"),
+        _text("t", "$.conference.name").alias("conference_name"), _text("t", "$.division.abbr").alias("division_abbr"), _text("t", "$.division.name").alias("division_name"),
+    )
 
 
 def extract_players_dim(docs: DataFrame) -> DataFrame:
-    """Players from a list of players, a list of rosters with groups, or a map of such lists, whichever a document is."""
-    items = docs.select(F.coalesce(first_list(F.col("doc"), "$.players"), F.flatten(F.map_values(F.try_variant_get("doc", "$", "map<string,array<variant>>")))).alias("l")).select(F.explode("l").alias("x"))
+    """Players from a list of players or of rosters with groups, which may stand below ``players``, ``data`` or ``items``, or a map of such lists, whichever a document is; of an id the first in the document."""
+    items = docs.select(F.coalesce(first_list(F.col("doc"), "$.players", "$.data", "$.items"), F.flatten(F.map_values(F.try_variant_get("doc", "$", "map<string,array<variant>>")))).alias("l")).select(F.posexplode("l").alias("i", "x"))
     groups = F.array(*(F.coalesce(F.try_variant_get("x", f"$.{g}", "array<variant>"), F.array().cast("array<variant>")) for g in ("forwards", "defensemen", "goalies")))
-    people = items.select(F.explode(F.when(F.size(F.flatten(groups)) > 0, F.flatten(groups)).otherwise(F.array("x"))).alias("p"))
-    return people.select(_long("p", "$.id").alias("id"), localised(F.col("p"), "firstName").alias("first_name"), localised(F.col("p"), "lastName").alias("last_name"), position(_text("p", "$.position")).alias("position")).filter("id IS NOT NULL").dropDuplicates(["id"])
+    people = items.select("i", F.posexplode(F.when(F.size(F.flatten(groups)) > 0, F.flatten(groups)).otherwise(F.array("x"))).alias("j", "p"))
+    rows = people.select(_long("p", "$.id").alias("id"), localised(F.col("p"), "firstName").alias("first_name"), localised(F.col("p"), "lastName").alias("last_name"), position(_text("p", "$.position")).alias("position"), "i", "j").filter("id IS NOT NULL")
+    return keep_first(rows, ["id"], ["i", "j", "first_name", "last_name"]).drop("i", "j")
 
 
 def extract_countries(docs: DataFrame) -> DataFrame:
-    """``(code, name)`` from a map to names or localised names."""
-    m = docs.select(F.explode(F.try_variant_get("doc", "$", "map<string,variant>")).alias("code", "v"))
-    return m.select("code", F.coalesce(_text("v", "$.default"), _text("v", "$")).alias("name"))
+    """``(code, name)`` from a list, or the list below ``countries``, ``data`` or ``items``, else from a map to names or localised names."""
+    listed = first_list(F.col("doc"), "$.countries", "$.data", "$.items")
+    c = docs.filter(listed.isNotNull()).select(F.explode(listed).alias("t")).filter(_is_object("t"))
+    rows = c.select(F.coalesce(_text("t", "$.code"), _text("t", "$.countryCode"), _text("t", "$.id")).alias("code"), F.coalesce(localised(F.col("t"), "name"), localised(F.col("t"), "countryName")).alias("name"))
+    m = docs.filter(listed.isNull()).select(F.explode(F.try_variant_get("doc", "$", "map<string,variant>")).alias("code", "v"))
+    return rows.unionByName(m.select("code", F.coalesce(_text("v", "$.default"), F.when(~_is_object("v"), _text("v", "$"))).alias("name")))
 
 
 def extract_roster(docs: DataFrame) -> DataFrame:
-    """``(season, team_id, player_id)`` from maps of team to players, to bare ids or to groups; keys that start with _ are left out."""
-    m = docs.select("season", F.explode(F.try_variant_get("doc", "$", "map<string,variant>")).alias("team_id", "v")).filter(~F.col("team_id").startswith("_"))
+    """``(season, team_id, player_id)``, once each: from a list of entries, which may stand below ``rosters.teams.data.items``, ``rosters.data.items``, ``rosters``, ``teams``, ``data`` or ``items``,
+    else from maps of team to players, to bare ids or to groups. An entry's own season counts before the document's; keys that start with _ are left out.
+    """
     none = F.array().cast("array<variant>")
+    listed = F.coalesce(*(F.try_variant_get("doc", p, "array<variant>") for p in ("$.rosters.teams.data.items", "$.rosters.data.items", "$", "$.rosters", "$.teams", "$.data", "$.items")))
+    e = docs.filter(listed.isNotNull()).select("season", F.explode(listed).alias("e")).filter(_is_object("e"))
+    entries = e.select(F.coalesce(_text("e", "$.season"), "season").alias("season"), F.coalesce(_long("e", "$.team_id"), _long("e", "$.teamId")).alias("team_id"), F.coalesce(_long("e", "$.player_id"), _long("e", "$.playerId"), _long("e", "$.id")).alias("player_id"))
+    m = docs.filter(listed.isNull()).select("season", F.explode(F.try_variant_get("doc", "$", "map<string,variant>")).alias("team_id", "v")).filter(~F.col("team_id").startswith("_"))
     groups = F.concat(*(F.coalesce(F.try_variant_get("v", f"$.{g}", "array<variant>"), none) for g in ("forwards", "defensemen", "goalies")))
     people = m.select("season", "team_id", F.explode(F.coalesce(F.try_variant_get("v", "$", "array<variant>"), groups)).alias("p"))
-    return people.select("season", F.col("team_id").try_cast("bigint").alias("team_id"), F.coalesce(_long("p", "$.id"), _long("p", "$.playerId"), _long("p", "$")).alias("player_id")).filter("player_id IS NOT NULL").distinct()
+    keyed = people.select("season", F.col("team_id").try_cast("bigint").alias("team_id"), F.coalesce(_long("p", "$.id"), _long("p", "$.playerId"), _long("p", "$")).alias("player_id"))
+    return entries.unionByName(keyed).filter("player_id IS NOT NULL").distinct()
 
 
 def roster_with_teams(roster: DataFrame, teams: DataFrame) -> DataFrame:
@@ -230,8 +257,9 @@ def roster_from_players_by_team(docs: DataFrame, season: str) -> DataFrame:
     teams = docs.select(F.explode(listed).alias("t")).select(F.coalesce(_long("t", "$.id"), _long("t", "$.franchiseId")).alias("team_id"), "t", F.coalesce(_text("t", "$.abbrev"), _text("t", "$.abbreviation"), _text("t", "$.triCode")).alias("team_abbr"))
     none = F.array().cast("array<variant>")
     groups = F.concat(*(F.coalesce(F.try_variant_get("t", f"$.{g}", "array<variant>"), none) for g in ("forwards", "defensemen", "goalies")))
-    people = keyed.unionByName(teams).select("team_id", "team_abbr", F.explode(groups).alias("p"))
-    return people.select(F.lit(season).alias("season"), "team_id", F.coalesce(_long("p", "$.id"), _long("p", "$.playerId"), _long("p", "$")).alias("player_id"), "team_abbr").filter("player_id IS NOT NULL").dropDuplicates(["team_id", "player_id"])
+    people = keyed.unionByName(teams).select("team_id", "team_abbr", F.posexplode(groups).alias("i", "p"))
+    rows = people.select(F.lit(season).alias("season"), "team_id", F.coalesce(_long("p", "$.id"), _long("p", "$.playerId"), _long("p", "$")).alias("player_id"), "team_abbr", "i").filter("player_id IS NOT NULL")
+    return keep_first(rows, ["team_id", "player_id"], ["i", "team_abbr"]).drop("i")
 
 
 def roster_or_fallback(roster: DataFrame, fallback: DataFrame) -> DataFrame:
@@ -254,15 +282,24 @@ def extract_schedule(docs: DataFrame) -> DataFrame:
 
 
 def extract_game_ids(docs: DataFrame) -> DataFrame:
-    """``(season, game_id)`` from lists of ids or of objects."""
-    x = docs.select("season", F.explode(first_list(F.col("doc"), "$.gameIds", "$.games")).alias("g"))
-    return x.select("season", F.coalesce(_long("g", "$.gamePk"), _long("g", "$.id"), _long("g", "$")).alias("game_id")).filter("game_id IS NOT NULL").distinct()
+    """``(season, game_id)``, once each, from lists of ids or of objects, in the document or below ``gameIds``, ``game_ids``, ``games`` or ``data.items``, or from a single id there. The season is the row's, else the document's."""
+    keys = ("gameIds", "game_ids", "games")
+    listed = first_list(F.col("doc"), *(f"$.{k}" for k in keys), "$.data.items")
+    single = F.coalesce(*(_long("doc", f"$.{k}") for k in keys))
+    x = docs.select(F.coalesce("season", _text("doc", "$.season")).alias("season"), F.explode(F.coalesce(F.transform(listed, lambda g: F.coalesce(_long(g, "$.gamePk"), _long(g, "$.id"), _long(g, "$"))), F.array(single))).alias("game_id"))
+    return x.filter("game_id IS NOT NULL").distinct()
 
 
 def extract_terms(docs: DataFrame) -> DataFrame:
-    """Glossary or draft entries; a scalar is a term."""
-    x = docs.select(F.explode(first_list(F.col("doc"), "$.data", "$.terms")).alias("g"))
-    return x.select(F.coalesce(_text("g", "$.term"), _text("g", "$")).alias("term"), _text("g", "$.definition").alias("definition"))
+    """Glossary entries from a list, or the list below ``terms``, ``data``, ``items`` or ``glossary``; a scalar is a term without definition."""
+    x = docs.select(F.explode(first_list(F.col("doc"), "$.terms", "$.data", "$.items", "$.glossary")).alias("g"))
+    return x.select(F.coalesce(_text("g", "$.term"), F.when(~_is_object("g"), _text("g", "$"))).alias("term"), _text("g", "$.definition").alias("definition"))
+
+
+def extract_draft(docs: DataFrame) -> DataFrame:
+    """``(draft_year, rounds, value)`` from a list, or the list below ``rounds``, ``years``, ``data`` or ``items``: of objects the year and its rounds, else the value itself."""
+    x = docs.select(F.explode(first_list(F.col("doc"), "$.rounds", "$.years", "$.data", "$.items")).alias("g"))
+    return x.select(F.coalesce(_long("g", "$.draftYear"), _long("g", "$.year")).alias("draft_year"), F.coalesce(_long("g", "$.rounds"), _long("g", "$.round")).alias("rounds"), F.when(~_is_object("g"), _text("g", "$")).alias("value"))
 
 
 def _read(x: str, fields: dict[str, tuple[str, str]]) -> list[Column]:
@@ -279,9 +316,10 @@ _SERIES = {
 
 
 def extract_playoffs(docs: DataFrame) -> DataFrame:
-    """One row of 17 columns a series."""
-    s = docs.select(_long("doc", "$.season").alias("season"), F.explode(F.try_variant_get("doc", "$.data.series", "array<variant>")).alias("s"))
-    return s.select("season", *_read("s", _SERIES)).dropDuplicates(["season", "series_letter"])
+    """One row of 17 columns a series, from ``data.series`` or ``series``; of a season and letter the first in the document."""
+    listed = F.coalesce(F.try_variant_get("doc", "$.data.series", "array<variant>"), F.try_variant_get("doc", "$.series", "array<variant>"))
+    s = docs.select(_long("doc", "$.season").alias("season"), F.posexplode(listed).alias("i", "s")).filter(_is_object("s"))
+    return keep_first(s.select("season", *_read("s", _SERIES), "i"), ["season", "series_letter"], ["i", "series_title"]).drop("i")
 
 
 #: Columns of season summaries by entity: name -> (path, kind).
@@ -299,14 +337,14 @@ SEASON_STATS: dict[str, dict[str, tuple[str, str]]] = {
 
 
 def extract_season_stats(docs: DataFrame, entity: str = "skaters") -> DataFrame:
-    """Summary rows of a season's skaters, goalies or teams, once an id.
+    """Summary rows of a season's skaters, goalies or teams, of an id the first in the document.
 
     Their list is the first that is there of ``data.<entity>.items``, ``<entity>``, ``data.items``, the document itself and its ``data``.
     """
     fields = SEASON_STATS[entity]
     listed = F.coalesce(*(F.try_variant_get("doc", p, "array<variant>") for p in (f"$.data.{entity}.items", f"$.{entity}", "$.data.items", "$", "$.data")))
-    x = docs.select("season", F.explode(listed).alias("p"))
-    return x.select("season", *_read("p", fields)).dropDuplicates(["season", next(iter(fields))])
+    x = docs.select("season", F.posexplode(listed).alias("i", "p"))
+    return keep_first(x.select("season", *_read("p", fields), "i"), ["season", next(iter(fields))], ["i", "name"]).drop("i")
 
 
 def extract_standings(docs: DataFrame) -> DataFrame:
@@ -314,19 +352,19 @@ def extract_standings(docs: DataFrame) -> DataFrame:
 
     One row a season and team: by team id, else by franchise id, else by abbreviation.
     """
-    nested = docs.select("season", F.explode(F.try_variant_get("doc", "$.records", "array<variant>")).alias("r")).select("season", "r", F.explode(F.try_variant_get("r", "$.teamRecords", "array<variant>")).alias("t"))
-    flat = docs.filter(F.try_variant_get("doc", "$.records", "array<variant>").isNull()).select("season", F.lit(None).cast("string").alias("_r"), F.explode(first_list(F.col("doc"), "$.standings", "$.data", "$.items")).alias("t"))
-    rows = nested.unionByName(flat.select("season", F.try_parse_json("_r").alias("r"), "t"))
+    nested = docs.select("season", F.explode(F.try_variant_get("doc", "$.records", "array<variant>")).alias("r")).select("season", "r", F.posexplode(F.try_variant_get("r", "$.teamRecords", "array<variant>")).alias("i", "t"))
+    flat = docs.filter(F.try_variant_get("doc", "$.records", "array<variant>").isNull()).select("season", F.lit(None).cast("string").alias("_r"), F.posexplode(first_list(F.col("doc"), "$.standings", "$.data", "$.items")).alias("i", "t"))
+    rows = nested.unionByName(flat.select("season", F.try_parse_json("_r").alias("r"), "i", "t"))
     own = lambda path, kind="string": F.coalesce(F.try_variant_get("t", f"$.{path}", kind), F.try_variant_get("r", f"$.{path}", kind))
     words = lambda *keys: F.coalesce(*(localised(F.col("t"), k) for k in keys))
     n = lambda name, *keys: F.coalesce(*(_long("t", f"$.{k}") for k in keys)).alias(name)
     rows = rows.select(
         "season", F.coalesce(words("divisionName"), own("division.name"), own("division")).alias("division"), F.coalesce(words("conferenceName"), own("conference.name"), own("conference")).alias("conference"), own("standingsType").alias("standings_type"),
         F.coalesce(words("teamAbbrev"), _text("t", "$.team.abbrev"), _text("t", "$.team.abbreviation")).alias("team_abbr"), F.coalesce(words("teamName"), _text("t", "$.team.name")).alias("team_name"), n("team_id", "teamId", "team.id"), n("franchise_id", "franchiseId"),
-        n("games", "gamesPlayed"), n("wins", "wins", "leagueRecord.wins"), n("losses", "losses", "leagueRecord.losses"), n("ot_losses", "otLosses", "leagueRecord.ot"), n("points", "points"), n("goals_for", "goalFor", "goalsScored"), n("goals_against", "goalAgainst", "goalsAgainst"),
+        n("games", "gamesPlayed"), n("wins", "wins", "leagueRecord.wins"), n("losses", "losses", "leagueRecord.losses"), n("ot_losses", "otLosses", "leagueRecord.ot"), n("points", "points"), n("goals_for", "goalFor", "goalsScored"), n("goals_against", "goalAgainst", "goalsAgainst"), "i",
     )
     key = F.coalesce(F.concat(F.lit("t"), "team_id"), F.concat(F.lit("f"), "franchise_id"), F.concat(F.lit("a"), "team_abbr"))
-    return rows.withColumn("_key", key).dropDuplicates(["season", "_key"]).drop("_key")
+    return keep_first(rows.withColumn("_key", key), ["season", "_key"], ["i", "division", "team_name"]).drop("_key", "i")
 
 
 #: Measures that leaders may have, beside those asked for.
@@ -341,18 +379,15 @@ def extract_edge_leaders(docs: DataFrame, measures: tuple[str, ...] = ("speed",)
     return c.select("season", "category", F.coalesce(_long("v", "$.player.id"), _long("v", "$.team.id")).alias("entity_id"), F.coalesce(_text("v", "$.player.team.abbrev"), _text("v", "$.team.abbrev")).alias("team_abbr"), metric.alias("metric"), imperial.alias("imperial"))
 
 
-_LINE = "struct<players: array<struct<number: long, name: string>>, left: struct<number: long, name: string>, center: struct<number: long, name: string>, right: struct<number: long, name: string>>"
-_LINEUP = f"struct<head_coach: string, goalies: array<struct<number: long, name: string>>, lines: array<{_LINE}>, extra_players: array<struct<number: long, name: string>>>"
-#: A Swedish game detail document.
-DETAIL = f"""game_id string, date string, time string, league_id string, metadata struct<scraped_at: string>, home_team string, away_team string, home_score string, away_score string, result string, venue string, league string,
+#: A Swedish game detail document, as far as its game row goes.
+DETAIL = """game_id string, date string, time string, league_id string, metadata struct<scraped_at: string>, home_team string, away_team string, home_score string, away_score string, result string, venue string, league string,
 period_scores array<struct<period: string, home: long, away: long>>, home_team_stats struct<shots: long, saves: long, penalty_minutes: long>, away_team_stats struct<shots: long, saves: long, penalty_minutes: long>,
-events array<struct<time: string, period: string, team: string, event_type: string, player_name: string, player_number: long, assists: array<struct<number: long, name: string>>, positive_participants: array<long>, negative_participants: array<long>>>,
-goalkeepers array<struct<team: string, number: long, name: string, saves: long, shots_against: long>>, player_stats array<struct<name: string, goals: long, plusMinus: long, plus_minus: long>>,
-referees array<string>, linesmen array<string>, home_team_lineup {_LINEUP}, away_team_lineup {_LINEUP}"""
+events array<struct<period: string>>, home_team_lineup struct<head_coach: string>, away_team_lineup struct<head_coach: string>"""
 
 
 def parse_details(docs: DataFrame, column: str = "payload") -> DataFrame:
-    return docs.withColumn("doc", F.from_json(column, DETAIL)).select("doc.*")
+    """The columns of ``DETAIL`` and the whole document as ``raw``; fields that aren't what they should be are null."""
+    return docs.select(F.from_json(column, DETAIL).alias("doc"), F.try_parse_json(column).alias("raw")).select("doc.*", "raw")
 
 
 def league_games(details: DataFrame) -> DataFrame:
@@ -360,7 +395,7 @@ def league_games(details: DataFrame) -> DataFrame:
     parts = F.split(F.replace("result", F.lit(" "), F.lit("")), "-")
     both = F.coalesce(F.col("home_score").try_cast("bigint"), F.col("away_score").try_cast("bigint")).isNull() & (F.size(parts) == 2)
     score = lambda c, i: F.when(both, F.get(parts, F.lit(i)).try_cast("bigint")).otherwise(F.col(c).try_cast("bigint"))
-    labels = lambda c: F.transform(F.coalesce(c, F.array().cast("array<struct<period:string>>")), lambda p: p["period"])
+    labels = lambda c: F.transform(F.coalesce(c, F.array().cast("array<struct<period:string>>")), lambda p: F.coalesce(p["period"], F.lit("")))
     ot, so = overtime_flags(labels(F.transform("period_scores", lambda p: F.struct(p["period"].alias("period")))), labels(F.transform("events", lambda p: F.struct(p["period"].alias("period")))))
     more = F.coalesce(F.exists("period_scores", lambda p: ~p["period"].isin("1", "2", "3")), F.lit(False))
     df = details.select("game_id", F.col("date").alias("game_date"), season_year(F.col("date")).alias("season"), clean_text(F.col("league")).alias("league"), game_type(F.col("league")).alias("game_type"), clean_text(F.col("home_team")).alias("home_team"), clean_text(F.col("away_team")).alias("away_team"), clean_text(F.col("venue")).alias("venue"),
@@ -371,48 +406,201 @@ def league_games(details: DataFrame) -> DataFrame:
     return df.withColumn("home_points", points_210(F.col("home_score"), F.col("away_score"), F.col("_more"))).withColumn("away_points", points_210(F.col("away_score"), F.col("home_score"), F.col("_more"))).drop("_more")
 
 
+def _tagged(details: DataFrame, entries: Column, name: str) -> DataFrame:
+    """``(game_id, game_date, season, league, scraped_at, pos, <name>)`` for each entry that is an object; places count the others too."""
+    tags = ("game_id", leading_date(F.col("date")).alias("game_date"), season_year(F.col("date")).alias("season"), F.coalesce(clean_text(F.col("league")), F.lit("")).alias("league"), F.coalesce("metadata.scraped_at", F.lit("")).alias("scraped_at"))
+    return details.select(*tags, F.posexplode(entries).alias("pos", name)).filter(_is_object(name))
+
+
+def _listed(path: str) -> Column:
+    return F.try_variant_get("raw", path, "array<variant>")
+
+
+def _said(v: str, path: str) -> Column:
+    """A field as text; absent, null, false and 0 are an empty text."""
+    kind = F.schema_of_variant(F.try_variant_get(v, path, "variant"))
+    text = _text(v, path)
+    empty = text.isNull() | (kind.isin("BOOLEAN", "BIGINT") & text.isin("0", "false"))
+    return F.when(empty, "").otherwise(text)
+
+
+_TAGS = ("game_id", "game_date", "season", "league")
+
+
 def league_events(details: DataFrame) -> DataFrame:
-    e = details.select("game_id", F.posexplode("events").alias("pos", "e"))
-    return e.select("game_id", "pos", F.col("e.period").alias("period"), clock_seconds(F.col("e.time")).alias("seconds"), clean_text(F.col("e.team")).alias("team"), "e.event_type", "e.player_name", "e.player_number", F.to_json("e.assists").alias("assists"))
+    """Event rows of 21 columns and their place; texts that aren't there are empty, numbers null, and so are assists of an empty list. Entries that aren't objects are left out."""
+    e = _tagged(details, _listed("$.events"), "e")
+    assists = F.try_variant_get("e", "$.assists", "array<variant>")
+    return e.select(
+        *_TAGS, "pos", _long("e", "$.period").alias("period"), _said("e", "$.time").alias("event_time"), clock_seconds(_text("e", "$.time")).alias("seconds"), *(_said("e", f"$.{k}").alias(k) for k in ("event_type", "team", "player_name", "player_number", "goal_type")),
+        _long("e", "$.penalty_minutes").alias("penalty_minutes"), *(_said("e", f"$.{k}").alias(k) for k in ("penalty_start", "penalty_end", "penalty_type", "goalkeeper_action")), *(_long("e", f"$.{k}").alias(k) for k in ("powerplay_number", "score_home", "score_away")),
+        F.when(F.size(assists) > 0, F.to_json(F.try_variant_get("e", "$.assists", "variant"))).alias("assists"), "scraped_at",
+    )
 
 
 def league_periods(details: DataFrame) -> DataFrame:
-    return details.select("game_id", F.explode("period_scores").alias("p")).select("game_id", "p.period", "p.home", "p.away")
+    """``(tags, pos, period, home_score, away_score)`` of the entries of ``period_scores``."""
+    p = _tagged(details, _listed("$.period_scores"), "p")
+    return p.select(*_TAGS, "pos", F.coalesce(_text("p", "$.period"), F.lit("")).alias("period"), _long("p", "$.home").alias("home_score"), _long("p", "$.away").alias("away_score"), "scraped_at")
 
 
 def league_goalkeepers(details: DataFrame) -> DataFrame:
-    return details.select("game_id", F.explode("goalkeepers").alias("g")).select("game_id", clean_text(F.col("g.team")).alias("team"), "g.number", "g.name", "g.saves", "g.shots_against")
+    """``(tags, pos, team, name, number, saves, shots_against, save_pct)`` of the entries of ``goalkeepers``; the number is a text."""
+    g = _tagged(details, _listed("$.goalkeepers"), "g")
+    return g.select(*_TAGS, "pos", *(_said("g", f"$.{k}").alias(k) for k in ("team", "name", "number")), _long("g", "$.saves").alias("saves"), _long("g", "$.shots_against").alias("shots_against"), F.try_variant_get("g", "$.save_percentage", "double").alias("save_pct"), "scraped_at")
 
 
 def league_player_stats(details: DataFrame) -> DataFrame:
-    return details.select("game_id", F.explode("player_stats").alias("p")).select("game_id", "p.name", "p.goals", F.coalesce("p.plusMinus", "p.plus_minus").alias("plus_minus"))
+    """``(tags, pos, team, player_id, player_name, goals, assists, pim, shots, plus_minus)``; a ``plusMinus`` of 0 counts as absent beside ``plus_minus``."""
+    p = _tagged(details, _listed("$.player_stats"), "p")
+    balance = F.coalesce(zero_to_null(_long("p", "$.plusMinus")), _long("p", "$.plus_minus"))
+    return p.select(*_TAGS, "pos", *(_said("p", f"$.{k}").alias(k) for k in ("team", "player_id", "player_name")), *(_long("p", f"$.{k}").alias(k) for k in ("goals", "assists", "pim", "shots")), balance.alias("plus_minus"), "scraped_at")
 
 
 def league_referees(details: DataFrame) -> DataFrame:
-    """Referees and linesmen, given as names or as objects with a name."""
-    role = lambda c, r: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda x: F.struct(F.lit(r).alias("role"), F.coalesce(F.get_json_object(x, "$.name"), x).alias("name")))
-    return details.select("game_id", F.explode(F.concat(role("referees", "referee"), role("linesmen", "linesman"))).alias("x")).select("game_id", "x.*")
+    """``(tags, pos, name, role)``: referees, as names or as objects with a name and perhaps a role, then linesmen; anything else is left out."""
+    def of(path: str, role: str, own: bool) -> Column:
+        named = lambda x: F.when(_is_object(x), _text(x, "$.name")).when(F.schema_of_variant(x) == "STRING", _text(x, "$"))
+        said = lambda x: F.coalesce(blank_to_null(_text(x, "$.role")), F.lit(role)) if own else F.lit(role)
+        rows = F.transform(F.coalesce(_listed(path), F.array().cast("array<variant>")), lambda x: F.struct(F.coalesce(named(x), F.when(_is_object(x), "")).alias("name"), said(x).alias("role")))
+        return F.filter(rows, lambda r: r["name"].isNotNull())
+
+    tags = ("game_id", leading_date(F.col("date")).alias("game_date"), season_year(F.col("date")).alias("season"), F.coalesce(clean_text(F.col("league")), F.lit("")).alias("league"), F.coalesce("metadata.scraped_at", F.lit("")).alias("scraped_at"))
+    rows = details.select(*tags, F.posexplode(F.concat(of("$.referees", "Referee", True), of("$.linesmen", "Linesman", False))).alias("pos", "x"))
+    return rows.select(*_TAGS, "pos", "x.name", "x.role", "scraped_at")
 
 
 def league_on_ice(details: DataFrame) -> DataFrame:
-    """Players on the ice of each event, by side."""
-    e = details.select("game_id", F.posexplode("events").alias("pos", "e"))
-    sides = F.array(F.struct(F.lit("positive").alias("side"), F.col("e.positive_participants").alias("n")), F.struct(F.lit("negative").alias("side"), F.col("e.negative_participants").alias("n")))
-    return e.select("game_id", "pos", F.explode(sides).alias("s")).select("game_id", "pos", "s.side", F.explode("s.n").alias("number"))
+    """``(tags, pos, i, period, event_time, event_type, event_team, team_side, player_number)``: players on the ice at events, by side; the positive side is the event's team."""
+    e = _tagged(details, _listed("$.events"), "e")
+    none = F.array().cast("array<variant>")
+    side = lambda s: F.transform(F.coalesce(F.try_variant_get("e", f"$.{s}_participants", "array<variant>"), none), lambda n: F.struct(F.lit(s).alias("side"), _text(n, "$").alias("number")))
+    e = e.select(*_TAGS, "pos", _long("e", "$.period").alias("period"), _said("e", "$.time").alias("event_time"), _said("e", "$.event_type").alias("event_type"), _said("e", "$.team").alias("event_team"), "scraped_at", F.posexplode(F.concat(side("positive"), side("negative"))).alias("i", "p"))
+    return e.select(*_TAGS, "pos", "i", "period", "event_time", "event_type", "event_team", F.col("p.side").alias("team_side"), F.col("p.number").alias("player_number"), "scraped_at")
+
+
+#: Places of a line that has them by name, and the positions that they stand for.
+_PLACES = {"left_wing": "LW", "center": "C", "right_wing": "RW", "left_defense": "LD", "right_defense": "RD"}
 
 
 def league_lineups(details: DataFrame) -> DataFrame:
-    """Goalies, lines (as lists of players or as named places) and extras of both sides."""
+    """``(tags, pos, team, is_home, head_coach, assistant_coach, line_number, position, player_name, player_number, is_starting)`` of both sides: goalies, lines and extras, in order.
+
+    A line has arrays ``forwards`` and ``defense``, or else places by name. A player's own position counts before the place's. Line-ups, lines and players that aren't objects are left out.
+    """
+    none = F.array().cast("array<variant>")
+    listed = lambda v, path: F.coalesce(F.try_variant_get(v, path, "array<variant>"), none)
+
+    def people(xs: Column, line: Column, place: str) -> Column:
+        return F.transform(xs, lambda x: F.struct(x.alias("p"), line.alias("line"), F.lit(place).alias("place")))
+
+    def of_line(line: Column) -> Column:
+        number = F.coalesce(zero_to_null(_long(line, "$.line")), _long(line, "$.line_number"))
+        arrays = F.try_variant_get(line, "$.forwards", "variant").isNotNull() | F.try_variant_get(line, "$.defense", "variant").isNotNull()
+        placed = F.concat(*(people(F.array_compact(F.array(F.try_variant_get(line, f"$.{k}", "variant"))), number, v) for k, v in _PLACES.items()))
+        return F.when(arrays, people(F.concat(listed(line, "$.forwards"), listed(line, "$.defense")), number, "")).otherwise(placed)
+
+    def one(side: str) -> DataFrame:
+        base = f"$.{side}_team_lineup"
+        no_line = F.lit(None).cast("bigint")
+        lines = F.flatten(F.transform(F.filter(listed("raw", f"{base}.lines"), _is_object), of_line))
+        every = F.concat(people(listed("raw", f"{base}.goalies"), no_line, "G"), lines, people(listed("raw", f"{base}.extra_players"), no_line, "EXTRA"))
+        head = F.struct(F.coalesce(clean_text(_text("raw", f"{base}.team")), F.lit("")).alias("team"), F.lit(side == "home").alias("is_home"), _said("raw", f"{base}.head_coach").alias("head_coach"), _said("raw", f"{base}.assistant_coach").alias("assistant_coach"))
+        return F.transform(F.filter(every, lambda x: _is_object(x["p"])), lambda x: F.struct(head.alias("h"), x.alias("x")))
+
+    tags = ("game_id", leading_date(F.col("date")).alias("game_date"), season_year(F.col("date")).alias("season"), F.coalesce(clean_text(F.col("league")), F.lit("")).alias("league"), F.coalesce("metadata.scraped_at", F.lit("")).alias("scraped_at"))
+    rows = details.select(*tags, F.posexplode(F.concat(one("home"), one("away"))).alias("pos", "r")).select(*_TAGS, "scraped_at", "pos", "r.h", F.col("r.x.p").alias("p"), F.col("r.x.line").alias("line_number"), F.col("r.x.place").alias("place"))
+    starting = F.coalesce(F.try_variant_get("p", "$.starting", "boolean"), F.lit(False))
+    return rows.select(*_TAGS, "pos", "h.*", "line_number", position(F.coalesce(blank_to_null(_text("p", "$.position")), "place")).alias("position"), _said("p", "$.name").alias("player_name"), _said("p", "$.number").alias("player_number"), starting.alias("is_starting"), "scraped_at")
+
+
+#: What the rows of each league table are told apart by.
+LEAGUE_KEYS: dict[str, tuple[str, ...]] = {
+    "games": ("game_id",),
+    "events": ("game_id", "period", "event_time", "event_type", "player_name"),
+    "goalkeepers": ("game_id", "team", "name"),
+    "lineups": ("game_id", "team", "position", "player_number"),
+    "period_scores": ("game_id", "period"),
+    "referees": ("game_id", "name"),
+    "on_ice": ("game_id", "period", "event_time", "event_type", "team_side", "player_number"),
+    "player_stats": ("game_id", "team", "player_name"),
+}
+
+
+def league_tables(details: DataFrame) -> dict[str, DataFrame]:
+    """All eight tables of league documents, of each key the first row: by the time the document was fetched, then by its place there. Null keys are equal to each other."""
+    readers = {"games": league_games, "events": league_events, "goalkeepers": league_goalkeepers, "lineups": league_lineups, "period_scores": league_periods, "referees": league_referees, "on_ice": league_on_ice, "player_stats": league_player_stats}
+    out = {}
+    for name, reader in readers.items():
+        rows = reader(details)
+        out[name] = keep_first(rows, list(LEAGUE_KEYS[name]), [c for c in ("scraped_at", "pos", "i") if c in rows.columns]).drop("pos", "i", *(() if name == "games" else ("scraped_at",)))
+    return out
+
+
+#: Known names of Norwegian teams and their slugs; the first that contains a name or is contained in it counts.
+NORWEGIAN_TEAMS = (
+    ("IF Frisk Asker Hockey", "friskasker"), ("Frisk Asker", "friskasker"), ("Grüner Hockey", "gruner"), ("Grüner", "gruner"), ("Lillehammer IHK", "lillehammer"), ("Manglerud Star IK", "manglerud"), ("Manglerud Star", "manglerud"),
+    ("Ringerike IHK", "ringerike"), ("Sparta Warriors", "sparta"), ("Stavanger Ishockeyklubb", "stavanger"), ("Stjernen Hockey", "stjernen"), ("Storhamar Hockey", "storhamar"), ("Storhamar", "storhamar"), ("Vålerenga Ishockey", "valerenga"), ("Vålerenga", "valerenga"),
+    ("Comet Halden", "comet"), ("Comet", "comet"), ("Lørenskog IHK", "lorenskog"), ("Lørenskog", "lorenskog"), ("Narvik Hockey", "narvik"), ("Nidaros Hockey", "nidaros"),
+)
+
+
+def norwegian_matches(docs: DataFrame, known: tuple[tuple[str, str], ...] = NORWEGIAN_TEAMS) -> DataFrame:
+    """Match rows of 17 columns from documents ``{tournament: {id, name, year}, matches: [...]}``; matches without a result are left out. The slug is the home team's.
+
+    Goals that a result doesn't tell are 0; a match is finished, and has statistics, if its end result is told. The playing time is 3,600 seconds.
+    """
+    m = docs.select(F.col("doc").alias("t"), F.explode(F.try_variant_get("doc", "$.matches", "array<variant>")).alias("m")).filter(_is_object(F.try_variant_get("m", "$.matchResult", "variant")))
+    team = lambda side: F.coalesce(_text("m", f"$.{side}teamOrgName"), _text("m", f"$.{side}team"), F.lit(""))
+    ended = blank_to_null(_text("m", "$.matchResult.matchEndResult")).isNotNull()
+    return m.select(
+        _long("m", "$.matchId").alias("match_id"), slug_among(team("home"), known).alias("team_slug"), _text("m", "$.matchDate").alias("match_date"), _text("m", "$.lastChangeDate").alias("end_time"),
+        *(c for s in ("home", "away") for c in (_long("m", f"$.{s}teamId").alias(f"{s}_team_id"), team(s).alias(f"{s}_team_name"))), *(F.coalesce(_long("m", f"$.matchResult.{s}Goals"), F.lit(0).cast("bigint")).alias(f"{s}_goals") for s in ("home", "away")),
+        F.when(ended, "Finished").otherwise("Upcoming").alias("status"), F.lit(3600).cast("bigint").alias("game_time"), ended.alias("has_statistics"), _long("t", "$.tournament.id").alias("tournament_id"), _text("t", "$.tournament.name").alias("tournament_name"),
+        zero_to_null(_long("t", "$.tournament.year")).alias("season_year"), phase(F.coalesce(_text("t", "$.tournament.name"), F.lit(""))).alias("season_phase"),
+    )
+
+
+def _of_match(docs: DataFrame, known: tuple[tuple[str, str], ...]) -> tuple[DataFrame, list[Column]]:
+    """Entries of ``(match_id, doc)``, where the document is a list, with their place, and the columns that all three tables begin with."""
+    x = docs.select("match_id", F.posexplode(F.try_variant_get("doc", "$", "array<variant>")).alias("i", "x")).filter(_is_object("x"))
+    name = F.coalesce(_text("x", "$.teamName"), F.lit(""))
+    return x, [F.col("match_id"), slug_among(name, known).alias("team_slug"), _long("x", "$.orgId").alias("team_id"), name.alias("team_name")]
 
-    def one(side: str) -> Column:
-        p = f"{side}_team_lineup"
-        kind = "array<struct<number:bigint,name:string>>"
-        entry = lambda xs, unit: F.transform(F.coalesce(xs, F.array().cast(kind)), lambda x: F.struct(unit.alias("unit"), x["number"].alias("number"), x["name"].alias("name")))
-        lines = F.flatten(F.transform(F.coalesce(F.col(f"{p}.lines"), F.array().cast(f"array<{_LINE}>")), lambda x, i: entry(F.coalesce(x["players"], F.array_compact(F.array(x["left"], x["center"], x["right"]))), F.concat(F.lit("line "), (i + 1).cast("string")))))
-        every = F.concat(entry(F.col(f"{p}.goalies"), F.lit("goalie")), lines, entry(F.col(f"{p}.extra_players"), F.lit("extra")))
-        return F.transform(every, lambda x: F.struct(F.lit(side).alias("side"), x["unit"].alias("unit"), x["number"].alias("number"), x["name"].alias("name")))
 
-    return details.select("game_id", F.explode(F.concat(one("home"), one("away"))).alias("x")).select("game_id", "x.*")
+def _person(prefix: str = "") -> Column:
+    first, last = (f"$.{prefix}{n}" if prefix else f"$.{n[0].lower()}{n[1:]}" for n in ("FirstName", "LastName"))
+    return F.trim(F.concat(F.coalesce(_text("x", first), F.lit("")), F.lit(" "), F.coalesce(_text("x", last), F.lit(""))))
+
+
+def norwegian_goals(docs: DataFrame, known: tuple[tuple[str, str], ...] = NORWEGIAN_TEAMS) -> DataFrame:
+    """Goals of ``(match_id, doc)``; event ids are made of the match and the place, periods of their ids, and a time of 0 is none. An empty list gives no row."""
+    x, head = _of_match(docs, known)
+    return x.select(
+        synthetic_id(F.col("match_id"), F.col("i")).alias("event_id"), *head, F.lit(None).cast("timestamp_ntz").alias("timestamp"), zero_to_null(_long("x", "$.periodTime")).alias("match_time"), period_number(F.coalesce(_long("x", "$.periodId"), F.lit(0).cast("bigint"))).alias("period"),
+        *(F.lit(None).cast("bigint").alias(f"{s}_goals") for s in ("home", "away")), _text("x", "$.goalType").alias("goal_type"), _long("x", "$.personId").alias("scorer_id"), _person().alias("scorer_name"),
+        *(c for n, k in ((1, "firstAssist"), (2, "secondAssist")) for c in (_long("x", f"$.{k}PersonId").alias(f"assist{n}_id"), blank_to_null(_person(k)).alias(f"assist{n}_name"))),
+    )
+
+
+def norwegian_penalties(docs: DataFrame, known: tuple[tuple[str, str], ...] = NORWEGIAN_TEAMS) -> DataFrame:
+    """Penalties of ``(match_id, doc)``; event ids begin 500 after those of goals, minutes that aren't told are 0."""
+    x, head = _of_match(docs, known)
+    return x.select(
+        synthetic_id(F.col("match_id"), F.col("i"), 500).alias("event_id"), *head, F.lit(None).cast("timestamp_ntz").alias("timestamp"), _long("x", "$.servingStartTime").alias("match_time"), F.lit(None).cast("bigint").alias("period"), F.coalesce(_long("x", "$.severityMinutes"), F.lit(0).cast("bigint")).alias("duration_minutes"),
+        _text("x", "$.infractionType").alias("reason"), _text("x", "$.severityType").alias("info"), F.lit(False).alias("is_team_or_official"), _long("x", "$.personId").alias("player_id"), _person().alias("player_name"),
+    )
+
+
+def norwegian_lineup(docs: DataFrame, known: tuple[tuple[str, str], ...] = NORWEGIAN_TEAMS) -> DataFrame:
+    """Players of ``(match_id, doc)``, 13 columns, of which the source has no side, role, birthdate or hand, and 0 for line, height and weight."""
+    x, head = _of_match(docs, known)
+    nothing = lambda n: F.lit(None).cast("string").alias(n)
+    zero = lambda n: F.lit(0).cast("bigint").alias(n)
+    return x.select(
+        head[0], head[1], nothing("side"), _long("x", "$.personId").alias("player_id"), F.coalesce(_text("x", "$.firstName"), F.lit("")).alias("first_name"), F.coalesce(_text("x", "$.lastName"), F.lit("")).alias("last_name"),
+        F.coalesce(_long("x", "$.shirtNo"), F.lit(0).cast("bigint")).alias("jersey"), nothing("role"), zero("line_number"), zero("height"), zero("weight"), nothing("date_of_birth"), nothing("handedness"),
+    )
 
 
 def drop_totals(df: DataFrame) -> DataFrame:
