@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,6 +84,33 @@ def _vector(at: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return x / max(np.sqrt((x**2).sum()), 1e-12)
 
 
+def _fit(found: pd.DataFrame, langs: list[str], idf: np.ndarray, epochs: int, l1: float, l2: float, seed: int) -> pd.DataFrame:
+    """The model of a bounded sample, in one task: weights that aren't 0 by place, biases and the temperature."""
+    found = found.sort_values(["lang", "at", "counts"], ignore_index=True)
+    # The features stay packed, as they came; a row is unpacked when its turn comes.
+    data = [(at, counts, langs.index(lang)) for lang, at, counts in zip(found["lang"], found["at"], found["counts"], strict=True) if at]
+    del found
+    order = np.random.default_rng(seed).permutation(len(data))
+    held, taught = [data[i] for i in order[: len(data) // 5]], [data[i] for i in order[len(data) // 5 :]]
+
+    def unpacked(row: tuple) -> tuple[np.ndarray, np.ndarray, int]:
+        at = np.frombuffer(row[0], dtype="<i4")
+        return at, _vector(at, np.frombuffer(row[1], dtype="<f4"), idf), row[2]
+
+    model = Ftrl(FEATURES, len(langs), alpha=1.0, beta=1.0, l1=l1, l2=l2)
+    for i in shuffled(len(taught), epochs, seed):
+        at, x, y = unpacked(taught[i])
+        p = softmax(x @ model.weights(at) + model.bias)
+        p[y] -= 1
+        model.add(at, x[:, None] * p, p)
+    weights = model.weights()
+    logits = np.array([x @ weights[at] + model.bias for at, x, _ in map(unpacked, held)]).reshape(len(held), len(langs))
+    flat = weights.astype(np.float32).reshape(-1)
+    places = np.flatnonzero(flat)
+    heat = temperature(logits, np.array([y for *_, y in held], dtype=int))
+    return pd.DataFrame({"places": [places.astype(np.int64).tobytes()], "weights": [flat[places].tobytes()], "bias": [np.asarray(model.bias, dtype=np.float64).tobytes()], "temperature": [float(heat)]})
+
+
 def train_language_model(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", most: int = 4000, most_langs: int = 1000, epochs: int = 3, l1: float = 0.002, l2: float = 0.05, seed: int = 7
 ) -> LanguageModel:
@@ -91,7 +119,7 @@ def train_language_model(
     Document frequencies come from every row. The weights are fitted on a sample of different texts, chosen by
     a hash of the text and used whole: about ``most`` and never more than twice as many, spread evenly over the languages, but a text of
     each at least. All are learned; the model has a column for each, and more than ``most_langs`` raise an error. A fifth of the sample is
-    held back to set the temperature. The sample's features are what reaches the driver. Copies of a text
+    held back to set the temperature. One task fits the sample, whose features are bounded by ``most``; the weights that aren't 0 are what reaches the driver. Copies of a text
     in one language count once, ties in the order of hashes fall together, an empty table gives a model without languages.
     """
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("lang is not null and text is not null")
@@ -111,26 +139,16 @@ def train_language_model(
     chosen = chosen.groupBy("lang", "hash").agg(F.first("text").alias("text"))
     order = Window.partitionBy("lang").orderBy(F.pmod("hash", F.lit(2**62)), "hash")
     chosen = chosen.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= math.ceil(2 * each)).select("lang", "text")
-    found = chosen.mapInArrow(_examples, "lang string, at binary, counts binary").toPandas().sort_values(["lang", "at", "counts"], ignore_index=True)
-    # The features stay packed, as they came; a row is unpacked when its turn comes.
-    data = [(at, counts, langs.index(lang)) for lang, at, counts in zip(found["lang"], found["at"], found["counts"], strict=True) if at]
-    del found
-    order = np.random.default_rng(seed).permutation(len(data))
-    held, taught = [data[i] for i in order[: len(data) // 5]], [data[i] for i in order[len(data) // 5 :]]
-
-    def unpacked(row: tuple) -> tuple[np.ndarray, np.ndarray, int]:
-        at = np.frombuffer(row[0], dtype="<i4")
-        return at, _vector(at, np.frombuffer(row[1], dtype="<f4"), idf), row[2]
-
-    model = Ftrl(FEATURES, len(langs), alpha=1.0, beta=1.0, l1=l1, l2=l2)
-    for i in shuffled(len(taught), epochs, seed):
-        at, x, y = unpacked(taught[i])
-        p = softmax(x @ model.weights(at) + model.bias)
-        p[y] -= 1
-        model.add(at, x[:, None] * p, p)
-    weights = model.weights()
-    logits = np.array([x @ weights[at] + model.bias for at, x, _ in map(unpacked, held)]).reshape(len(held), len(langs))
-    return LanguageModel(langs, idf, weights.astype(np.float32), model.bias, temperature(logits, np.array([y for *_, y in held], dtype=int)))
+    shared = docs.sparkSession.sparkContext.broadcast(idf)
+    examples = chosen.mapInArrow(_examples, "lang string, at binary, counts binary")
+    fitted = examples.groupBy(F.lit("all")).applyInPandas(lambda pdf: _fit(pdf, langs, shared.value, epochs, l1, l2, seed), "places binary, weights binary, bias binary, temperature double").collect()
+    shared.destroy()
+    weights = np.zeros((FEATURES, len(langs)), dtype=np.float32)
+    if not fitted:
+        return LanguageModel(langs, idf, weights, np.zeros(len(langs)), 1.0)
+    told = fitted[0]
+    weights.reshape(-1)[np.frombuffer(told["places"], dtype=np.int64)] = np.frombuffer(told["weights"], dtype=np.float32)
+    return LanguageModel(langs, idf, weights, np.frombuffer(told["bias"], dtype=np.float64), told["temperature"])
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
