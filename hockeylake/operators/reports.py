@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hockeylake.functions import blank_to_null, clock_seconds, comma_decimal, goals_against_average, html_unescape, position
+from hockeylake.operators.gold import keep_first
 
 #: What a word of a field looks like, and how it is read.
 KINDS: dict[str, tuple[str, Callable[[Column], Column]]] = {
@@ -130,10 +131,11 @@ def on_ice(lines: DataFrame) -> DataFrame:
     """Players on the ice in the lines that follow a goal directly: a team with a colon, then numbers; side is positive for the team that scored."""
     numbers = F.slice("words", 2, F.greatest(size() - 1, F.lit(0)))
     ice = word(0).endswith(":") & (size() > 1) & F.forall(numbers, lambda w: w.rlike(NUMBER))
-    above = carried(F.when(~ice, F.struct("pos", F.when(_is_goal(), word(2)).alias("scored"))))
-    df = marked(lines, above=above).filter(ice & F.col("above.scored").isNotNull())
+    goal = lambda value: F.when(_is_goal(), value)
+    above = carried(F.when(~ice, F.struct("pos", goal(word(2)).alias("scored"), goal(clock_seconds(word(1))).alias("seconds"))))
+    df = marked(with_sections(lines), above=above).filter(ice & F.col("above.scored").isNotNull())
     team = F.regexp_replace(word(0), ":$", "")
-    return df.select("game_id", F.col("above.pos").alias("goal_pos"), team.alias("team"), F.when(team == F.col("above.scored"), "positive").otherwise("negative").alias("side"), F.explode(numbers).alias("n")).withColumn("number", F.col("n").cast("bigint")).drop("n")
+    return df.select("game_id", "pos", F.col("above.pos").alias("goal_pos"), "period", "above.seconds", team.alias("team"), F.when(team == F.col("above.scored"), "positive").otherwise("negative").alias("side"), F.explode(numbers).alias("n")).withColumn("number", F.col("n").cast("bigint")).drop("n")
 
 
 def penalties(lines: DataFrame) -> DataFrame:
@@ -148,7 +150,7 @@ def penalties(lines: DataFrame) -> DataFrame:
 def goalkeeper_changes(lines: DataFrame) -> DataFrame:
     """``Goalkeeper``, ``In`` or ``Out``, clock, team, number and name."""
     spec = {"what": "text", "change": "text", "seconds": "clock", "team": "text", "number": "whole"}
-    return lines.filter((word(0) == "Goalkeeper") & word(1).isin("In", "Out") & fits(0, spec)).select("game_id", F.lower(word(1)).alias("change"), *read(0, spec)[2:], joined(5, size()).alias("player"))
+    return with_sections(lines).filter((word(0) == "Goalkeeper") & word(1).isin("In", "Out") & fits(0, spec)).select("game_id", "pos", "period", F.lower(word(1)).alias("change"), *read(0, spec)[2:], joined(5, size()).alias("player"))
 
 
 def spectators(lines: DataFrame) -> DataFrame:
@@ -167,15 +169,15 @@ def period_stats(lines: DataFrame) -> DataFrame:
     """The statistics table of each period, ``total`` above the first."""
     start = size() - len(PERIOD_FIELDS)
     df = with_sections(lines).filter((start > 0) & fits(start, PERIOD_FIELDS))
-    return df.select("game_id", F.coalesce("period", F.lit("total")).alias("period"), joined(0, start).alias("team"), *read(start, PERIOD_FIELDS))
+    return df.select("game_id", "pos", F.coalesce("period", F.lit("total")).alias("period"), joined(0, start).alias("team"), *read(start, PERIOD_FIELDS))
 
 
 def referees(lines: DataFrame) -> DataFrame:
     """Names after the heading of referees or linesmen, on its line or the ones below, up to the next heading."""
     head = r"^(Referees?|Linesmen|Linesman)\b:?\s*"
-    mode = carried(F.when(F.col("line").rlike(head), F.when(F.col("line").startswith("Ref"), "referee").otherwise("linesman")).when(F.lower("line").rlike(r"^[^,]+:|period$|^team "), "none"))
+    mode = carried(F.when(F.col("line").rlike(head), F.when(F.col("line").startswith("Ref"), "referee").otherwise("linesman")).when(F.lower("line").rlike(r"^[^,]+:|period$|^team( |$)|^\d"), "none"))
     df = lines.withColumn("role", mode).filter("role IN ('referee', 'linesman')")
-    return df.select("game_id", "role", F.explode(F.regexp_extract_all(F.regexp_replace("line", head, ""), F.lit(r"([\p{L}'-]+, [\p{L}'-]+)"), F.lit(1))).alias("name")).distinct()
+    return df.select("game_id", "role", F.explode(F.regexp_extract_all(F.regexp_replace("line", head, ""), F.lit(r"([\p{L}'-]+, [\p{L}'-]+)"), F.lit(1))).alias("name"), "pos").groupBy("game_id", "role", "name").agg(F.min("pos").alias("pos"))
 
 
 def team_names(lines: DataFrame) -> DataFrame:
@@ -215,8 +217,8 @@ def roster(lines: DataFrame) -> DataFrame:
         name = F.regexp_replace(joined(p + 2, day - F.when(flagged, 1).otherwise(0)), r",\s*", ", ")
         return F.struct(position(word(p)).alias("position"), word(p + 1).cast("bigint").alias("number"), name.alias("player"), F.when(flagged, word(day - 1)).alias("flag"), word(day).try_cast("date").alias("birthdate"))
 
-    df = _labelled(lines).filter("label IS NOT NULL AND label != 'officials'").select("game_id", "label", F.posexplode(pieces(begins, player)).alias("i", "p"))
-    return df.filter("p.birthdate IS NOT NULL").select("game_id", "label", _side(F.col("i")).alias("side"), "p.position", "p.number", "p.player", (F.coalesce("p.flag", F.lit("")) == "C").alias("captain"), (F.coalesce("p.flag", F.lit("")) == "A").alias("alternate"), "p.birthdate")
+    df = _labelled(lines).filter("label IS NOT NULL AND label != 'officials'").select("game_id", "pos", "label", F.posexplode(pieces(begins, player)).alias("i", "p"))
+    return df.filter("p.birthdate IS NOT NULL").select("game_id", "pos", "label", _side(F.col("i")).alias("side"), "p.position", "p.number", "p.player", (F.coalesce("p.flag", F.lit("")) == "C").alias("captain"), (F.coalesce("p.flag", F.lit("")) == "A").alias("alternate"), "p.birthdate")
 
 
 def officials(lines: DataFrame) -> DataFrame:
@@ -278,7 +280,7 @@ def _tables(lines: DataFrame, skaters: str, goalies: str) -> DataFrame:
 def _summary(lines: DataFrame, table: str, spec: dict[str, str]) -> DataFrame:
     start = size() - len(spec)
     df = _tables(lines, "Name No. Pos. G A TP", "Name No. Pos. SOG GA SVS").filter(F.col("table") == table)
-    return df.filter((start > 0) & fits(start, spec) & word(start + 1).isin(*POSITIONS)).select("game_id", "side", joined(0, start).alias("player"), *read(start, spec))
+    return df.filter((start > 0) & fits(start, spec) & word(start + 1).isin(*POSITIONS)).select("game_id", "pos", "side", joined(0, start).alias("player"), *read(start, spec))
 
 
 def player_summary(lines: DataFrame) -> DataFrame:
@@ -296,7 +298,7 @@ def _media(lines: DataFrame, table: str, spec: dict[str, str], *more: Column) ->
     df = _tables(lines, "Skaters SOG Goals", "Goalies Saves GA").filter(F.col("table") == table)
     start = F.get(F.filter(places(lambda w: w.rlike(r"^-?\d")), lambda i: i > 1), F.lit(0))
     df = df.withColumn("start", start).filter(word(0).rlike(NUMBER) & F.col("start").isNotNull())
-    return df.filter(fits(F.col("start"), spec)).select("game_id", "side", word(0).cast("bigint").alias("number"), joined(1, F.col("start")).alias("player"), *read(F.col("start"), spec), *more)
+    return df.filter(fits(F.col("start"), spec)).select("game_id", "pos", "side", word(0).cast("bigint").alias("number"), joined(1, F.col("start")).alias("player"), *read(F.col("start"), spec), *more)
 
 
 def media_summary_skaters(lines: DataFrame) -> DataFrame:
@@ -327,6 +329,42 @@ def read_report(reports: DataFrame, kind: str) -> dict[str, DataFrame]:
     return {name: reader(lines) for name, reader in READERS.get(kind, {}).items()}
 
 
+#: What the rows of each table of a game's reports are told apart by.
+REPORT_KEYS: dict[str, tuple[str, ...]] = {
+    "referees": ("game_id", "name"),
+    "period_stats": ("game_id", "team", "period"),
+    "roster": ("game_id", "side", "number", "player"),
+    "skaters": ("game_id", "side", "number", "player"),
+    "goalies": ("game_id", "side", "number"),
+    "on_ice": ("game_id", "period", "seconds", "team", "number"),
+    "goals": ("game_id", "period", "seconds", "team", "scorer_number"),
+    "penalties": ("game_id", "period", "seconds", "team", "number"),
+    "goalkeeper_changes": ("game_id", "period", "seconds", "team", "change", "number"),
+    "lineup": ("game_id", "team", "number"),
+    "spectators": ("game_id",),
+}
+
+
+def report_bundle(reports: DataFrame) -> dict[str, DataFrame]:
+    """The eleven tables of all reports ``(game_id, report_type, text)`` of games, of each key the first row by its place.
+
+    Referees are those of the official report, and of the line-up where that names none for the game. Skaters and goalies are, each by itself, those of the media summary where it has any for the
+    game, else those of the player summary; columns that only one of them has are null for the other. Reports that aren't there leave their tables without the game's rows; null keys are equal to each other.
+    """
+    found = {kind: read_report(reports, kind) for kind in READERS}
+    official, line_up, media, summary = (found[k] for k in ("official_game_report", "line_up", "media_summary", "game_summary"))
+
+    def else_from(first: DataFrame, second: DataFrame) -> DataFrame:
+        return first.unionByName(second.join(first.select("game_id").distinct(), "game_id", "left_anti"), allowMissingColumns=True)
+
+    tables = {name: official[name] for name in ("period_stats", "on_ice", "goals", "penalties", "goalkeeper_changes", "spectators")}
+    tables |= {"referees": else_from(official["referees"], line_up["referees"]), "roster": found["team_roster"]["roster"], "lineup": line_up["lineup"]}
+    media["skaters"] = media["skaters"].withColumn("faceoffs", F.col("faceoffs").cast("string"))  # won and lost in the other
+    tables |= {name: else_from(media[name], summary[name]) for name in ("skaters", "goalies")}
+    order = lambda df: [c for c in ("pos", "i", "role") if c in df.columns] or ["game_id"]
+    return {name: keep_first(df, list(REPORT_KEYS[name]), order(df)) for name, df in tables.items()}
+
+
 def page_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """``(key, pos, kind, href, text)``: headings, table rows, links and list items of pages in order, without tags; cells are parted by ``|``."""
     part = r"(?s)<(h[1-6]|tr|p|li|title)\b[^>]*>(.*?)</\1>"

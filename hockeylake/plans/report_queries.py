@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hockeylake.operators import reports
 from hockeylake.plans.adapters import cte, table, view
-from hockeylake.plans.registry import query
+from hockeylake.plans.registry import ORACLE_SQL, query
 
 _G = cte("games")
 _CLOCK = "lpad(game_id % 20, 2, '0') || ':' || lpad(game_id % 60, 2, '0')"
@@ -37,12 +37,12 @@ def txt_sections(spark, d):
 
 @query(f"WITH {_G} SELECT game_id, role, name FROM games, (VALUES ('referee', 'Adams, Bo'), ('referee', 'Berg, Carl'), ('linesman', 'Dahl, Eva')) v(role, name)")
 def txt_referees(spark, d):
-    return reports.referees(_lines(spark, d, _REPORT))
+    return reports.referees(_lines(spark, d, _REPORT)).drop("pos")
 
 
 @query(f"WITH {_G} SELECT game_id, 'total' AS period, 'HOM' AS team, 2 AS goals, 20 + game_id % 9 AS shots, 24 AS saves, 6 AS pim, 2 AS advantages, 1 AS disadvantages, 92.31 AS save_pct, 50.0 AS pp_pct, CAST(NULL AS DOUBLE) AS sh_pct, 240 AS pp_seconds, 130 AS sh_seconds FROM games")
 def txt_period_stats(spark, d):
-    return reports.period_stats(_lines(spark, d, _REPORT))
+    return reports.period_stats(_lines(spark, d, _REPORT)).drop("pos")
 
 
 @query(
@@ -55,7 +55,7 @@ def txt_goals(spark, d):
 
 @query(f"WITH {_G} SELECT game_id, 'HOM' AS team, 'positive' AS side, unnest([6, 12]) AS number FROM games UNION ALL SELECT game_id, 'AWY', 'negative', game_id % 40 FROM games")
 def txt_on_ice(spark, d):
-    return reports.on_ice(_lines(spark, d, _REPORT)).drop("goal_pos")
+    return reports.on_ice(_lines(spark, d, _REPORT)).drop("pos", "goal_pos", "period", "seconds")
 
 
 @query(f"WITH {_G} SELECT game_id, '2' AS period, 902 AS seconds, 'AWY' AS team, 2 AS minutes, 17 AS number, 'BERG, Karl' AS player, 'Roughing' || CASE WHEN game_id % 4 = 0 THEN ' (double)' ELSE '' END AS infraction FROM games")
@@ -65,7 +65,7 @@ def txt_penalties(spark, d):
 
 @query(f"WITH {_G} SELECT game_id, 'out' AS change, 3520 AS seconds, 'AWY' AS team, 35 AS number, 'LIND, Olle' AS player FROM games")
 def txt_gk_changes(spark, d):
-    return reports.goalkeeper_changes(_lines(spark, d, _REPORT))
+    return reports.goalkeeper_changes(_lines(spark, d, _REPORT)).drop("pos", "period")
 
 
 @query(f"WITH {_G} SELECT game_id, CAST((1 + game_id % 9) * 1000 + 420 AS BIGINT) AS spectators FROM games")
@@ -83,7 +83,7 @@ def txt_teams(spark, d):
 UNION ALL SELECT game_id, '1st line', 'away', 'LD', 7, 'EK, Bo', FALSE, TRUE, DATE '1991-02-03' FROM games UNION ALL SELECT game_id, 'Goalkeepers', 'home', 'GK', 30, 'NOR, Ed', FALSE, FALSE, DATE '1989-05-06' FROM games"""
 )
 def txt_roster(spark, d):
-    return reports.roster(_lines(spark, d, _ROSTER))
+    return reports.roster(_lines(spark, d, _ROSTER)).drop("pos")
 
 
 @query(f"WITH {_G} SELECT game_id, 'home' AS side, 'KARLIN, Mats' AS name, 'Head Coach' AS role FROM games UNION ALL SELECT game_id, 'away', 'ZACK, Nils', 'Assistant Coach' FROM games WHERE game_id % 3 <> 0")
@@ -102,12 +102,12 @@ def txt_lineup(spark, d):
 UNION ALL SELECT game_id, 'away', 'KAY, Tor', 8, 'LD', 0, 0, 0, 0, game_id % 7, 1, '0/0', NULL FROM games"""
 )
 def txt_player_summary(spark, d):
-    return reports.player_summary(_lines(spark, d, _SUMMARY))
+    return reports.player_summary(_lines(spark, d, _SUMMARY)).drop("pos")
 
 
 @query(f"WITH {_G} SELECT game_id, 'home' AS side, 'DE NOR, Ed' AS player, 30 AS number, 'GK' AS position, away_sog AS shots_against, 2 AS goals_against, 23 AS saves, 92.0 AS save_pct, 3600 AS seconds, 2.0 AS gaa FROM games")
 def txt_summary_goalies(spark, d):
-    return reports.player_summary_goalies(_lines(spark, d, _SUMMARY))
+    return reports.player_summary_goalies(_lines(spark, d, _SUMMARY)).drop("pos")
 
 
 @query(
@@ -115,7 +115,7 @@ def txt_summary_goalies(spark, d):
 UNION ALL SELECT game_id, 'home', 31, 'OST Al', 0, 0, 0, NULL, NULL, NULL, 0, NULL FROM games"""
 )
 def txt_media_summary(spark, d):
-    return reports.media_summary(_lines(spark, d, _MEDIA))
+    return reports.media_summary(_lines(spark, d, _MEDIA)).drop("pos")
 
 
 @query(
@@ -123,7 +123,7 @@ def txt_media_summary(spark, d):
 CASE WHEN game_id % 2 = 0 THEN 20 END AS shifts, CASE WHEN game_id % 2 = 0 THEN 930 END AS toi_seconds FROM games"""
 )
 def txt_media_skaters(spark, d):
-    return reports.media_summary_skaters(_lines(spark, d, _MEDIA))
+    return reports.media_summary_skaters(_lines(spark, d, _MEDIA)).drop("pos")
 
 
 @query(f"WITH {_G} SELECT 'goals' AS name, CAST(2 * count(*) AS BIGINT) AS n FROM games UNION ALL SELECT 'penalties', count(*) FROM games UNION ALL SELECT 'goalkeeper_changes', count(*) FROM games UNION ALL SELECT 'team_names', count(*) FROM games")
@@ -212,3 +212,33 @@ def page_outline(spark, d):
     rows = reports.page_rows(table(spark, d, "pages")).groupBy("page_id").agg(F.sum((F.col("kind") == "li").cast("bigint")).alias("items"))
     titles = table(spark, d, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
     return titles.join(rows, "page_id", "left").select("page_id", "title", F.coalesce("items", F.lit(0)).alias("items"))
+
+
+def _all_reports(spark, d):
+    """All kinds of reports: every fifth game lacks the official one, every fourth the player summary, every third the media summary; of every seventh the reports with plain lines are there twice."""
+    g = view(spark, d, "games")
+    kinds = (("official_game_report", _REPORT, 5), ("line_up", "'Referees Zed, Al\\nLinesmen: Yan, Bo\\n' || " + _LINEUP, 0), ("team_roster", _ROSTER, 0), ("game_summary", _SUMMARY, 4), ("media_summary", _MEDIA, 3))
+    each = F.explode(F.array(*(F.when(F.col("game_id") % (n or 1) != 0 if n else F.lit(True), F.struct(F.lit(k).alias("report_type"), F.expr(text).alias("text"))) for k, text, n in kinds)))
+    rows = g.select("game_id", each.alias("r")).filter("r IS NOT NULL").select("game_id", "r.*")
+    return rows.unionByName(rows.filter("game_id % 7 = 0 AND report_type NOT LIKE '%summary'"))
+
+
+def _bundled(name: str, sql: str) -> None:
+    query(sql, f"pdf_{name}")(lambda spark, d: reports.report_bundle(_all_reports(spark, d))[name].drop("pos", "i", "goal_pos"))
+
+
+def _where(of: str, where: str, columns: str = "*") -> str:
+    return f"SELECT {columns} FROM ({ORACLE_SQL[of]}) WHERE {where}"
+
+
+_bundled("goals", f"WITH {_G} SELECT g.*, a.assist2 FROM ({ORACLE_SQL['txt_goals']}) g, (SELECT CAST(NULL AS VARCHAR) AS assist2) a WHERE game_id % 5 > 0")
+_bundled("penalties", _where("txt_penalties", "game_id % 5 > 0"))
+_bundled("goalkeeper_changes", _where("txt_gk_changes", "game_id % 5 > 0", "*, '2' AS period"))
+_bundled("period_stats", _where("txt_period_stats", "game_id % 5 > 0"))
+_bundled("spectators", _where("txt_spectators", "game_id % 5 > 0"))
+_bundled("on_ice", f"WITH {_G} SELECT DISTINCT o.*, '1' AS period, {_SEC} AS seconds FROM ({ORACLE_SQL['txt_on_ice']}) o JOIN games USING (game_id) WHERE game_id % 5 > 0")
+_bundled("roster", _where("txt_roster", "true"))
+_bundled("lineup", f"SELECT * EXCLUDE r FROM (SELECT *, row_number() OVER (PARTITION BY game_id, team, number ORDER BY CASE line_number WHEN 'Goalkeepers' THEN 0 WHEN '1st' THEN 1 WHEN '3rd' THEN 2 ELSE 3 END, CASE player WHEN 'JOHANSSON, Anton' THEN 0 ELSE 1 END) AS r FROM ({ORACLE_SQL['txt_lineup']})) WHERE r = 1")
+_bundled("referees", f"{_where('txt_referees', 'game_id % 5 > 0')} UNION ALL BY NAME SELECT game_id, role, name FROM (WITH {_G} SELECT game_id FROM games WHERE game_id % 5 = 0), (VALUES ('referee', 'Zed, Al'), ('linesman', 'Yan, Bo')) v(role, name)")
+for _name, _media_sql, _summary_sql in (("skaters", "txt_media_skaters", "txt_player_summary"), ("goalies", "txt_media_summary", "txt_summary_goalies")):
+    _bundled(_name, f"{_where(_media_sql, 'game_id % 3 > 0', '* REPLACE (CAST(faceoffs AS VARCHAR) AS faceoffs)' if _name == 'skaters' else '*')} UNION ALL BY NAME {_where(_summary_sql, 'game_id % 3 = 0 AND game_id % 4 > 0')}")
