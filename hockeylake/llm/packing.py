@@ -21,7 +21,7 @@ from hockeylake.llm.token_counts import drops_space, load_tokenizer
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 #: A run of characters that ends a sentence.
-_STOP = re.compile(rb"""[.!?]["')\]]*$""")
+_STOP, _MAY_STOP = re.compile(rb"""[.!?]["')\]]*$"""), b""".!?"')]"""
 #: Bytes of a text that are encoded at once, and tokens whose cuts are chosen at once.
 _SEGMENT, _BLOCK = 1 << 20, 1 << 20
 _MEMO = 600_000
@@ -80,55 +80,33 @@ _AS_CHAR = {b: chr(b) if b in _PRINTED else chr(256 + b - sum(p < b for p in _PR
 class Encoder:
     """Ids of texts in segments. Where the tokenizer allows, each distinct run between white space is encoded once, and of simple runs each distinct piece that its pattern cuts."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, end_id: int) -> None:
         from tokenizers import Tokenizer
 
-        self.by_run = drops_space(load_tokenizer(path)[1])
+        self.by_run, self.end_id = drops_space(load_tokenizer(path)[1]), end_id
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model, self.pattern, self.special = self.tokenizer.model, None, regex.compile(r"(?!)")
+        self.model, self.cut, self.special = self.tokenizer.model, None, regex.compile(r"(?!)")
         with open(path, encoding="utf-8") as f:
             said = json.load(f)
         steps = [n.get("type") for n in (said.get("normalizer") or {}).get("normalizers", [])]
         cuts = (said.get("pre_tokenizer") or {}).get("pretokenizers", [])
         if steps == ["NFC", "Replace", "Lowercase"] and [c.get("type") for c in cuts] == ["Split", "ByteLevel"] and cuts[0].get("invert") and cuts[0].get("behavior") == "Removed" and not cuts[1].get("add_prefix_space") and not cuts[1].get("use_regex"):
-            self.pattern = regex.compile(cuts[0]["pattern"]["Regex"])
+            self.cut = regex.compile(f"(?:{cuts[0]['pattern']['Regex']})|\n").findall
             names = [regex.escape(t["content"]) for t in said.get("added_tokens", [])]
             self.special = regex.compile("|".join(names)) if names else self.special
         self._clear()
 
     def _clear(self) -> None:
-        self.memo: dict[bytes, int] = {}
-        self.pieces: dict[str, list[int]] = {}
-        self.ids, self.used = np.empty(1 << 16, dtype=np.uint32), 0
-        self.begin, self.size, self.stop = (np.empty(1 << 12, dtype=np.int64) for _ in range(3))
-
-    @staticmethod
-    def _room(x: np.ndarray, need: int) -> np.ndarray:
-        return x if need <= len(x) else np.concatenate([x, np.empty(max(need - len(x), len(x)), dtype=x.dtype)])
-
-    def _piece(self, piece: str) -> list[int]:
-        text = piece if piece.isascii() else "".join(map(_AS_CHAR.__getitem__, piece.encode()))
-        found = self.pieces[piece] = [t.id for t in self.model.tokenize(text)]
-        return found
-
-    def _encoded(self, words: list[bytes]) -> list[list[int]]:
-        out: list[list[int] | None] = []
-        pieces, cut, whole = self.pieces, self.pattern.findall if self.pattern else None, []
-        for w in map(bytes.decode, words):
-            if cut is None or not _SIMPLE.fullmatch(w) or self.special.search(w):
-                whole.append(w)
-                out.append(None)
-                continue
-            found = cut(w.lower())
-            ids = []
-            for p in found:
-                known = pieces.get(p)
-                ids += self._piece(p) if known is None else known
-            out.append(ids)
-        rest = iter(e.ids for at in range(0, len(whole), 20_000) for e in self.tokenizer.encode_batch_fast(whole[at : at + 20_000], add_special_tokens=False))
-        return [next(rest) if ids is None else ids for ids in out]
+        # What is known by number: runs, of which 0 is the end of a document, and pieces, of which 0 is the end of a run.
+        self.memo: dict[bytes | None, int] = {None: 0}
+        self.runs, self.stop = _Arena([[self.end_id]]), np.zeros(1, dtype=bool)
+        self.known: dict[str, int] = {"\n": 0}
+        self.pieces = _Arena([[]])
+
+    def _tokens(self, piece: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(piece if piece.isascii() else "".join(map(_AS_CHAR.__getitem__, piece.encode())))]
 
     def learn(self, words: list[bytes]) -> None:
         """Encode the words that are not known yet."""
@@ -136,32 +114,80 @@ class Encoder:
         if len(self.memo) + len(new) > _MEMO:
             self._clear()
             new = set(words)
-        new = list(new)
-        found = self._encoded(new)
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        total, n = int(sizes.sum()), len(self.memo)
-        self.ids = self._room(self.ids, self.used + total)
-        self.begin, self.size, self.stop = (self._room(x, n + len(new)) for x in (self.begin, self.size, self.stop))
-        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=total)
-        self.size[n : n + len(new)] = sizes
-        self.begin[n : n + len(new)] = self.used + np.cumsum(sizes) - sizes
-        self.stop[n : n + len(new)] = [w[-1] in b".!?\"')]" and bool(_STOP.search(w)) for w in new]
-        self.memo.update(zip(new, range(n, n + len(new)), strict=True))
-        self.used += total
-
-    def encode(self, segment: bytes, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of a segment, whose runs between white space are ``words``, and the places (ids before them) where a sentence has ended."""
+        if not new:
+            return
+        said = [w.decode() for w in new]
+        simple = [w for w in said if _SIMPLE.fullmatch(w)] if self.cut else []
+        if self.special.search("\n".join(simple)):
+            simple = [w for w in simple if not self.special.search(w)]
+        if simple:
+            found = self.cut("\n".join(simple).lower())
+            unknown = [p for p in set(found) if p not in self.known]
+            self.known.update(zip(unknown, range(len(self.known), len(self.known) + len(unknown)), strict=True))
+            self.pieces.add([self._tokens(p) for p in unknown])
+            which = np.fromiter(map(self.known.__getitem__, found), dtype=np.int64, count=len(found))
+            ids, sizes = self.pieces.take(which)
+            self.runs.add_flat(ids, np.bincount(np.cumsum(which == 0), weights=sizes, minlength=len(simple)).astype(np.int64))
+        rest = [w for w in said if w not in set(simple)] if len(simple) < len(said) else []
+        for at in range(0, len(rest), 20_000):
+            self.runs.add([e.ids for e in self.tokenizer.encode_batch_fast(rest[at : at + 20_000], add_special_tokens=False)])
+        order = [w.encode() for w in simple + rest]
+        self.stop = np.concatenate([self.stop, np.fromiter((w[-1] in _MAY_STOP and bool(_STOP.search(w)) for w in order), dtype=bool, count=len(order))])
+        self.memo.update(zip(order, range(len(self.memo), len(self.memo) + len(order)), strict=True))
+
+    def encode(self, parts: list[tuple[bytes, bool]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of parts of documents, each with whether its document ends, in one stream; where the parts end there, where sentences end and where documents end."""
         if not self.by_run:
-            text = segment.decode()
+            return self._encode_whole(parts)
+        words = [part.split() for part, _ in parts]
+        self.learn(list(chain.from_iterable(words)))
+        count = np.cumsum([len(w) + ends for w, (_, ends) in zip(words, parts, strict=True)])
+        stream = chain.from_iterable(chain(w, (None,)) if ends else w for w, (_, ends) in zip(words, parts, strict=True))
+        which = np.fromiter(map(self.memo.__getitem__, stream), dtype=np.int64, count=int(count[-1]))
+        ids, sizes = self.runs.take(which)
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        return ids, upto[count], upto[1:][self.stop[which]], upto[1:][which == 0]
+
+    def _encode_whole(self, parts: list[tuple[bytes, bool]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        ids, bounds, sentences, ends = [], [], [], []
+        for part, last in parts:
+            text = part.decode()
             e = self.tokenizer.encode(text, add_special_tokens=False)
-            ends = [k + 1 for k, (_, b) in enumerate(e.offsets) if b and text[b - 1] in ".!?"]
-            return np.array(e.ids, dtype=np.uint32), np.array(ends, dtype=np.int64)
-        which = np.fromiter(map(self.memo.__getitem__, words), dtype=np.int64, count=len(words))
+            sentences += [len(ids) + k + 1 for k, (_, b) in enumerate(e.offsets) if b and text[b - 1] in ".!?"]
+            ids += e.ids
+            if last:
+                ids.append(self.end_id)
+                ends.append(len(ids))
+            bounds.append(len(ids))
+        return np.array(ids, dtype="<u4"), *(np.array(x, dtype=np.int64) for x in (bounds, sentences, ends))
+
+
+class _Arena:
+    """Lists of ids by number, end to end."""
+
+    def __init__(self, lists: list[list[int]]) -> None:
+        self.ids, self.used = np.empty(1 << 12, dtype="<u4"), 0
+        self.begin, self.size, self.count = np.empty(1 << 12, dtype=np.int64), np.empty(1 << 12, dtype=np.int64), 0
+        self.add(lists)
+
+    def add(self, lists: list[list[int]]) -> None:
+        sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+        self.add_flat(np.fromiter(chain.from_iterable(lists), dtype="<u4", count=int(sizes.sum())), sizes)
+
+    def add_flat(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        room = lambda x, need: x if need <= len(x) else np.concatenate([x, np.empty(max(need - len(x), len(x)), dtype=x.dtype)])
+        used, count = self.used + len(ids), self.count + len(sizes)
+        self.ids, self.begin, self.size = room(self.ids, used), room(self.begin, count), room(self.size, count)
+        self.ids[self.used : used] = ids
+        self.size[self.count : count] = sizes
+        self.begin[self.count : count] = self.used + np.cumsum(sizes) - sizes
+        self.used, self.count = used, count
+
+    def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of lists, end to end, and how many each has."""
         sizes = self.size[which]
         ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(self.begin[which] - ends + sizes, sizes) + np.arange(total)]
-        return ids, np.unique(ends[self.stop[which].astype(bool)])
+        return self.ids[np.repeat(self.begin[which] - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)], sizes
 
 
 def _segments(text: bytes, size: int) -> Iterator[bytes]:
@@ -194,36 +220,36 @@ class Packer:
         self.window, self.sentence, self.inside, self.stride, self.next = window, sentence, inside, stride, first
         self.ids: list[np.ndarray] = []
         self.spans: list[tuple[int, int, int]] = []  # document, its ids before, length
-        self.size, self.places, self.penalties = 0, [], []
+        self.size, self.last, self.places, self.penalties = 0, 0, [], []
         self.rows: list[tuple[int, int, int, int, int, int]] = []
 
-    def add(self, doc: int, before: int, ids: np.ndarray, sentences: np.ndarray, ends: bool) -> None:
-        """The next ids of a document, of which ``before`` are in already; the places of sentences count from these ids."""
-        marks = np.concatenate([[0], sentences, [len(ids)]])
-        gaps = np.diff(marks)
-        long = np.flatnonzero(gaps > self.stride)
-        filled = [np.arange(marks[i] + self.stride, marks[i + 1], self.stride) for i in long.tolist()]
-        sentences = sentences[sentences < len(ids)] if ends else sentences
-        places = np.concatenate([sentences, *filled]).astype(np.int64)
-        penalties = np.concatenate([np.full(len(sentences), self.sentence), *(np.full(len(f), self.inside) for f in filled)]).astype(np.int64)
-        if len(ids) and (ends or not len(places) or places.max() < len(ids)):
-            places, penalties = np.append(places, len(ids)), np.append(penalties, 0 if ends else self.inside)
-        order = np.argsort(places, kind="stable")
-        self.places.append(places[order] + self.size)
-        self.penalties.append(penalties[order])
-        self.ids.append(ids)
-        self.spans.append((doc, before, len(ids)))
+    def add(self, ids: np.ndarray, spans: list[tuple[int, int, int]], sentences: np.ndarray, ends: np.ndarray) -> None:
+        """The next ids, whose documents are ``spans``; sentences and documents end at places that count from these ids."""
+        places = np.union1d(sentences, ends) + self.size
+        penalties = np.full(len(places), self.sentence, dtype=np.int64)
+        penalties[np.searchsorted(places, ends + self.size)] = 0
         self.size += len(ids)
+        marks = np.concatenate([[self.last], places, [self.size]])
+        filled = [np.arange(marks[i] + self.stride, marks[i + 1], self.stride) for i in np.flatnonzero(np.diff(marks) > self.stride).tolist()]
+        if filled:
+            more = np.concatenate(filled)
+            order = np.argsort(np.concatenate([places, more]), kind="stable")
+            places, penalties = np.concatenate([places, more])[order], np.concatenate([penalties, np.full(len(more), self.inside, dtype=np.int64)])[order]
+        self.last = int(places[-1]) if len(places) else self.last
+        self.places.append(places.astype(np.int64))
+        self.penalties.append(penalties)
+        self.ids.append(ids)
+        self.spans += [x for x in spans if x[2]]
         if self.size >= _BLOCK:
             self.flush(False)
 
     def flush(self, last: bool) -> None:
         """Choose cuts of what is held. Unless it is the last of the stream, what follows the last cut but one waits for more."""
-        if not self.size:
+        if not self.last:
             return
         places, penalties = np.concatenate(self.places), np.concatenate(self.penalties)
         _, ends = choose_cuts(places, penalties, self.window)
-        done = self.size if last else (ends[-2] if len(ends) > 1 else 0)
+        done = ends[-1] if last else (ends[-2] if len(ends) > 1 else 0)
         if not done:
             return
         ids = np.concatenate(self.ids)
@@ -247,7 +273,7 @@ class Packer:
             start = end
         rest = [(doc, before + max(0, done - lo), hi - max(lo, done)) for (doc, before, _), lo, hi in zip(self.spans, bounds[:-1], bounds[1:], strict=True) if hi > done]
         later = places > done
-        self.ids, self.spans, self.size = [ids[done:]], rest, self.size - done
+        self.ids, self.spans, self.size, self.last = [ids[done:]], rest, self.size - done, self.last - done
         self.places, self.penalties = [places[later] - done], [penalties[later]]
 
     def _parts(self, start: int, end: int) -> list[int]:
@@ -261,18 +287,18 @@ class Packer:
         """A piece; one that goes on in the same sequence after a segment's end is joined to it."""
         if self.rows and self.rows[-1][0] == doc and self.rows[-1][4] == self.next:
             d, s, n, crc, seq, off = self.rows.pop()
-            self.rows.append((d, s, n + len(ids), zlib.crc32(ids.astype("<u4").tobytes(), crc), seq, off))
+            self.rows.append((d, s, n + len(ids), zlib.crc32(ids, crc), seq, off))
         else:
-            self.rows.append((doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), self.next, offset))
+            self.rows.append((doc, start, len(ids), zlib.crc32(ids), self.next, offset))
 
 
 def _packed(batches: Iterator[pa.RecordBatch], path: str, end_id: int, window: int, sentence: int, inside: int, stride: int) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(path)
+    encoder = Encoder(path, end_id)
     context = TaskContext.get()
     packer = Packer(window, sentence, inside, stride, (context.partitionId() if context else 0) << 40)
     names: dict[int, int | None] = {}
     totals: dict[int, int] = {}
-    number = 0
+    number = before = 0
 
     def told(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows, strict=True)) if rows else [()] * 6
@@ -285,21 +311,17 @@ def _packed(batches: Iterator[pa.RecordBatch], path: str, end_id: int, window: i
             parts = list(_segments(text, _SEGMENT)) or [b""]
             yield from ((doc_id, k == len(parts) - 1, part) for k, part in enumerate(parts))
 
-    before = 0
     for batch in batches:
         for group in _grouped(segments(batch), 2 * _SEGMENT):
-            words = [part.split() if encoder.by_run else [] for *_, part in group]
-            if encoder.by_run:
-                encoder.learn(list(chain.from_iterable(words)))
-            for (doc_id, ends, part), own in zip(group, words, strict=True):
-                ids, sentences = encoder.encode(part, own)
-                if ends:
-                    ids = np.append(ids, np.uint32(end_id))
-                packer.add(number, before, ids, sentences, ends)
-                before += len(ids)
+            ids, bounds, sentences, ended = encoder.encode([(part, ends) for _, ends, part in group])
+            spans, start = [], 0
+            for (doc_id, ends, _), stop in zip(group, bounds.tolist(), strict=True):
+                spans.append((number, before, stop - start))
+                before, start = before + stop - start, stop
                 if ends:
                     names[number], totals[number] = doc_id, before
                     number, before = number + 1, 0
+            packer.add(ids, spans, sentences, ended)
         if packer.rows and not before:  # every document so far is whole: its number of tokens is known
             yield told(packer.rows)
             packer.rows = []
