@@ -35,21 +35,22 @@ def first_containing(names: DataFrame, column: str, known: DataFrame) -> DataFra
     of equal ``ord`` the smallest value counts; an empty table gives an empty result.
     """
     known = known.select(F.lower("name").alias("m"), "value", "ord").filter("m IS NOT NULL")
-    names = names.select(column, F.lower(column).alias("x")).filter("x IS NOT NULL").distinct()
+    names = names.select(F.col(column).alias("name"), F.lower(column).alias("x")).filter("x IS NOT NULL").distinct()
     index = known.select("m", "value", "ord", F.explode(_contained(F.col("m"))).alias("gram"))
     common = index.groupBy("gram").agg(F.count("*").alias("n"))
     rarest = F.min_by("gram", F.struct("n", "gram")).alias("gram")
     anchors = known.select("m", "value", "ord", F.explode(_own(F.col("m"))).alias("gram")).join(common, "gram").groupBy("m", "value", "ord").agg(rarest)
-    around = names.select(column, "x", F.explode(_contained(F.col("x"))).alias("gram")).join(anchors, "gram").filter(F.contains("x", "m"))
-    looked = names.select(column, "x", F.explode(_own(F.col("x"))).alias("gram")).join(common, "gram", "left")
-    looked = looked.groupBy(column, "x").agg(rarest, F.bool_or(F.col("n").isNull()).alias("foreign")).filter("NOT foreign")
-    within = looked.select(column, "x", "gram").join(index, "gram").filter(F.contains("m", "x"))
-    return around.select(column, "value", "ord").unionByName(within.select(column, "value", "ord")).groupBy(column).agg(F.min_by("value", F.struct("ord", "value")).alias("value"))
+    around = names.select("name", "x", F.explode(_contained(F.col("x"))).alias("gram")).join(anchors, "gram").filter(F.contains("x", "m"))
+    looked = names.select("name", "x", F.explode(_own(F.col("x"))).alias("gram")).join(common, "gram", "left")
+    looked = looked.groupBy("name", "x").agg(rarest, F.bool_or(F.col("n").isNull()).alias("foreign")).filter("NOT foreign")
+    within = looked.select("name", "x", "gram").join(index, "gram").filter(F.contains("m", "x"))
+    hits = around.select("name", "value", "ord").unionByName(within.select("name", "value", "ord"))
+    return hits.groupBy(F.col("name").alias(column)).agg(F.min_by("value", F.struct("ord", "value")).alias("value"))
 
 
 def team_slug(df: DataFrame, column: str, known: DataFrame, out: str = "slug") -> DataFrame:
     """``df`` with the slug of a team's name: that of the first known name that contains it or is contained in it, else the name itself, folded. Null names have none."""
-    found = first_containing(df, column, known).withColumnsRenamed({column: "_name", "value": "_slug"})
+    found = first_containing(df, column, known).toDF("_name", "_slug")
     return df.join(found, df[column] == found["_name"], "left").withColumn(out, F.coalesce("_slug", folded_slug(F.col(column)))).drop("_name", "_slug")
 
 

@@ -46,9 +46,11 @@ class _Form(StatefulProcessor):
         for part in rows:
             for at, i, season, value in zip(part["at"], part["id"], part["season"], part["value"], strict=True):
                 fresh.setdefault((float(at), int(i)), (float(at), int(i), season, 0.0 if value is None or value != value else float(value)))
-        # What is older than all that is kept can't be placed any more, once something has been let go.
-        too_late = sorted(k for k in fresh if before and old and k < old[0][:2])
-        fresh = {k: v for k, v in fresh.items() if k not in known and k not in set(too_late)}
+        # Once something has been let go, a row needs the first row that is kept before it, and as many as its average takes.
+        after = old[max(1, self.n - 1) - 1][:2] if before and len(old) >= max(1, self.n - 1) else None
+        fresh = {k: v for k, v in fresh.items() if k not in known}
+        too_late = sorted(k for k in fresh if after and k < after)
+        fresh = {k: v for k, v in fresh.items() if k not in set(too_late)}
         every = sorted([*old, *fresh.values()], key=lambda r: r[:2])
         sums, changed, since, out = dict(before), {}, -1, []
         for i, row in enumerate(every):
