@@ -6,9 +6,27 @@ from pyspark.sql import functions as F
 
 from hockeylake.operators import documents as doc
 from hockeylake.plans.adapters import cte, table, view
+from hockeylake.plans.data_queries import scratch
 from hockeylake.plans.registry import query
 
 _G = cte("games")
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _written(spark, d, name: str, make):
+    """Documents that are written once a session and folder of tables, as a reader of documents finds them, and then read."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _WRITTEN:
+        path = scratch(spark, name)
+        make().write.parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(_WRITTEN[key])
+
+
+def prepare(spark, d) -> None:
+    """Write the documents of games and leagues, so that what follows is extraction alone."""
+    _games(spark, d)
+    _details(spark, d)
 
 
 def _games(spark, d):
@@ -25,8 +43,8 @@ def _games(spark, d):
     b = f"""to_json(named_struct('gameData', named_struct('game', named_struct('pk', game_id, 'season', season, 'type', cast(game_type as string)), 'status', named_struct('detailedState', status), 'venue', named_struct('name', 'Arena'), 'teams', named_struct('home', named_struct('id', home_team_id, 'abbreviation', 'T' || home_team_id), 'away', named_struct('id', away_team_id, 'abbreviation', 'T' || away_team_id))),
       'liveData', named_struct('linescore', named_struct('teams', named_struct('home', named_struct('goals', home_score), 'away', named_struct('goals', away_score))), 'plays', named_struct('allPlays', array({play})),
       'boxscore', named_struct('teams', named_struct('home', named_struct('team', named_struct('triCode', 'T' || home_team_id), 'teamStats', {team('home')}, 'players', map('ID1', {live(1)}, 'ID2', {live(2)})), 'away', named_struct('team', named_struct('triCode', 'T' || away_team_id), 'teamStats', {team('away')}, 'players', map('ID3', {live(3)})))))))"""
-    docs = g.select(F.concat(F.lit("k/"), "game_id").alias("key"), F.col("game_date"), F.expr(f"if(game_id % 2 = 0, {a}, {b})").alias("payload"))
-    return doc.parse_games(docs)
+    docs = lambda: g.select(F.concat(F.lit("k/"), "game_id").alias("key"), F.col("game_date"), F.expr(f"if(game_id % 2 = 0, {a}, {b})").alias("payload"))
+    return doc.parse_games(_written(spark, d, "game-documents", docs))
 
 
 _PTS = "CASE WHEN {o} > {t} THEN 2 WHEN {o} < {t} AND (contains(status, 'OT') OR contains(status, 'SO')) THEN 1 WHEN {o} < {t} THEN 0 END"
@@ -265,7 +283,7 @@ def _details(spark, d):
       "goalkeepers": [{{"team": "Home", "number": 30, "name": "G' || home_team_id || '", "saves": ' || (away_sog - away_score) || ', "shots_against": "' || away_sog || '", "save_percentage": "91.5"}}, {{"number": 0, "team": null}}],
       "player_stats": [{{"player_name": "P", "player_id": 7, "team": "Home", "goals": ' || home_score || ', "assists": "1", "pim": null, "shots": 3, "plusMinus": ' || if(game_id % 2 = 0, '1', '0') || ', "plus_minus": -1}}],
       "referees": ["R' || game_id % 9 || '", {{"name": "O' || game_id % 7 || '", "role": "Head"}}, {{"role": null, "name": "Q"}}, 5], "linesmen": ["L' || game_id % 5 || '", {{"name": "M", "role": "Judge"}}, "R' || game_id % 9 || '"], "home_team_lineup": ' || {home} || ', "away_team_lineup": ' || {away} || '}}'"""
-    return doc.parse_details(g.select(F.expr(text).alias("payload")))
+    return doc.parse_details(_written(spark, d, "league-documents", lambda: g.select(F.expr(text).alias("payload"))))
 
 
 _LEAGUE_TAGS = "CAST(game_id AS VARCHAR) AS game_id, game_date, CAST(year(game_date) AS VARCHAR) AS season, CASE WHEN game_type = 3 THEN 'SM-slutspel' ELSE 'SHL' END AS league"
