@@ -82,11 +82,13 @@ def fact_team_game(raw: DataFrame) -> DataFrame:
 
 
 def fact_player_game(raw: DataFrame) -> DataFrame:
+    """Minutes on the ice, and points and shots in 60 of them; null where the clock is null, not a number or 0."""
     toi = F.col("toi_seconds").cast("double")
     return raw.select("*", F.round(toi / 60, 4).alias("toi_min"), per_60(F.col("poang").cast("double"), toi, 6).alias("points_per_60"), per_60(F.col("sog").cast("double"), toi, 6).alias("shots_per_60"))
 
 
 def fact_goalie_game(raw: DataFrame) -> DataFrame:
+    """The save share as a fraction and the goals against as a number; null texts stay null."""
     return raw.select("*", F.round(F.col("raddningsprocent").cast("double") / 100, 6).alias("save_pct"), F.col("inslappta_mal").cast("double").alias("goals_against_avg"))
 
 

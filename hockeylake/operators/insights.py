@@ -126,6 +126,7 @@ def insights(players: DataFrame, goalies: DataFrame, teams: DataFrame, corsi: Da
 
 
 def most_severe(df: DataFrame, n: int) -> DataFrame:
+    """The n insights of greatest severity, in ties by id; null severities come last."""
     return df.orderBy(F.desc("severity"), "insight_id").limit(n)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that stand in several rows, and in how many; null keys are equal to each other."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
 
 
@@ -33,10 +34,12 @@ def completeness(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def profile(df: DataFrame, day: str, distinct: list[str]) -> DataFrame:
+    """One row: rows, first and last day and numbers of different values; nulls are no values, an empty table has null days."""
     return df.agg(F.count("*").alias("n_rows"), F.min(day).alias("first_day"), F.max(day).alias("last_day"), *(F.countDistinct(c).alias(f"n_{c}") for c in distinct))
 
 
 def role_counts(df: DataFrame) -> DataFrame:
+    """One row: goalies, defenders, forwards and different players; rows without a position are in none, sums of an empty table are null."""
     p = F.col("position")
     return df.agg(*(F.sum((p == k).cast("bigint")).alias(n) for k, n in (("G", "goalies"), ("D", "defenders"), ("F", "forwards"))), F.countDistinct("player_id").alias("players"))
 
@@ -145,6 +148,7 @@ def dictionary_markdown(tables: dict[str, DataFrame], comments: dict[str, str] |
 
 
 def id_coverage(df: DataFrame, group, key: str) -> DataFrame:
+    """By group the rows, those with an id and their share in percent; a null group is a group."""
     return df.groupBy(group).agg(F.count("*").alias("n"), F.count(key).alias("with_id"), F.round(F.count(key) * 100.0 / F.count("*"), 4).alias("pct"))
 
 
