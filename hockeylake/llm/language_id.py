@@ -7,8 +7,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,18 +84,19 @@ def _vector(at: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return x / max(np.sqrt((x**2).sum()), 1e-12)
 
 
-def _fit(found: pd.DataFrame, langs: list[str], idf: np.ndarray, epochs: int, l1: float, l2: float, seed: int) -> pd.DataFrame:
+def _fit(found: pa.Table, langs: list[str], idf: np.ndarray, epochs: int, l1: float, l2: float, seed: int) -> pa.Table:
     """The model of a bounded sample, in one task: weights that aren't 0 by place, biases and the temperature."""
-    found = found.sort_values(["lang", "at", "counts"], ignore_index=True)
-    # The features stay packed, as they came; a row is unpacked when its turn comes.
-    data = [(at, counts, langs.index(lang)) for lang, at, counts in zip(found["lang"], found["at"], found["counts"], strict=True) if at]
-    del found
-    order = np.random.default_rng(seed).permutation(len(data))
-    held, taught = [data[i] for i in order[: len(data) // 5]], [data[i] for i in order[len(data) // 5 :]]
-
-    def unpacked(row: tuple) -> tuple[np.ndarray, np.ndarray, int]:
-        at = np.frombuffer(row[0], dtype="<i4")
-        return at, _vector(at, np.frombuffer(row[1], dtype="<f4"), idf), row[2]
+    found = found.combine_chunks()
+    names, features, counted = (found.column(c).combine_chunks() for c in ("lang", "at", "counts"))
+    # The features stay packed where they came in; a row is unpacked when its turn comes.
+    places = pc.sort_indices(found, sort_keys=[(c, "ascending") for c in ("lang", "at", "counts")]).to_pylist()
+    rows = [(i, langs.index(names[i].as_py())) for i in places if len(features[i].as_buffer() or b"")]
+    order = np.random.default_rng(seed).permutation(len(rows))
+    held, taught = [rows[i] for i in order[: len(rows) // 5]], [rows[i] for i in order[len(rows) // 5 :]]
+
+    def unpacked(row: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, int]:
+        at = np.frombuffer(features[row[0]].as_buffer(), dtype="<i4")
+        return at, _vector(at, np.frombuffer(counted[row[0]].as_buffer(), dtype="<f4"), idf), row[1]
 
     model = Ftrl(FEATURES, len(langs), alpha=1.0, beta=1.0, l1=l1, l2=l2)
     for i in shuffled(len(taught), epochs, seed):
@@ -108,7 +109,8 @@ def _fit(found: pd.DataFrame, langs: list[str], idf: np.ndarray, epochs: int, l1
     flat = weights.astype(np.float32).reshape(-1)
     places = np.flatnonzero(flat)
     heat = temperature(logits, np.array([y for *_, y in held], dtype=int))
-    return pd.DataFrame({"places": [places.astype(np.int64).tobytes()], "weights": [flat[places].tobytes()], "bias": [np.asarray(model.bias, dtype=np.float64).tobytes()], "temperature": [float(heat)]})
+    said = {"places": [places.astype(np.int64).tobytes()], "weights": [flat[places].tobytes()], "bias": [np.asarray(model.bias, dtype=np.float64).tobytes()], "temperature": [float(heat)]}
+    return pa.table(said, schema=pa.schema([("places", pa.binary()), ("weights", pa.binary()), ("bias", pa.binary()), ("temperature", pa.float64())]))
 
 
 def train_language_model(
@@ -141,7 +143,7 @@ def train_language_model(
     chosen = chosen.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= math.ceil(2 * each)).select("lang", "text")
     shared = docs.sparkSession.sparkContext.broadcast(idf)
     examples = chosen.mapInArrow(_examples, "lang string, at binary, counts binary")
-    fitted = examples.groupBy(F.lit("all")).applyInPandas(lambda pdf: _fit(pdf, langs, shared.value, epochs, l1, l2, seed), "places binary, weights binary, bias binary, temperature double").collect()
+    fitted = examples.groupBy(F.lit("all")).applyInArrow(lambda sample: _fit(sample, langs, shared.value, epochs, l1, l2, seed), "places binary, weights binary, bias binary, temperature double").collect()
     shared.destroy()
     weights = np.zeros((FEATURES, len(langs)), dtype=np.float32)
     if not fitted:
