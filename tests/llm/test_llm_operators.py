@@ -547,7 +547,7 @@ def test_decontamination_templates_and_slots(spark, none):
     got = [(r.doc_id, r.contaminated) for r in contamination_report(docs, bench).collect()]
     assert len(got) == len(rows)
     assert {i for i, c in got if c} == {1, 7}
-    assert sorted(str(r.doc_id) for r in drop_contaminated(docs, bench).collect()) == ["2", "3", "4", "5", "6", "None"]
+    assert sorted(str(r.doc_id) for r in drop_contaminated(docs, bench).collect()) == ["2", "3", "4", "5", "6"]
     assert contamination_report(none, bench).count() == 0
     assert contamination_report(docs, bench.limit(0)).filter("contaminated").count() == 0
 
@@ -559,7 +559,7 @@ def test_decontamination_of_short_items_ties_and_long_ones(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     for any_case in (False, True):
         got = {(r.doc_id, r.item_id): (r.covered, r.n_windows) for r in contaminated_documents(docs, bench, any_case=any_case).collect()}
-        assert got == {(1, 1): (1, 1), (3, 2): (1, 1), (5, 3): (got[5, 3][1],) * 2, (7, 4): (593, 593), (8, 4): (313, 593)}
+        assert got == {(1, 1): (1, 1), (2, 1): (1, 1), (3, 2): (1, 1), (4, 2): (1, 1), (5, 3): (got[5, 3][1],) * 2, (7, 4): (593, 593), (8, 4): (313, 593)}
 
 
 def test_decontamination_shuffles_what_is_too_large_to_broadcast(spark):
@@ -631,6 +631,8 @@ def test_pipeline_stages_keep_their_contract(spark, tmp_path):
     rows = documents(80, 9)
     bench = [(1, " ".join(rng.choice(WORDS) for _ in range(20)))]
     rows.append((9001, "lead in " + bench[0][1] + " and out", "en", "a"))
+    # Rows that share an id, or have none, and differ otherwise.
+    rows += [(9001, "clean words under the id of another", "en", "a"), (7, "words that no other text has at all", "en", "b"), (None, "a text without an id", "en", None), (None, "and one more of these", "fr", None), (None, "A TEXT without an id", "en", None)]
     spark.createDataFrame(rows, SCHEMA).withColumn("n_chars", F.length("text").cast("long")).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "exact dedup", "near-duplicate join", "decontamination", "mixing"]
@@ -649,7 +651,9 @@ def test_pipeline_stages_keep_their_contract(spark, tmp_path):
             assert set(got) <= {i for i, *_ in before}
             size = lambda t: len((t or "").split())
             sizes = {s: sum(size(t) for _, t, x in before if x == s) for s in {x for *_, x in before}}
-            taken = {s: sum(got[i] * size(t) for i, t, x in before if x == s) for s in sizes}
+            drawn = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+            assert set(drawn) <= set(before)
+            taken = {s: sum(size(t) for _, t, x in drawn if x == s) for s in sizes}
             assert all(abs(taken[s] - t) <= 100 for s, t in targets(sizes).items())
 
 
@@ -662,24 +666,28 @@ def _brute_distinct(rows):
     for i, t, _ in rows:
         x = (t or "").translate(LOW)
         best[x] = max(best.get(x, -1), -1 if i is None else i)
-    return [i for i, t, _ in rows if i is None or best[(t or "").translate(LOW)] == i]
+    return [None if i < 0 else i for i in best.values()]
 
 
 def _brute_near(rows):
-    sets = {i: shingles(t, 5) for i, t, _ in rows if i is not None}
-    root = {i: i for i in sets}
+    sets, root = [shingles(t, 5) for _, t, _ in rows], list(range(len(rows)))
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    for a in sets:
-        for b in sets:
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
-                x, y = sorted((find(a), find(b)))
+    rank = lambda k: (rows[k][0] is None, rows[k][0] or 0, k)
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)), key=rank)
                 root[y] = x
-    return [i for i, *_ in rows if i is None or find(i) == i]
+    return [rows[k][0] for k in range(len(rows)) if find(k) == k]
 
 
-BRUTE_STAGES = [_brute_identified, _brute_distinct, _brute_near, lambda rows: [i for i, *_ in rows if i != 9001], lambda rows: None]
+def _brute_clean(rows):
+    return [i for i, t, _ in rows if not (t or "").startswith("lead in ")]
+
+
+BRUTE_STAGES = [_brute_identified, _brute_distinct, _brute_near, _brute_clean, lambda rows: None]
