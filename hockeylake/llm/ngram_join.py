@@ -228,8 +228,13 @@ def similar_documents(
         attributes = F.struct("rep", "n", *NARROWS)
         apart = sum(F.bit_count(F.expr(f"x.{b} ^ y.{b}")) for b in NARROWS) <= F.col("x.n") + F.col("y.n") - 2 * need
 
+        sizes = classes.filter("several").groupBy("gid").agg(F.count("*").alias("c"))
+
         def expanded(pairs: DataFrame) -> DataFrame:
-            """The class pairs of pairs of groups that bitmaps allow."""
+            """The class pairs of pairs of groups that bitmaps allow. The group of fewer classes is expanded first, so that a group of many is met within the join that the bitmaps filter."""
+            counted = pairs.join(sizes.toDF("_g", "cg"), F.col("g") == F.col("_g"), "left").join(sizes.toDF("_h", "ch"), F.col("h") == F.col("_h"), "left")
+            fewer = F.coalesce("cg", F.lit(1)) <= F.coalesce("ch", F.lit(1))
+            pairs = counted.select(F.when(fewer, F.col("g")).otherwise(F.col("h")).alias("g"), F.when(fewer, F.col("h")).otherwise(F.col("g")).alias("h"))
             side = lambda c: classes.select(F.col("gid").alias(f"_{c}"), attributes.alias(c))
             return pairs.join(side("x"), F.col("g") == F.col("_x")).join(side("y"), (F.col("h") == F.col("_y")) & apart).select("x", "y")
 
