@@ -80,12 +80,12 @@ def goalie_situations(df: DataFrame) -> DataFrame:
 def points_curve(team_games: DataFrame, entity: str = "team_abbr", points: str = "team_points") -> DataFrame:
     """``(entity, season, game_no, game_date, game_id, points, total, pace)``: a team's points game by game, their running total and what that comes to in 82 games.
 
-    Games of one date go by id; null points are 0.
+    Games of one date go by id; null points are 0. The pace is rounded as a double: what lies just below a half in binary, as 1.025 does, goes down.
     """
     w = Window.partitionBy(entity, "season").orderBy("game_date", "game_id")
     got = F.coalesce(F.col(points), F.lit(0)).cast("bigint")
     total, n = F.sum(got).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.row_number().over(w).cast("bigint")
-    return team_games.select(entity, "season", n.alias("game_no"), "game_date", "game_id", got.alias("points"), total.alias("total"), F.round(total * 82.0 / n, 2).alias("pace"))
+    return team_games.select(entity, "season", n.alias("game_no"), "game_date", "game_id", got.alias("points"), total.alias("total"), (F.round(total * 82.0 / n * 100, 0) / 100).alias("pace"))
 
 
 def division_standings(table: DataFrame, division: str = "division") -> DataFrame:
