@@ -425,10 +425,10 @@ def json_key_paths_of_ends(spark, d):
     return quality.json_key_paths(_json_documents(spark, d), ends_of="season")
 
 
-_PROFILED = ("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
+_SKETCHED = ("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
 
 
-@query(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count(*) - count({c}) AS n_nulls, CASE WHEN count(DISTINCT {c}) < 60 THEN count(DISTINCT {c}) END AS n_distinct, CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS greatest FROM (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS l_quantity, CASE WHEN l_linenumber = 4 THEN NULL ELSE l_returnflag END AS l_returnflag, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem)" for c in _PROFILED))
+@query(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count(*) - count({c}) AS n_nulls, CASE WHEN count(DISTINCT {c}) < 60 THEN count(DISTINCT {c}) END AS n_distinct, CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS greatest FROM (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS l_quantity, CASE WHEN l_linenumber = 4 THEN NULL ELSE l_returnflag END AS l_returnflag, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem)" for c in _SKETCHED))
 def profile_sketches(spark, d):
     """Profiles by year, merged: what is exact, and numbers of few distinct values, which the sketch counts as they are."""
     lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("bigint").alias("l_quantity"), F.when(F.col("l_linenumber") != 4, F.col("l_returnflag")).alias("l_returnflag"), F.col("l_shipdate").cast("date").alias("l_shipdate"))

@@ -13,3 +13,8 @@ def test_pace_is_rounded_as_a_double(spark):
     paces = {r.game_no: r.pace for r in trends.points_curve(games).collect()}
     # 69 * 82 / 80 is just below 70.725 in binary, 70 * 82 / 70 is whole and 69 * 82 / 72 is a plain fraction.
     assert (paces[80], paces[1], paces[72]) == (70.72, 82.0, 78.58)
+
+
+def test_profile_table_has_its_own_columns(spark):
+    found = catalog.QUERIES["profile_table"](spark, SMALL)
+    assert {r["column"]: r.n_rows for r in found.collect()} == dict.fromkeys(("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), 150)
