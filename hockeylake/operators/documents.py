@@ -550,14 +550,16 @@ def norwegian_matches(docs: DataFrame, known: tuple[tuple[str, str], ...] = NORW
 
     Goals that a result doesn't tell are 0; a match is finished, and has statistics, if its end result is told. The playing time is 3,600 seconds.
     """
-    m = docs.select(F.col("doc").alias("t"), F.explode(F.try_variant_get("doc", "$.matches", "array<variant>")).alias("m")).filter(_is_object(F.try_variant_get("m", "$.matchResult", "variant")))
+    # What is told of the tournament is read before the matches part: behind that each would carry the whole document.
+    told = (_long("doc", "$.tournament.id").alias("tournament_id"), _text("doc", "$.tournament.name").alias("tournament_name"), _long("doc", "$.tournament.year").alias("year"))
+    m = docs.select(*told, F.explode(F.try_variant_get("doc", "$.matches", "array<variant>")).alias("m")).filter(_is_object(F.try_variant_get("m", "$.matchResult", "variant")))
     team = lambda side: F.coalesce(_text("m", f"$.{side}teamOrgName"), _text("m", f"$.{side}team"), F.lit(""))
     ended = blank_to_null(_text("m", "$.matchResult.matchEndResult")).isNotNull()
     return m.select(
         _long("m", "$.matchId").alias("match_id"), slug_among(team("home"), known).alias("team_slug"), _text("m", "$.matchDate").alias("match_date"), _text("m", "$.lastChangeDate").alias("end_time"),
         *(c for s in ("home", "away") for c in (_long("m", f"$.{s}teamId").alias(f"{s}_team_id"), team(s).alias(f"{s}_team_name"))), *(F.coalesce(_long("m", f"$.matchResult.{s}Goals"), F.lit(0).cast("bigint")).alias(f"{s}_goals") for s in ("home", "away")),
-        F.when(ended, "Finished").otherwise("Upcoming").alias("status"), F.lit(3600).cast("bigint").alias("game_time"), ended.alias("has_statistics"), _long("t", "$.tournament.id").alias("tournament_id"), _text("t", "$.tournament.name").alias("tournament_name"),
-        zero_to_null(_long("t", "$.tournament.year")).alias("season_year"), phase(F.coalesce(_text("t", "$.tournament.name"), F.lit(""))).alias("season_phase"),
+        F.when(ended, "Finished").otherwise("Upcoming").alias("status"), F.lit(3600).cast("bigint").alias("game_time"), ended.alias("has_statistics"), "tournament_id", "tournament_name",
+        zero_to_null(F.col("year")).alias("season_year"), phase(F.coalesce("tournament_name", F.lit(""))).alias("season_phase"),
     )
 
 

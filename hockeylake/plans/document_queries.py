@@ -114,6 +114,10 @@ def trf_game_stories(spark, d):
     return doc.extract_stories(_games(spark, d))
 
 
+#: The page of a season's list that a game stands on, so that a document has a thousand games at most, however large the tables are.
+_PAGE_OF = "game_id div 1000 AS page"
+
+
 def _variants(df, *columns):
     """One document a row, from SQL that builds its JSON."""
     return df.select(*columns[:-1], F.try_parse_json(columns[-1]).alias("doc"))
@@ -191,7 +195,10 @@ def trf_schedule(spark, d):
 
 @query(f"WITH {_G} SELECT DISTINCT CAST(season AS VARCHAR) AS season, game_id FROM games WHERE season // 10000 % 6 < 5 UNION ALL SELECT CAST(season AS VARCHAR), max(game_id) FROM games WHERE season // 10000 % 6 = 5 GROUP BY season")
 def trf_game_ids(spark, d):
-    g = view(spark, d, "games").groupBy("season").agg(F.expr("case season div 10000 % 6 when 0 then to_json(collect_list(game_id)) when 1 then to_json(named_struct('gameIds', collect_list(game_id))) when 2 then to_json(named_struct('games', collect_list(named_struct('gamePk', game_id)))) when 3 then to_json(named_struct('season', cast(season as string), 'game_ids', collect_list(cast(game_id as string)))) when 4 then to_json(named_struct('data', named_struct('items', collect_list(named_struct('id', game_id))))) else to_json(named_struct('gameIds', max(game_id))) end").alias("payload"))
+    """Documents of a season's games by their page, in five shapes of lists; every sixth season has one document with its last id alone."""
+    games = view(spark, d, "games")
+    g = games.filter("season div 10000 % 6 < 5").groupBy("season", F.expr(_PAGE_OF)).agg(F.expr("case season div 10000 % 6 when 0 then to_json(collect_list(game_id)) when 1 then to_json(named_struct('gameIds', collect_list(game_id))) when 2 then to_json(named_struct('games', collect_list(named_struct('gamePk', game_id)))) when 3 then to_json(named_struct('season', cast(season as string), 'game_ids', collect_list(cast(game_id as string)))) else to_json(named_struct('data', named_struct('items', collect_list(named_struct('id', game_id))))) end").alias("payload")).drop("page")
+    g = g.unionByName(games.filter("season div 10000 % 6 = 5").groupBy("season").agg(F.expr("to_json(named_struct('gameIds', max(game_id)))").alias("payload")))
     return doc.extract_game_ids(_variants(g.select(F.when(F.expr("season div 10000 % 6 != 3"), F.col("season").cast("string")).alias("season"), "payload"), "season", "payload"))
 
 
@@ -360,11 +367,11 @@ CASE WHEN status = 'FUT' THEN 'Upcoming' ELSE 'Finished' END AS status, 3600 AS
 CASE WHEN season // 10000 % 2 = 0 THEN 'Playoffs' ELSE 'Regular' END AS season_phase FROM games WHERE game_id % 10 > 0"""
 )
 def trf_nor_matches(spark, d):
-    """A document for each season; every tenth match has no result, every fourth doesn't tell the home team's goals."""
+    """Documents of a season's matches, by their page; every tenth match has no result, every fourth doesn't tell the home team's goals."""
     g = view(spark, d, "games")
     match = f"""'{{"matchId": ' || game_id || ', "matchDate": "' || game_date || '", "hometeamId": ' || home_team_id || ', ' || if(game_id % 2 = 0, '"hometeamOrgName"', '"hometeam"') || ': "' || {_NOR_TEAM} || '", "awayteamId": ' || away_team_id || ', "awayteam": "Away", "matchResult": ' ||
       if(game_id % 10 = 0, 'null', '{{"homeGoals": ' || if(game_id % 4 = 0, 'null', cast(home_score as string)) || ', "awayGoals": ' || away_score || ', "matchEndResult": ' || if(status = 'FUT', '""', '"' || home_score || '-' || away_score || '"') || '}}') || '}}'"""
-    docs = g.groupBy("season").agg(F.array_join(F.collect_list(F.expr(match)), ",").alias("matches"))
+    docs = g.groupBy("season", F.expr(_PAGE_OF)).agg(F.array_join(F.collect_list(F.expr(match)), ",").alias("matches"))
     text = """'{"tournament": {"id": ' || season || ', "name": "' || if(season div 10000 % 2 = 0, 'EHL Playoff', 'EHL') || '", "year": "' || if(season div 10000 % 3 = 0, 0L, season div 10000) || '"}, "matches": [' || matches || ']}'"""
     return doc.norwegian_matches(_variants(docs.select(F.expr(text).alias("payload")), "payload"))
 

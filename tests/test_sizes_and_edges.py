@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from hockeylake.operators import trends
-from hockeylake.plans import catalog
+from hockeylake.plans import catalog, document_queries
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -18,3 +18,30 @@ def test_pace_is_rounded_as_a_double(spark):
 def test_profile_table_has_its_own_columns(spark):
     found = catalog.QUERIES["profile_table"](spark, SMALL)
     assert {r["column"]: r.n_rows for r in found.collect()} == dict.fromkeys(("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), 150)
+
+
+def _orders(spark, path, n):
+    """Orders of one season as a table on its own."""
+    o = spark.range(n).selectExpr("id AS o_orderkey", "id % 99 AS o_custkey", "'O' AS o_orderstatus", "1.0D AS o_totalprice", "TIMESTAMP_NTZ '1996-03-04 00:00:00' AS o_orderdate", "'5-LOW' AS o_orderpriority")
+    o.write.parquet(f"{path}/orders.parquet")
+    return str(path)
+
+
+def _largest(seen, path):
+    return max(r.n for r in seen[0].select(F.size(F.try_variant_get("doc", path, "array<variant>")).alias("n")).collect())
+
+
+def test_documents_of_matches_stay_small(spark, tmp_path, monkeypatch):
+    folder, seen = _orders(spark, tmp_path, 3000), []
+    extract = document_queries.doc.norwegian_matches
+    monkeypatch.setattr(document_queries.doc, "norwegian_matches", lambda docs: seen.append(docs) or extract(docs))
+    assert catalog.QUERIES["trf_nor_matches"](spark, folder).count() == 2700
+    assert _largest(seen, "$.matches") <= 1000
+
+
+def test_documents_of_game_ids_stay_small(spark, tmp_path, monkeypatch):
+    folder, seen = _orders(spark, tmp_path, 3000), []
+    extract = document_queries.doc.extract_game_ids
+    monkeypatch.setattr(document_queries.doc, "extract_game_ids", lambda docs: seen.append(docs) or extract(docs))
+    assert catalog.QUERIES["trf_game_ids"](spark, folder).count() == 3000
+    assert _largest(seen, "$.data.items") <= 1000
