@@ -7,45 +7,38 @@ from pyspark.sql import functions as F
 
 from hockeylake.functions import folded_slug
 
-#: Longest grams of the index.
-_GRAM = 3
 
+def _parts(text: Column, lengths: Column) -> Column:
+    """The different parts of a text that have one of the lengths; the empty one is a part of every text."""
+    fitting = F.filter(lengths, lambda n: n <= F.length(text))
+    return F.array_distinct(F.flatten(F.transform(fitting, lambda n: F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substr(text, i, n)))))
 
-def _grams_of(text: Column, size: Column | int) -> Column:
-    size = F.lit(size) if isinstance(size, int) else size
-    return F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substr(text, i, size))
 
-
-def _contained(text: Column) -> Column:
-    """All texts of up to three characters that a text contains, the empty one too."""
-    sizes = (F.when(F.length(text) >= n, _grams_of(text, n)).otherwise(F.array().cast("array<string>")) for n in range(1, _GRAM + 1))
-    return F.array_distinct(F.concat(F.array(F.lit("")), *sizes))
-
-
-def _own(text: Column) -> Column:
-    """Those of them that whatever contains the text must contain: its grams of three characters, or a shorter text itself."""
-    return F.when(F.length(text) < _GRAM, F.array(text)).otherwise(F.array_distinct(_grams_of(text, _GRAM)))
+def _lengths(texts: DataFrame, column: str) -> DataFrame:
+    """All lengths of a column's texts, as a list in one row."""
+    return texts.agg(F.collect_set(F.length(column)).alias("lengths"))
 
 
 def first_containing(names: DataFrame, column: str, known: DataFrame) -> DataFrame:
     """``(<column>, value)`` for the different names that contain a name of ``known (name, value, ord)`` or are contained in one, in any case: the value of the first by ``ord``.
 
-    Candidates come from an index of grams: a known name is looked up by the rarest of its own grams among those of each name, and a name by the rarest of
-    its grams in the index; only they are compared. An empty name is contained in every one. Names without a hit and null names give no row;
+    A text that another contains is one of its parts, so that both ways are joins of equal texts: the parts of each name that are as long as some known name, and the parts of each known name
+    that are as long as some name. Of equal parts of known names the first by ``ord`` is kept before it is joined, so that no pair is made that isn't a hit, and a part that many known names
+    share costs one row. A text of n characters has at most n parts of a length. An empty name is contained in every one. Names without a hit and null names give no row;
     of equal ``ord`` the smallest value counts; an empty table gives an empty result.
     """
-    known = known.select(F.lower("name").alias("m"), "value", "ord").filter("m IS NOT NULL")
+    known = known.select(F.lower("name").alias("m"), F.struct("ord", "value").alias("v")).filter("m IS NOT NULL")
     names = names.select(F.col(column).alias("name"), F.lower(column).alias("x")).filter("x IS NOT NULL").distinct()
-    index = known.select("m", "value", "ord", F.explode(_contained(F.col("m"))).alias("gram"))
-    common = index.groupBy("gram").agg(F.count("*").alias("n"))
-    rarest = F.min_by("gram", F.struct("n", "gram")).alias("gram")
-    anchors = known.select("m", "value", "ord", F.explode(_own(F.col("m"))).alias("gram")).join(common, "gram").groupBy("m", "value", "ord").agg(rarest)
-    around = names.select("name", "x", F.explode(_contained(F.col("x"))).alias("gram")).join(anchors, "gram").filter(F.contains("x", "m"))
-    looked = names.select("name", "x", F.explode(_own(F.col("x"))).alias("gram")).join(common, "gram", "left")
-    looked = looked.groupBy("name", "x").agg(rarest, F.bool_or(F.col("n").isNull()).alias("foreign")).filter("NOT foreign")
-    within = looked.select("name", "x", "gram").join(index, "gram").filter(F.contains("m", "x"))
-    hits = around.select("name", "value", "ord").unionByName(within.select("name", "value", "ord"))
-    return hits.groupBy(F.col("name").alias(column)).agg(F.min_by("value", F.struct("ord", "value")).alias("value"))
+
+    def parted(texts: DataFrame, text: str, lengths: DataFrame, *more: str) -> DataFrame:
+        return texts.crossJoin(F.broadcast(lengths)).select(*more, F.explode(_parts(F.col(text), F.col("lengths"))).alias("part"))
+
+    whole = known.groupBy(F.col("m").alias("part")).agg(F.min("v").alias("v"))
+    inner = parted(known, "m", _lengths(names, "x"), "v").groupBy("part").agg(F.min("v").alias("v"))
+    around = parted(names, "x", _lengths(known, "m"), "name").join(whole.hint("merge"), "part")
+    within = names.withColumnRenamed("x", "part").join(inner.hint("merge"), "part")
+    hits = around.select("name", "v").unionByName(within.select("name", "v"))
+    return hits.groupBy(F.col("name").alias(column)).agg(F.min("v").alias("v")).select(column, F.col("v.value").alias("value"))
 
 
 def team_slug(df: DataFrame, column: str, known: DataFrame, out: str = "slug") -> DataFrame:

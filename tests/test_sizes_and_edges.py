@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from hockeylake.operators import trends
+from hockeylake.operators import names, trends
 from hockeylake.plans import catalog, document_queries
 
 SMALL = "/root/testdata/sf0.001"
@@ -45,3 +45,11 @@ def test_documents_of_game_ids_stay_small(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(document_queries.doc, "extract_game_ids", lambda docs: seen.append(docs) or extract(docs))
     assert catalog.QUERIES["trf_game_ids"](spark, folder).count() == 3000
     assert _largest(seen, "$.data.items") <= 1000
+
+
+def test_known_names_are_not_broadcast(spark):
+    known = spark.range(50).selectExpr("concat('Customer#', id) AS name", "'v' AS value", "id AS ord")
+    found = names.first_containing(known.select("name"), "name", known)
+    assert found.count() == 50
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
