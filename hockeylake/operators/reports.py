@@ -27,9 +27,10 @@ def report_lines(reports: DataFrame) -> DataFrame:
     Runs of blanks are one, the dash of a goal's score stands without blanks (``2 \u2013 1`` is ``2-1``), blank lines are left out.
     """
     df = reports.select("game_id", "report_type", F.posexplode(F.split("text", r"\r?\n")).alias("pos", "line"))
+    df = df.filter(F.col("line").rlike(r"[^\s\u00a0]"))  # of the raw line, so that lines aren't tidied once more for a filter
     line = F.trim(F.regexp_replace("line", r"[\s\u00a0]+", " "))
     score = F.regexp_replace(line, r"(?<=\d)(?: [-\u2013] |[-\u2013])(?=\d)", "-")
-    return df.withColumn("line", F.when(line.startswith("Goal "), score).otherwise(line)).filter("line != ''").withColumn("words", F.split("line", " "))
+    return df.withColumn("line", F.when(line.startswith("Goal "), score).otherwise(line)).withColumn("words", F.split("line", " "))
 
 
 def _order():
@@ -183,12 +184,13 @@ def referees(lines: DataFrame) -> DataFrame:
 def team_names(lines: DataFrame) -> DataFrame:
     """Home and away team from the first line ``Home - Away`` (any dash, or ``vs``) without numbers and colons, else the first two teams of the statistics tables."""
     parts = F.split("line", r" (?:[-\u2013\u2014]|vs\.?) ")
-    named = lines.filter(~F.col("line").rlike(r"[\d:]") & (F.size(parts) == 2)).groupBy("game_id").agg(F.min_by(parts, "pos").alias("named"))
     start = size() - len(PERIOD_FIELDS)
-    tables = lines.filter((start > 0) & fits(start, PERIOD_FIELDS)).groupBy("game_id", joined(0, start).alias("team")).agg(F.min("pos").alias("pos"))
-    tables = tables.groupBy("game_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "team"))), lambda t: t["team"]).alias("listed"))
+    named = F.when(~F.col("line").rlike(r"[\d:]") & (F.size(parts) == 2), parts)
+    team = F.when((start > 0) & fits(start, PERIOD_FIELDS), F.struct("pos", joined(0, start).alias("team")))
+    found = lines.select("game_id", "pos", named.alias("named"), team.alias("team")).groupBy("game_id")
+    found = found.agg(F.min_by("named", F.when(F.col("named").isNotNull(), F.col("pos"))).alias("named"), F.array_distinct(F.transform(F.array_sort(F.collect_list("team")), lambda t: t["team"])).alias("listed"))
     both = F.coalesce("named", "listed")
-    return lines.select("game_id").distinct().join(named, "game_id", "left").join(tables, "game_id", "left").filter(both.isNotNull()).select("game_id", F.trim(F.get(both, F.lit(0))).alias("home_team"), F.trim(F.get(both, F.lit(1))).alias("away_team"))
+    return found.filter("named IS NOT NULL OR size(listed) > 0").select("game_id", F.trim(F.get(both, F.lit(0))).alias("home_team"), F.trim(F.get(both, F.lit(1))).alias("away_team"))
 
 
 #: Positions on the ice.
@@ -528,7 +530,8 @@ def page_events(pages: DataFrame, key: str = "page_id", html: str = "html") -> D
     timed = F.filter("rows", lambda r: r["text"].rlike(r"(?s)^<tr\b[^>]*>\s*<td[^>]*>(?:\s|<[^>]*>)*\d{1,3}:\d{2}\s*<"))
     told = told.select(key, F.when(F.size("titled") > 0, F.col("titled")).otherwise(F.col("headed")).alias("marks"), timed.alias("events"))
     first = inferred_period(clock_seconds(F.regexp_extract(F.get("events", F.lit(0))["text"], r"(\d{1,3}:\d{2})\s*<", 1)))
-    rows = told.select(key, "marks", first.alias("first"), F.explode("events").alias("e"))
+    # With explode Spark would first read each page's events for a filter on their number, below any shuffle, and then again.
+    rows = told.select(key, "marks", first.alias("first"), F.explode_outer("events").alias("e")).filter("e IS NOT NULL")
     c = F.split(_plain(F.col("e.text")), r"\|")
     rows = rows.select(key, F.col("e.at").alias("pos"), F.coalesce(last_before(F.col("marks"), F.col("e.at"))["period"], F.col("first")).alias("head"), c.alias("cells"))
     rows = rows.select(key, "pos", "head", *(F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(("clock", "what", "team", "who"))))

@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from hockeylake.operators import names, trends
-from hockeylake.plans import catalog, document_queries
+from hockeylake.operators import names, reports, trends
+from hockeylake.plans import catalog, document_queries, report_queries
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -53,3 +53,21 @@ def test_known_names_are_not_broadcast(spark):
     assert found.count() == 50
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_texts_are_made_by_many_tasks(spark):
+    for df in (report_queries._lines(spark, SMALL, report_queries._REPORT), report_queries._pages(spark, SMALL, report_queries._PAGE), report_queries._all_reports(spark, SMALL)):
+        assert df.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_events_of_a_page_are_read_once(spark):
+    plan = reports.page_events(spark.createDataFrame([(1, "<tr><td>01:00</td></tr>")], "page_id int, html string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in plan and not [x for x in plan.split("\n") if "Filter" in x and "size(" in x]
+
+
+def test_team_names_without_any_and_with_tables_alone(spark):
+    line = "HOM 2 20 24 92,31 6 04:00 2 50,00 02:10 1 N/A"
+    texts = [(1, "r", f"{line}\n{line.replace('HOM', 'AWY')}\n{line}"), (2, "r", "nothing\n \n "), (3, "r", f"{line}\nLeft - Right\nNext - Other")]
+    found = reports.team_names(reports.report_lines(spark.createDataFrame(texts, "game_id int, report_type string, text string")))
+    assert sorted(map(tuple, found.collect())) == [(1, "HOM", "AWY"), (3, "Left", "Right")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1
