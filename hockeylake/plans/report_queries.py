@@ -22,9 +22,14 @@ _SUMMARY = "'Name No. Pos. G A TP +/- PIM SOG FO+/- FO%\\nHALL, Max ' || '9 CE 1
 _MEDIA = "'Skaters SOG Goals Assists Points\\n12 HALL Max ' || game_id % 6 || ' 1 0 1 -1 2 4 - 5 50,0' || if(game_id % 2 = 0, ' 20 15:30', '') || '\\nGoalies Saves GA SOG\\n30 NOR Ed ' || (away_sog - away_score) || ' ' || away_score || ' ' || away_sog || ' 91,50 1 - 60:00\\n31 OST Al 0 0 0 N/A - - 0:00'"
 
 
+#: Games whose texts one task makes and sorts at most.
+_GAMES_A_TASK = 50_000
+
+
 def _spread(spark, d):
-    """The games dealt over several tasks a core by their id, before texts are made of them: few bytes of games make much text, so that splits of the table by size leave most cores idle. What groups or orders by game needs no further shuffle."""
-    return view(spark, d, "games").repartition(4 * spark.sparkContext.defaultParallelism, "game_id")
+    """The games dealt by their id over several tasks a core, and over more where there are many, before texts are made of them: few bytes of games make much text, so that splits of the table by size leave most cores idle. What groups or orders by game needs no further shuffle."""
+    n = table(spark, d, "orders").count()  # from the footers of its files
+    return view(spark, d, "games").repartition(max(4 * spark.sparkContext.defaultParallelism, -(-n // _GAMES_A_TASK)), "game_id")
 
 
 def _lines(spark, d, text: str, kind: str = "official_game_report"):

@@ -71,3 +71,8 @@ def test_team_names_without_any_and_with_tables_alone(spark):
     found = reports.team_names(reports.report_lines(spark.createDataFrame(texts, "game_id int, report_type string, text string")))
     assert sorted(map(tuple, found.collect())) == [(1, "HOM", "AWY"), (3, "Left", "Right")]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1
+
+
+def test_tasks_of_texts_grow_with_the_games(spark, monkeypatch):
+    monkeypatch.setattr(report_queries, "_GAMES_A_TASK", 15)
+    assert report_queries._lines(spark, SMALL, report_queries._REPORT).rdd.getNumPartitions() == 100
