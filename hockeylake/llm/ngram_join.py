@@ -280,11 +280,13 @@ def similar_documents(
             pairs = stash(x.join(y, same & may_link & begins & once).select(*as_pair).distinct(), "pairs")
             return members, stash(verified(within.select("x", "y").union(expanded(pairs))), "links", up=1)
 
-        # Stars: each class meets the first of its group, each group of a hot list one of two that are chosen at random.
+        # Stars: each class meets the first of its group, each group of a hot list that one of about its size which has the fewest shingles before the list's: of
+        # near copies that is the one nearest to what they are copies of, which links with more of them than one at random. Ties are settled at random, in two ways.
         heat = shared.filter(F.col("c") > hot).select("token")
-        heated = stash(postings.join(heat, "token"), "hot")
-        pivots = heated.groupBy("token").agg(F.min_by(F.struct("gid", "n", "at"), F.xxhash64("gid", F.col("token").bitwiseAND(F.lit(1)))).alias("p")).select("token", "p.*")
-        stars = stash(heated.alias("x").join(pivots.alias("y"), same & may_link & (F.col("x.gid") != F.col("y.gid"))).select(*as_pair).distinct(), "stars")
+        band = F.floor(F.log("n") / F.log(F.lit(max(whole / part, 1.05)))).alias("band")
+        heated = stash(postings.join(heat, "token").select("*", band), "hot")
+        pivots = heated.groupBy("token", "band").agg(F.min_by(F.struct("gid", "n", "at"), F.struct("at", F.xxhash64("gid", F.col("token").bitwiseAND(F.lit(1))))).alias("p")).select("token", F.explode(F.array(*(F.col("band") + i for i in (-1, 0, 1)))).alias("band"), "p.*")
+        stars = stash(heated.alias("x").join(pivots.alias("y"), same & (F.col("x.band") == F.col("y.band")) & may_link & (F.col("x.gid") != F.col("y.gid"))).select(*as_pair).distinct(), "stars")
         first = several.filter("rep = gid").select("gid", attributes.alias("y"))
         within = several.filter("rep != gid").select("gid", attributes.alias("x")).join(first, "gid").filter(apart)
         links = verified(within.select("x", "y").union(expanded(stars)))

@@ -126,6 +126,46 @@ def test_links_of_a_large_group_of_near_copies_stay_few(spark):
     assert connected_components(links).select("component").distinct().count() == 1
 
 
+def test_pairs_of_a_large_family_grow_with_its_size_and_not_with_its_square(spark, monkeypatch):
+    from hockeylake.llm import ngram_join
+
+    rng, sizes = random.Random(11), {}
+    texts = []
+    for words in (150, 120):  # two families of near copies that share a common passage
+        base = [f"p{i}" for i in range(60)] + [f"f{words}x{i}" for i in range(words - 60)]
+        for i in range(300):
+            copy = list(base)
+            for j in range(i % 4):
+                copy[rng.randrange(words)] = f"u{words}x{i}x{j}"
+            texts.append(copy)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    real = ngram_join.stash
+
+    def counted(df, name, up=0):
+        out = real(df, name, up)
+        sizes[name] = max(sizes.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stash", counted)
+    got = {r.doc_id: r.component_id for r in near_duplicate_components(docs, n=3, part=90).collect()}
+    # Links by brute force.
+    sets = [{tuple(w[k : k + 3]) for k in range(len(w) - 2)} for w in texts]
+    parent = list(range(len(sets)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if 10 * min(len(sets[i]), len(sets[j])) >= 9 * max(len(sets[i]), len(sets[j])) and 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]):
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    assert got == {i: root(i) for i in range(len(sets))}
+    assert sizes["stars"] + sizes["pairs"] <= 5 * len(texts), sizes
+
+
 def test_intermediate_files_go_with_their_block(spark, docs):
     import os
 
