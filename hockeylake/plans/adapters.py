@@ -72,10 +72,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _USES = {"games": ["orders"], "game_players": ["lineitem"], "players": ["part"], "teams": ["nation", "region"], "game_events": ["lineitem"], "raw_team_games": ["orders"], "raw_player_games": ["lineitem"]}
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the hockey-shaped views as a DataFrame."""
+def view(spark: SparkSession, sf_dir: str, name: str, **given: DataFrame) -> DataFrame:
+    """One of the hockey-shaped views as a DataFrame; tables that are given, all their rows dealt otherwise, are not read again."""
     text = VIEWS[name]
-    frames = {t: table(spark, sf_dir, t) for t in _USES[name]}
+    frames = {t: given[t] if t in given else table(spark, sf_dir, t) for t in _USES[name]}
     for t in frames:
         for word in ("FROM", "JOIN"):
             text = text.replace(f"{word} {t}", f"{word} {{{t}}}")

@@ -21,6 +21,18 @@ def player_games(spark: SparkSession, d: str) -> DataFrame:
     return gold.player_game_stats(view(spark, d, "game_players"), view(spark, d, "games"), view(spark, d, "players"))
 
 
+#: Rows of players' games that one task adds up, joins or sorts for windows, on average.
+_ROWS_A_TASK = 150_000
+
+
+def by_player(spark: SparkSession, d: str) -> DataFrame:
+    """``player_games`` dealt by game, and then by player, over so many tasks that none holds more as the tables grow; what groups by game, or has windows by player, needs no further shuffle."""
+    rows = table(spark, d, "lineitem")
+    n = max(spark.sparkContext.defaultParallelism, -(-rows.count() // _ROWS_A_TASK))  # from the footers of its files
+    players = view(spark, d, "game_players", lineitem=rows.repartition(n, "l_orderkey"))
+    return gold.player_game_stats(players, view(spark, d, "games"), view(spark, d, "players")).repartition(n, "player_id")
+
+
 def team_games(spark: SparkSession, d: str) -> DataFrame:
     return gold.team_game_stats(view(spark, d, "games"))
 
@@ -105,12 +117,12 @@ def _columns(df: DataFrame, *lists: str) -> DataFrame:
 
 @query(_pick(_PRS_I, "prs", _PRS, doubles=_PRS_D))
 def player_rolling_stats(spark, d):
-    return _columns(features.player_rolling_stats(player_games(spark, d)), _PRS_I, _PRS_D)
+    return _columns(features.player_rolling_stats(by_player(spark, d)), _PRS_I, _PRS_D)
 
 
 @query(_pick(_GRS_I, "grs", _GRS, doubles=_GRS_D))
 def goalie_rolling_stats(spark, d):
-    return _columns(features.goalie_rolling_stats(player_games(spark, d)), _GRS_I, _GRS_D)
+    return _columns(features.goalie_rolling_stats(by_player(spark, d)), _GRS_I, _GRS_D)
 
 
 @query(_pick(_TRS_I, "trs", _TRS, doubles=_TRS_D))
@@ -166,7 +178,7 @@ FROM pgs WHERE position <> 'G' AND toi_seconds > 0 WINDOW {_windows("player_id")
     )
 )
 def player_season_timeline(spark, d):
-    return _columns(features.player_season_timeline(player_games(spark, d)), _PST_I, _PST_D)
+    return _columns(features.player_season_timeline(by_player(spark, d)), _PST_I, _PST_D)
 
 
 _GST_I = "player_id, game_id, game_date, season, team_abbr, saves_cum, shots_against_cum, goals_against_cum, toi_seconds_cum, gp_cum, season_sv_pct_rank"
@@ -185,7 +197,7 @@ FROM pgs WHERE position = 'G' AND toi_seconds > 600 WINDOW {_windows("player_id"
     )
 )
 def goalie_season_timeline(spark, d):
-    return _columns(features.goalie_season_timeline(player_games(spark, d)), _GST_I, _GST_D)
+    return _columns(features.goalie_season_timeline(by_player(spark, d)), _GST_I, _GST_D)
 
 
 _TST = (("points", "p"), ("gf", "goals_for"), ("ga", "goals_against"), ("shots", "sog"), ("pp_goals", "pp_goals"), ("pp_opps", "pp_opps"), ("wins", "win"), ("otl", "otl"), ("losses", "loss"))
@@ -342,7 +354,7 @@ _CURRENT = "season = (SELECT max(season) FROM games WHERE game_type = 2) AND gam
 
 @query(_pick(_P_I, "prs", _PRS, f"WHERE {_CURRENT} AND gp_season >= 3 AND abs(pts_zscore_5v20) >= 0.5 AND player_first_name IS NOT NULL AND player_last_name IS NOT NULL ORDER BY abs(pts_zscore_5v20) DESC, player_id LIMIT 20", _P_D))
 def anomalies_player(spark, d):
-    found = insights.player_anomalies(features.player_rolling_stats(player_games(spark, d)), view(spark, d, "games"), min_games=3, threshold=0.5)
+    found = insights.player_anomalies(features.player_rolling_stats(by_player(spark, d)), view(spark, d, "games"), min_games=3, threshold=0.5)
     return _columns(found, _P_I, _P_D)
 
 
@@ -352,7 +364,7 @@ _G_D = "sv_pct_avg_5g, sv_pct_avg_20g, sv_pct_zscore_5v20"
 
 @query(_pick(_G_I, "grs", _GRS, f"WHERE {_CURRENT} AND gp_season >= 2 AND abs(sv_pct_zscore_5v20) >= 0.5 AND player_first_name IS NOT NULL AND player_last_name IS NOT NULL ORDER BY abs(sv_pct_zscore_5v20) DESC, player_id LIMIT 10", _G_D))
 def anomalies_goalie(spark, d):
-    found = insights.goalie_anomalies(features.goalie_rolling_stats(player_games(spark, d)), view(spark, d, "games"), min_games=2, threshold=0.5)
+    found = insights.goalie_anomalies(features.goalie_rolling_stats(by_player(spark, d)), view(spark, d, "games"), min_games=2, threshold=0.5)
     return _columns(found, _G_I, _G_D)
 
 
@@ -401,7 +413,7 @@ FROM (WITH {_OUT} SELECT * FROM out WHERE corsi_pct_avg < 0.48 OR corsi_pct_avg
 
 
 def all_insights(spark: SparkSession, d: str) -> DataFrame:
-    pg, tg, games = player_games(spark, d), team_games(spark, d), view(spark, d, "games")
+    pg, tg, games = by_player(spark, d), team_games(spark, d), view(spark, d, "games")
     return insights.insights(
         insights.player_anomalies(features.player_rolling_stats(pg), games, 3, 0.5),
         insights.goalie_anomalies(features.goalie_rolling_stats(pg), games, 2, 0.5),

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from hockeylake.operators import names, reports, trends
-from hockeylake.plans import catalog, document_queries, report_queries
+from hockeylake.plans import catalog, document_queries, gold_queries, report_queries
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -76,3 +76,11 @@ def test_team_names_without_any_and_with_tables_alone(spark):
 def test_tasks_of_texts_grow_with_the_games(spark, monkeypatch):
     monkeypatch.setattr(report_queries, "_GAMES_A_TASK", 15)
     assert report_queries._lines(spark, SMALL, report_queries._REPORT).rdd.getNumPartitions() == 100
+
+
+def test_tasks_of_windows_by_player_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(gold_queries, "_ROWS_A_TASK", 100)
+    rows = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    found = catalog.QUERIES["player_rolling_stats"](spark, SMALL)
+    assert found.rdd.getNumPartitions() == -(-rows // 100)
+    assert found.count() == found.select("player_id", "game_id").distinct().count() > 5000
