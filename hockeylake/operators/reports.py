@@ -357,7 +357,10 @@ def report_bundle(reports: DataFrame) -> dict[str, DataFrame]:
     official, line_up, media, summary = (found[k] for k in ("official_game_report", "line_up", "media_summary", "game_summary"))
 
     def else_from(first: DataFrame, second: DataFrame) -> DataFrame:
-        return first.unionByName(second.join(first.select("game_id").distinct(), "game_id", "left_anti"), allowMissingColumns=True)
+        # A window in place of an anti-join, so that the first's texts are read once.
+        both = first.withColumn("_source", F.lit(0)).unionByName(second.withColumn("_source", F.lit(1)), allowMissingColumns=True)
+        least = F.min("_source").over(Window.partitionBy("game_id"))
+        return both.withColumn("_least", least).filter("_source = _least OR game_id IS NULL").drop("_source", "_least")
 
     tables = {name: official[name] for name in ("period_stats", "on_ice", "goals", "penalties", "goalkeeper_changes", "spectators")}
     tables |= {"referees": else_from(official["referees"], line_up["referees"]), "roster": found["team_roster"]["roster"], "lineup": line_up["lineup"]}

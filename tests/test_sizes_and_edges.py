@@ -84,3 +84,9 @@ def test_tasks_of_windows_by_player_grow_with_the_rows(spark, monkeypatch):
     found = catalog.QUERIES["player_rolling_stats"](spark, SMALL)
     assert found.rdd.getNumPartitions() == -(-rows // 100)
     assert found.count() == found.select("player_id", "game_id").distinct().count() > 5000
+
+
+def test_a_games_reports_are_each_read_once(spark):
+    found = reports.report_bundle(report_queries._all_reports(spark, SMALL))["skaters"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("line_up") == plan.count("team_roster") == 0
