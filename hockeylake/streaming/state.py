@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -29,6 +28,9 @@ def inserted(stream: DataFrame, keys: list[str], existing: DataFrame | None = No
     return stream.dropDuplicates(keys)
 
 
+_OUT = Row("entity", "id", "average", "season_total", "season_games", "late")
+
+
 class _Form(StatefulProcessor):
     """The rows of one entity that late rows may still come between, and sums by season of those before."""
 
@@ -39,40 +41,44 @@ class _Form(StatefulProcessor):
         self.rows = handle.getListState("rows", "at double, id long, season string, value double", self.ttl)
         self.before = handle.getMapState("before", "season string", "total double, games long", self.ttl)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        old = [(r[0], r[1], r[2], r[3]) for r in self.rows.get()]
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        old = sorted((r[0], r[1], r[2], r[3]) for r in self.rows.get())
         before = {k[0]: (v[0], v[1]) for k, v in self.before.iterator()}
-        known, fresh = {(r[0], r[1]) for r in old}, {}
-        for part in rows:
-            for at, i, season, value in zip(part["at"], part["id"], part["season"], part["value"], strict=True):
-                fresh.setdefault((float(at), int(i)), (float(at), int(i), season, 0.0 if value is None or value != value else float(value)))
+        known, fresh = {r[:2] for r in old}, {}
+        for r in rows:
+            at, i, value = float(r["at"]), int(r["id"]), r["value"]
+            fresh.setdefault((at, i), (at, i, r["season"], 0.0 if value is None or value != value else float(value)))
         # Once something has been let go, a row needs the first row that is kept before it, and as many as its average takes.
         after = old[max(1, self.n - 1) - 1][:2] if before and len(old) >= max(1, self.n - 1) else None
         fresh = {k: v for k, v in fresh.items() if k not in known}
         too_late = sorted(k for k in fresh if after and k < after)
-        fresh = {k: v for k, v in fresh.items() if k not in set(too_late)}
-        every = sorted([*old, *fresh.values()], key=lambda r: r[:2])
-        sums, changed, since, out = dict(before), {}, -1, []
+        for k in too_late:
+            del fresh[k]
+        every = sorted([*old, *fresh.values()])
+        sums, changed, since, out = dict(before), set(), -1, []
         for i, row in enumerate(every):
             at, ident, season, value = row
             if (at, ident) in fresh:
-                since, changed[season] = i, True
+                since = i
+                changed.add(season)
             total, games = sums.get(season, (0.0, 0))
             sums[season] = total + value, games + 1
-            if (since >= 0 and i - since < self.n) or changed.get(season):
+            if (since >= 0 and i - since < self.n) or season in changed:
                 last = every[max(0, i - self.n + 1) : i + 1]
-                out.append((ident, sum(r[3] for r in last) / len(last), *sums[season], False))
-        out += [(i, None, None, None, True) for _, i in too_late]
-        if every:
+                out.append((key[0], ident, sum(r[3] for r in last) / len(last), *sums[season], False))
+        out += [(key[0], i, None, None, None, True) for _, i in too_late]
+        if fresh:
             first = next(i for i, r in enumerate(every) if r[0] >= every[-1][0] - self.late)
             gone, kept = every[: max(0, first - self.n + 1)], every[max(0, first - self.n + 1) :]
             for *_, season, value in gone:
                 total, games = before.get(season, (0.0, 0))
                 before[season] = total + value, games + 1
                 self.before.updateValue((season,), before[season])
-            self.rows.put(kept)
-        if out:
-            yield pd.DataFrame([(key[0], *r) for r in out], columns=["entity", "id", "average", "season_total", "season_games", "late"]).astype({"season_games": "Int64"})
+            if gone:
+                self.rows.put(kept)
+            else:  # what is kept already is not written again
+                self.rows.appendList(list(fresh.values()))
+        return iter([_OUT(*r) for r in out])
 
     def close(self) -> None:
         pass
@@ -91,7 +97,7 @@ def rolling_form(stream: DataFrame, entity: str, ident: str, ts: str, season: st
     rows = stream.select(F.col(entity).alias("entity"), F.col(ts).cast("timestamp").cast("double").alias("at"), F.col(ident).cast("long").alias("id"), F.coalesce(F.col(season).cast("string"), F.lit("")).alias("season"), F.col(value).cast("double").alias("value"))
     rows = rows.filter("entity IS NOT NULL AND at IS NOT NULL AND id IS NOT NULL")
     kind = f"entity {stream.schema[entity].dataType.simpleString()}, id long, average double, season_total double, season_games long, late boolean"
-    return rows.groupBy("entity").transformWithStateInPandas(_Form(n, late_seconds, ttl_ms), kind, "Update", "ProcessingTime" if ttl_ms else "None")
+    return rows.groupBy("entity").transformWithState(_Form(n, late_seconds, ttl_ms), kind, "Update", "ProcessingTime" if ttl_ms else "None")
 
 
 def latest(spark: SparkSession, path: str, schema: str, keys: list[str]) -> DataFrame:

@@ -205,3 +205,39 @@ def test_inserts_with_state(spark, tmp_path):
         spark.createDataFrame(rows, "k long, v string").coalesce(1).write.mode("append").parquet(source)
         streaming.run_available(state.inserted(streaming.read_stream(spark, source, "k long, v string"), ["k"], have), checkpoint, streaming.append_to(out))
     assert sorted(map(str, (tuple(r) for r in spark.read.schema("k long, v string").parquet(out).select("k", "v").collect()))) == ["(2, 'a')", "(3, 'b')", "(None, 'a')"]
+
+
+class _Kept:
+    """State of one key that notes what is written to it."""
+
+    def __init__(self):
+        self.rows, self.put_rows, self.appended = [], [], []
+
+    def getListState(self, *_):
+        return self
+
+    def getMapState(self, *_):
+        return type("Sums", (), {"iterator": lambda _: iter(()), "updateValue": lambda *_: None})()
+
+    def get(self):
+        return iter(self.rows)
+
+    def put(self, rows):
+        self.rows = list(rows)
+        self.put_rows.append(self.rows)
+
+    def appendList(self, rows):
+        self.rows = self.rows + list(rows)
+        self.appended.append(list(rows))
+
+
+def test_state_of_a_form_is_not_written_again_while_all_of_it_stays():
+    from hockeylake.streaming import state
+
+    kept, form = _Kept(), state._Form(2, 600, None)
+    form.init(kept)
+    row = lambda at, i: {"at": at, "id": i, "season": "a", "value": float(i)}
+    assert [tuple(r)[1:3] for r in form.handleInputRows(("p",), iter([row(10, 1), row(30, 3)]), None)] == [(1, 1.0), (3, 2.0)]
+    assert [tuple(r)[1:] for r in form.handleInputRows(("p",), iter([row(20, 2), row(30, 3)]), None)] == [(2, 1.5, 3.0, 2, False), (3, 2.5, 6.0, 3, False)]
+    assert [len(x) for x in kept.appended] == [2, 1] and not kept.put_rows
+    assert not list(form.handleInputRows(("p",), iter([row(20, 2)]), None)) and len(kept.appended) == 2
