@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hockeylake.operators import documents as doc
-from hockeylake.plans.adapters import cte, table, view
+from hockeylake.plans.adapters import cte, spread_games, table, view
 from hockeylake.plans.data_queries import scratch
 from hockeylake.plans.registry import query
 
@@ -31,7 +31,7 @@ def prepare(spark, d) -> None:
 
 def _games(spark, d):
     """Game documents: every second one in the live-data layout."""
-    g = view(spark, d, "games").withColumn("season_id", F.col("season"))
+    g = spread_games(spark, d).withColumn("season_id", F.col("season"))
     side = lambda s: f"named_struct('id', {s}_team_id, 'abbrev', 'T' || {s}_team_id, 'score', {s}_score, 'sog', {s}_sog)"
     player = lambda k, pos: f"named_struct('playerId', game_id * 10 + {k}, 'position', '{pos}', 'goals', home_score, 'assists', 1, 'sog', 2, 'toi', '12:' || lpad(game_id % 60, 2, '0'), 'hits', game_id % 3, 'pim', 0, 'powerPlayGoals', home_pp_goals, 'blockedShots', {k}, 'giveaways', 1, 'plusMinus', {k} - 2, 'faceoffWinningPctg', 0.5, 'saves', 20, 'shotsAgainst', 22, 'goalsAgainst', 2, 'savePctg', 0.875)"
     stats = lambda k: f"named_struct('forwards', array({player(k, 'C')}), 'goalies', array({player(k + 1, 'MV')}))"
@@ -275,7 +275,7 @@ def trf_edge_leaders(spark, d):
 
 def _details(spark, d):
     """League documents, one for each order: every second one with lines as arrays, the others with places by name; every list has entries that don't belong."""
-    g = view(spark, d, "games").withColumn("day", F.col("game_date").cast("string"))
+    g = spread_games(spark, d).withColumn("day", F.col("game_date").cast("string"))
     p = lambda number, more="": f"""'{{"number": {number}, "name": "P{number}"{more}}}'"""
     own = """'{"number": "' || (game_id % 30) || '", "name": "G", "position": "mv", "starting": true}'"""
     arrays = f"""'[{{"line": 1, "forwards": [' || {p(11, ', "position": "lw"')} || ', "none"], "defense": [' || {p(12)} || ', null]}}, 7]'"""

@@ -241,3 +241,10 @@ def test_state_of_a_form_is_not_written_again_while_all_of_it_stays():
     assert [tuple(r)[1:] for r in form.handleInputRows(("p",), iter([row(20, 2), row(30, 3)]), None)] == [(2, 1.5, 3.0, 2, False), (3, 2.5, 6.0, 3, False)]
     assert [len(x) for x in kept.appended] == [2, 1] and not kept.put_rows
     assert not list(form.handleInputRows(("p",), iter([row(20, 2)]), None)) and len(kept.appended) == 2
+
+
+def test_documents_of_games_are_written_by_many_tasks(spark):
+    from hockeylake.plans import document_queries
+
+    for made in (document_queries._games, document_queries._details):
+        assert len(made(spark, "/root/testdata/sf0.001").inputFiles()) > 1
