@@ -89,6 +89,11 @@ def pieces(starts: Column, make: Callable[[Column, Column], Column]) -> Column:
     return F.flatten(F.transform(told, lambda t: F.transform(t["s"], lambda p, k: make(p, F.coalesce(F.get(t["s"], k + 1), t["n"])))))
 
 
+def once(df: DataFrame, *columns: Column) -> DataFrame:
+    """The rows with more columns, each made once: filters and columns further on use what was made, where they would make it again behind a plain select."""
+    return df.select("*", F.explode(F.array(F.struct(*columns))).alias("_made")).select(*df.columns, "_made.*")
+
+
 def with_sections(lines: DataFrame) -> DataFrame:
     """Lines with the period whose heading stands above them; ``OT`` and ``SO`` for overtime and shootout, null before the first.
 
@@ -299,7 +304,7 @@ def _media(lines: DataFrame, table: str, spec: dict[str, str], *more: Column) ->
     """Rows of number, name and fields: the name ends before the first number after it."""
     df = _tables(lines, "Skaters SOG Goals", "Goalies Saves GA").filter(F.col("table") == table)
     start = F.get(F.filter(places(lambda w: w.rlike(r"^-?\d")), lambda i: i > 1), F.lit(0))
-    df = df.withColumn("start", start).filter(word(0).rlike(NUMBER) & F.col("start").isNotNull())
+    df = once(df.filter(word(0).rlike(NUMBER)), start.alias("start")).filter("start IS NOT NULL")
     return df.filter(fits(F.col("start"), spec)).select("game_id", "pos", "side", word(0).cast("bigint").alias("number"), joined(1, F.col("start")).alias("player"), *read(F.col("start"), spec), *more)
 
 
@@ -416,25 +421,25 @@ def page_games(pages: DataFrame, key: str = "page_id", html: str = "html") -> Da
     stands in the result's link, be it an address or a script. Teams that aren't two parts of ``A - B`` are the home team as they stand. Rows without id, result and
     two teams are none, nor are those of a page without a date, or without a team.
     """
-    rows = pages.select(key, blank_to_null(F.regexp_extract(html, r"<th[^>]*>(\d{4}-\d{2}-\d{2})</th>", 1)).alias("date"), found_in(html, _ROWS).alias("rows")).filter("date IS NOT NULL")
+    dated = once(pages.select(key, html), blank_to_null(F.regexp_extract(html, r"<th[^>]*>(\d{4}-\d{2}-\d{2})</th>", 1)).alias("date")).filter("date IS NOT NULL")
     marked_rows = F.transform("rows", lambda r: F.struct(r["at"].alias("at"), r["text"].alias("text"), r["text"].rlike(_LEAGUE_ROW).alias("league")))
-    rows = rows.select(key, "date", marked_rows.alias("rows"))
-    rows = rows.select(key, "date", F.filter("rows", lambda r: r["league"]).alias("leagues"), F.explode(F.filter("rows", lambda r: ~r["league"])).alias("r"))
-    cells = F.regexp_extract_all("r.text", F.lit(_GAME_CELL), F.lit(1))
-    rows = rows.select(key, "date", last_before(F.col("leagues"), F.col("r.at"))["text"].alias("league"), cells.alias("cells")).filter(F.size("cells") >= 4)
-    cell = lambda i: F.trim(F.get("cells", F.lit(i)))
+    rows = once(dated.select(key, "date", found_in(html, _ROWS).alias("rows")), marked_rows.alias("marked"))
     text = lambda c: html_unescape(F.trim(F.regexp_replace(c, r"<[^>]+>", "")))
-    teams = F.split(text(cell(1)), " - ")
-    both = F.size(teams) == 2
+    leagues = F.transform(F.filter("marked", lambda r: r["league"]), lambda r: F.struct(r["at"].alias("at"), F.regexp_extract(r["text"], _LEAGUE_ROW, 1).try_cast("bigint").alias("id"), text(F.regexp_extract(r["text"], _LEAGUE_ROW, 2)).alias("name")))
+    rows = once(rows.select(key, "date", "marked"), leagues.alias("leagues")).select(key, "date", "leagues", F.explode(F.filter("marked", lambda r: ~r["league"])).alias("r"))
+    rows = once(rows, F.regexp_extract_all("r.text", F.lit(_GAME_CELL), F.lit(1)).alias("cells")).filter(F.size("cells") >= 4)
+    cell = lambda i: F.trim(F.get("cells", F.lit(i)))
     result = html_unescape(blank_to_null(F.trim(F.concat(*(F.regexp_extract(cell(2), _RESULT, i) for i in (1, 2))))))
+    rows = once(rows, last_before(F.col("leagues"), F.col("r.at")).alias("of"), text(cell(1)).alias("teams"), result.alias("result"), F.regexp_extract(cell(2), r"/Game/Events/(\d+)", 1).try_cast("bigint").alias("game_id"))
+    rows = once(rows, F.split("teams", " - ").alias("parts"))
+    both = F.size("parts") == 2
+    rows = once(rows, F.when(both, F.trim(F.get("parts", F.lit(0)))).otherwise(blank_to_null(F.col("teams"))).alias("home_team"), F.when(both, F.trim(F.get("parts", F.lit(1)))).alias("away_team"))
+    rows = rows.filter("(home_team != '' OR away_team != '') AND (game_id IS NOT NULL OR result IS NOT NULL OR away_team IS NOT NULL)")
     score = r"^(\d+) ?- ?(\d+)"
-    rows = rows.select(
-        key, "date", F.regexp_extract("league", _LEAGUE_ROW, 1).try_cast("bigint").alias("league_id"), text(F.regexp_extract("league", _LEAGUE_ROW, 2)).alias("league"),
-        F.regexp_extract(cell(2), r"/Game/Events/(\d+)", 1).try_cast("bigint").alias("game_id"), html_unescape(cell(0)).alias("time"),
-        F.when(both, F.trim(F.get(teams, F.lit(0)))).otherwise(blank_to_null(text(cell(1)))).alias("home_team"), F.when(both, F.trim(F.get(teams, F.lit(1)))).alias("away_team"),
-        result.alias("result"), F.regexp_extract(result, score, 1).try_cast("bigint").alias("home_score"), F.regexp_extract(result, score, 2).try_cast("bigint").alias("away_score"), html_unescape(cell(3)).alias("venue"),
+    return rows.select(
+        key, "date", F.col("of.id").alias("league_id"), F.col("of.name").alias("league"), "game_id", html_unescape(cell(0)).alias("time"), "home_team", "away_team",
+        "result", F.regexp_extract("result", score, 1).try_cast("bigint").alias("home_score"), F.regexp_extract("result", score, 2).try_cast("bigint").alias("away_score"), html_unescape(cell(3)).alias("venue"),
     )
-    return rows.filter("(home_team != '' OR away_team != '') AND (game_id IS NOT NULL OR result IS NOT NULL OR away_team IS NOT NULL)")
 
 
 def page_header(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:

@@ -248,3 +248,15 @@ def test_documents_of_games_are_written_by_many_tasks(spark):
 
     for made in (document_queries._games, document_queries._details):
         assert len(made(spark, "/root/testdata/sf0.001").inputFiles()) > 1
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_columns_of_pages_and_media_summaries_are_made_once(spark):
+    pages = spark.createDataFrame([(1, "<th>2024-01-02</th>")], "page_id long, html string").repartition(2)
+    plan = _plan(reports.page_games(pages))
+    assert plan.count("/Game/Events/") == 1
+    lines = reports.report_lines(spark.createDataFrame([(1, "media_summary", "x")], "game_id long, report_type string, text string").repartition(2))
+    assert _plan(reports.media_summary(lines)).count("^-?\\d,") == 1
