@@ -500,16 +500,22 @@ def league_lineups(details: DataFrame) -> DataFrame:
         placed = F.concat(*(people(F.array_compact(F.array(F.try_variant_get(line, f"$.{k}", "variant"))), number, v) for k, v in _PLACES.items()))
         return F.when(arrays, people(F.concat(listed(line, "$.forwards"), listed(line, "$.defense")), number, "")).otherwise(placed)
 
-    def one(side: str) -> DataFrame:
-        base = f"$.{side}_team_lineup"
-        no_line = F.lit(None).cast("bigint")
-        lines = F.flatten(F.transform(F.filter(listed("raw", f"{base}.lines"), _is_object), of_line))
-        every = F.concat(people(listed("raw", f"{base}.goalies"), no_line, "G"), lines, people(listed("raw", f"{base}.extra_players"), no_line, "EXTRA"))
-        head = F.struct(F.coalesce(clean_text(_text("raw", f"{base}.team")), F.lit("")).alias("team"), F.lit(side == "home").alias("is_home"), _said("raw", f"{base}.head_coach").alias("head_coach"), _said("raw", f"{base}.assistant_coach").alias("assistant_coach"))
-        return F.transform(F.filter(every, lambda x: _is_object(x["p"])), lambda x: F.struct(head.alias("h"), x.alias("x")))
+    def head(side: str) -> Column:
+        of = f"{side}_lineup"
+        return F.struct(F.coalesce(clean_text(_text(of, "$.team")), F.lit("")).alias("team"), F.lit(side == "home").alias("is_home"), _said(of, "$.head_coach").alias("head_coach"), _said(of, "$.assistant_coach").alias("assistant_coach"))
+
+    def one(side: str) -> Column:
+        of, no_line = f"{side}_lineup", F.lit(None).cast("bigint")
+        lines = F.flatten(F.transform(F.filter(listed(of, "$.lines"), _is_object), of_line))
+        every = F.concat(people(listed(of, "$.goalies"), no_line, "G"), lines, people(listed(of, "$.extra_players"), no_line, "EXTRA"))
+        return F.transform(F.filter(every, lambda x: _is_object(x["p"])), lambda x: F.struct(F.lit(side == "home").alias("is_home"), x.alias("x")))
 
     tags = ("game_id", leading_date(F.col("date")).alias("game_date"), season_year(F.col("date")).alias("season"), F.coalesce(clean_text(F.col("league")), F.lit("")).alias("league"), F.coalesce("metadata.scraped_at", F.lit("")).alias("scraped_at"))
-    rows = details.select(*tags, F.posexplode(F.concat(one("home"), one("away"))).alias("pos", "r")).select(*_TAGS, "scraped_at", "pos", "r.h", F.col("r.x.p").alias("p"), F.col("r.x.line").alias("line_number"), F.col("r.x.place").alias("place"))
+    # Line-ups and what a side's players share are taken out of a document once, not for each player.
+    sides = details.select(*tags, *(F.try_variant_get("raw", f"$.{s}_team_lineup", "variant").alias(f"{s}_lineup") for s in ("home", "away")))
+    heads = [F.col(c) for c in (*_TAGS, "scraped_at")] + [head(s).alias(f"{s}_head") for s in ("home", "away")]
+    rows = sides.select(*heads, F.posexplode(F.concat(one("home"), one("away"))).alias("pos", "r"))
+    rows = rows.select(*_TAGS, "scraped_at", "pos", F.when(F.col("r.is_home"), F.col("home_head")).otherwise(F.col("away_head")).alias("h"), F.col("r.x.p").alias("p"), F.col("r.x.line").alias("line_number"), F.col("r.x.place").alias("place"))
     starting = F.coalesce(F.try_variant_get("p", "$.starting", "boolean"), F.lit(False))
     return rows.select(*_TAGS, "pos", "h.*", "line_number", position(F.coalesce(blank_to_null(_text("p", "$.position")), "place")).alias("position"), _said("p", "$.name").alias("player_name"), _said("p", "$.number").alias("player_number"), starting.alias("is_starting"), "scraped_at")
 

@@ -260,3 +260,8 @@ def test_columns_of_pages_and_media_summaries_are_made_once(spark):
     assert plan.count("/Game/Events/") == 1
     lines = reports.report_lines(spark.createDataFrame([(1, "media_summary", "x")], "game_id long, report_type string, text string").repartition(2))
     assert _plan(reports.media_summary(lines)).count("^-?\\d,") == 1
+
+
+def test_line_ups_are_taken_out_of_a_document_once(spark):
+    docs = spark.createDataFrame([(json.dumps({"game_id": "1"}),), (None,)], "payload string").repartition(2)
+    assert _plan(documents.league_lineups(documents.parse_details(docs))).count("variant_get(raw") == 2
