@@ -87,7 +87,9 @@ def stream_keyed_insert(spark, d):
     """Keys that neither the table has, here of views of every tenth user, nor an earlier batch."""
     state.use_keyed_state(spark)
     out, schema = scratch(spark, "inserted"), "user_id long, event_type string"
-    have = table(spark, d, "events").filter("user_id % 10 = 3 AND event_type = 'view'").select("user_id", "event_type").distinct()
+    had = scratch(spark, "had")  # written once, or each batch would read all events for it
+    table(spark, d, "events").filter("user_id % 10 = 3 AND event_type = 'view'").select("user_id", "event_type").distinct().write.parquet(had)
+    have = spark.read.schema(schema).parquet(had)
     streaming.run_available(state.inserted(_stream(spark, d).select("user_id", "event_type"), ["user_id", "event_type"], have), scratch(spark, "checkpoint"), streaming.append_to(out))
     return spark.read.schema(schema).option("basePath", out).parquet(out).drop("batch")
 

@@ -265,3 +265,21 @@ def test_columns_of_pages_and_media_summaries_are_made_once(spark):
 def test_line_ups_are_taken_out_of_a_document_once(spark):
     docs = spark.createDataFrame([(json.dumps({"game_id": "1"}),), (None,)], "payload string").repartition(2)
     assert _plan(documents.league_lineups(documents.parse_details(docs))).count("variant_get(raw") == 2
+
+
+def test_known_keys_of_an_insert_are_written_once(spark, monkeypatch):
+    from hockeylake.plans import stream_queries
+
+    class Seen(Exception):
+        pass
+
+    read = []
+
+    def note(stream, keys, have):
+        read.extend(have.inputFiles())
+        raise Seen
+
+    monkeypatch.setattr(stream_queries.state, "inserted", note)
+    with pytest.raises(Seen):
+        stream_queries.stream_keyed_insert(spark, "/root/testdata/sf0.001")
+    assert read and not any("events.parquet" in f for f in read)
