@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ KINDS: dict[str, tuple[str, Callable[[Column], Column]]] = {
     "text": (r"^\S+$", lambda w: w),
 }
 NUMBER = r"^\d{1,3}$"
+#: What a line has, of those that can stand in one, where its blanks aren't all single plain ones; a search for each is cheaper than a pattern.
+_ODD_BLANKS = ("  ", "\t", "\x0b", "\f", "\r", "\u00a0")
 
 
 def report_lines(reports: DataFrame) -> DataFrame:
@@ -26,11 +29,13 @@ def report_lines(reports: DataFrame) -> DataFrame:
 
     Runs of blanks are one, the dash of a goal's score stands without blanks (``2 \u2013 1`` is ``2-1``), blank lines are left out.
     """
-    df = reports.select("game_id", "report_type", F.posexplode(F.split("text", r"\r?\n")).alias("pos", "line"))
+    # Java splits by one character without a pattern; a carriage return before it is a blank at the line's end.
+    df = reports.select("game_id", "report_type", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     df = df.filter(F.col("line").rlike(r"[^\s\u00a0]"))  # of the raw line, so that lines aren't tidied once more for a filter
-    line = F.trim(F.regexp_replace("line", r"[\s\u00a0]+", " "))
-    score = F.regexp_replace(line, r"(?<=\d)(?: [-\u2013] |[-\u2013])(?=\d)", "-")
-    return df.withColumn("line", F.when(line.startswith("Goal "), score).otherwise(line)).withColumn("words", F.split("line", " "))
+    odd = reduce(Column.__or__, (F.col("line").contains(blank) for blank in _ODD_BLANKS))
+    df = df.withColumn("line", F.trim(F.when(odd, F.regexp_replace("line", r"[\s\u00a0]+", " ")).otherwise(F.col("line"))))
+    score = F.regexp_replace("line", r"(?<=\d)(?: [-\u2013] |[-\u2013])(?=\d)", "-")
+    return df.withColumn("line", F.when(F.col("line").startswith("Goal "), score).otherwise(F.col("line"))).withColumn("words", F.split("line", " "))
 
 
 def _order():
@@ -144,25 +149,40 @@ def on_ice(lines: DataFrame) -> DataFrame:
     return df.select("game_id", "pos", F.col("above.pos").alias("goal_pos"), "period", "above.seconds", team.alias("team"), F.when(team == F.col("above.scored"), "positive").otherwise("negative").alias("side"), F.explode(numbers).alias("n")).withColumn("number", F.col("n").cast("bigint")).drop("n")
 
 
+_PENALTY = {"what": "text", "seconds": "clock", "team": "text", "minutes": "whole", "min": "text", "number": "whole"}
+
+
+def _is_penalty() -> Column:
+    return (word(0) == "Penalty") & fits(0, _PENALTY) & word(4).startswith("min")
+
+
 def penalties(lines: DataFrame) -> DataFrame:
     """``Penalty``, clock, team, minutes, ``min.``, number, name up to the word after its comma, and what for."""
-    spec = {"what": "text", "seconds": "clock", "team": "text", "minutes": "whole", "min": "text", "number": "whole"}
     comma = F.get(places(lambda w: w.endswith(",")), F.lit(0))
     end = F.coalesce(comma + 2, F.lit(8))
-    df = with_sections(lines).filter((word(0) == "Penalty") & fits(0, spec) & word(4).startswith("min"))
-    return df.select("game_id", "pos", "period", *(c for c, n in zip(read(0, spec), spec, strict=True) if n not in ("what", "min")), joined(6, end).alias("player"), joined(end, size()).alias("infraction"))
+    df = with_sections(lines).filter(_is_penalty())
+    return df.select("game_id", "pos", "period", *(c for c, n in zip(read(0, _PENALTY), _PENALTY, strict=True) if n not in ("what", "min")), joined(6, end).alias("player"), joined(end, size()).alias("infraction"))
+
+
+_GOALKEEPER = {"what": "text", "change": "text", "seconds": "clock", "team": "text", "number": "whole"}
+
+
+def _is_goalkeeper_change() -> Column:
+    return (word(0) == "Goalkeeper") & word(1).isin("In", "Out") & fits(0, _GOALKEEPER)
 
 
 def goalkeeper_changes(lines: DataFrame) -> DataFrame:
     """``Goalkeeper``, ``In`` or ``Out``, clock, team, number and name."""
-    spec = {"what": "text", "change": "text", "seconds": "clock", "team": "text", "number": "whole"}
-    return with_sections(lines).filter((word(0) == "Goalkeeper") & word(1).isin("In", "Out") & fits(0, spec)).select("game_id", "pos", "period", F.lower(word(1)).alias("change"), *read(0, spec)[2:], joined(5, size()).alias("player"))
+    return with_sections(lines).filter(_is_goalkeeper_change()).select("game_id", "pos", "period", F.lower(word(1)).alias("change"), *read(0, _GOALKEEPER)[2:], joined(5, size()).alias("player"))
+
+
+def _spectators() -> Column:
+    return F.replace(group(r"^Spectators: ?([\d ]+)", 1), F.lit(" "), F.lit("")).try_cast("bigint")
 
 
 def spectators(lines: DataFrame) -> DataFrame:
     """The first number of spectators in each game's reports."""
-    n = F.replace(group(r"^Spectators: ?([\d ]+)", 1), F.lit(" "), F.lit("")).try_cast("bigint")
-    return lines.select("game_id", "pos", n.alias("n")).filter("n IS NOT NULL").groupBy("game_id").agg(F.min_by("n", "pos").alias("spectators"))
+    return lines.select("game_id", "pos", _spectators().alias("n")).filter("n IS NOT NULL").groupBy("game_id").agg(F.min_by("n", "pos").alias("spectators"))
 
 
 #: The fields of a statistics line after the team's name.
@@ -171,10 +191,15 @@ PERIOD_FIELDS = {
 }
 
 
+def _is_statistics() -> Column:
+    start = size() - len(PERIOD_FIELDS)
+    return (start > 0) & fits(start, PERIOD_FIELDS)
+
+
 def period_stats(lines: DataFrame) -> DataFrame:
     """The statistics table of each period, ``total`` above the first."""
     start = size() - len(PERIOD_FIELDS)
-    df = with_sections(lines).filter((start > 0) & fits(start, PERIOD_FIELDS))
+    df = with_sections(lines).filter(_is_statistics())
     return df.select("game_id", "pos", F.coalesce("period", F.lit("total")).alias("period"), joined(0, start).alias("team"), *read(start, PERIOD_FIELDS))
 
 
@@ -186,12 +211,17 @@ def referees(lines: DataFrame) -> DataFrame:
     return df.select("game_id", "role", F.explode(F.regexp_extract_all(F.regexp_replace("line", head, ""), F.lit(r"([\p{L}'-]+, [\p{L}'-]+)"), F.lit(1))).alias("name"), "pos").groupBy("game_id", "role", "name").agg(F.min("pos").alias("pos"))
 
 
+def _named() -> Column:
+    """The two teams of a line ``Home - Away``; null for other lines."""
+    dash = r" (?:[-\u2013\u2014]|vs\.?) "
+    parts = F.split("line", dash)  # compiles its pattern for each line, so only where the line has one
+    return F.when(~F.col("line").rlike(r"[\d:]") & F.col("line").rlike(dash) & (F.size(parts) == 2), parts)
+
+
 def team_names(lines: DataFrame) -> DataFrame:
     """Home and away team from the first line ``Home - Away`` (any dash, or ``vs``) without numbers and colons, else the first two teams of the statistics tables."""
-    parts = F.split("line", r" (?:[-\u2013\u2014]|vs\.?) ")
-    start = size() - len(PERIOD_FIELDS)
-    named = F.when(~F.col("line").rlike(r"[\d:]") & (F.size(parts) == 2), parts)
-    team = F.when((start > 0) & fits(start, PERIOD_FIELDS), F.struct("pos", joined(0, start).alias("team")))
+    start, named = size() - len(PERIOD_FIELDS), _named()
+    team = F.when(_is_statistics(), F.struct("pos", joined(0, start).alias("team")))
     found = lines.select("game_id", "pos", named.alias("named"), team.alias("team")).groupBy("game_id")
     found = found.agg(F.min_by("named", F.when(F.col("named").isNotNull(), F.col("pos"))).alias("named"), F.array_distinct(F.transform(F.array_sort(F.collect_list("team")), lambda t: t["team"])).alias("listed"))
     both = F.coalesce("named", "listed")
@@ -336,6 +366,28 @@ def read_report(reports: DataFrame, kind: str) -> dict[str, DataFrame]:
     return {name: reader(lines) for name, reader in READERS.get(kind, {}).items()}
 
 
+#: What tells a table's rows by the line alone: a row for each such line, or for each game that has one.
+_ROW_A_LINE: dict[str, Callable[[], Column]] = {"goals": _is_goal, "penalties": _is_penalty, "goalkeeper_changes": _is_goalkeeper_change, "period_stats": _is_statistics}
+_ROW_A_GAME: dict[str, Callable[[], Column]] = {"team_names": lambda: _named().isNotNull() | _is_statistics(), "spectators": lambda: _spectators().isNotNull()}
+
+
+def report_sizes(reports: DataFrame, kind: str, *names: str) -> DataFrame:
+    """``(name, n)``: how many rows the named tables of ``read_report`` have, or all of the kind's if none are named.
+
+    Texts are made and their lines tidied once for all tables whose rows are told by the line alone; the other tables are made, each by itself, and counted.
+    """
+    readers = READERS.get(kind, {})
+    readers = {n: readers[n] for n in names or readers}
+    lines = report_lines(reports.filter(F.col("report_type") == kind))
+    one = lambda test: F.when(test(), 1).otherwise(0)
+    told = {n: F.sum(one(_ROW_A_LINE[n])) if n in _ROW_A_LINE else F.max(one(_ROW_A_GAME[n])) for n in readers if n in _ROW_A_LINE or n in _ROW_A_GAME}
+    found = [reader(lines).agg(F.count("*").alias("n")).select(F.lit(n).alias("name"), "n") for n, reader in readers.items() if n not in told]
+    if told:
+        sums = lines.groupBy("game_id").agg(*(c.alias(n) for n, c in told.items())).agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in told))
+        found.append(sums.select(F.inline(F.array(*(F.struct(F.lit(n).alias("name"), F.col(n).alias("n")) for n in told)))))
+    return reduce(DataFrame.unionByName, found) if found else reports.sparkSession.createDataFrame([], "name string, n bigint")
+
+
 #: What the rows of each table of a game's reports are told apart by.
 REPORT_KEYS: dict[str, tuple[str, ...]] = {
     "referees": ("game_id", "name"),

@@ -134,12 +134,7 @@ def txt_dispatch(spark, d):
     """Rows by table of the official reports; every third text is of another kind and gives none."""
     r = spread_games(spark, d).select("game_id", F.lit("official_game_report").alias("report_type"), F.expr(_REPORT).alias("text"))
     other = r.select("game_id", F.lit("cover").alias("report_type"), "text").filter("game_id % 3 = 0")
-    tables = reports.read_report(r.unionByName(other), "official_game_report")
-    out = None
-    for name in ("goals", "penalties", "goalkeeper_changes", "team_names"):
-        n = tables[name].agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
-        out = n if out is None else out.union(n)
-    return out
+    return reports.report_sizes(r.unionByName(other), "official_game_report", "goals", "penalties", "goalkeeper_changes", "team_names")
 
 
 _CELLS = "'<td>{0}</td><td><strong>' || {1} || '</strong></td><td>({2})</td>'"

@@ -1,5 +1,8 @@
 """Results at edges, and plans and documents that don't grow with the tables."""
 
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from hockeylake.operators import names, reports, trends
@@ -90,3 +93,49 @@ def test_a_games_reports_are_each_read_once(spark):
     found = reports.report_bundle(report_queries._all_reports(spark, SMALL))["skaters"]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and plan.count("line_up") == plan.count("team_roster") == 0
+
+
+def test_dispatch_reads_the_texts_once(spark):
+    found = catalog.QUERIES["txt_dispatch"](spark, SMALL)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("posexplode") == 1 and plan.count("RepartitionByExpression") == 1
+    assert sorted(map(tuple, found.collect())) == [("goalkeeper_changes", 1500), ("goals", 3000), ("penalties", 1500), ("team_names", 1500)]
+
+
+_ODD_LINES = (
+    "", " ", "\u00a0\t", "\r", "Goal 01:00 HOM 1 - 0 9 HALL, Max", "\u00a0Goal\t 01:00  HOM 1-0 PP1", "Goal\x0b01:00\fHOM 2 \u2013 1", "Goal 01:00 HOM", "Goal of the night", "goal 01:00 HOM 1-0", "Penalty 15:02 AWY 2 min. 17 BERG, Karl Roughing", "Penalty 15:02 AWY 2 minutes x", "Penalty 15:02 AWY - min. 17",
+    "Goalkeeper Out 58:40 AWY 35 LIND, Olle\r", "Goalkeeper  In 58:40 AWY 35", "Goalkeeper Off 58:40 AWY 35 X", "Left - Right", "Left \t-\u00a0Right", "Left vs. Right", "A - B - C", "A - - B", "A -- B", "Left - Right 2", "Spectators: 1 420", "Spectators:", "Spectators: 99 999 999 999 999 999 999",
+    "HOM 2 20 24 92,31 6 04:00 2 50,00 02:10 1 N/A", "Two Words 2 20 24 92,31 6 04:00 2 50,00 02:10 1 -", "2 20 24 92,31 6 04:00 2 50,00 02:10 1 N/A", "Referees Adams, Bo Berg, Carl", "HOM: 6 12", "1st period", "Overtime",
+)
+
+
+def _odd_reports(spark):
+    """Texts of some of the odd lines each: several of a game, some of no game, and some of another kind."""
+    rng = random.Random(4)
+    texts = [rng.choice(("\n", "\r\n", "\r\r\n")).join(rng.choices(_ODD_LINES, k=rng.randint(0, 4))) for _ in range(400)]
+    rows = [(rng.choice((None, *range(250))), rng.choice(("official_game_report", "official_game_report", "line_up")), t) for t in texts]
+    return spark.createDataFrame([*rows, (999, "official_game_report", None)], "game_id bigint, report_type string, text string")
+
+
+def test_sizes_are_those_of_the_tables(spark):
+    texts = _odd_reports(spark).repartition(5)
+    tables = reports.read_report(texts, "official_game_report")
+    sizes = {n: t.count() for n, t in tables.items()}
+    assert all(sizes.values())
+    assert dict(map(tuple, reports.report_sizes(texts, "official_game_report").collect())) == sizes
+    assert sorted(map(tuple, reports.report_sizes(texts.limit(0), "official_game_report", "goals", "team_names").collect())) == [("goals", 0), ("team_names", 0)]
+    assert reports.report_sizes(texts, "unknown").collect() == []
+
+
+def test_lines_are_tidied_whatever_their_blanks(spark):
+    texts = _odd_reports(spark).withColumn("report_type", F.monotonically_increasing_id().cast("string")).filter("text IS NOT NULL")
+    expected = set()
+    for r in texts.collect():
+        for pos, line in enumerate(re.split("\r?\n", r.text)):
+            line = re.sub("[ \t\n\x0b\f\r\u00a0]+", " ", line).strip(" ")
+            if line.startswith("Goal "):
+                line = re.sub(r"(?<=\d)(?: [-\u2013] |[-\u2013])(?=\d)", "-", line)
+            if line:
+                expected.add((r.report_type, pos, line, tuple(line.split(" "))))
+    got = [(r.report_type, r.pos, r.line, tuple(r.words)) for r in reports.report_lines(texts).collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
