@@ -31,7 +31,8 @@ def report_lines(reports: DataFrame) -> DataFrame:
     """
     # Java splits by one character without a pattern; a carriage return before it is a blank at the line's end.
     df = reports.select("game_id", "report_type", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    df = df.filter(F.col("line").rlike(r"[^\s\u00a0]"))  # of the raw line, so that lines aren't tidied once more for a filter
+    # Of the raw line, so that lines aren't tidied once more for a filter; one that begins with a plain sign needs no pattern.
+    df = df.filter(((F.col("line") >= "!") & (F.col("line") < "\u0080")) | F.col("line").rlike(r"[^\s\u00a0]"))
     odd = reduce(Column.__or__, (F.col("line").contains(blank) for blank in _ODD_BLANKS))
     df = df.withColumn("line", F.trim(F.when(odd, F.regexp_replace("line", r"[\s\u00a0]+", " ")).otherwise(F.col("line"))))
     score = F.regexp_replace("line", r"(?<=\d)(?: [-\u2013] |[-\u2013])(?=\d)", "-")
@@ -79,6 +80,11 @@ def fits(start: Column | int, spec: dict[str, str]) -> Column:
     return F.coalesce(test, F.lit(False))
 
 
+def headed(first: str, rest: Column) -> Column:
+    """Whether a line begins with that word and the rest holds; the rest is looked at only then, where Spark makes what conditions joined by ``&`` share for every line."""
+    return F.when(word(0) == first, F.coalesce(rest, F.lit(False))).otherwise(F.lit(False))
+
+
 def read(start: Column | int, spec: dict[str, str]) -> list[Column]:
     return [KINDS[kind][1](word(start + i)).alias(name) for i, (name, kind) in enumerate(spec.items())]
 
@@ -115,7 +121,7 @@ _GOAL = {"what": "text", "seconds": "clock", "team": "text"}
 
 
 def _is_goal() -> Column:
-    return (word(0) == "Goal") & fits(0, _GOAL) & word(3).rlike(r"^\d+-\d+$")
+    return headed("Goal", fits(0, _GOAL) & word(3).rlike(r"^\d+-\d+$"))
 
 
 def goals(lines: DataFrame) -> DataFrame:
@@ -153,7 +159,7 @@ _PENALTY = {"what": "text", "seconds": "clock", "team": "text", "minutes": "whol
 
 
 def _is_penalty() -> Column:
-    return (word(0) == "Penalty") & fits(0, _PENALTY) & word(4).startswith("min")
+    return headed("Penalty", fits(0, _PENALTY) & word(4).startswith("min"))
 
 
 def penalties(lines: DataFrame) -> DataFrame:
@@ -168,7 +174,7 @@ _GOALKEEPER = {"what": "text", "change": "text", "seconds": "clock", "team": "te
 
 
 def _is_goalkeeper_change() -> Column:
-    return (word(0) == "Goalkeeper") & word(1).isin("In", "Out") & fits(0, _GOALKEEPER)
+    return headed("Goalkeeper", word(1).isin("In", "Out") & fits(0, _GOALKEEPER))
 
 
 def goalkeeper_changes(lines: DataFrame) -> DataFrame:
@@ -211,11 +217,15 @@ def referees(lines: DataFrame) -> DataFrame:
     return df.select("game_id", "role", F.explode(F.regexp_extract_all(F.regexp_replace("line", head, ""), F.lit(r"([\p{L}'-]+, [\p{L}'-]+)"), F.lit(1))).alias("name"), "pos").groupBy("game_id", "role", "name").agg(F.min("pos").alias("pos"))
 
 
+#: What stands between the names of two teams.
+_DASHES = (" - ", " \u2013 ", " \u2014 ", " vs ", " vs. ")
+
+
 def _named() -> Column:
     """The two teams of a line ``Home - Away``; null for other lines."""
-    dash = r" (?:[-\u2013\u2014]|vs\.?) "
-    parts = F.split("line", dash)  # compiles its pattern for each line, so only where the line has one
-    return F.when(~F.col("line").rlike(r"[\d:]") & F.col("line").rlike(dash) & (F.size(parts) == 2), parts)
+    parted = reduce(Column.__or__, (F.col("line").contains(dash) for dash in _DASHES))  # splitting compiles its pattern for each line
+    parts = F.split("line", r" (?:[-\u2013\u2014]|vs\.?) ")
+    return F.when(parted & ~F.col("line").rlike(r"[\d:]") & (F.size(parts) == 2), parts)
 
 
 def team_names(lines: DataFrame) -> DataFrame:

@@ -105,7 +105,7 @@ def test_dispatch_reads_the_texts_once(spark):
 _ODD_LINES = (
     "", " ", "\u00a0\t", "\r", "Goal 01:00 HOM 1 - 0 9 HALL, Max", "\u00a0Goal\t 01:00  HOM 1-0 PP1", "Goal\x0b01:00\fHOM 2 \u2013 1", "Goal 01:00 HOM", "Goal of the night", "goal 01:00 HOM 1-0", "Penalty 15:02 AWY 2 min. 17 BERG, Karl Roughing", "Penalty 15:02 AWY 2 minutes x", "Penalty 15:02 AWY - min. 17",
     "Goalkeeper Out 58:40 AWY 35 LIND, Olle\r", "Goalkeeper  In 58:40 AWY 35", "Goalkeeper Off 58:40 AWY 35 X", "Left - Right", "Left \t-\u00a0Right", "Left vs. Right", "A - B - C", "A - - B", "A -- B", "Left - Right 2", "Spectators: 1 420", "Spectators:", "Spectators: 99 999 999 999 999 999 999",
-    "HOM 2 20 24 92,31 6 04:00 2 50,00 02:10 1 N/A", "Two Words 2 20 24 92,31 6 04:00 2 50,00 02:10 1 -", "2 20 24 92,31 6 04:00 2 50,00 02:10 1 N/A", "Referees Adams, Bo Berg, Carl", "HOM: 6 12", "1st period", "Overtime",
+    "HOM 2 20 24 92,31 6 04:00 2 50,00 02:10 1 N/A", "Two Words 2 20 24 92,31 6 04:00 2 50,00 02:10 1 -", "2 20 24 92,31 6 04:00 2 50,00 02:10 1 N/A", "Referees Adams, Bo Berg, Carl", "HOM: 6 12", "1st period", "Overtime", "\u00d6 \u2014 \u00c5", "\u00a1", "\u0085", "\x01", "!",
 )
 
 
