@@ -83,10 +83,10 @@ def view(spark: SparkSession, sf_dir: str, name: str, **given: DataFrame) -> Dat
 
 
 #: Games whose texts one task makes and sorts at most.
-_GAMES_A_TASK = 50_000
+GAMES_A_TASK = 50_000
 
 
-def spread_games(spark, d):
+def spread_games(spark, d, games_a_task: int = GAMES_A_TASK):
     """The games dealt by their id over several tasks a core, and over more where there are many, before texts are made of them: few bytes of games make much text, so that splits of the table by size leave most cores idle. What groups or orders by game needs no further shuffle."""
     n = table(spark, d, "orders").count()  # from the footers of its files
-    return view(spark, d, "games").repartition(max(4 * spark.sparkContext.defaultParallelism, -(-n // _GAMES_A_TASK)), "game_id")
+    return view(spark, d, "games").repartition(max(4 * spark.sparkContext.defaultParallelism, -(-n // games_a_task)), "game_id")

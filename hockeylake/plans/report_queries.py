@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hockeylake.operators import reports
-from hockeylake.plans.adapters import cte, spread_games, table, view
+from hockeylake.plans.adapters import GAMES_A_TASK, cte, spread_games, table
 from hockeylake.plans.registry import ORACLE_SQL, query
 
 _G = cte("games")
@@ -25,8 +25,16 @@ _SUMMARY = "'Name No. Pos. G A TP +/- PIM SOG FO+/- FO%\\nHALL, Max ' || '9 CE 1
 _MEDIA = "'Skaters SOG Goals Assists Points\\n12 HALL Max ' || game_id % 6 || ' 1 0 1 -1 2 4 - 5 50,0' || if(game_id % 2 = 0, ' 20 15:30', '') || '\\nGoalies Saves GA SOG\\n30 NOR Ed ' || (away_sog - away_score) || ' ' || away_score || ' ' || away_sog || ' 91,50 1 - 60:00\\n31 OST Al 0 0 0 N/A - - 0:00'"
 
 
+#: As everywhere; smaller in tests.
+_GAMES_A_TASK = GAMES_A_TASK
+
+
+def _games(spark, d):
+    return spread_games(spark, d, _GAMES_A_TASK)
+
+
 def _lines(spark, d, text: str, kind: str = "official_game_report"):
-    r = spread_games(spark, d).select(F.col("game_id"), F.lit(kind).alias("report_type"), F.expr(text).alias("text"))
+    r = _games(spark, d).select(F.col("game_id"), F.lit(kind).alias("report_type"), F.expr(text).alias("text"))
     return reports.report_lines(r)
 
 
@@ -132,7 +140,7 @@ def txt_media_skaters(spark, d):
 @query(f"WITH {_G} SELECT 'goals' AS name, CAST(2 * count(*) AS BIGINT) AS n FROM games UNION ALL SELECT 'penalties', count(*) FROM games UNION ALL SELECT 'goalkeeper_changes', count(*) FROM games UNION ALL SELECT 'team_names', count(*) FROM games")
 def txt_dispatch(spark, d):
     """Rows by table of the official reports; every third text is of another kind and gives none."""
-    r = spread_games(spark, d).select("game_id", F.lit("official_game_report").alias("report_type"), F.expr(_REPORT).alias("text"))
+    r = _games(spark, d).select("game_id", F.lit("official_game_report").alias("report_type"), F.expr(_REPORT).alias("text"))
     other = r.select("game_id", F.lit("cover").alias("report_type"), "text").filter("game_id % 3 = 0")
     return reports.report_sizes(r.unionByName(other), "official_game_report", "goals", "penalties", "goalkeeper_changes", "team_names")
 
@@ -151,7 +159,7 @@ _SCHEDULE = f"""'<table class="tblContent"><tr><th colspan="5">' || {_DAY} || '<
 
 
 def _pages(spark, d, text: str):
-    return spread_games(spark, d).select(F.col("game_id").alias("page_id"), F.expr(text).alias("html"))
+    return _games(spark, d).select(F.col("game_id").alias("page_id"), F.expr(text).alias("html"))
 
 
 @query(f"""WITH {_G} SELECT game_id AS page_id, CAST(game_date AS VARCHAR) AS date, CASE WHEN game_id % 5 <> 0 THEN 100 + game_type END AS league_id, CASE WHEN game_id % 5 <> 0 THEN 'League ' || game_type || ' & Co' END AS league, game_id, '19:00' AS time, 'Home ' || home_team_id AS home_team, 'Away' AS away_team,
@@ -214,7 +222,7 @@ def page_outline(spark, d):
 
 def _all_reports(spark, d):
     """All kinds of reports: every fifth game lacks the official one, every fourth the player summary, every third the media summary; of every seventh the reports with plain lines are there twice."""
-    g = spread_games(spark, d)
+    g = _games(spark, d)
     kinds = (("official_game_report", _REPORT, 5), ("line_up", "'Referees Zed, Al\\nLinesmen: Yan, Bo\\n' || " + _LINEUP, 0), ("team_roster", _ROSTER, 0), ("game_summary", _SUMMARY, 4), ("media_summary", _MEDIA, 3))
     # A branch for each kind: those of kinds that a reader doesn't take are left out of its plan, with their texts.
     each = [(g.filter(f"game_id % {n} != 0") if n else g).select("game_id", F.lit(k).alias("report_type"), F.expr(text).alias("text")) for k, text, n in kinds]
